@@ -185,6 +185,37 @@ def seq_counts(spark, sf_dir):
     return _verdicts(spark, sf_dir).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
+# ---------------------------------------------------------------- live (streaming) forms
+def _live(spark, feed, gate, l2, l3, name):
+    from marketstream.streaming.live import replay
+    return replay(spark, feed, gate=gate, l2=l2, l3=l3, name=name)
+
+
+def l2_stream(spark, sf_dir):
+    """The L2 deltas from the live processor over the landed L2 feed (must equal
+    ``l2_deltas``)."""
+    o = _live(spark, feeds.l2_feed(spark, sf_dir), False, True, False, "l2-stream")
+    return o.where(F.col("kind") == "l2delta").select(
+        "arrival", "symbol", "side", F.col("price").cast("decimal(38,18)").alias("price"),
+        F.col("size").cast("decimal(38,18)").alias("amount"), "ts")
+
+
+def l3_stream(spark, sf_dir):
+    """The L3 deltas from the live processor over the landed L3 feed (= ``l3_deltas``)."""
+    o = _live(spark, feeds.l3_feed(spark, sf_dir), False, False, True, "l3-stream")
+    return o.where(F.col("kind") == "l3delta").select(
+        "arrival", "symbol", "side", F.col("price").cast("decimal(38,18)").alias("price"),
+        "order_id", F.col("size").cast("decimal(38,18)").alias("size"), "sequence", "ts")
+
+
+def seq_stream(spark, sf_dir):
+    """Gate verdicts from the live processor over the gapped feed (= ``seq_verdicts``)."""
+    o = _live(spark, feeds.gapped_feed(spark, sf_dir), True, False, True, "seq-stream")
+    return o.where(F.col("kind") == "verdict").select(
+        F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol", "sequence",
+        F.col("snap").cast("long").alias("snap"), "epoch", "verdict")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "trades_table": trades_table,
@@ -209,4 +240,7 @@ def all_queries() -> dict[str, Query]:
         "seq_verdicts": seq_verdicts,
         "seq_gaps": seq_gaps,
         "seq_counts": seq_counts,
+        "l2_stream": l2_stream,
+        "l3_stream": l3_stream,
+        "seq_stream": seq_stream,
     }

@@ -1,0 +1,301 @@
+"""ST2-ST9: the live per-symbol book as one stateful operator.
+
+``groupBy("symbol").transformWithStateInPandas(BookProcessor(...))`` keeps, per symbol,
+the sequence gate, the level-2 book, the level-3 orders and the remembered order types
+in the state store (RocksDB), and emits the same rows the batch operators compute:
+gate verdicts, L2 deltas, L3 deltas, trades with their order type, quarantined rows.
+
+A micro-batch shuffle does not keep message order, so each key's rows are gathered,
+sorted by ``arrival`` and applied in order; every micro-batch is bounded by the source's
+admission limit (maxOffsetsPerTrigger / maxFilesPerTrigger).  State reads and writes go
+through a per-batch cache: one read per touched key, one write per changed key.
+
+Semantics are those of the batch operators (marketstream.operators.gate / l2 / l3); the
+two are tested equal.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
+
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import types as T
+
+OUTPUT = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("arrival", T.LongType()),
+    T.StructField("sub", T.LongType()), T.StructField("symbol", T.StringType()),
+    T.StructField("epoch", T.LongType()), T.StructField("verdict", T.StringType()),
+    T.StructField("sequence", T.LongType()), T.StructField("snap", T.BooleanType()),
+    T.StructField("side", T.StringType()), T.StructField("price", T.StringType()),
+    T.StructField("size", T.StringType()), T.StructField("order_id", T.StringType()),
+    T.StructField("ts", T.LongType()), T.StructField("order_type", T.StringType()),
+    T.StructField("trade_id", T.StringType()),
+])
+_COLS = [f.name for f in OUTPUT.fields]
+
+# columns the processor reads (see ``book_stream``)
+INPUT_COLUMNS = ["arrival", "symbol", "route", "type", "sequence", "ts", "side", "price",
+                 "size", "remaining_size", "new_size", "order_id", "order_type",
+                 "maker_order_id", "taker_order_id", "trade_id", "bids", "asks", "changes"]
+
+_META = T.StructType([
+    T.StructField("epoch", T.LongType()), T.StructField("last", T.LongType()),
+    T.StructField("lost", T.BooleanType()), T.StructField("l2_epoch", T.LongType()),
+])
+
+
+def _dec(x) -> Decimal | None:
+    if x is None or (isinstance(x, float) and pd.isna(x)) or x == "":
+        return None
+    try:
+        d = Decimal(str(x))
+    except InvalidOperation:
+        return None
+    return d if d.is_finite() else None
+
+
+def _txt(d: Decimal) -> str:
+    return format(d.normalize(), "f") if d != 0 else "0"
+
+
+def _arr(x) -> list:
+    """An Arrow list (numpy array, list or None) as a Python list."""
+    return [] if x is None else list(x)
+
+
+def _none(x):
+    if x is None:
+        return None
+    try:
+        return None if pd.isna(x) else x
+    except (TypeError, ValueError):
+        return x
+
+
+class _Cached:
+    """Read-through / write-back view of one MapState for the current batch."""
+
+    _GONE = object()
+
+    def __init__(self, state):
+        self.state, self.cache, self.dirty = state, {}, set()
+
+    def get(self, key: tuple):
+        if key not in self.cache:
+            self.cache[key] = (tuple(self.state.getValue(key))
+                               if self.state.containsKey(key) else self._GONE)
+        v = self.cache[key]
+        return None if v is self._GONE else v
+
+    def put(self, key: tuple, value: tuple):
+        self.cache[key] = value
+        self.dirty.add(key)
+
+    def pop(self, key: tuple):
+        if self.get(key) is not None:
+            self.cache[key] = self._GONE
+            self.dirty.add(key)
+
+    def clear(self):
+        self.state.clear()
+        self.cache = {k: self._GONE for k in self.cache}
+        self.dirty = set()
+
+    def flush(self):
+        for k in self.dirty:
+            v = self.cache[k]
+            if v is self._GONE:
+                if self.state.containsKey(k):
+                    self.state.removeKey(k)
+            else:
+                self.state.updateValue(k, v)
+        self.dirty = set()
+
+
+class BookProcessor(StatefulProcessor):
+    """gate: sequence gate on (full-channel subscription); l2 / l3: keep those books."""
+
+    def __init__(self, gate: bool = False, l2: bool = True, l3: bool = True):
+        self.gate, self.keep_l2, self.keep_l3 = gate, l2, l3
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.meta = handle.getValueState("meta", _META)
+        self.l2_state = handle.getMapState(
+            "l2", "side string, price string", "amount string")
+        self.l3_state = handle.getMapState(
+            "l3", "order_id string", "side string, price string, size string")
+        self.type_state = handle.getMapState("types", "order_id string", "order_type string")
+
+    # ------------------------------------------------------------------ driver
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("arrival", kind="stable")
+        symbol = key[0]
+        m = self.meta.get() if self.meta.exists() else None
+        self.epoch, self.last, self.lost, self.l2_epoch = (
+            (int(m[0]), None if m[1] is None else int(m[1]), bool(m[2]), int(m[3]))
+            if m is not None else (0, None, False, 0))
+        self.l2, self.l3 = _Cached(self.l2_state), _Cached(self.l3_state)
+        self.types = _Cached(self.type_state)
+        self.out: list[tuple] = []
+        self.symbol = symbol
+        for r in pdf.to_dict("records"):
+            self._apply({k: v if k in ("bids", "asks", "changes") else _none(v)
+                         for k, v in r.items()})
+        for c in (self.l2, self.l3, self.types):
+            c.flush()
+        self.meta.update((self.epoch, self.last, self.lost, self.l2_epoch))
+        if self.out:
+            yield pd.DataFrame(self.out, columns=_COLS)
+
+    def _emit(self, kind, r, sub=0, **kw):
+        row = dict.fromkeys(_COLS)
+        row.update(kind=kind, arrival=int(r["arrival"]), sub=sub, symbol=self.symbol,
+                   epoch=self.epoch, ts=None if r.get("ts") is None else int(r["ts"]))
+        row.update(kw)
+        self.out.append(tuple(row[c] for c in _COLS))
+
+    # ------------------------------------------------------------------ one message
+    def _apply(self, r: dict) -> None:
+        route, seq = r["route"], r.get("sequence")
+        seq = None if seq is None else int(seq)
+        snap = route == "l3snapshot"
+        if self.gate and (snap or seq is not None):
+            if snap:
+                self.epoch += 1
+                self.last, self.lost = seq, not seq
+                self._emit("verdict", r, verdict="snapshot", sequence=seq, snap=True)
+            else:
+                if self.epoch == 0 or self.lost:
+                    v = "unsynced"
+                elif self.last is not None and seq <= self.last:
+                    v = "stale"
+                elif self.last is not None and seq > self.last + 1:
+                    v, self.lost = "gap", True
+                else:
+                    v = "ok"
+                    self.last = seq
+                self._emit("verdict", r, verdict=v, sequence=seq, snap=False)
+                if v != "ok":
+                    return
+        elif snap:
+            self.epoch += 1
+
+        if snap:
+            self._l3_snapshot(r)
+        elif route == "l2" and self.keep_l2:
+            self._l2(r)
+        elif route == "l3" and self.keep_l3:
+            self._l3(r)
+        elif route == "received":
+            if r.get("order_id") is not None:
+                self.types.put((r["order_id"],), (r.get("order_type"),))
+        elif route == "trade":
+            self._trade(r)
+
+    # ------------------------------------------------------------------ level 2
+    def _l2(self, r):
+        if r["type"] == "snapshot":
+            self.l2_epoch += 1
+            self.l2.clear()
+            levels = [("bid", x) for x in _arr(r.get("bids"))] + \
+                     [("ask", x) for x in _arr(r.get("asks"))]
+            for side, lv in levels:
+                p, a = _dec(lv[0]), _dec(lv[1])
+                if p is None or a is None:
+                    self._emit("reject", r, verdict="bad_number")
+                    continue
+                self.l2.put((side, _txt(p)), (_txt(a),))
+            return
+        for pos, ch in enumerate(_arr(r.get("changes"))):
+            side = "bid" if ch[0] == "buy" else "ask"
+            p, a = _dec(ch[1]), _dec(ch[2])
+            if p is None or a is None:
+                self._emit("reject", r, sub=pos, verdict="bad_number")
+                continue
+            if self.l2_epoch == 0:
+                self._emit("reject", r, sub=pos, verdict="update_before_snapshot")
+                continue
+            k = (side, _txt(p))
+            if a == 0:
+                if self.l2.get(k) is not None:
+                    self.l2.pop(k)
+                    self._emit("l2delta", r, sub=pos, side=side, price=_txt(p), size="0")
+            elif a > 0:
+                self.l2.put(k, (_txt(a),))
+                self._emit("l2delta", r, sub=pos, side=side, price=_txt(p), size=_txt(a))
+
+    # ------------------------------------------------------------------ level 3
+    def _l3_snapshot(self, r):
+        self.l3.clear()
+        entries = [("bid", x) for x in _arr(r.get("bids"))] + \
+                  [("ask", x) for x in _arr(r.get("asks"))]
+        for i, (side, e) in enumerate(entries):
+            p, s = _dec(e[0]), _dec(e[1])
+            if p is None or s is None or len(e) < 3 or e[2] is None:
+                continue
+            self.l3.put((e[2],), (side, _txt(p), _txt(s)))
+            self._emit("l3delta", r, sub=i + 1, side=side, price=_txt(p), size=_txt(s),
+                       order_id=e[2], sequence=r.get("sequence"), verdict="open")
+
+    def _l3(self, r):
+        t, oid = r["type"], r.get("order_id")
+        side = "ask" if r.get("side") == "sell" else "bid"
+        if t == "done":
+            self.types.pop((oid,))
+            if r.get("price") is None:          # market order: no book effect
+                return
+            if self.l3.get((oid,)) is None:
+                return
+            self.l3.pop((oid,))
+            self._emit("l3delta", r, side=side, price=_txt(_dec(r["price"])), size="0",
+                       order_id=oid, sequence=r.get("sequence"), verdict="done")
+            return
+        if t == "open":
+            p, s = _dec(r.get("price")), _dec(r.get("remaining_size"))
+            if p is None or s is None:
+                self._emit("reject", r, verdict="bad_number")
+                return
+            self.l3.put((oid,), (side, _txt(p), _txt(s)))
+            self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(s), order_id=oid,
+                       sequence=r.get("sequence"), verdict="open")
+            return
+        if t == "change":
+            if not r.get("price"):
+                return
+            p, s = _dec(r.get("price")), _dec(r.get("new_size"))
+            if p is None or s is None or self.l3.get((oid,)) is None:
+                return
+            self.l3.put((oid,), (side, _txt(p), _txt(s)))
+            self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(s), order_id=oid,
+                       sequence=r.get("sequence"), verdict="change")
+
+    def _trade(self, r):
+        maker, taker = r.get("maker_order_id"), r.get("taker_order_id")
+        if self.keep_l3 and maker is not None:
+            cur = self.l3.get((maker,))
+            p, s = _dec(r.get("price")), _dec(r.get("size"))
+            side = "ask" if r.get("side") == "sell" else "bid"
+            if cur is None:
+                self._emit("reject", r, verdict="unknown_maker", order_id=maker)
+            elif p is not None and s is not None:
+                left = Decimal(cur[2]) - s
+                if left <= 0:
+                    self.l3.pop((maker,))
+                    self.types.pop((maker,))
+                    self._emit("l3delta", r, side=side, price=_txt(p), size="0",
+                               order_id=maker, sequence=r.get("sequence"), verdict="match")
+                else:
+                    self.l3.put((maker,), (side, _txt(p), _txt(left)))
+                    self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(left),
+                               order_id=maker, sequence=r.get("sequence"), verdict="match")
+        typ = self.types.get((taker,)) if taker is not None else None
+        self._emit("trade", r, side="sell" if r.get("side") == "buy" else "buy",
+                   price=r.get("price"), size=r.get("size"),
+                   order_type=None if typ is None else typ[0],
+                   trade_id=None if r.get("trade_id") is None else str(int(r["trade_id"])),
+                   order_id=taker, sequence=r.get("sequence"))
+
+    def close(self) -> None:
+        pass
