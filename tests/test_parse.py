@@ -1,0 +1,119 @@
+"""Parsing, routing, tickers and trades on the venue's docstring samples, and the
+hand-made negatives (SURVEY §5: unit + negative)."""
+
+from __future__ import annotations
+
+import json
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from conftest import raw_df
+from marketstream.operators.normalize import (bad_numbers, bad_products, products,
+                                              symbol_info, tickers, trades)
+from marketstream.operators.parse import invalid_messages, parse_messages, route_counts, subscribe
+
+TICKER_1 = {"type": "ticker", "sequence": 5928281084, "product_id": "BTC-USD",
+            "price": "8500.01000000", "open_24h": "8217.24000000", "volume_24h": "4529.1293778",
+            "low_24h": "8172.00000000", "high_24h": "8600.00000000",
+            "volume_30d": "329178.93594133", "best_bid": "8500", "best_ask": "8500.01"}
+TICKER_2 = dict(TICKER_1, sequence=5928281348, price="8500.00000000",
+                volume_24h="4529.13179472", volume_30d="329178.93835825", side="sell",
+                time="2018-05-21T00:30:11.587000Z", trade_id=43736677, last_size="0.00241692")
+MATCH = {"type": "match", "trade_id": 43736593,
+         "maker_order_id": "2663b65f-b74e-4513-909d-975e3910cf22",
+         "taker_order_id": "d058d737-87f1-4763-bbb4-c2ccf2a40bde", "side": "buy",
+         "size": "0.01235647", "price": "8506.26000000", "product_id": "BTC-USD",
+         "sequence": 5928276661, "time": "2018-05-21T00:26:05.585000Z"}
+CHANGE = {"price": "16556.88", "old_size": "0.24076471", "new_size": "0.04076471",
+          "order_id": "9675d63e-0432-413d-a3f3-f30d7df39614", "reason": "STP", "type": "change",
+          "side": "buy", "product_id": "BTC-USD", "time": "2022-11-24T00:35:28.904847Z",
+          "sequence": 50703787284}
+
+
+def parsed(spark, msgs):
+    return parse_messages(raw_df(spark, [m if m is None or isinstance(m, str) else json.dumps(m)
+                                         for m in msgs]))
+
+
+def test_ticker_samples(spark):
+    p = parsed(spark, [TICKER_1, TICKER_2])
+    rows = tickers(p).orderBy("arrival").collect()
+    assert [(r.symbol, r.bid, r.ask) for r in rows] == [
+        ("BTC-USD", Decimal("8500"), Decimal("8500.01"))] * 2
+    # no time -> receipt time (P5); with time -> exact ns (no float rounding, D2)
+    assert rows[0].ts == rows[0].receipt_ts
+    assert rows[1].ts == 1526862611587000000
+
+
+def test_match_sample_is_a_taker_sell(spark):
+    r = trades(parsed(spark, [MATCH])).collect()[0]
+    assert (r.side, r.amount, r.price, r.trade_id) == (
+        "sell", Decimal("0.01235647"), Decimal("8506.26"), "43736593")
+    assert r.ts == 1526862365585000000
+
+
+def test_change_sample_updates_tracked_order(spark):
+    from marketstream.operators import l3 as L3
+
+    open_ = {"type": "open", "order_id": CHANGE["order_id"], "side": "buy", "price": "16556.88",
+             "remaining_size": "0.24076471", "product_id": "BTC-USD", "sequence": 50703787283,
+             "time": "2022-11-24T00:35:28.000000Z"}
+    msgs = L3.with_epoch(parsed(spark, [open_, CHANGE]))
+    book = L3.build_l3(msgs)["book"].collect()
+    assert [(r.order_id, r.side, r.price, r.size) for r in book] == [
+        (CHANGE["order_id"], "bid", Decimal("16556.88"), Decimal("0.04076471"))]
+
+
+def test_negatives_are_routed_not_dropped(spark):
+    msgs = ["{bad", "", None, {"type": "bogus", "product_id": "BTC-USD"},
+            {"product_id": "BTC-USD", "sequence": 3}, {"type": "activate"},
+            {"type": "subscriptions"}, {"type": "ticker", "sequence": "x"},
+            dict(MATCH, price="abc"), TICKER_1]
+    p = parsed(spark, msgs)
+    counts = {r.route: r.n for r in route_counts(p).collect()}
+    assert counts == {"malformed": 4, "unknown_type": 1, "missing_type": 1, "ignored": 2,
+                      "trade": 1, "ticker": 1}
+    inv = {r.arrival: r.reason for r in invalid_messages(p).collect()}
+    assert inv == {0: "malformed", 1: "malformed", 2: "malformed", 3: "unknown_type",
+                   4: "missing_type", 7: "malformed"}
+    assert [r.arrival for r in bad_numbers(p).collect()] == [8]
+    assert trades(p).count() == 0
+
+
+def test_subscription_filter(spark):
+    p = parsed(spark, [TICKER_1, MATCH, dict(MATCH, product_id="ETH-USD"), CHANGE])
+    got = subscribe(p, ["trades"], ["BTC-USD"]).select("arrival", "channel").collect()
+    assert [(r.arrival, r.channel) for r in got] == [(1, "matches")]
+    got = subscribe(p, ["l3_book", "ticker"], ["BTC-USD"]).select("arrival", "channel").collect()
+    assert sorted((r.arrival, r.channel) for r in got) == [(0, "ticker"), (1, "full"), (3, "full")]
+
+
+def test_products_split_and_maps(spark):
+    recs = spark.createDataFrame([("BTC-USD", "0.01"), ("A-B-C", "1"), ("ETH-USD", "0.01"),
+                                  ("ETH-USD", "0.01")], "id string, quote_increment string")
+    p = products(recs)
+    assert sorted((r.symbol, r.base, r.quote) for r in p.collect()) == [
+        ("BTC-USD", "BTC", "USD"), ("ETH-USD", "ETH", "USD")]
+    assert [r.id for r in bad_products(recs).collect()] == ["A-B-C"]
+    info = symbol_info(p).collect()[0]
+    assert info.instrument_type == {"BTC-USD": "spot", "ETH-USD": "spot"}
+    assert set(info.tick_size) == {"BTC-USD", "ETH-USD"}
+
+
+def test_trade_record_shape(spark):
+    from marketstream.streaming.consumer import bad_trade_records, decode_trades
+    from marketstream.streaming.sinks import trade_records
+
+    rec = trade_records(trades(parsed(spark, [MATCH]))).collect()[0]
+    body = json.loads(rec.value)
+    assert rec.key == "BTC-USD"
+    assert set(body) == {"exchange", "symbol", "side", "price", "ts", "receipt_ts", "size", "trade_id"}
+    assert body["ts"] == 1526862365585000000 and body["trade_id"] == "43736593"
+    recs = spark.createDataFrame([(rec.value,), ("{bad",), (json.dumps(dict(body, epoch=1)),)],
+                                 "value string")
+    rows = decode_trades(recs).collect()
+    assert len(rows) == 2 and all(r.epoch == r.ts for r in rows)   # epoch := ts
+    assert [r.value for r in bad_trade_records(recs).collect()] == ["{bad"]
+    assert decode_trades(recs, strict_compat=True).count() == 3     # D4 compatibility
+    assert dict(decode_trades(recs).dtypes)["price"] == "float"
