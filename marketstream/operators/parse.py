@@ -31,6 +31,16 @@ def _route(t: Column) -> Column:
     return r.when(t.isin(*IGNORED_TYPES), F.lit("ignored"))
 
 
+def parse_once(expr: Column, name: str) -> list[Column]:
+    """Evaluate an expensive expression (a JSON parse) once per row.
+
+    Without a barrier the optimizer inlines ``from_json(...)`` into every field access
+    and into pushed-down filters, parsing each message once per referenced field.  A
+    one-element ``inline`` generator is evaluated once and is not inlined through;
+    nested-column pruning still narrows the parsed schema to the fields used."""
+    return [F.inline(F.array(F.struct(expr.alias(name))))]
+
+
 def parse_messages(raw: DataFrame, exchange: str | None = None) -> DataFrame:
     """Raw text -> typed message rows.
 
@@ -41,7 +51,7 @@ def parse_messages(raw: DataFrame, exchange: str | None = None) -> DataFrame:
     (bad JSON, empty or null text, or a field of the wrong JSON type; P15/D4).
     """
     m = F.from_json(F.col("value"), RAW_MESSAGE, {"columnNameOfCorruptRecord": "_corrupt"})
-    p = raw.select("arrival", "receipt_time", "value", m.alias("m")).select(
+    p = raw.select("arrival", "receipt_time", "value", *parse_once(m, "m")).select(
         "arrival", "receipt_time", "value", "m.*",
         F.col("m").isNull().alias("_empty"))
     t = F.col("type")

@@ -17,7 +17,14 @@ from marketstream.schemas import L3_SNAPSHOT_TYPE
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table.  When the scan yields fewer splits than the cluster has cores (a
+    small file with one row group), spread it round-robin so the JSON work downstream
+    runs on every core; a large input already has enough splits and is left as read."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:

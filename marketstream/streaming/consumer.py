@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from marketstream.schemas import TRADE_RECORD, TRADES_TABLE_COLUMNS
 
 _WITH_CORRUPT = T.StructType(TRADE_RECORD.fields + [T.StructField("_corrupt", T.StringType())])
+from marketstream.operators.parse import parse_once
 from marketstream.streaming.sinks import append_batch
 
 
@@ -37,8 +38,9 @@ def decode_trades(records: DataFrame, strict_compat: bool = False) -> DataFrame:
     ignored).  Malformed records are dropped here (see ``bad_trade_records``) unless
     ``strict_compat`` keeps the all-null row the original consumer appended (D4)."""
     sch = _WITH_CORRUPT
-    p = records.select(F.from_json("value", sch, {"columnNameOfCorruptRecord": "_corrupt"})
-                       .alias("data")).select("data.*")
+    p = records.select(*parse_once(
+        F.from_json("value", sch, {"columnNameOfCorruptRecord": "_corrupt"}), "data")
+    ).select("data.*")
     if not strict_compat:
         p = p.where(F.col("_corrupt").isNull() & F.col("ts").isNotNull())
     return p.select(
@@ -51,8 +53,8 @@ def decode_trades(records: DataFrame, strict_compat: bool = False) -> DataFrame:
 def bad_trade_records(records: DataFrame) -> DataFrame:
     """P15 quarantine for the consumer: records that are not a trade JSON."""
     sch = _WITH_CORRUPT
-    p = records.select("value", F.from_json("value", sch, {"columnNameOfCorruptRecord": "_corrupt"})
-                       .alias("d"))
+    p = records.select("value", *parse_once(
+        F.from_json("value", sch, {"columnNameOfCorruptRecord": "_corrupt"}), "d"))
     return p.where(F.col("d").isNull() | F.col("d._corrupt").isNotNull() | F.col("d.ts").isNull()) \
         .select("value", F.lit("malformed").alias("reason"))
 
