@@ -102,6 +102,16 @@ def l2_book(kept: DataFrame, msgs: DataFrame) -> DataFrame:
             .select("symbol", "side", "price", "amount"))
 
 
+def last_change(msgs: DataFrame) -> DataFrame:
+    """(symbol, ts, receipt_ts) of each symbol's last level-2 message (P5 fallback for
+    snapshots, which carry no time)."""
+    ts = event_ts_ns("time", "receipt_time")
+    return (msgs.groupBy("symbol")
+            .agg(F.max_by(F.struct(ts.alias("ts"), to_ns("receipt_time").alias("receipt_ts")),
+                          F.col("arrival")).alias("l"))
+            .select("symbol", "l.*"))
+
+
 def build_l2(parsed: DataFrame) -> dict[str, DataFrame]:
     msgs = l2_messages(parsed)
     levels = l2_level_rows(msgs)

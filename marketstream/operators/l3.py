@@ -187,6 +187,55 @@ def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFra
     return typed.unionByName(untyped)
 
 
+_END = (1 << 63) - 1
+
+
+def book_as_of(states: DataFrame, points: DataFrame) -> DataFrame:
+    """The orders resting at given points of a book's history (S10/N5 fixtures: what a
+    REST snapshot taken at that sequence would hold).
+
+    ``points``: (symbol, point, seq) -- a point sees every change with sequence <= seq.
+    Each live row of ``states`` holds its state over [its sequence, the order's next
+    sequence); a point inside that interval sees the order (unless the row removed it).
+    A running count of points per symbol turns each interval into the range of points it
+    covers, which is then expanded: the work is the output size, with no pairing of
+    orders and points beyond the rows returned.
+    Returns (point, symbol, seq, order_id, side, price, size)."""
+    live = states.where(F.col("live")).select(
+        "symbol", "order_id", "arrival", "sub", F.col("sequence").alias("seq"), "side",
+        "price", F.col("new_size").alias("size"), "fin")
+    live = running(live.withColumn("_neg", -F.col("arrival")).withColumn("_nsub", -F.col("sub")),
+                   ["symbol", "order_id"], ["_neg", "_nsub"],
+                   [Running("_next", F.struct(F.col("seq").alias("s")), "last", exclusive=True)])
+    iv = live.where(~F.col("fin")).select(
+        "symbol", "order_id", "arrival", "side", "price", "size",
+        F.col("seq").alias("start"), F.coalesce(F.col("_next.s"), F.lit(_END)).alias("end"))
+    ends = iv.select("symbol", F.struct("order_id", "arrival").alias("iid"),
+                     F.explode(F.array(
+                         F.struct(F.lit("s").alias("w"), F.col("start").alias("seq")),
+                         F.struct(F.lit("e").alias("w"), F.col("end").alias("seq")))).alias("b"))
+    ends = ends.select("symbol", "iid", "b.w", "b.seq", F.lit(0).alias("kind"),
+                       F.lit(None).cast("long").alias("point"))
+    pts = points.select("symbol", F.lit(None).cast("struct<order_id:string,arrival:long>").alias("iid"),
+                        F.lit(None).cast("string").alias("w"), "seq", F.lit(1).alias("kind"), "point")
+    # boundaries sort before points at an equal sequence: c(x) = #points with seq < x
+    c = running(ends.unionByName(pts), ["symbol"], ["seq", "kind"],
+                [Running("c", F.col("kind").cast("long"), "sum")])
+    ordinals = c.where(F.col("kind") == 1).select("symbol", "point", F.col("c").alias("k"), "seq")
+    span = (c.where(F.col("kind") == 0).groupBy("symbol", "iid")
+            .agg(F.max(F.when(F.col("w") == "s", F.col("c"))).alias("cs"),
+                 F.max(F.when(F.col("w") == "e", F.col("c"))).alias("ce")))
+    covered = (span.where(F.col("ce") > F.col("cs"))
+               .select("symbol", "iid", F.explode(F.sequence(F.col("cs") + 1, F.col("ce"))).alias("k")))
+    attrs = iv.select("symbol", F.struct("order_id", "arrival").alias("iid"), "order_id",
+                      "side", "price", "size")
+    if small_enough(ordinals, conf_int(states.sparkSession, BROADCAST_ROWS_CONF,
+                                       DEFAULT_BROADCAST_ROWS)):
+        ordinals = F.broadcast(ordinals)
+    return (covered.join(attrs, ["symbol", "iid"]).join(ordinals, ["symbol", "k"])
+            .select("point", "symbol", "seq", "order_id", "side", "price", "size"))
+
+
 def build_l3(msgs_with_epoch: DataFrame) -> dict[str, DataFrame]:
     rows = l3_rows(msgs_with_epoch)
     states = l3_states(rows)

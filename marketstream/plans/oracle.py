@@ -148,6 +148,23 @@ SELECT {sym('sym')} AS symbol,
        CAST(sum(CASE WHEN side = 1 THEN amt ELSE 0 END) AS DECIMAL(38,18)) AS ask_size
 FROM book GROUP BY sym"""
 
+BOOK_RECORD = f"""WITH {L2_MSG},
+lastmsg AS (
+  SELECT user_id % 4 AS sym, arg_max(CASE WHEN i % 250 = 0 THEN rcv_ns ELSE ts_ns END, i) AS ts,
+         arg_max(rcv_ns, i) AS receipt_ts
+  FROM base GROUP BY user_id % 4),
+sides AS (
+  SELECT sym,
+         coalesce(list(struct_pack(price := CAST(price AS DOUBLE), size := CAST(amt AS DOUBLE))
+                       ORDER BY price DESC) FILTER (WHERE side = 0), []) AS bid,
+         coalesce(list(struct_pack(price := CAST(price AS DOUBLE), size := CAST(amt AS DOUBLE))
+                       ORDER BY price) FILTER (WHERE side = 1), []) AS ask
+  FROM book GROUP BY sym)
+SELECT {sym('s.sym')} AS key,
+       to_json(struct_pack(exchange := 'COINBASE', symbol := {sym('s.sym')}, ts := l.ts,
+                           receipt_ts := l.receipt_ts, bid := s.bid, ask := s.ask))::VARCHAR AS value
+FROM sides s JOIN lastmsg l ON l.sym = s.sym"""
+
 # ---------------------------------------------------------------- L3
 L3_FEED = f"""{BASE},
 m AS (SELECT i, CAST(floor(i / 4) AS BIGINT) AS j, i % 4 AS p,
@@ -287,6 +304,44 @@ SEQ_COUNTS = f"""WITH {GATE_ARR}
 SELECT verdict, count(*) AS n FROM gate GROUP BY verdict"""
 
 
+# L3 behind the gate: snapshots hold the symbol's live orders of the ungapped book at the
+# snapshot's sequence; they enter as opens in the new epoch; other rows only when ok.
+_GATED_ROWS = """snaps AS (SELECT a, sym, seq AS sseq, epoch FROM gate WHERE snap = 1),
+sb AS (
+  SELECT s.a, s.sym, s.epoch, l.oid, arg_max(l.side, l.i) AS side, arg_max(l.price, l.i) AS price,
+         arg_max(l.new_size, l.i) AS size, arg_max(l.fin, l.i) AS fin, s.sseq AS seq
+  FROM snaps s JOIN live l ON l.sym = s.sym AND l.seq <= s.sseq
+  GROUP BY s.a, s.sym, s.epoch, s.sseq, l.oid),
+grows AS (
+  SELECT a AS i, 1 AS sub, sym, epoch, oid, side, price, 'open' AS typ, size, seq, NULL AS ts_ns
+  FROM sb WHERE NOT fin
+  UNION ALL
+  SELECT g.a, 0, g.sym, g.epoch, f.oid, f.side, f.price, f.typ, f.size, f.seq, f.ts_ns
+  FROM gate g JOIN feed f ON f.sym = g.sym AND f.seq = g.seq
+  WHERE g.verdict = 'ok' AND f.typ IN ('open', 'match', 'change', 'done'))"""
+
+_GATED_CHAIN = _l3_chain("grows").replace("a3 AS (", "ga3 AS (").replace("FROM a3", "FROM ga3") \
+    .replace("b3 AS (", "gb3 AS (").replace("FROM b3", "FROM gb3") \
+    .replace("c3 AS (", "gc3 AS (").replace("FROM c3", "FROM gc3") \
+    .replace("d3 AS (", "gd3 AS (").replace("FROM d3", "FROM gd3") \
+    .replace("live AS (", "glive AS (").replace("FROM live", "FROM glive") \
+    .replace("l3book AS (", "gbook AS (")
+
+L3_GATED_BASE = (f"{L3_FEED},\n{L3_ROWS},{_l3_chain('l3rows')},\n"
+                 + GATE_ARR.split(L3_FEED + ",", 1)[1] + ",\n" + _GATED_ROWS + "," + _GATED_CHAIN)
+
+L3_GATED_BOOK = f"""WITH {L3_GATED_BASE}
+SELECT {sym('sym')} AS symbol, {_SIDE3} AS side, CAST(price AS DECIMAL(38,18)) AS price,
+       CAST(oid AS VARCHAR) AS order_id, CAST(new_size AS DECIMAL(38,18)) AS size
+FROM gbook"""
+
+L3_GATED_DELTAS = f"""WITH {L3_GATED_BASE}
+SELECT i AS arrival, {sym('sym')} AS symbol, {_SIDE3} AS side,
+       CAST(price AS DECIMAL(38,18)) AS price, CAST(oid AS VARCHAR) AS order_id,
+       CAST(new_size AS DECIMAL(38,18)) AS size, seq AS sequence, CAST(epoch AS BIGINT) AS epoch
+FROM glive WHERE sub = 0"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "trades_table": TRADES_TABLE,
@@ -303,6 +358,7 @@ def all_sql() -> dict[str, str]:
         "l2_deltas": L2_DELTAS,
         "l2_depth": L2_DEPTH,
         "l2_summary": L2_SUMMARY,
+        "book_record": BOOK_RECORD,
         "l2_stream": L2_DELTAS,
         "l3_feed_types": L3_FEED_TYPES,
         "l3_book": L3_BOOK,
@@ -314,4 +370,7 @@ def all_sql() -> dict[str, str]:
         "seq_gaps": SEQ_GAPS,
         "seq_counts": SEQ_COUNTS,
         "seq_stream": SEQ_VERDICTS,
+        "l3_gated_book": L3_GATED_BOOK,
+        "l3_gated_deltas": L3_GATED_DELTAS,
+        "l3_gated_stream": L3_GATED_DELTAS,
     }

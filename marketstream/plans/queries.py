@@ -130,6 +130,13 @@ def l2_summary(spark, sf_dir):
     return summary(_l2(spark, sf_dir)["book"])
 
 
+def book_record(spark, sf_dir):
+    """The final L2 book of each symbol as the book topic's record."""
+    from marketstream.streaming.sinks import book_record_json, book_records
+    l2 = _l2(spark, sf_dir)
+    return book_record_json(book_records(l2["book"], L2.last_change(l2["messages"])))
+
+
 # ---------------------------------------------------------------- level 3
 def _l3_msgs(spark, sf_dir):
     return L3.with_epoch(parse_messages(feeds.l3_feed(spark, sf_dir)))
@@ -185,6 +192,27 @@ def seq_counts(spark, sf_dir):
     return _verdicts(spark, sf_dir).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _gated_l3(spark, sf_dir):
+    """L3 behind the gate: the gapped feed with order-carrying snapshots; only ok
+    messages and the snapshots reach the book, each snapshot starting a new epoch."""
+    acc = G.accepted(G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir, True))))
+    states = L3.l3_states(L3.l3_rows(acc))
+    return states, acc
+
+
+def l3_gated_book(spark, sf_dir):
+    states, acc = _gated_l3(spark, sf_dir)
+    return L3.l3_book(states, acc.select("symbol", "epoch"))
+
+
+def l3_gated_deltas(spark, sf_dir):
+    """Deltas of the gated book, snapshot entries excluded."""
+    states, _ = _gated_l3(spark, sf_dir)
+    return (L3.l3_deltas(states).where(F.col("sub") == 0)
+            .select(F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol", "side",
+                    "price", "order_id", "size", "sequence", "epoch"))
+
+
 # ---------------------------------------------------------------- live (streaming) forms
 def _live(spark, feed, gate, l2, l3, name):
     from marketstream.streaming.live import replay
@@ -216,6 +244,16 @@ def seq_stream(spark, sf_dir):
         F.col("snap").cast("long").alias("snap"), "epoch", "verdict")
 
 
+def l3_gated_stream(spark, sf_dir):
+    """Gated L3 deltas from the live processor over the gapped feed with order-carrying
+    snapshots (= ``l3_gated_deltas``)."""
+    o = _live(spark, feeds.gapped_feed(spark, sf_dir, True), True, False, True, "l3-gated")
+    return o.where((F.col("kind") == "l3delta") & (F.col("sub") == 0)).select(
+        F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol", "side",
+        F.col("price").cast("decimal(38,18)").alias("price"), "order_id",
+        F.col("size").cast("decimal(38,18)").alias("size"), "sequence", "epoch")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "trades_table": trades_table,
@@ -232,6 +270,7 @@ def all_queries() -> dict[str, Query]:
         "l2_deltas": l2_deltas,
         "l2_depth": l2_depth,
         "l2_summary": l2_summary,
+        "book_record": book_record,
         "l3_feed_types": l3_feed_types,
         "l3_book": l3_book,
         "l3_deltas": l3_deltas,
@@ -240,7 +279,10 @@ def all_queries() -> dict[str, Query]:
         "seq_verdicts": seq_verdicts,
         "seq_gaps": seq_gaps,
         "seq_counts": seq_counts,
+        "l3_gated_book": l3_gated_book,
+        "l3_gated_deltas": l3_gated_deltas,
         "l2_stream": l2_stream,
         "l3_stream": l3_stream,
         "seq_stream": seq_stream,
+        "l3_gated_stream": l3_gated_stream,
     }

@@ -190,13 +190,16 @@ def l3_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(l3_rows(spark, sf_dir), l3_fields())
 
 
-def gapped_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gapped_feed(spark: SparkSession, sf_dir: str, with_orders: bool = False) -> DataFrame:
     """The L3 feed as delivered with faults, for the sequence gate.
 
     Rows with i%997=5 are lost; rows with i%499=3 are delivered again 8 rows later; every
-    symbol gets an (empty) L3 snapshot at each i%2000=0 whose sequence is that of the
-    symbol's last row before i.  Arrival is ``8 * a + slot`` with ``a`` the fixture's
-    arrival and the snapshot slots (0..3, one per symbol) before the message slot (4).
+    symbol gets an L3 snapshot at each i%2000=0 whose sequence is that of the symbol's
+    last row before i.  Arrival is ``8 * a + slot`` with ``a`` the fixture's arrival and
+    the snapshot slots (0..3, one per symbol) before the message slot (4).
+
+    Snapshots are empty unless ``with_orders``: then they hold the symbol's resting
+    orders of the ungapped book at their sequence, as [price, size, order_id] per side.
     """
     rows = l3_rows(spark, sf_dir)
     fields = l3_fields()
@@ -204,14 +207,39 @@ def gapped_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = _raw(live, fields, F.col("i") * 16 + 12)                       # a = 2i+1
     again = _raw(rows.where(F.col("i") % 499 == 3), fields,
                  (F.col("i") + 8) * 16 + 20)                               # a = 2(i+8)+2
-    snaps = _raw(snapshot_points(rows), {
+    points = snapshot_points(rows).withColumn("arrival", F.col("i") * 16 + F.col("sym"))
+    empty = F.array().cast("array<array<string>>")
+    if with_orders:
+        points = points.join(_snapshot_orders(spark, sf_dir, points), "arrival", "left")
+        bids, asks = F.coalesce("bids", empty), F.coalesce("asks", empty)
+    else:
+        bids = asks = empty
+    snaps = _raw(points, {
         "type": F.lit(L3_SNAPSHOT_TYPE), "product_id": symbol_of("sym"),
-        "sequence": F.col("seq"), "bids": F.array().cast("array<array<string>>"),
-        "asks": F.array().cast("array<array<string>>"),
-    }, F.col("i") * 16 + F.col("sym"))                                     # a = 2i
+        "sequence": F.col("seq"), "bids": bids, "asks": asks,
+    }, F.col("arrival"))                                                   # a = 2i
     return first.unionByName(again).unionByName(snaps)
 
 
+def _snapshot_orders(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
+    """(arrival, bids, asks) of each snapshot point from the ungapped L3 book.  One
+    snapshot is one record holding one symbol's book, as the venue's REST reply does."""
+    from marketstream.operators import l3 as L3
+    from marketstream.operators.parse import parse_messages
+
+    states = L3.l3_states(L3.l3_rows(L3.with_epoch(parse_messages(l3_feed(spark, sf_dir)))))
+    pts = points.select(symbol_of("sym").alias("symbol"), F.col("arrival").alias("point"), "seq")
+    held = L3.book_as_of(states, pts)
+    entry = F.array(F.col("price").cast("string"), F.col("size").cast("string"), F.col("order_id"))
+    key = F.struct(F.col("price"), F.col("order_id"))
+    return (held.groupBy(F.col("point").alias("arrival"))
+            .agg(F.collect_list(F.when(F.col("side") == "bid", F.struct(key.alias("k"), entry.alias("e")))).alias("b"),
+                 F.collect_list(F.when(F.col("side") == "ask", F.struct(key.alias("k"), entry.alias("e")))).alias("a"))
+            .select("arrival",
+                    F.transform(F.sort_array("b", asc=False), lambda x: x["e"]).alias("bids"),
+                    F.transform(F.sort_array("a"), lambda x: x["e"]).alias("asks")))
+
+
 def snapshot_points(rows: DataFrame) -> DataFrame:
     """(i, sym, seq, receipt_time) for every symbol at every i%2000=0: the sequence of
     the symbol's last row before i (1000 when there is none).

@@ -39,11 +39,12 @@ def trade_records(trades: DataFrame, none_to: str | None = None) -> DataFrame:
     return trades.select(F.col("symbol").alias("key"), rec.alias("value"))
 
 
-def book_records(book: DataFrame, ts: DataFrame | None = None, depth: int | None = None) -> DataFrame:
+def book_records(book: DataFrame, last: DataFrame | None = None, depth: int | None = None) -> DataFrame:
     """An L2 book (symbol, side, price, amount) -> one record per symbol with
     ``bid`` best-first (price descending) and ``ask`` ascending, each an array of
-    {price, size}, optionally capped at ``depth`` levels.  ``ts`` may give
-    (symbol, ts, receipt_ts) of the book's last change."""
+    {price, size}, optionally capped at ``depth`` levels.  ``last`` may give
+    (symbol, ts, receipt_ts) of the book's last change.  One record holds one symbol's
+    book -- bounded by its price levels, not by the number of messages."""
     entry = F.struct(F.col("price"), F.col("amount").alias("size"))
     sides = book.groupBy("symbol").agg(
         F.sort_array(F.collect_list(F.when(F.col("side") == "bid", entry)), asc=False).alias("bid"),
@@ -52,14 +53,18 @@ def book_records(book: DataFrame, ts: DataFrame | None = None, depth: int | None
         sides = sides.select("symbol", F.slice("bid", 1, depth).alias("bid"),
                              F.slice("ask", 1, depth).alias("ask"))
     out = sides.withColumn("exchange", F.lit("COINBASE"))
-    if ts is not None:
-        out = out.join(ts, "symbol", "left")
+    if last is not None:
+        out = out.join(last, "symbol", "left")
     return out
 
 
 def book_record_json(records: DataFrame) -> DataFrame:
-    """Book record -> (key, value) JSON for the book topic."""
-    cols = [c for c in ("exchange", "symbol", "ts", "receipt_ts", "bid", "ask") if c in records.columns]
+    """Book record -> (key, value) JSON for the book topic; prices and sizes as JSON
+    numbers (numeric type float), the book and delta fields left out."""
+    as_float = lambda a: F.transform(a, lambda x: F.struct(
+        x["price"].cast("double").alias("price"), x["size"].cast("double").alias("size")))
+    cols = [F.col(c) for c in ("exchange", "symbol", "ts", "receipt_ts") if c in records.columns]
+    cols += [as_float(F.col("bid")).alias("bid"), as_float(F.col("ask")).alias("ask")]
     return records.select(F.col("symbol").alias("key"), F.to_json(F.struct(*cols)).alias("value"))
 
 
