@@ -75,17 +75,24 @@ def _none(x):
 
 
 class _Cached:
-    """Read-through / write-back view of one MapState for the current batch."""
+    """Read-through / write-back view of one MapState for the current batch: one
+    ``getValue`` per touched key, one write or delete per changed key."""
 
     _GONE = object()
 
     def __init__(self, state):
         self.state, self.cache, self.dirty = state, {}, set()
+        self.absent: set = set()      # keys known not to be stored
+        self.cleared = False
 
     def get(self, key: tuple):
         if key not in self.cache:
-            self.cache[key] = (tuple(self.state.getValue(key))
-                               if self.state.containsKey(key) else self._GONE)
+            v = None if self.cleared else self.state.getValue(key)
+            if v is None:
+                self.absent.add(key)
+                self.cache[key] = self._GONE
+            else:
+                self.cache[key] = tuple(v)
         v = self.cache[key]
         return None if v is self._GONE else v
 
@@ -100,17 +107,15 @@ class _Cached:
 
     def clear(self):
         self.state.clear()
-        self.cache = {k: self._GONE for k in self.cache}
-        self.dirty = set()
+        self.cache, self.dirty, self.absent, self.cleared = {}, set(), set(), True
 
     def flush(self):
         for k in self.dirty:
             v = self.cache[k]
-            if v is self._GONE:
-                if self.state.containsKey(k):
-                    self.state.removeKey(k)
-            else:
+            if v is not self._GONE:
                 self.state.updateValue(k, v)
+            elif not self.cleared and k not in self.absent:
+                self.state.removeKey(k)
         self.dirty = set()
 
 

@@ -9,7 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, raw_df
+from conftest import SF_MID, SF_SMALL, raw_df
 from marketstream.operators import gate as G
 from marketstream.operators import l2 as L2
 from marketstream.operators import l3 as L3
@@ -149,3 +149,48 @@ def test_gate_zero_snapshot_and_stale(spark):
                                       "stale", "ok", "gap", "unsynced", "snapshot", "ok"]
     gaps = G.gaps(G.sequence_gate(p)).collect()
     assert [(r.received, r.expected) for r in gaps] == [(9, 8)]
+
+
+def test_gated_l3_with_snapshot_orders_matches_replay(spark, small_chunks):
+    """L3 behind the gate: snapshots carry the ungapped book's resting orders (as-of
+    book from interval ranks); only ok rows and snapshots reach the book."""
+    raw = feeds.gapped_feed(spark, SF_MID, with_orders=True)     # sf0.001 has one, empty, point
+    feed = _feed(raw)
+    assert any('"bids":[[' in v for _, v in feed)          # snapshots hold orders
+    model = Replay(gate=True).run(feed)
+    acc = G.accepted(G.sequence_gate(parse_messages(raw)))
+    states = L3.l3_states(L3.l3_rows(acc))
+    deltas = sorted((r.arrival, r.symbol, r.order_id, r.price, r.size)
+                    for r in L3.l3_deltas(states).where(F.col("sub") == 0).collect())
+    assert deltas == sorted(model.l3_deltas)
+    book = sorted((r.symbol, r.order_id, r.side, r.price, r.size)
+                  for r in L3.l3_book(states, acc.select("symbol", "epoch")).collect())
+    assert book == model.l3_book()
+
+
+def test_book_as_of_points(spark):
+    """Orders resting at a point = replaying the feed up to that point's sequence."""
+    texts = [json.dumps(m) for m in [
+        {"type": "open", "product_id": "X-Y", "order_id": "a", "side": "buy", "price": "1",
+         "remaining_size": "2", "sequence": 1},
+        {"type": "open", "product_id": "X-Y", "order_id": "b", "side": "sell", "price": "3",
+         "remaining_size": "1", "sequence": 2},
+        {"type": "match", "product_id": "X-Y", "maker_order_id": "a", "taker_order_id": "t",
+         "side": "buy", "size": "2", "price": "1", "sequence": 3},
+        {"type": "change", "product_id": "X-Y", "order_id": "b", "side": "sell", "price": "3",
+         "new_size": "0.5", "sequence": 4},
+        {"type": "open", "product_id": "X-Y", "order_id": "a", "side": "buy", "price": "2",
+         "remaining_size": "4", "sequence": 5}]]
+    states = L3.l3_states(L3.l3_rows(L3.with_epoch(parse_messages(raw_df(spark, texts)))))
+    pts = spark.createDataFrame([("X-Y", p, s) for p, s in [(10, 0), (11, 1), (12, 2), (13, 3),
+                                                            (14, 4), (15, 9)]],
+                                "symbol string, point long, seq long")
+    got = {}
+    for r in L3.book_as_of(states, pts).collect():
+        got.setdefault(r.point, set()).add((r.order_id, r.price, r.size))
+    assert 10 not in got
+    assert got[11] == {("a", Decimal(1), Decimal(2))}
+    assert got[12] == {("a", Decimal(1), Decimal(2)), ("b", Decimal(3), Decimal(1))}
+    assert got[13] == {("b", Decimal(3), Decimal(1))}
+    assert got[14] == {("b", Decimal(3), Decimal("0.5"))}
+    assert got[15] == {("b", Decimal(3), Decimal("0.5")), ("a", Decimal(2), Decimal(4))}
