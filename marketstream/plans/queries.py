@@ -51,7 +51,8 @@ def trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = start_trades_stream(decode_trades(stream), table, ckpt, available_now=True,
                             files_per_batch=1)
     q.awaitTermination()
-    return read_trades_table(spark, table)
+    name = "trades_" + os.path.basename(work).replace("-", "_")
+    return read_trades_table(spark, table, name=name)
 
 
 # ---------------------------------------------------------------- routing

@@ -59,6 +59,16 @@ def bad_trade_records(records: DataFrame) -> DataFrame:
         .select("value", F.lit("malformed").alias("reason"))
 
 
+def dedupe_trades(decoded: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """ST10 (optional, off by default): drop a trade delivered twice -- same exchange,
+    symbol and trade id -- within ``delay`` of event time.  State is bounded by the
+    watermark, not by the stream's length."""
+    et = F.timestamp_micros(F.floor(F.col("ts") / F.lit(1000))).alias("_event_time")
+    return (decoded.withColumn("_event_time", et).withWatermark("_event_time", delay)
+            .dropDuplicatesWithinWatermark(["exchange", "symbol", "trade_id"])
+            .drop("_event_time"))
+
+
 def start_trades_stream(decoded: DataFrame, table_path: str, checkpoint: str,
                         processing_time: str | None = "1 minute", available_now: bool = False,
                         files_per_batch: int | None = None):
@@ -73,7 +83,15 @@ def start_trades_stream(decoded: DataFrame, table_path: str, checkpoint: str,
     return w.start()
 
 
-def read_trades_table(spark: SparkSession, table_path: str) -> DataFrame:
-    """The table as the SQL read sees it, newest first."""
-    return (spark.read.parquet(table_path).select(*TRADES_TABLE_COLUMNS)
-            .orderBy(F.desc("ts")))
+def read_trades_table(spark: SparkSession, table_path: str, name: str | None = None) -> DataFrame:
+    """Register the table over ``table_path`` (if a name is given) and read it
+    the way the notebook's SQL does: every column, newest first."""
+    if name is None:
+        return (spark.read.parquet(table_path).select(*TRADES_TABLE_COLUMNS)
+                .orderBy(F.desc("ts")))
+    from marketstream.streaming.sinks import create_trades_table
+
+    create_trades_table(spark, name, location=table_path)
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    cols = ", ".join(TRADES_TABLE_COLUMNS)
+    return spark.sql(f"SELECT {cols} FROM {name} ORDER BY ts DESC")

@@ -82,3 +82,13 @@ def test_lag_semantics_with_struct(spark):
     assert res[0] == "none"
     for i in range(1, 30):
         assert res[i] == (None if (i - 1) % 3 == 0 else i - 1)
+
+
+def test_hot_key_spreads_over_tasks(spark):
+    """One key holding every row is split over several tasks by its chunks."""
+    df = spark.range(0, 4000).select(F.lit("hot").alias("k"), F.col("id").alias("o"),
+                                     F.lit(1).cast("long").alias("v"))
+    out = running(df, ["k"], ["o"], [Running("n", F.col("v"))], chunk_rows=250)
+    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+    assert out.where(F.col("n") != F.col("o") + 1).count() == 0
