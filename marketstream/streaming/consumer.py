@@ -62,7 +62,9 @@ def bad_trade_records(records: DataFrame) -> DataFrame:
 def dedupe_trades(decoded: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """ST10 (optional, off by default): drop a trade delivered twice -- same exchange,
     symbol and trade id -- within ``delay`` of event time.  State is bounded by the
-    watermark, not by the stream's length."""
+    watermark, not by the stream's length.  Spark also drops records that arrive later
+    than the watermark, so ``delay`` must cover the feed's real lateness; that trade-off
+    is why this is off by default (per-batch idempotence already stops replays)."""
     et = F.timestamp_micros(F.floor(F.col("ts") / F.lit(1000))).alias("_event_time")
     return (decoded.withColumn("_event_time", et).withWatermark("_event_time", delay)
             .dropDuplicatesWithinWatermark(["exchange", "symbol", "trade_id"])
