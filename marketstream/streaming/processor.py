@@ -7,8 +7,9 @@ gate verdicts, L2 deltas, L3 deltas, trades with their order type, quarantined r
 
 A micro-batch shuffle does not keep message order, so each key's rows are gathered,
 sorted by ``arrival`` and applied in order; every micro-batch is bounded by the source's
-admission limit (maxOffsetsPerTrigger / maxFilesPerTrigger).  State reads and writes go
-through a per-batch cache: one read per touched key, one write per changed key.
+admission limit (maxOffsetsPerTrigger / maxFilesPerTrigger).  A symbol's state is one
+value (gate position and its books), read once and written once per micro-batch, and
+bounded by the live book rather than by the messages seen.
 
 Semantics are those of the batch operators (marketstream.operators.gate / l2 / l3); the
 two are tested equal.
@@ -40,9 +41,19 @@ INPUT_COLUMNS = ["arrival", "symbol", "route", "type", "sequence", "ts", "side",
                  "size", "remaining_size", "new_size", "order_id", "order_type",
                  "maker_order_id", "taker_order_id", "trade_id", "bids", "asks", "changes"]
 
-_META = T.StructType([
+def _arr_of(*fields: str) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+
+
+# One value per symbol: gate position, epochs and the three books as arrays.  Read once
+# and written once per micro-batch; its size is the symbol's live book (resting orders
+# and levels), not the number of messages seen.
+_STATE = T.StructType([
     T.StructField("epoch", T.LongType()), T.StructField("last", T.LongType()),
     T.StructField("lost", T.BooleanType()), T.StructField("l2_epoch", T.LongType()),
+    T.StructField("l2", _arr_of("side", "price", "amount")),
+    T.StructField("l3", _arr_of("order_id", "side", "price", "size")),
+    T.StructField("types", _arr_of("order_id", "order_type")),
 ])
 
 
@@ -74,49 +85,26 @@ def _none(x):
         return x
 
 
-class _Cached:
-    """Read-through / write-back view of one MapState for the current batch: one
-    ``getValue`` per touched key, one write or delete per changed key."""
+class _Table:
+    """One of the symbol's maps, held as a dict while a batch is applied."""
 
-    _GONE = object()
-
-    def __init__(self, state):
-        self.state, self.cache, self.dirty = state, {}, set()
-        self.absent: set = set()      # keys known not to be stored
-        self.cleared = False
+    def __init__(self, entries, nkey: int):
+        self.d = {tuple(e[:nkey]): tuple(e[nkey:]) for e in (entries or [])}
 
     def get(self, key: tuple):
-        if key not in self.cache:
-            v = None if self.cleared else self.state.getValue(key)
-            if v is None:
-                self.absent.add(key)
-                self.cache[key] = self._GONE
-            else:
-                self.cache[key] = tuple(v)
-        v = self.cache[key]
-        return None if v is self._GONE else v
+        return self.d.get(key)
 
     def put(self, key: tuple, value: tuple):
-        self.cache[key] = value
-        self.dirty.add(key)
+        self.d[key] = value
 
     def pop(self, key: tuple):
-        if self.get(key) is not None:
-            self.cache[key] = self._GONE
-            self.dirty.add(key)
+        self.d.pop(key, None)
 
     def clear(self):
-        self.state.clear()
-        self.cache, self.dirty, self.absent, self.cleared = {}, set(), set(), True
+        self.d.clear()
 
-    def flush(self):
-        for k in self.dirty:
-            v = self.cache[k]
-            if v is not self._GONE:
-                self.state.updateValue(k, v)
-            elif not self.cleared and k not in self.absent:
-                self.state.removeKey(k)
-        self.dirty = set()
+    def rows(self) -> list[tuple]:
+        return [k + v for k, v in self.d.items()]
 
 
 class BookProcessor(StatefulProcessor):
@@ -126,31 +114,26 @@ class BookProcessor(StatefulProcessor):
         self.gate, self.keep_l2, self.keep_l3 = gate, l2, l3
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.meta = handle.getValueState("meta", _META)
-        self.l2_state = handle.getMapState(
-            "l2", "side string, price string", "amount string")
-        self.l3_state = handle.getMapState(
-            "l3", "order_id string", "side string, price string, size string")
-        self.type_state = handle.getMapState("types", "order_id string", "order_type string")
+        self.state = handle.getValueState("book", _STATE)
 
     # ------------------------------------------------------------------ driver
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("arrival", kind="stable")
         symbol = key[0]
-        m = self.meta.get() if self.meta.exists() else None
+        m = self.state.get() if self.state.exists() else None
         self.epoch, self.last, self.lost, self.l2_epoch = (
             (int(m[0]), None if m[1] is None else int(m[1]), bool(m[2]), int(m[3]))
             if m is not None else (0, None, False, 0))
-        self.l2, self.l3 = _Cached(self.l2_state), _Cached(self.l3_state)
-        self.types = _Cached(self.type_state)
+        self.l2 = _Table(m[4] if m is not None else None, 2)
+        self.l3 = _Table(m[5] if m is not None else None, 1)
+        self.types = _Table(m[6] if m is not None else None, 1)
         self.out: list[tuple] = []
         self.symbol = symbol
         for r in pdf.to_dict("records"):
             self._apply({k: v if k in ("bids", "asks", "changes") else _none(v)
                          for k, v in r.items()})
-        for c in (self.l2, self.l3, self.types):
-            c.flush()
-        self.meta.update((self.epoch, self.last, self.lost, self.l2_epoch))
+        self.state.update((self.epoch, self.last, self.lost, self.l2_epoch,
+                           self.l2.rows(), self.l3.rows(), self.types.rows()))
         if self.out:
             yield pd.DataFrame(self.out, columns=_COLS)
 
