@@ -85,10 +85,13 @@ def test_lag_semantics_with_struct(spark):
 
 
 def test_hot_key_spreads_over_tasks(spark):
-    """One key holding every row is split over several tasks by its chunks."""
+    """One key holding every row is split into chunks, and the (key, chunk) hash
+    partitioning of the scan (Murmur3, as F.hash) sends them to different tasks."""
     df = spark.range(0, 4000).select(F.lit("hot").alias("k"), F.col("id").alias("o"),
                                      F.lit(1).cast("long").alias("v"))
-    out = running(df, ["k"], ["o"], [Running("n", F.col("v"))], chunk_rows=250)
-    parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
-    assert parts > 1
+    out = running(df, ["k"], ["o"], [Running("n", F.col("v"))], chunk_rows=250,
+                  keep_chunk=True)
+    assert out.select("_ck").distinct().count() == 16
+    tasks = out.select(F.pmod(F.hash("k", "_ck"), F.lit(8)).alias("t")).distinct().count()
+    assert tasks > 4
     assert out.where(F.col("n") != F.col("o") + 1).count() == 0
