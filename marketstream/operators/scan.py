@@ -134,6 +134,13 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
     carries = carries.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                              F.col(ck).alias("_k_ck"),
                              *[F.col(f"c{i}").alias(f"_c{i}") for i in range(len(specs))])
+    # Only keys that straddle a chunk boundary carry anything.  For high-cardinality keys
+    # (order ids) that is a small fraction of (key, chunk) pairs, so the table that meets
+    # the big side is small enough to broadcast instead of reshuffling the big side.
+    any_carry = F.lit(False)
+    for i in range(len(specs)):
+        any_carry = any_carry | F.col(f"_c{i}").isNotNull()
+    carries = carries.where(any_carry)
 
     # 4. join the carry back and combine
     cond = [d[k] == carries[f"_k_{k}"] for k in keys] + [d[ck] == carries["_k_ck"]]
