@@ -255,7 +255,22 @@ def l3_gated_stream(spark, sf_dir):
         F.col("size").cast("decimal(38,18)").alias("size"), "sequence", "epoch")
 
 
+def _in_utc(q: Query) -> Query:
+    """Venue times are UTC on the wire and the driver's naive timestamps are UTC: pin the
+    session time zone before planning (the session builder already does this)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return q(spark, sf_dir)
+    run.__name__, run.__doc__ = q.__name__, q.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Query]:
+    return {k: _in_utc(v) for k, v in _registry().items()}
+
+
+def _registry() -> dict[str, Query]:
     return {
         "trades_table": trades_table,
         "trades_stream": trades_stream,
