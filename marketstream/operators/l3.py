@@ -31,10 +31,6 @@ from marketstream.operators.normalize import small_enough, trades
 from marketstream.operators.scan import Running, running
 from marketstream.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, conf_int
 
-_ROW_COLS = ["arrival", "sub", "symbol", "epoch", "order_id", "kind", "side", "price",
-             "size", "sequence", "ts"]
-
-
 def with_epoch(parsed: DataFrame) -> DataFrame:
     """Per-symbol epoch = running count of L3 snapshots (no gate: all messages kept)."""
     rel = parsed.where(F.col("route").isin("l3", "trade", "received", "l3snapshot")

@@ -6,8 +6,6 @@ from __future__ import annotations
 import json
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from conftest import raw_df
 from marketstream.operators.normalize import (bad_numbers, bad_products, products,
                                               symbol_info, tickers, trades)
