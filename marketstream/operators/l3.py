@@ -149,36 +149,37 @@ def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFra
     """J1 (A.4): each trade with the type its taker order was ``received`` with, if that
     order is still remembered (not done, not fully filled as a maker).
 
-    A union of set/forget/query rows keyed by order id, then an exclusive running
-    ``last`` -- an as-of lookup that never materialises pairs.  ``states`` is None when
-    L3 upkeep is off (P18): then full fills do not forget."""
-    sets = (msgs.where(F.col("type") == "received")
-            .select(F.col("order_id").alias("oid"), "arrival", F.lit(0).alias("sub"),
-                    F.struct(F.lit("set").alias("k"), F.col("order_type").alias("t")).alias("ev")))
-    dels = (msgs.where(F.col("type") == "done")
-            .select(F.col("order_id").alias("oid"), "arrival", F.lit(0).alias("sub"),
-                    F.struct(F.lit("del").alias("k"), F.lit(None).cast("string").alias("t")).alias("ev")))
-    parts = [sets, dels]
+    Memory is per (symbol, epoch, order id): a snapshot starts a new epoch with nothing
+    remembered, as the venue handler resets its maps before re-snapshotting.  A union of
+    set / forget / query rows, then an exclusive running ``last`` per key -- an as-of
+    lookup that never materialises pairs.  ``states`` is None when L3 upkeep is off
+    (P18): then full fills do not forget."""
+    keys = ["symbol", "epoch", "oid"]
+
+    def ev_rows(df, oid, kind, typ):
+        return df.select("symbol", "epoch", F.col(oid).alias("oid"), "arrival", F.lit(0).alias("sub"),
+                         F.struct(F.lit(kind).alias("k"), typ.cast("string").alias("t")).alias("ev"))
+
+    parts = [ev_rows(msgs.where(F.col("type") == "received"), "order_id", "set", F.col("order_type")),
+             ev_rows(msgs.where(F.col("type") == "done"), "order_id", "del", F.lit(None))]
     if states is not None:
-        parts.append(states.where(F.col("live") & (F.col("kind") == "match") & F.col("fin"))
-                     .select(F.col("order_id").alias("oid"), "arrival", F.lit(0).alias("sub"),
-                             F.struct(F.lit("del").alias("k"),
-                                      F.lit(None).cast("string").alias("t")).alias("ev")))
-    tr = trades(msgs.drop("epoch") if "epoch" in msgs.columns else msgs)
-    q = tr.select(F.col("taker_order_id").alias("oid"), "arrival", F.lit(1).alias("sub"),
-                  F.lit(None).cast("struct<k:string,t:string>").alias("ev"),
-                  F.struct(*tr.columns).alias("trade"))
+        parts.append(ev_rows(states.where(F.col("live") & (F.col("kind") == "match") & F.col("fin")),
+                             "order_id", "del", F.lit(None)))
+    tr = trades(msgs, keep=["epoch"])
+    q = tr.select("symbol", "epoch", F.col("taker_order_id").alias("oid"), "arrival",
+                  F.lit(1).alias("sub"), F.lit(None).cast("struct<k:string,t:string>").alias("ev"),
+                  F.struct(*[c for c in tr.columns if c != "epoch"]).alias("trade"))
     ev = parts[0]
     for p in parts[1:]:
         ev = ev.unionByName(p)
     ev = ev.withColumn("trade", F.lit(None).cast(q.schema["trade"].dataType))
-    allrows = ev.unionByName(q).where(F.col("oid").isNotNull())
-    r = running(allrows, ["oid"], ["arrival", "sub"],
+    allrows = ev.unionByName(q).where(F.col("oid").isNotNull() & F.col("symbol").isNotNull())
+    r = running(allrows, keys, ["arrival", "sub"],
                 [Running("ref", F.col("ev"), "last", exclusive=True)])
     typed = (r.where(F.col("sub") == 1)
              .select("trade.*", F.when(F.col("ref.k") == "set", F.col("ref.t")).alias("order_type")))
     # trades without a taker id cannot be looked up; they carry no type
-    untyped = tr.where(F.col("taker_order_id").isNull()).withColumn(
+    untyped = tr.where(F.col("taker_order_id").isNull()).drop("epoch").withColumn(
         "order_type", F.lit(None).cast("string"))
     return typed.unionByName(untyped)
 

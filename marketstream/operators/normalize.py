@@ -20,9 +20,9 @@ def tickers(parsed: DataFrame) -> DataFrame:
     ).where(F.col("bid").isNotNull() & F.col("ask").isNotNull())
 
 
-def trades(parsed: DataFrame) -> DataFrame:
+def trades(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """N2 + P16: one trade per match / last_match: taker side, amount, price, ts (P5),
-    trade id as text, maker / taker order ids, sequence and arrival."""
+    trade id as text, maker / taker order ids, sequence and arrival (plus ``keep``)."""
     t = parsed.where(F.col("route") == "trade")
     return t.select(
         "exchange", "symbol", taker_side("side").alias("side"),
@@ -30,7 +30,7 @@ def trades(parsed: DataFrame) -> DataFrame:
         event_ts_ns("time", "receipt_time").alias("ts"),
         to_ns("receipt_time").alias("receipt_ts"),
         F.col("trade_id").cast("string").alias("trade_id"),
-        "maker_order_id", "taker_order_id", F.col("sequence"), "arrival",
+        "maker_order_id", "taker_order_id", F.col("sequence"), "arrival", *(keep or []),
     ).where(F.col("amount").isNotNull() & F.col("price").isNotNull())
 
 

@@ -216,7 +216,9 @@ class BookProcessor(StatefulProcessor):
 
     # ------------------------------------------------------------------ level 3
     def _l3_snapshot(self, r):
+        # a snapshot starts a new epoch: the symbol's orders and remembered types reset
         self.l3.clear()
+        self.types.clear()
         entries = [("bid", x) for x in _arr(r.get("bids"))] + \
                   [("ask", x) for x in _arr(r.get("asks"))]
         for i, (side, e) in enumerate(entries):

@@ -21,7 +21,7 @@ class Replay:
         self.epoch, self.last, self.lost = {}, {}, {}
         self.l2, self.l2_started = {}, set()
         self.l3 = {}        # symbol -> {order_id: (side, price, size)}
-        self.types = {}     # order_id -> type
+        self.types = {}     # symbol -> {order_id: type}; reset with the symbol's book
         self.verdicts, self.l2_deltas, self.l3_deltas, self.trades = [], [], [], []
         self.rejects = []
 
@@ -56,6 +56,7 @@ class Replay:
         t = m.get("type")
         if snap:
             book = self.l3[sym] = {}
+            self.types[sym] = {}
             for side, key in (("bid", "bids"), ("ask", "asks")):
                 for p, s, oid in m.get(key) or []:
                     book[oid] = (side, _d(p), _d(s))
@@ -85,21 +86,22 @@ class Replay:
                     left = book[maker][2] - _d(m["size"])
                     if left <= 0:
                         del book[maker]
-                        self.types.pop(maker, None)
+                        self.types.setdefault(sym, {}).pop(maker, None)
                         self.l3_deltas.append((a, sym, maker, _d(m["price"]), Decimal(0)))
                     else:
                         book[maker] = (side, _d(m["price"]), left)
                         self.l3_deltas.append((a, sym, maker, _d(m["price"]), left))
                 else:
                     self.rejects.append((a, "unknown_maker"))
-            self.trades.append((a, str(m.get("trade_id")), self.types.get(m.get("taker_order_id"))))
+            self.trades.append((a, str(m.get("trade_id")),
+                                self.types.get(sym, {}).get(m.get("taker_order_id"))))
         elif t == "open":
             side = "ask" if m.get("side") == "sell" else "bid"
             self.l3.setdefault(sym, {})[m["order_id"]] = (side, _d(m["price"]), _d(m["remaining_size"]))
             self.l3_deltas.append((a, sym, m["order_id"], _d(m["price"]), _d(m["remaining_size"])))
         elif t == "done":
             oid = m.get("order_id")
-            self.types.pop(oid, None)
+            self.types.setdefault(sym, {}).pop(oid, None)
             if "price" not in m:
                 return
             book = self.l3.setdefault(sym, {})
@@ -116,7 +118,7 @@ class Replay:
                 book[oid] = (side, _d(m["price"]), _d(m["new_size"]))
                 self.l3_deltas.append((a, sym, oid, _d(m["price"]), _d(m["new_size"])))
         elif t == "received":
-            self.types[m["order_id"]] = m.get("order_type")
+            self.types.setdefault(sym, {})[m["order_id"]] = m.get("order_type")
 
     def l2_book(self):
         return sorted((s, k[0], k[1], q) for s, b in self.l2.items() for k, q in b.items())

@@ -166,6 +166,10 @@ def test_gated_l3_with_snapshot_orders_matches_replay(spark, small_chunks):
     book = sorted((r.symbol, r.order_id, r.side, r.price, r.size)
                   for r in L3.l3_book(states, acc.select("symbol", "epoch")).collect())
     assert book == model.l3_book()
+    # order types are forgotten when a snapshot starts a new epoch
+    typed = sorted((r.arrival, r.trade_id, r.order_type)
+                   for r in L3.trades_with_order_type(acc, states).collect())
+    assert typed == sorted(model.trades)
 
 
 def test_book_as_of_points(spark):
