@@ -342,6 +342,29 @@ SELECT i AS arrival, {sym('sym')} AS symbol, {_SIDE3} AS side,
 FROM glive WHERE sub = 0"""
 
 
+# J1 behind the gate: only ok messages; memory per (symbol, epoch, order id)
+TRADES_GATED_ORDER_TYPE = f"""WITH {L3_GATED_BASE},
+okrows AS (
+  SELECT g.a, g.sym, g.epoch, f.* EXCLUDE (sym, seq) FROM gate g
+  JOIN feed f ON f.sym = g.sym AND f.seq = g.seq WHERE g.verdict = 'ok'),
+gev AS (
+  SELECT sym, epoch, oid AS order_id, a, 0 AS sub, 'set' AS kind, otype AS typ FROM okrows WHERE typ = 'received'
+  UNION ALL SELECT sym, epoch, oid, a, 0, 'del', NULL FROM okrows WHERE typ IN ('done', 'done_mkt')
+  UNION ALL SELECT sym, epoch, oid, i, 0, 'del', NULL FROM glive WHERE typ = 'match' AND fin AND sub = 0
+  UNION ALL SELECT sym, epoch, taker, a, 1, 'q', NULL FROM okrows WHERE typ = 'match'),
+gr AS (
+  SELECT *, last_value(CASE WHEN kind = 'set' THEN typ WHEN kind = 'del' THEN '#' END IGNORE NULLS)
+              OVER (PARTITION BY sym, epoch, order_id ORDER BY a, sub
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ref
+  FROM gev)
+SELECT CAST(o.i AS VARCHAR) AS trade_id, {sym('o.sym')} AS symbol,
+       CASE WHEN o.side = 0 THEN 'sell' ELSE 'buy' END AS side,
+       CAST(o.size AS DECIMAL(38,18)) AS amount, CAST(o.price AS DECIMAL(38,18)) AS price,
+       o.a AS arrival, nullif(gr.ref, '#') AS order_type
+FROM okrows o JOIN gr ON gr.kind = 'q' AND gr.a = o.a AND gr.sym = o.sym
+WHERE o.typ = 'match'"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "trades_table": TRADES_TABLE,
@@ -373,4 +396,5 @@ def all_sql() -> dict[str, str]:
         "l3_gated_book": L3_GATED_BOOK,
         "l3_gated_deltas": L3_GATED_DELTAS,
         "l3_gated_stream": L3_GATED_DELTAS,
+        "trades_gated_order_type": TRADES_GATED_ORDER_TYPE,
     }

@@ -214,6 +214,15 @@ def l3_gated_deltas(spark, sf_dir):
                     "price", "order_id", "size", "sequence", "epoch"))
 
 
+def trades_gated_order_type(spark, sf_dir):
+    """J1 behind the gate: trades that pass the gate, typed from the orders remembered in
+    their symbol's current epoch."""
+    states, acc = _gated_l3(spark, sf_dir)
+    return L3.trades_with_order_type(acc, states).select(
+        "trade_id", "symbol", "side", "amount", "price",
+        F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "order_type")
+
+
 # ---------------------------------------------------------------- live (streaming) forms
 def _live(spark, feed, gate, l2, l3, name):
     from marketstream.streaming.live import replay
@@ -297,6 +306,7 @@ def _registry() -> dict[str, Query]:
         "seq_counts": seq_counts,
         "l3_gated_book": l3_gated_book,
         "l3_gated_deltas": l3_gated_deltas,
+        "trades_gated_order_type": trades_gated_order_type,
         "l2_stream": l2_stream,
         "l3_stream": l3_stream,
         "seq_stream": seq_stream,
