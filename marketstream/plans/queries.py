@@ -131,6 +131,12 @@ def l2_summary(spark, sf_dir):
     return summary(_l2(spark, sf_dir)["book"])
 
 
+def l2_rejects(spark, sf_dir):
+    """D6/P15 quarantine: level-2 changes that cannot be applied (before the symbol's
+    first snapshot, or unparsable numbers)."""
+    return _l2(spark, sf_dir)["rejects"]
+
+
 def book_record(spark, sf_dir):
     """The final L2 book of each symbol as the book topic's record."""
     from marketstream.streaming.sinks import book_record_json, book_records
@@ -296,6 +302,7 @@ def _registry() -> dict[str, Query]:
         "l2_depth": l2_depth,
         "l2_summary": l2_summary,
         "book_record": book_record,
+        "l2_rejects": l2_rejects,
         "l3_feed_types": l3_feed_types,
         "l3_book": l3_book,
         "l3_deltas": l3_deltas,
