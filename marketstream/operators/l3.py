@@ -5,16 +5,17 @@ Per order (key = symbol, epoch, order id), in message order:
 * ``open`` (and every entry of an L3 snapshot) puts the order on the book at its size;
 * ``match`` reduces the maker's size; at <= 0 the order leaves the book;
 * ``change`` (with a price) sets the new size; a new size of 0 stays as a 0 entry;
-* ``done`` with a price removes the order; ``done`` without one has no book effect;
+* ``done`` with a price removes the order; ``done`` without one only stops tracking it
+  (later messages for it are ignored, its book entry stays);
 * messages for orders not on the book are ignored (a match on one is quarantined).
 
 Batch form, all running aggregates over the chunked scan::
 
     life = running count of opens
     rem  = running sum, reset at open/change: +size (open, change), -size (match), 0 (done)
-    fin  = done or (match and rem <= 0)
+    fin  = done or kill (done without price) or (match and rem <= 0)
     dead = an earlier row since the last open was fin
-    live = life > 0 and not dead          -> every live row is a delta
+    live = life > 0 and not dead and not kill   -> every live row is a delta
     book = last live row per order, unless fin, in the symbol's latest epoch
 
 Order types (J1/ST7): ``received`` remembers an order's type; any ``done`` and a maker's
@@ -53,18 +54,22 @@ def l3_rows(msgs: DataFrame) -> DataFrame:
     ).where(
         (t == "open") | t.isin("match", "last_match")
         | ((t == "change") & (F.coalesce(F.col("price"), F.lit("")) != ""))   # P14
-        | ((t == "done") & F.col("price").isNotNull())                      # P13
+        | (t == "done")
     )
-    kind = F.when(t == "last_match", "match").otherwise(t)
+    # A done without a price only untracks the order ("kill"): later messages for it
+    # are ignored, but its book entry stays as it was
+    kind = (F.when(t == "last_match", "match")
+            .when((t == "done") & F.col("price").isNull(), "kill").otherwise(t))
     size = (F.when(t == "open", F.col("remaining_size")).when(t == "change", F.col("new_size"))
             .when(t.isin("match", "last_match"), F.col("size")))
     one = single.select(
         "arrival", F.lit(0).alias("sub"), "symbol", "epoch",
         F.when(kind == "match", F.col("maker_order_id")).otherwise(F.col("order_id")).alias("order_id"),
         kind.alias("kind"), book_side("side").alias("side"), dec("price").alias("price"),
-        F.when(kind == "done", F.lit(0).cast("decimal(38,18)")).otherwise(dec(size)).alias("size"),
+        F.when(kind.isin("done", "kill"), F.lit(0).cast("decimal(38,18)")).otherwise(dec(size)).alias("size"),
         "sequence", ts.alias("ts"),
-        (dec("price").isNull() | ((kind != "done") & dec(size).isNull())).alias("bad"))
+        (((kind != "kill") & dec("price").isNull())
+         | (~kind.isin("done", "kill") & dec(size).isNull())).alias("bad"))
 
     snaps = msgs.where(F.col("route") == "l3snapshot")
     entry = "struct<side:string,e:array<string>>"
@@ -94,10 +99,11 @@ def l3_states(rows: DataFrame) -> DataFrame:
         Running("life", is_open.cast("long"), "sum"),
         Running("rem", signed, "sum", reset=is_open | is_change),
     ], keep_chunk=True)
-    fin = (k == "done") | ((k == "match") & (F.col("rem") <= 0))
+    fin = k.isin("done", "kill") | ((k == "match") & (F.col("rem") <= 0))
     s = running(s.withColumn("fin", fin), keys, order, [
         Running("dead", F.col("fin").cast("int"), "max", reset=is_open, exclusive=True)])
-    live = (F.col("life") > 0) & (F.coalesce(F.col("dead"), F.lit(0)) == 0)
+    live = ((F.col("life") > 0) & (F.coalesce(F.col("dead"), F.lit(0)) == 0)
+            & (k != "kill"))
     return (s.withColumn("live", live)
             .withColumn("new_size", F.when(F.col("fin"), F.lit(0).cast("decimal(38,18)"))
                         .otherwise(F.col("rem"))))

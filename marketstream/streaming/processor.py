@@ -52,7 +52,7 @@ _STATE = T.StructType([
     T.StructField("epoch", T.LongType()), T.StructField("last", T.LongType()),
     T.StructField("lost", T.BooleanType()), T.StructField("l2_epoch", T.LongType()),
     T.StructField("l2", _arr_of("side", "price", "amount")),
-    T.StructField("l3", _arr_of("order_id", "side", "price", "size")),
+    T.StructField("l3", _arr_of("order_id", "side", "price", "size", "tracked")),
     T.StructField("types", _arr_of("order_id", "order_type")),
 ])
 
@@ -225,18 +225,25 @@ class BookProcessor(StatefulProcessor):
             p, s = _dec(e[0]), _dec(e[1])
             if p is None or s is None or len(e) < 3 or e[2] is None:
                 continue
-            self.l3.put((e[2],), (side, _txt(p), _txt(s)))
+            self.l3.put((e[2],), (side, _txt(p), _txt(s), "1"))
             self._emit("l3delta", r, sub=i + 1, side=side, price=_txt(p), size=_txt(s),
                        order_id=e[2], sequence=r.get("sequence"), verdict="open")
 
+    def _tracked(self, oid):
+        """The order's (side, price, size) if it is on the book and still tracked."""
+        cur = self.l3.get((oid,))
+        return cur if cur is not None and cur[3] == "1" else None
+
     def _l3(self, r):
         t, oid = r["type"], r.get("order_id")
         side = "ask" if r.get("side") == "sell" else "bid"
         if t == "done":
             self.types.pop((oid,))
-            if r.get("price") is None:          # market order: no book effect
+            cur = self._tracked(oid)
+            if cur is None:
                 return
-            if self.l3.get((oid,)) is None:
+            if r.get("price") is None:          # untrack only; the book entry stays
+                self.l3.put((oid,), cur[:3] + ("0",))
                 return
             self.l3.pop((oid,))
             self._emit("l3delta", r, side=side, price=_txt(_dec(r["price"])), size="0",
@@ -247,7 +254,7 @@ class BookProcessor(StatefulProcessor):
             if p is None or s is None:
                 self._emit("reject", r, verdict="bad_number")
                 return
-            self.l3.put((oid,), (side, _txt(p), _txt(s)))
+            self.l3.put((oid,), (side, _txt(p), _txt(s), "1"))
             self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(s), order_id=oid,
                        sequence=r.get("sequence"), verdict="open")
             return
@@ -255,16 +262,16 @@ class BookProcessor(StatefulProcessor):
             if not r.get("price"):
                 return
             p, s = _dec(r.get("price")), _dec(r.get("new_size"))
-            if p is None or s is None or self.l3.get((oid,)) is None:
+            if p is None or s is None or self._tracked(oid) is None:
                 return
-            self.l3.put((oid,), (side, _txt(p), _txt(s)))
+            self.l3.put((oid,), (side, _txt(p), _txt(s), "1"))
             self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(s), order_id=oid,
                        sequence=r.get("sequence"), verdict="change")
 
     def _trade(self, r):
         maker, taker = r.get("maker_order_id"), r.get("taker_order_id")
         if self.keep_l3 and maker is not None:
-            cur = self.l3.get((maker,))
+            cur = self._tracked(maker)
             p, s = _dec(r.get("price")), _dec(r.get("size"))
             side = "ask" if r.get("side") == "sell" else "bid"
             if cur is None:
@@ -277,7 +284,7 @@ class BookProcessor(StatefulProcessor):
                     self._emit("l3delta", r, side=side, price=_txt(p), size="0",
                                order_id=maker, sequence=r.get("sequence"), verdict="match")
                 else:
-                    self.l3.put((maker,), (side, _txt(p), _txt(left)))
+                    self.l3.put((maker,), (side, _txt(p), _txt(left), "1"))
                     self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(left),
                                order_id=maker, sequence=r.get("sequence"), verdict="match")
         typ = self.types.get((taker,)) if taker is not None else None

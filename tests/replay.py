@@ -22,6 +22,7 @@ class Replay:
         self.l2, self.l2_started = {}, set()
         self.l3 = {}        # symbol -> {order_id: (side, price, size)}
         self.types = {}     # symbol -> {order_id: type}; reset with the symbol's book
+        self.untracked = {}  # symbol -> order ids on the book but no longer tracked
         self.verdicts, self.l2_deltas, self.l3_deltas, self.trades = [], [], [], []
         self.rejects = []
 
@@ -57,6 +58,7 @@ class Replay:
         if snap:
             book = self.l3[sym] = {}
             self.types[sym] = {}
+            self.untracked[sym] = set()
             for side, key in (("bid", "bids"), ("ask", "asks")):
                 for p, s, oid in m.get(key) or []:
                     book[oid] = (side, _d(p), _d(s))
@@ -82,7 +84,7 @@ class Replay:
             book = self.l3.setdefault(sym, {})
             side = "ask" if m.get("side") == "sell" else "bid"
             if self.keep_l3:
-                if maker in book:
+                if maker in book and maker not in self.untracked.get(sym, ()):
                     left = book[maker][2] - _d(m["size"])
                     if left <= 0:
                         del book[maker]
@@ -98,14 +100,18 @@ class Replay:
         elif t == "open":
             side = "ask" if m.get("side") == "sell" else "bid"
             self.l3.setdefault(sym, {})[m["order_id"]] = (side, _d(m["price"]), _d(m["remaining_size"]))
+            self.untracked.setdefault(sym, set()).discard(m["order_id"])
             self.l3_deltas.append((a, sym, m["order_id"], _d(m["price"]), _d(m["remaining_size"])))
         elif t == "done":
             oid = m.get("order_id")
             self.types.setdefault(sym, {}).pop(oid, None)
+            book = self.l3.setdefault(sym, {})
+            gone = self.untracked.setdefault(sym, set())
             if "price" not in m:
+                if oid in book:
+                    gone.add(oid)       # untracked: ignored from now on, entry stays
                 return
-            book = self.l3.setdefault(sym, {})
-            if oid in book:
+            if oid in book and oid not in gone:
                 del book[oid]
                 self.l3_deltas.append((a, sym, oid, _d(m["price"]), Decimal(0)))
         elif t == "change":
@@ -113,7 +119,7 @@ class Replay:
                 return
             oid = m["order_id"]
             book = self.l3.setdefault(sym, {})
-            if oid in book:
+            if oid in book and oid not in self.untracked.get(sym, ()):
                 side = "ask" if m.get("side") == "sell" else "bid"
                 book[oid] = (side, _d(m["price"]), _d(m["new_size"]))
                 self.l3_deltas.append((a, sym, oid, _d(m["price"]), _d(m["new_size"])))

@@ -198,3 +198,37 @@ def test_book_as_of_points(spark):
     assert got[13] == {("b", Decimal(3), Decimal(1))}
     assert got[14] == {("b", Decimal(3), Decimal("0.5"))}
     assert got[15] == {("b", Decimal(3), Decimal("0.5")), ("a", Decimal(2), Decimal(4))}
+
+
+def test_done_without_price_untracks_but_keeps_entry(spark):
+    """The order leaves the order map, not the book: later match / change / priced
+    done on it are ignored (the match is quarantined) until it is opened again."""
+    from marketstream.streaming import live
+
+    def m(**kw):
+        return dict(kw, product_id="BTC-USD")
+    msgs = [m(type="open", order_id="A", side="buy", price="10", remaining_size="5"),
+            m(type="open", order_id="B", side="sell", price="12", remaining_size="1"),
+            m(type="done", order_id="A", side="buy"),                          # untrack A
+            m(type="match", maker_order_id="A", taker_order_id="T", side="buy", size="1",
+              price="10", trade_id=1),                                        # unknown maker
+            m(type="change", order_id="A", side="buy", price="10", new_size="2"),   # ignored
+            m(type="done", order_id="A", side="buy", price="10"),              # ignored
+            m(type="done", order_id="B", side="sell", price="12"),
+            m(type="open", order_id="B", side="sell", price="13", remaining_size="3")]
+    model, p = run_both(spark, msgs)
+    e = L3.with_epoch(p)
+    out = L3.build_l3(e)
+    book = sorted((r.symbol, r.order_id, r.side, r.price, r.size) for r in out["book"].collect())
+    assert book == model.l3_book() == [("BTC-USD", "A", "bid", Decimal(10), Decimal(5)),
+                                       ("BTC-USD", "B", "ask", Decimal(13), Decimal(3))]
+    assert sorted((r.arrival, r.symbol, r.order_id, r.price, r.size)
+                  for r in out["deltas"].collect()) == sorted(model.l3_deltas)
+    assert [r.arrival for r in L3.unknown_makers(out["states"]).collect()] == [3]
+    # the live processor agrees
+    raw = raw_df(spark, [json.dumps(x) for x in msgs])
+    o = live.replay(spark, raw, gate=False, l2=False, l3=True, slices=2, name="kill")
+    got = sorted((r.arrival, r.symbol, r.order_id, Decimal(r.price), Decimal(r.size))
+                 for r in o.where(F.col("kind") == "l3delta").collect())
+    assert got == sorted(model.l3_deltas)
+    assert [r.arrival for r in o.where(F.col("verdict") == "unknown_maker").collect()] == [3]
