@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketstream.session import fresh_dir
+
 #: Characters that part words: space and \t \n \v \f \r (what ``bytes.split`` splits on).
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -62,3 +64,12 @@ def int_lists(lists: list) -> pa.ListArray:
         ends.append(n)
     return pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()),
                                     pa.array(memoryview(flat), pa.int32()))
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back.  Unlike a checkpoint it
+    carries no constraints over from the plan behind it, which in a loop would grow with
+    every turn; use ``cut`` where row numbers are taken from the result."""
+    path = fresh_dir(df.sparkSession, "llm")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from marketstream.llm.extraction import op2_html_extraction
 from marketstream.llm.langid import op10_language_id
 from marketstream.llm.neighbours import op4_nearest_neighbours
+from marketstream.llm.ngram_join import op6_ngram_join
 from marketstream.llm.packing import op5_best_fit_packing
 from marketstream.llm.pii import op9_pii
 from marketstream.llm.quality import op7_quality_classifier
@@ -13,7 +14,7 @@ from marketstream.llm.sentencepiece import op3_sentencepiece
 from marketstream.llm.sharding import op1_sharding
 
 QUERIES = [op1_sharding, op2_html_extraction, op3_sentencepiece, op4_nearest_neighbours,
-           op5_best_fit_packing, op7_quality_classifier, op8_quality_rules, op9_pii,
+           op5_best_fit_packing, op6_ngram_join, op7_quality_classifier, op8_quality_rules, op9_pii,
            op10_language_id]
 
 
