@@ -51,6 +51,19 @@ def arrow_map(df: DataFrame, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def arrow_rows(df: DataFrame, make) -> DataFrame:
+    """``mapInArrow`` that keeps the schema: ``make()`` builds, once per task, a function
+    RecordBatch -> RecordBatch (some of its rows, or other values in them)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = make()
+        for b in batches:
+            if b.num_rows:
+                yield step(b)
+
+    return df.mapInArrow(run, df.schema)
+
+
 def int_lists(lists: list) -> pa.ListArray:
     """Many lists of small non-negative ints as one Arrow list column."""
     import array

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.llm.common import arrow_map, table, texts
+from marketstream.llm.common import arrow_map, arrow_rows, table
 
 #: Key of the registered query; real runs pass their own.
 DEMO_KEY = b"corpus pseudonyms"
@@ -313,6 +313,28 @@ def pseudonymised(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id"
     return out.withColumnRenamed("id", id_col)
 
 
+def replaced(docs: DataFrame, key: bytes, text_col: str = "text",
+             chars_col: str = "n_chars") -> DataFrame:
+    """``docs``, all columns, with pseudonyms in the text and the new number of characters
+    (a null text and its number stay)."""
+
+    def make():
+        names = Pseudonyms(key)
+
+        def step(b: pa.RecordBatch):
+            old = b.column(text_col).to_pylist()
+            new = [None if t is None else names.replace(t)[0] for t in old]
+            at, n = b.schema.get_field_index(text_col), b.schema.get_field_index(chars_col)
+            b = b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
+            chars = [c if t is None else len(t)
+                     for c, t in zip(b.column(n).to_pylist(), new, strict=True)]
+            return b.set_column(n, b.schema.field(n), pa.array(chars, b.schema.field(n).type))
+
+        return step
+
+    return arrow_rows(docs, make)
+
+
 def op9_pii(spark, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms, and how many values of each kind were replaced."""
     out = pseudonymised(table(spark, sf_dir, "documents"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.llm.common import arrow_map, fold, table, texts
+from marketstream.llm.common import arrow_map, arrow_rows, fold, table, texts
 from marketstream.llm.docstats import SHARES, statistics
 from marketstream.session import cut
 
@@ -28,21 +28,8 @@ THRESHOLD = 0.3           # rows that score lower are rejected
 SEED = 7
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ``x`` array<double>): the statistics of every whole text, a null as empty."""
-
-    def make():
-        def step(b: pa.RecordBatch):
-            x = np.array([statistics(t)[1] for t in texts(b, "text")])
-            ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
-            return b.column("id"), pa.ListArray.from_arrays(ends, x.ravel())
-
-        return step
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = arrow_map(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, "
-                                "x array<double>")
-    return out.withColumnRenamed("id", id_col)
+def _features(rows: list[str]) -> np.ndarray:
+    return np.array([statistics(t)[1] for t in rows])
 
 
 @dataclass
@@ -98,16 +85,29 @@ def _bounded(rows: DataFrame, bound: int) -> DataFrame:
     return rows.where(draw < int((1 << 20) * bound / n))
 
 
-def fit(feats: DataFrame, labels: DataFrame, label_col: str = "quality",
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         bound: int = LABELLED_ROWS) -> Model | None:
-    """A model from the features of labelled rows: folds 1 to 3 (of 5) fit the ridge, fold 4
-    the calibration, fold 0 is held out and never read.  Repeated labels of one id count
-    once (their largest); null labels and ids are left aside.  None without labelled rows."""
+    """A model from the whole texts of about ``bound`` labelled rows: folds 1 to 3 (of 5)
+    fit the ridge, fold 4 the calibration, fold 0 is held out and never read.  Repeated
+    labels of one id count once (their largest); null labels and ids are left aside.  None
+    without labelled rows."""
     y = (labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull())
          .groupBy("doc_id").agg(F.max(label_col).cast("double").alias("y"))
          .where(fold(F.col("doc_id"), 5) != 0))
-    rows = cut(feats.join(_bounded(y, bound), "doc_id")
-               .select(fold(F.col("doc_id"), 5).alias("fold"), "x", "y"))
+    y = _bounded(y, bound)          # so it may be broadcast
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    named = own.join(F.broadcast(y), "doc_id").select(fold(F.col("doc_id"), 5).alias("fold"),
+                                                      "text", "y")
+
+    def taken():
+        def step(b: pa.RecordBatch):
+            x = _features(texts(b, "text"))
+            ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
+            return b.column("fold"), b.column("y"), pa.ListArray.from_arrays(ends, x.ravel())
+
+        return step
+
+    rows = cut(arrow_map(named, taken, "fold int, y double, x array<double>"))
     train, calib = rows.where("fold < 4"), rows.where("fold = 4")
     d = len(SHARES)
     stats = train.agg(F.count(F.lit(1)).alias("n"),
@@ -151,32 +151,44 @@ def fit(feats: DataFrame, labels: DataFrame, label_col: str = "quality",
     return model
 
 
-def score(feats: DataFrame, model: Model | None, id_col: str = "doc_id") -> DataFrame:
-    """(id, ``score``) of every row of ``feats``; 0.5 throughout without a model."""
+def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """(id, ``score``) of every row of ``docs``, from its whole text; a null text counts as
+    empty and is scored as any other; without a model the score is 0.5 throughout.
+    Repeated rows repeat, null ids stay null, other columns are left aside, and an empty
+    table gives no rows."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     if model is None:
-        return feats.select(id_col, F.lit(0.5).alias("score"))
+        return rows.select(F.col("id").alias(id_col), F.lit(0.5).alias("score"))
 
     def make():
         def step(b: pa.RecordBatch):
-            return b.column("id"), model.score(_matrix(b))
+            return b.column("id"), model.score(_features(texts(b, "text")))
 
         return step
 
-    rows = feats.select(F.col(id_col).alias("id"), "x")
     out = arrow_map(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, score double")
     return out.withColumnRenamed("id", id_col)
 
 
-def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``: the statistics are taken once, written,
-    and serve the fit and the scores.  An empty text has a score as any other; an empty
-    table gives no rows."""
-    feats = cut(features(docs))
-    return score(feats, fit(feats, labels))
+def passed(docs: DataFrame, model: Model | None, least: float = THRESHOLD,
+           text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores at least ``least``."""
+    if model is None:
+        return docs
+
+    def make():
+        def step(b: pa.RecordBatch):
+            return b.filter(pa.array(model.score(_features(texts(b, text_col))) >= least))
+
+        return step
+
+    return arrow_rows(docs, make)
 
 
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Every document's quality score; folds by crc32 of the id, see ``fit``."""
-    out = scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents")
+    out = score(docs, fit(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
                       F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
