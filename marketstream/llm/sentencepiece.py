@@ -9,12 +9,13 @@ left, marking the position in a bitfield so that no path tries it again.
 
 The piece list never has a blank mark after another character (checked when the model is
 read), so no merge crosses the start of a word and words can be encoded one by one; each
-task remembers a bounded number of words and of pair checks.
+worker remembers a bounded number of words and of pair checks.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, int_lists, texts
 
 BLANK = "▁"
-WORDS_KEPT = 200_000    # encoded words that a task remembers
-PAIRS_KEPT = 400_000    # pair checks that a task remembers
+WORDS_KEPT = 120_000    # encoded words that a worker remembers, in each of two generations
+PAIRS_KEPT = 400_000    # pair checks that a worker remembers
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*")
 
 
@@ -68,6 +69,7 @@ class MergePieces:
                      if i in self.byte_of else "" for i in range(n)]
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     # ------------------------------------------------------------ merging again
     def merged(self, text: str) -> list[str]:
@@ -144,10 +146,10 @@ class MergePieces:
         return tuple(ids)
 
     def _remember(self, word: str) -> tuple[int, ...]:
-        ids = self.chunk(word)
+        ids = self.before.get(word) or self.chunk(word)
         if len(word) <= 64:
-            if len(self.words) >= WORDS_KEPT:
-                self.words.clear()
+            if len(self.words) >= WORDS_KEPT:      # keeps the last generation too
+                self.before, self.words = self.words, {}
             self.words[word] = ids
         return ids
 
@@ -173,6 +175,12 @@ class MergePieces:
         return out[1:] if out[:1] == " " else out
 
 
+@lru_cache(maxsize=1)
+def pieces_of(model_file: str) -> MergePieces:
+    """The model and what it remembers, kept by a Python worker from task to task."""
+    return MergePieces(model_file)
+
+
 def encode_decode(df: DataFrame, model_file: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: the id, ``ids`` (array<int>) of the whole text without
@@ -183,7 +191,7 @@ def encode_decode(df: DataFrame, model_file: str, id_col: str = "doc_id",
     Memory: one Arrow batch (bounded in bytes by Spark) and the bounded word memory."""
 
     def make():
-        pieces = MergePieces(model_file)
+        pieces = pieces_of(model_file)
 
         def step(b: pa.RecordBatch):
             got = [pieces.encode(t) for t in texts(b, "text")]
