@@ -36,6 +36,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("""a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd
     label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr""".split())
 _SAME_CLOSES = frozenset("li dt dd tr td th option p".split())
+# Elements that hold text rather than blocks; a slot is none of these.
+_LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th caption figcaption summary legend".split())
 # What is not the article, by element, by role and by words of class or id.
 _OTHER = frozenset("""head nav footer aside form script style noscript template button select
     textarea svg iframe object canvas menu dialog audio video map""".split())
@@ -96,7 +98,8 @@ class _Open:
 
 def parse(page: str) -> tuple[list[tuple[str, list[int], bool, bool]], dict[int, list[int]]]:
     """A page's blocks in order -- (text, path of open elements from the root, inside an
-    article element, part of something else) -- and per path its depth and occurrences.
+    article element, part of something else) -- and per path its depth, occurrences
+    and whether it can be a slot.
 
     Any text is accepted: unknown or unclosed elements, stray ends and cut tags."""
     import xxhash
@@ -153,7 +156,7 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], bool, bool]], dict[int,
                            article))
         seen = elements.get(path)
         if seen is None:
-            elements[path] = [depth, 1]
+            elements[path] = [depth, 1, name not in _LEAF]
         else:
             seen[1] += 1
     if pos < len(page):
@@ -207,8 +210,8 @@ def _page_tokens():
                 t = _text_token(path, text)
                 fixed[t] = fixed.get(t, 0) + 1
             add(host, "page", 0, 1, h1, h2, 0, total)
-            for p, (depth, occ) in elements.items():
-                add(host, "element", p, occ, h1, h2, depth, mass.get(p, 0))
+            for p, (depth, occ, slot) in elements.items():
+                add(host, "element", p, occ, h1, h2, depth, mass.get(p, 0) if slot else 0)
             for t, occ in fixed.items():
                 add(host, "text", t, occ, h1, h2, 0, 0)
         if not sums:
