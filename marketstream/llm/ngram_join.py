@@ -29,10 +29,10 @@ from marketstream.session import cut
 
 WORDS = 5                      # words in an n-gram
 PER_CENT = 80                  # similarity from which two texts link
-FRAGMENT_ENTRIES = 4_000_000   # n-grams that one fragment holds, about
+FRAGMENT_ENTRIES = 2_000_000   # n-grams that one fragment holds, about
 LEAST_FRAGMENTS = 32
 SEGMENTS = 8                   # fragments that a comparison is summed over
-SLICE_BYTES = 12_000_000       # text hashed in one go inside a task
+SLICE_BYTES = 6_000_000        # text hashed in one go inside a task
 BROADCAST_CLASSES = 300_000    # classes whose ids are broadcast to fetch their texts
 STARS = 4                      # rounds of stars at most before pairs are compared
 FEW = 4                        # pairs per token row that are compared without another star
