@@ -28,25 +28,30 @@ VERDICTS = ["ok", "stale", "gap", "unsynced", "snapshot"]
 def gated_rows(parsed: DataFrame) -> DataFrame:
     """The messages the gate sees: they carry product_id and sequence, or are L3
     snapshots.  Everything else (level-2, untyped-without-sequence...) bypasses it."""
-    snap = F.col("route") == "l3snapshot"
-    has = F.col("symbol").isNotNull() & F.col("sequence").isNotNull()
-    return parsed.where(F.col("symbol").isNotNull() & (has | snap)).withColumn("snap", snap)
+    return parsed.where(_gated()).withColumn("snap", F.col("route") == "l3snapshot").drop("value")
 
 
-def sequence_gate(parsed: DataFrame) -> DataFrame:
-    """Adds epoch, last, verdict (and keeps every input column) to the gated rows."""
+def _gated():
+    known = (F.col("route") != "l2") & F.col("symbol").isNotNull()
+    return F.coalesce(known & (F.col("sequence").isNotNull() | (F.col("route") == "l3snapshot")),
+                      F.lit(False))
+
+
+def sequence_gate(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Adds epoch, last, verdict to the gated rows; keeps every input column but the raw
+    text, which goes through no shuffle.  Each venue's symbol has a gate of its own."""
     g = gated_rows(parsed)
     snap = F.col("snap")
     seq = F.col("sequence")
-    g = running(g, ["symbol"], ["arrival"], [
+    g = running(g, ["exchange", "symbol"], ["arrival"], [
         Running("epoch", snap.cast("long"), "sum"),
         Running("last", seq, "max", reset=snap, exclusive=True),
-    ], keep_chunk=True)
+    ], chunk_rows, keep_chunk=True)
     gap = ~snap & (seq > F.col("last") + 1)
     lost_here = gap | (snap & (F.coalesce(seq, F.lit(0)) == 0))
-    g = running(g.withColumn("gap", gap), ["symbol"], ["arrival"], [
+    g = running(g.withColumn("gap", gap), ["exchange", "symbol"], ["arrival"], [
         Running("lost", lost_here.cast("int"), "max", reset=snap, exclusive=True),
-    ])
+    ], chunk_rows)
     verdict = (F.when(snap, "snapshot")
                .when((F.col("epoch") == 0) | (F.coalesce(F.col("lost"), F.lit(0)) == 1), "unsynced")
                .when(seq <= F.col("last"), "stale")
@@ -63,5 +68,14 @@ def gaps(verdicts: DataFrame) -> DataFrame:
 
 
 def accepted(verdicts: DataFrame) -> DataFrame:
-    """Rows that reach the handlers behind the gate: ok messages and the snapshots."""
+    """Gated rows that reach the handlers: ok messages and the snapshots."""
     return verdicts.where(F.col("verdict").isin("ok", "snapshot"))
+
+
+def gate_and_route(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Every row that reaches a handler: what the gate accepts, and what bypasses it --
+    level-2 messages and messages without a symbol or sequence (verdict ``bypass``)."""
+    passed = accepted(sequence_gate(parsed, chunk_rows))
+    bypass = (parsed.where(~_gated()).drop("value")
+              .withColumn("verdict", F.lit("bypass")))
+    return passed.unionByName(bypass, allowMissingColumns=True)

@@ -20,40 +20,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.functions import dec, l2_side, to_ns, event_ts_ns
-from marketstream.operators.normalize import small_enough
 from marketstream.operators.scan import Running, running
-from marketstream.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, conf_int
 
+BOOK = ["exchange", "symbol"]     # one book per venue and symbol
 
-def l2_messages(parsed: DataFrame) -> DataFrame:
-    """Level-2 messages with their per-symbol epoch (an empty snapshot still counts)."""
-    msgs = parsed.where((F.col("route") == "l2") & F.col("symbol").isNotNull())
+
+def l2_messages(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Level-2 messages with their book's epoch (an empty snapshot still counts)."""
+    msgs = (parsed.where((F.col("route") == "l2") & F.col("symbol").isNotNull())
+            .select("arrival", *BOOK, "type", "time", "receipt_time", "bids", "asks", "changes"))
     snap = F.col("type") == "snapshot"
-    return running(msgs.withColumn("snap", snap), ["symbol"], ["arrival"],
-                   [Running("epoch", snap.cast("long"), "sum")])
+    return running(msgs.withColumn("snap", snap), BOOK, ["arrival"],
+                   [Running("epoch", snap.cast("long"), "sum")], chunk_rows)
 
 
 def l2_level_rows(msgs: DataFrame) -> DataFrame:
-    """One row per level change: (arrival, pos, symbol, epoch, snap, side, price, amount,
+    """One row per level change: (arrival, pos, exchange, symbol, epoch, snap, side, price, amount,
     ts, receipt_ts, bad).  Snapshot positions run over the bids, then the asks."""
     lvl = "struct<side:string,price:string,amount:string>"
     bids = F.transform(F.coalesce("bids", F.array()), lambda x: F.struct(
-        F.lit("bid").alias("side"), x[0].alias("price"), x[1].alias("amount")))
+        F.lit("bid").alias("side"), F.get(x, 0).alias("price"), F.get(x, 1).alias("amount")))
     asks = F.transform(F.coalesce("asks", F.array()), lambda x: F.struct(
-        F.lit("ask").alias("side"), x[0].alias("price"), x[1].alias("amount")))
+        F.lit("ask").alias("side"), F.get(x, 0).alias("price"), F.get(x, 1).alias("amount")))
     changes = F.transform(F.coalesce("changes", F.array()), lambda x: F.struct(
-        l2_side(x[0]).alias("side"), x[1].alias("price"), x[2].alias("amount")))
+        l2_side(F.get(x, 0)).alias("side"), F.get(x, 1).alias("price"), F.get(x, 2).alias("amount")))
     levels = F.when(F.col("snap"), F.concat(bids.cast(f"array<{lvl}>"), asks.cast(f"array<{lvl}>"))) \
         .otherwise(changes.cast(f"array<{lvl}>"))
-    rows = msgs.select("arrival", "symbol", "epoch", "snap", "time", "receipt_time",
+    rows = msgs.select("arrival", *BOOK, "epoch", "snap", "time", "receipt_time",
                        F.posexplode(levels).alias("pos", "lv"))
     price, amount = dec("lv.price"), dec("lv.amount")
     return rows.select(
-        "arrival", "pos", "symbol", "epoch", "snap", F.col("lv.side").alias("side"),
+        "arrival", "pos", *BOOK, "epoch", "snap", F.col("lv.side").alias("side"),
         price.alias("price"), amount.alias("amount"),
         F.when(~F.col("snap"), event_ts_ns("time", "receipt_time")).alias("ts"),
         to_ns("receipt_time").alias("receipt_ts"),
-        (price.isNull() | amount.isNull()).alias("bad"))
+        # also entries that are too short or null
+        (F.col("lv.side").isNull() | price.isNull() | amount.isNull()).alias("bad"))
 
 
 def l2_kept(levels: DataFrame) -> DataFrame:
@@ -70,52 +72,61 @@ def l2_rejects(levels: DataFrame) -> DataFrame:
             .select("arrival", "pos", "symbol", "reason"))
 
 
-def l2_deltas(kept: DataFrame) -> DataFrame:
+def l2_deltas(kept: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """The changed levels of every update: (arrival, pos, symbol, side, price,
     amount, ts); amount 0 is a removal.  ``was`` is a lag over the level, computed with
     the chunked scan so a hot price level is never one task."""
     present = F.col("snap") | (F.col("amount") > 0)
-    w = running(kept, ["symbol", "side", "price"], ["arrival", "pos"], [
+    w = running(kept, [*BOOK, "side", "price"], ["arrival", "pos"], [
         Running("_prev", F.struct(F.col("epoch").alias("e"), present.alias("p")), "last",
-                exclusive=True)])
+                exclusive=True)], chunk_rows)
     was = F.coalesce((F.col("_prev.e") == F.col("epoch")) & F.col("_prev.p"), F.lit(False))
     return (w.where(~F.col("snap") & ((F.col("amount") > 0) | was))
-            .select("arrival", "pos", "symbol", "side", "price", "amount", "ts"))
+            .select("arrival", "pos", *BOOK, "side", "price", "amount", "ts"))
 
 
 def _latest_epoch(msgs: DataFrame) -> DataFrame:
-    return msgs.groupBy("symbol").agg(F.max("epoch").alias("_top"))
+    return msgs.groupBy(*BOOK).agg(F.max("epoch").alias("_top"))
 
 
 def l2_book(kept: DataFrame, msgs: DataFrame) -> DataFrame:
-    """A1/ST5 final book: (symbol, side, price, amount).  ``max_by`` per level is a
+    """A1/ST5 final book: (exchange, symbol, side, price, amount).  ``max_by`` per level is a
     partial (map-side) aggregation, so a hot level or symbol costs one row per task."""
-    last = (kept.groupBy("symbol", "side", "price")
+    last = (kept.groupBy(*BOOK, "side", "price")
             .agg(F.max_by(F.struct("epoch", "snap", "amount"),
                           F.struct("arrival", "pos")).alias("l"))
-            .select("symbol", "side", "price", "l.*"))
-    top = _latest_epoch(msgs)
-    if small_enough(top, conf_int(msgs.sparkSession, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)):
-        top = F.broadcast(top)
-    return (last.join(top, "symbol")
+            .select(*BOOK, "side", "price", "l.*"))
+    return (last.join(_latest_epoch(msgs), BOOK)
             .where((F.col("epoch") == F.col("_top")) & (F.col("snap") | (F.col("amount") > 0)))
-            .select("symbol", "side", "price", "amount"))
+            .select(*BOOK, "side", "price", "amount"))
 
 
 def last_change(msgs: DataFrame) -> DataFrame:
-    """(symbol, ts, receipt_ts) of each symbol's last level-2 message (P5 fallback for
+    """(exchange, symbol, ts, receipt_ts) of each book's last level-2 message (P5 fallback for
     snapshots, which carry no time)."""
     ts = event_ts_ns("time", "receipt_time")
-    return (msgs.groupBy("symbol")
+    return (msgs.groupBy(*BOOK)
             .agg(F.max_by(F.struct(ts.alias("ts"), to_ns("receipt_time").alias("receipt_ts")),
                           F.col("arrival")).alias("l"))
-            .select("symbol", "l.*"))
+            .select(*BOOK, "l.*"))
+
+
+class _OnDemand(dict):
+    """Outputs that are built when they are first asked for: a book needs no delta scan."""
+
+    def __missing__(self, name: str) -> DataFrame:
+        make = self["_make"].get(name)
+        if make is None:
+            raise KeyError(name)
+        self[name] = make()
+        return self[name]
 
 
-def build_l2(parsed: DataFrame) -> dict[str, DataFrame]:
-    msgs = l2_messages(parsed)
+def build_l2(parsed: DataFrame, chunk_rows: int | None = None) -> dict[str, DataFrame]:
+    """messages, levels, kept, deltas, book and rejects, each built on demand."""
+    msgs = l2_messages(parsed, chunk_rows)
     levels = l2_level_rows(msgs)
     kept = l2_kept(levels)
-    return {"messages": msgs, "levels": levels, "kept": kept,
-            "deltas": l2_deltas(kept), "book": l2_book(kept, msgs),
-            "rejects": l2_rejects(levels)}
+    return _OnDemand(messages=msgs, levels=levels, kept=kept, _make={
+        "deltas": lambda: l2_deltas(kept, chunk_rows), "book": lambda: l2_book(kept, msgs),
+        "rejects": lambda: l2_rejects(levels)})

@@ -28,16 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.functions import book_side, dec, event_ts_ns, to_ns
-from marketstream.operators.normalize import small_enough, trades
+from marketstream.operators.normalize import trades
 from marketstream.operators.scan import Running, running
-from marketstream.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, conf_int
 
-def with_epoch(parsed: DataFrame) -> DataFrame:
-    """Per-symbol epoch = running count of L3 snapshots (no gate: all messages kept)."""
+BOOK = ["exchange", "symbol"]     # one book per venue and symbol
+
+
+def with_epoch(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+    """Per-book epoch = running count of L3 snapshots (no gate: all messages kept)."""
     rel = parsed.where(F.col("route").isin("l3", "trade", "received", "l3snapshot")
-                       & F.col("symbol").isNotNull())
+                       & F.col("symbol").isNotNull()).drop("value")
     snap = F.col("route") == "l3snapshot"
-    return running(rel, ["symbol"], ["arrival"], [Running("epoch", snap.cast("long"), "sum")])
+    return running(rel, BOOK, ["arrival"], [Running("epoch", snap.cast("long"), "sum")],
+                   chunk_rows)
 
 
 def l3_rows(msgs: DataFrame) -> DataFrame:
@@ -63,7 +66,7 @@ def l3_rows(msgs: DataFrame) -> DataFrame:
     size = (F.when(t == "open", F.col("remaining_size")).when(t == "change", F.col("new_size"))
             .when(t.isin("match", "last_match"), F.col("size")))
     one = single.select(
-        "arrival", F.lit(0).alias("sub"), "symbol", "epoch",
+        "arrival", F.lit(0).alias("sub"), *BOOK, "epoch",
         F.when(kind == "match", F.col("maker_order_id")).otherwise(F.col("order_id")).alias("order_id"),
         kind.alias("kind"), book_side("side").alias("side"), dec("price").alias("price"),
         F.when(kind.isin("done", "kill"), F.lit(0).cast("decimal(38,18)")).otherwise(dec(size)).alias("size"),
@@ -75,33 +78,34 @@ def l3_rows(msgs: DataFrame) -> DataFrame:
     entry = "struct<side:string,e:array<string>>"
     bids = F.transform(F.coalesce("bids", F.array()), lambda e: F.struct(F.lit("bid").alias("side"), e.alias("e")))
     asks = F.transform(F.coalesce("asks", F.array()), lambda e: F.struct(F.lit("ask").alias("side"), e.alias("e")))
-    ex = snaps.select("arrival", "symbol", "epoch", "sequence", "receipt_time",
+    ex = snaps.select("arrival", *BOOK, "epoch", "sequence", "receipt_time",
                       F.posexplode(F.concat(bids.cast(f"array<{entry}>"),
                                             asks.cast(f"array<{entry}>"))).alias("sub", "x"))
     snap_rows = ex.select(
-        "arrival", (F.col("sub") + 1).alias("sub"), "symbol", "epoch",
-        F.col("x.e")[2].alias("order_id"), F.lit("open").alias("kind"), F.col("x.side").alias("side"),
-        dec(F.col("x.e")[0]).alias("price"), dec(F.col("x.e")[1]).alias("size"),
+        "arrival", (F.col("sub") + 1).alias("sub"), *BOOK, "epoch",
+        F.get("x.e", F.lit(2)).alias("order_id"), F.lit("open").alias("kind"), F.col("x.side").alias("side"),
+        dec(F.get("x.e", F.lit(0))).alias("price"), dec(F.get("x.e", F.lit(1))).alias("size"),
         "sequence", to_ns("receipt_time").alias("ts"),
-        (dec(F.col("x.e")[0]).isNull() | dec(F.col("x.e")[1]).isNull()).alias("bad"))
+        (dec(F.get("x.e", F.lit(0))).isNull() | dec(F.get("x.e", F.lit(1))).isNull()).alias("bad"))
     return one.unionByName(snap_rows)
 
 
-def l3_states(rows: DataFrame) -> DataFrame:
+def l3_states(rows: DataFrame, chunk_rows: int | None = None) -> DataFrame:
     """Adds life, rem, fin, dead, live, new_size to every book-relevant row."""
     rows = rows.where(~F.col("bad") & F.col("order_id").isNotNull())
     k = F.col("kind")
     is_open, is_change = k == "open", k == "change"
     signed = (F.when(is_open | is_change, F.col("size")).when(k == "match", -F.col("size"))
               .otherwise(F.lit(0).cast("decimal(38,18)")))
-    keys, order = ["symbol", "epoch", "order_id"], ["arrival", "sub"]
+    keys, order = [*BOOK, "epoch", "order_id"], ["arrival", "sub"]
     s = running(rows, keys, order, [
         Running("life", is_open.cast("long"), "sum"),
         Running("rem", signed, "sum", reset=is_open | is_change),
-    ], keep_chunk=True)
+    ], chunk_rows, keep_chunk=True)
     fin = k.isin("done", "kill") | ((k == "match") & (F.col("rem") <= 0))
     s = running(s.withColumn("fin", fin), keys, order, [
-        Running("dead", F.col("fin").cast("int"), "max", reset=is_open, exclusive=True)])
+        Running("dead", F.col("fin").cast("int"), "max", reset=is_open, exclusive=True)],
+                chunk_rows)
     live = ((F.col("life") > 0) & (F.coalesce(F.col("dead"), F.lit(0)) == 0)
             & (k != "kill"))
     return (s.withColumn("live", live)
@@ -113,7 +117,7 @@ def l3_deltas(states: DataFrame) -> DataFrame:
     """One delta per book change: (arrival, sub, symbol, side, price, order_id, size,
     sequence, ts); size 0 = removed.  Snapshot entries are deltas of their epoch too."""
     return (states.where(F.col("live"))
-            .select("arrival", "sub", "symbol", "epoch", "kind", "side", "price", "order_id",
+            .select("arrival", "sub", *BOOK, "epoch", "kind", "side", "price", "order_id",
                     F.col("new_size").alias("size"), "sequence", "ts"))
 
 
@@ -121,27 +125,27 @@ def l3_book(states: DataFrame, epochs: DataFrame) -> DataFrame:
     """ST6 final book: (symbol, side, price, order_id, size) in each symbol's latest
     epoch.  Per-order ``max_by`` is a partial aggregation."""
     last = (states.where(F.col("live"))
-            .groupBy("symbol", "epoch", "order_id")
+            .groupBy(*BOOK, "epoch", "order_id")
             .agg(F.max_by(F.struct("side", "price", "new_size", "fin"),
                           F.struct("arrival", "sub")).alias("l"))
-            .select("symbol", "epoch", "order_id", "l.*"))
-    top = epochs.groupBy("symbol").agg(F.max("epoch").alias("_top"))
-    if small_enough(top, conf_int(states.sparkSession, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)):
-        top = F.broadcast(top)
-    return (last.join(top, "symbol").where(~F.col("fin") & (F.col("epoch") == F.col("_top")))
-            .select("symbol", "side", "price", "order_id", F.col("new_size").alias("size")))
+            .select(*BOOK, "epoch", "order_id", "l.*"))
+    # a feed of one venue may give its epochs by symbol alone
+    keys = [k for k in BOOK if k in epochs.columns]
+    top = epochs.groupBy(*keys).agg(F.max("epoch").alias("_top"))
+    return (last.join(top, keys).where(~F.col("fin") & (F.col("epoch") == F.col("_top")))
+            .select(*BOOK, "side", "price", "order_id", F.col("new_size").alias("size")))
 
 
 def l3_levels(book: DataFrame) -> DataFrame:
     """A2/A3: price levels of the L3 book: order count and total size per level."""
-    return (book.groupBy("symbol", "side", "price")
+    return (book.groupBy(*BOOK, "side", "price")
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("size").alias("size")))
 
 
 def l3_level_maps(book: DataFrame) -> DataFrame:
     """A2 in the venue's shape: price -> {order_id: size} per (symbol, side, price).
     One map per price level (bounded by the orders resting at one price)."""
-    return (book.groupBy("symbol", "side", "price")
+    return (book.groupBy(*BOOK, "side", "price")
             .agg(F.map_from_entries(F.collect_list(F.struct("order_id", "size"))).alias("orders")))
 
 
@@ -151,19 +155,30 @@ def unknown_makers(states: DataFrame) -> DataFrame:
             .select("arrival", "symbol", "order_id", F.lit("unknown_maker").alias("reason")))
 
 
+def l3_rejects(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """P15/D6 quarantine of the L3 book: (arrival, sub, symbol, reason) of rows with an
+    unparsable price or size, without an order id, or on a maker that is not on the book."""
+    reason = (F.when(F.col("bad"), "bad_number")
+              .when(F.col("order_id").isNull(), "no_order_id"))
+    bad = (rows.withColumn("reason", reason).where(F.col("reason").isNotNull())
+           .select("arrival", "sub", "symbol", "reason"))
+    return bad.unionByName(unknown_makers(states).select("arrival", F.lit(0).alias("sub"),
+                                                         "symbol", "reason"))
+
+
 def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFrame:
     """J1 (A.4): each trade with the type its taker order was ``received`` with, if that
     order is still remembered (not done, not fully filled as a maker).
 
-    Memory is per (symbol, epoch, order id): a snapshot starts a new epoch with nothing
+    Memory is per (book, epoch, order id): a snapshot starts a new epoch with nothing
     remembered, as the venue handler resets its maps before re-snapshotting.  A union of
     set / forget / query rows, then an exclusive running ``last`` per key -- an as-of
     lookup that never materialises pairs.  ``states`` is None when L3 upkeep is off
     (P18): then full fills do not forget."""
-    keys = ["symbol", "epoch", "oid"]
+    keys = [*BOOK, "epoch", "oid"]
 
     def ev_rows(df, oid, kind, typ):
-        return df.select("symbol", "epoch", F.col(oid).alias("oid"), "arrival", F.lit(0).alias("sub"),
+        return df.select(*BOOK, "epoch", F.col(oid).alias("oid"), "arrival", F.lit(0).alias("sub"),
                          F.struct(F.lit(kind).alias("k"), typ.cast("string").alias("t")).alias("ev"))
 
     parts = [ev_rows(msgs.where(F.col("type") == "received"), "order_id", "set", F.col("order_type")),
@@ -172,7 +187,7 @@ def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFra
         parts.append(ev_rows(states.where(F.col("live") & (F.col("kind") == "match") & F.col("fin")),
                              "order_id", "del", F.lit(None)))
     tr = trades(msgs, keep=["epoch"])
-    q = tr.select("symbol", "epoch", F.col("taker_order_id").alias("oid"), "arrival",
+    q = tr.select(*BOOK, "epoch", F.col("taker_order_id").alias("oid"), "arrival",
                   F.lit(1).alias("sub"), F.lit(None).cast("struct<k:string,t:string>").alias("ev"),
                   F.struct(*[c for c in tr.columns if c != "epoch"]).alias("trade"))
     ev = parts[0]
@@ -190,14 +205,11 @@ def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFra
     return typed.unionByName(untyped)
 
 
-_END = (1 << 63) - 1
-
-
 def book_as_of(states: DataFrame, points: DataFrame) -> DataFrame:
     """The orders resting at given points of a book's history (S10/N5 fixtures: what a
     REST snapshot taken at that sequence would hold).
 
-    ``points``: (symbol, point, seq) -- a point sees every change with sequence <= seq.
+    ``states`` of one venue; ``points``: (symbol, point, seq) -- a point sees every change with sequence <= seq.
     Each live row of ``states`` holds its state over [its sequence, the order's next
     sequence); a point inside that interval sees the order (unless the row removed it).
     A running count of points per symbol turns each interval into the range of points it
@@ -212,11 +224,12 @@ def book_as_of(states: DataFrame, points: DataFrame) -> DataFrame:
                    [Running("_next", F.struct(F.col("seq").alias("s")), "last", exclusive=True)])
     iv = live.where(~F.col("fin")).select(
         "symbol", "order_id", "arrival", "side", "price", "size",
-        F.col("seq").alias("start"), F.coalesce(F.col("_next.s"), F.lit(_END)).alias("end"))
+        F.col("seq").alias("start"), F.col("_next.s").alias("end"))
     ends = iv.select("symbol", F.struct("order_id", "arrival").alias("iid"),
                      F.explode(F.array(
                          F.struct(F.lit("s").alias("w"), F.col("start").alias("seq")),
-                         F.struct(F.lit("e").alias("w"), F.col("end").alias("seq")))).alias("b"))
+                         F.struct(F.lit("e").alias("w"), F.col("end").alias("seq")))).alias("b")
+                     ).where(F.col("b.seq").isNotNull())
     ends = ends.select("symbol", "iid", "b.w", "b.seq", F.lit(0).alias("kind"),
                        F.lit(None).cast("long").alias("point"))
     pts = points.select("symbol", F.lit(None).cast("struct<order_id:string,arrival:long>").alias("iid"),
@@ -228,20 +241,20 @@ def book_as_of(states: DataFrame, points: DataFrame) -> DataFrame:
     span = (c.where(F.col("kind") == 0).groupBy("symbol", "iid")
             .agg(F.max(F.when(F.col("w") == "s", F.col("c"))).alias("cs"),
                  F.max(F.when(F.col("w") == "e", F.col("c"))).alias("ce")))
+    # an interval that nothing ends reaches every later point of its symbol
+    total = points.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    span = span.join(total, "symbol").withColumn("ce", F.coalesce("ce", "n"))
     covered = (span.where(F.col("ce") > F.col("cs"))
                .select("symbol", "iid", F.explode(F.sequence(F.col("cs") + 1, F.col("ce"))).alias("k")))
     attrs = iv.select("symbol", F.struct("order_id", "arrival").alias("iid"), "order_id",
                       "side", "price", "size")
-    if small_enough(ordinals, conf_int(states.sparkSession, BROADCAST_ROWS_CONF,
-                                       DEFAULT_BROADCAST_ROWS)):
-        ordinals = F.broadcast(ordinals)
     return (covered.join(attrs, ["symbol", "iid"]).join(ordinals, ["symbol", "k"])
             .select("point", "symbol", "seq", "order_id", "side", "price", "size"))
 
 
-def build_l3(msgs_with_epoch: DataFrame) -> dict[str, DataFrame]:
+def build_l3(msgs_with_epoch: DataFrame, chunk_rows: int | None = None) -> dict[str, DataFrame]:
     rows = l3_rows(msgs_with_epoch)
-    states = l3_states(rows)
-    book = l3_book(states, msgs_with_epoch.select("symbol", "epoch"))
+    states = l3_states(rows, chunk_rows)
+    book = l3_book(states, msgs_with_epoch.select(*BOOK, "epoch"))
     return {"rows": rows, "states": states, "deltas": l3_deltas(states), "book": book,
             "levels": l3_levels(book)}

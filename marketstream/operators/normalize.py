@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.functions import dec, event_ts_ns, split_product, taker_side, to_ns
-from marketstream.session import BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS, conf_int
 
 
 def tickers(parsed: DataFrame) -> DataFrame:
@@ -70,21 +69,12 @@ def symbol_info(prod: DataFrame) -> DataFrame:
         .alias("instrument_type"))
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Size check for a broadcast: stops after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def with_products(df: DataFrame, prod: DataFrame, on: str = "product_id") -> DataFrame:
     """Attach the normalised symbol and product attributes.
 
-    The product list is a dimension; it is broadcast only after its row count is checked
-    against ``marketstream.broadcast.maxRows``, otherwise it is a shuffle join (AQE can
-    still pick a broadcast at run time from the real size)."""
-    spark = df.sparkSession
+    A plain join: Spark broadcasts the product list where its measured size is below the
+    session's threshold, and shuffles otherwise."""
     p = prod.select(F.col("product_id").alias(on), F.col("symbol").alias("_psymbol"),
                     "tick_size", "instrument_type")
-    if small_enough(p, conf_int(spark, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)):
-        p = F.broadcast(p)
     j = df.join(p, on, "left")
     return j.withColumn("symbol", F.coalesce("_psymbol", "symbol")).drop("_psymbol")

@@ -13,10 +13,12 @@ two-level scan:
    each chunk;
 4. the carry is joined back on (key, chunk) and combined with the local value.
 
-The big side is shuffled once, by (key, chunk); windows and the join reuse that
-partitioning.  The local result is checkpointed (reliable, in the shared checkpoint
-folder) because both the summary and the join read it.  The summary table has one row per (key, chunk), so even a key holding a
-third of 100 TB yields only ``rows / chunk_rows`` summary rows.
+The big side is shuffled by (key, chunk) for its windows.  The local result is
+checkpointed (reliable, in the shared checkpoint folder) because both the summary and the
+join read it; what is read back has no known partitioning, so a later scan shuffles it
+again.  The summary table has one row per (key, chunk), so even a key holding a third of
+100 TB yields only ``rows / chunk_rows`` summary rows.  All inputs, also those of a single
+chunk, take the same steps.
 
 Supported aggregates are the monoids the book logic needs: ``sum``, ``max`` and ``last``
 (last non-null value; wrap a value in a struct to get ``lag`` semantics).  A ``reset``
@@ -75,9 +77,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
     ``order`` values inside one key must be told apart by the remaining order columns.
     Key columns must be non-null (callers quarantine rows without a key first).
 
-    With ``keep_chunk`` the chunk column ``_ck`` stays on the result; a following
-    ``running`` over the same keys then reuses it, and with it the (key, chunk)
-    partitioning, so chained scans cost no further shuffle of the big side.
+    With ``keep_chunk`` the chunk column ``_ck`` stays on the result and a following
+    ``running`` over the same keys takes it as it is.
     """
     spark = df.sparkSession
     c_rows = chunk_rows or conf_int(spark, CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS)
@@ -108,17 +109,6 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
     # do not nest their plans.
     d = cut(d)
 
-    # Fast path: when all rows fall in one chunk (small inputs) nothing is carried; the
-    # check reads two numbers from one column of the materialised data.
-    lo, hi = d.agg(F.min(ck), F.max(ck)).first()
-    if lo == hi:
-        out = d
-        for i, s in enumerate(specs):
-            out = out.withColumn(s.name, F.col(f"_a{i}") if s.exclusive else F.col(f"_t{i}"))
-        temp = ([] if keep_chunk else [ck]) + [f"_{p}{i}" for i in range(len(specs))
-                                               for p in ("v", "t", "a", "s")]
-        return out.drop(*[t for t in temp if t in out.columns])
-
     # 2. state at the last row of each (key, chunk)
     payload = [F.col(f"_t{i}").alias(f"t{i}") for i in range(len(specs))]
     payload += [F.col(f"_s{i}").alias(f"s{i}") for i, s in enumerate(specs) if s.reset is not None]

@@ -172,6 +172,20 @@ SELECT {sym('s.sym')} AS key,
                            receipt_ts := l.receipt_ts, bid := s.bid, ask := s.ask))::VARCHAR AS value
 FROM sides s JOIN lastmsg l ON l.sym = s.sym"""
 
+TWO_VENUE_BOOK = f"""WITH {L2_MSG}
+SELECT v.exchange, {sym('sym')} AS symbol, CASE WHEN side = 0 THEN 'bid' ELSE 'ask' END AS side,
+       CAST(price AS DECIMAL(38,18)) AS price, CAST(amt AS DECIMAL(38,18)) AS amount
+FROM book CROSS JOIN (VALUES ('COINBASE'), ('BITSTAMP')) v(exchange)"""
+
+# per event: a short and a bad snapshot level, bad and short changes, a bad ticker, a bad
+# trade, a bad order change, an order without an id, a match on an unknown maker, no JSON
+REJECTS_ALL = """SELECT source, reason, count(*) AS n FROM events e JOIN (VALUES
+    (0, 'l2', 'bad_number'), (1, 'l2', 'bad_number'), (2, 'l2', 'bad_number'),
+    (3, 'number', 'bad_number'), (4, 'number', 'bad_number'), (4, 'l3', 'bad_number'),
+    (5, 'l3', 'bad_number'), (6, 'l3', 'no_order_id'), (7, 'l3', 'unknown_maker'),
+    (8, 'message', 'malformed')) r(m, source, reason) ON e.event_id % 10 = r.m
+GROUP BY source, reason"""
+
 # ---------------------------------------------------------------- L3
 L3_FEED = f"""{BASE},
 m AS (SELECT i, CAST(floor(i / 4) AS BIGINT) AS j, i % 4 AS p,
@@ -269,6 +283,11 @@ SELECT CAST(f.i AS VARCHAR) AS trade_id, {sym('f.sym')} AS symbol,
 FROM feed f JOIN r ON r.kind = 'q' AND r.i = f.i
 WHERE f.typ = 'match'"""
 
+UNKNOWN_MAKERS = f"""WITH {L3_BASE}
+SELECT i AS arrival, {sym('sym')} AS symbol, CAST(oid AS VARCHAR) AS order_id,
+       'unknown_maker' AS reason
+FROM d3 WHERE typ = 'match' AND NOT (life > 0 AND dead = 0)"""
+
 # ---------------------------------------------------------------- gate
 GATE_ARR = f"""{L3_FEED},
 cnt AS (
@@ -311,6 +330,20 @@ SEQ_COUNTS = f"""WITH {GATE_ARR}
 SELECT verdict, count(*) AS n FROM gate GROUP BY verdict"""
 
 
+# what the gate accepts, by the type of the feed's message, and level-2
+# messages (one per event), which bypass the gate
+MIXED_GATED = f"""WITH {GATE_ARR},
+taken AS (
+  SELECT CASE WHEN g.snap = 1 THEN 'l3snapshot' WHEN f.typ = 'received' THEN 'received'
+              WHEN f.typ = 'match' THEN 'trade' WHEN f.typ = 'activate' THEN 'ignored'
+              ELSE 'l3' END AS route, g.verdict
+  FROM gate g LEFT JOIN feed f ON g.snap = 0 AND f.sym = g.sym AND f.seq = g.seq
+  WHERE g.verdict IN ('ok', 'snapshot')),
+passed AS (SELECT route, 'bypass' AS verdict FROM (SELECT 'l2' AS route FROM events) q)
+SELECT route, verdict, count(*) AS n
+FROM (SELECT * FROM taken UNION ALL SELECT * FROM passed) u GROUP BY route, verdict"""
+
+
 # L3 behind the gate: snapshots hold the symbol's live orders of the ungapped book at the
 # snapshot's sequence; they enter as opens in the new epoch; other rows only when ok.
 _GATED_ROWS = """snaps AS (SELECT a, sym, seq AS sseq, epoch FROM gate WHERE snap = 1),
@@ -386,6 +419,8 @@ def all_sql() -> dict[str, str]:
         "feeds_union": FEEDS_UNION,
         "l2_book": L2_BOOK,
         "l2_deltas": L2_DELTAS,
+        "l2_deltas_chunked": L2_DELTAS,
+        "two_venue_book": TWO_VENUE_BOOK,
         "l2_depth": L2_DEPTH,
         "l2_summary": L2_SUMMARY,
         "book_record": BOOK_RECORD,
@@ -394,10 +429,15 @@ def all_sql() -> dict[str, str]:
         "l3_feed_types": L3_FEED_TYPES,
         "l3_book": L3_BOOK,
         "l3_deltas": L3_DELTAS,
+        "l3_deltas_chunked": L3_DELTAS,
+        "unknown_makers": UNKNOWN_MAKERS,
+        "rejects_all": REJECTS_ALL,
         "l3_levels": L3_LEVELS,
         "l3_stream": L3_DELTAS,
         "trades_with_order_type": TRADES_WITH_ORDER_TYPE,
         "seq_verdicts": SEQ_VERDICTS,
+        "seq_verdicts_chunked": SEQ_VERDICTS,
+        "mixed_gated": MIXED_GATED,
         "seq_gaps": SEQ_GAPS,
         "seq_counts": SEQ_COUNTS,
         "seq_stream": SEQ_VERDICTS,

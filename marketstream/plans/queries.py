@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marketstream.operators import gate as G
 from marketstream.operators import l2 as L2
 from marketstream.operators import l3 as L3
+from marketstream.operators.normalize import bad_numbers
 from marketstream.operators.normalize import products as build_products
 from marketstream.operators.normalize import tickers as build_tickers
 from marketstream.operators.normalize import trades as build_trades
@@ -45,11 +46,9 @@ def trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     work = fresh_dir(spark, "trades-stream")
     landing, table, ckpt = (os.path.join(work, p) for p in ("landing", "table", "checkpoint"))
-    (trade_record(spark, sf_dir).select("value").repartition(8)
-     .write.mode("overwrite").text(landing))
+    trade_record(spark, sf_dir).select("value").write.mode("overwrite").text(landing)
     stream = read_topic(spark, {}, fmt="text", path=landing, max_files=2)
-    q = start_trades_stream(decode_trades(stream), table, ckpt, available_now=True,
-                            files_per_batch=1)
+    q = start_trades_stream(decode_trades(stream), table, ckpt, available_now=True)
     q.awaitTermination()
     name = "trades_" + os.path.basename(work).replace("-", "_")
     return read_trades_table(spark, table, name=name)
@@ -114,7 +113,24 @@ def _l2(spark, sf_dir):
 
 
 def l2_book(spark, sf_dir):
-    return _l2(spark, sf_dir)["book"]
+    return _l2(spark, sf_dir)["book"].drop("exchange")
+
+
+#: Rows per chunk in the ``*_chunked`` queries: small, so that every scan carries state.
+SMALL_CHUNK = 512
+
+
+def l2_deltas_chunked(spark, sf_dir):
+    """``l2_deltas`` over chunks of SMALL_CHUNK arrivals (same rows)."""
+    out = L2.build_l2(parse_messages(feeds.l2_feed(spark, sf_dir)), SMALL_CHUNK)["deltas"]
+    return out.select("arrival", "symbol", "side", "price", "amount", "ts")
+
+
+def two_venue_book(spark, sf_dir):
+    """Two venues that send the same level-2 feed: a book for each, under one plan."""
+    raw = feeds.l2_feed(spark, sf_dir)
+    both = parse_messages(raw).unionByName(parse_messages(raw, exchange="BITSTAMP"))
+    return L2.build_l2(both)["book"]
 
 
 def l2_deltas(spark, sf_dir):
@@ -123,12 +139,12 @@ def l2_deltas(spark, sf_dir):
 
 def l2_depth(spark, sf_dir, depth: int = 10):
     from marketstream.operators.book import depth as book_depth
-    return book_depth(_l2(spark, sf_dir)["book"], depth)
+    return book_depth(_l2(spark, sf_dir)["book"], depth).drop("exchange")
 
 
 def l2_summary(spark, sf_dir):
     from marketstream.operators.book import summary
-    return summary(_l2(spark, sf_dir)["book"])
+    return summary(_l2(spark, sf_dir)["book"]).drop("exchange")
 
 
 def l2_rejects(spark, sf_dir):
@@ -160,7 +176,7 @@ def l3_feed_types(spark, sf_dir):
 
 
 def l3_book(spark, sf_dir):
-    return _l3(spark, sf_dir)["book"]
+    return _l3(spark, sf_dir)["book"].drop("exchange")
 
 
 def l3_deltas(spark, sf_dir):
@@ -169,7 +185,33 @@ def l3_deltas(spark, sf_dir):
 
 
 def l3_levels(spark, sf_dir):
-    return _l3(spark, sf_dir)["levels"]
+    return _l3(spark, sf_dir)["levels"].drop("exchange")
+
+
+def l3_deltas_chunked(spark, sf_dir):
+    """``l3_deltas`` over chunks of SMALL_CHUNK arrivals (same rows)."""
+    msgs = L3.with_epoch(parse_messages(feeds.l3_feed(spark, sf_dir)), SMALL_CHUNK)
+    return L3.build_l3(msgs, SMALL_CHUNK)["deltas"].select(
+        "arrival", "symbol", "side", "price", "order_id", "size", "sequence", "ts")
+
+
+def unknown_makers(spark, sf_dir):
+    """Matches on makers that are not on the book."""
+    return L3.unknown_makers(_l3(spark, sf_dir)["states"])
+
+
+def rejects_all(spark, sf_dir):
+    """Every kind of unusable message in one feed, counted by source and reason;
+    none of them stops the query."""
+    p = parse_messages(feeds.reject_feed(spark, sf_dir))
+    l3 = L3.build_l3(L3.with_epoch(p))
+    parts = [("message", build_invalid(p)), ("number", bad_numbers(p)),
+             ("l2", L2.build_l2(p)["rejects"]), ("l3", L3.l3_rejects(l3["rows"], l3["states"]))]
+    out = None
+    for source, rows in parts:
+        rows = rows.select(F.lit(source).alias("source"), "reason")
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def trades_with_order_type(spark, sf_dir):
@@ -199,6 +241,22 @@ def seq_counts(spark, sf_dir):
     return _verdicts(spark, sf_dir).groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
+def seq_verdicts_chunked(spark, sf_dir):
+    """``seq_verdicts`` over chunks of SMALL_CHUNK arrivals (same rows)."""
+    v = G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir)), SMALL_CHUNK)
+    return v.select(F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol",
+                    "sequence", F.col("snap").cast("long").alias("snap"), "epoch", "verdict")
+
+
+def mixed_gated(spark, sf_dir):
+    """A gated feed together with level-2 messages: what the gate accepts and what bypasses
+    it, counted by route and verdict."""
+    p = parse_messages(feeds.gapped_feed(spark, sf_dir)).unionByName(
+        parse_messages(feeds.l2_feed(spark, sf_dir)))
+    return (G.gate_and_route(p).groupBy("route", "verdict")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _gated_l3(spark, sf_dir):
     """L3 behind the gate: the gapped feed with order-carrying snapshots; only ok
     messages and the snapshots reach the book, each snapshot starting a new epoch."""
@@ -209,7 +267,7 @@ def _gated_l3(spark, sf_dir):
 
 def l3_gated_book(spark, sf_dir):
     states, acc = _gated_l3(spark, sf_dir)
-    return L3.l3_book(states, acc.select("symbol", "epoch"))
+    return L3.l3_book(states, acc.select("exchange", "symbol", "epoch")).drop("exchange")
 
 
 def l3_gated_deltas(spark, sf_dir):
@@ -299,6 +357,8 @@ def _registry() -> dict[str, Query]:
         "feeds_union": feeds_union,
         "l2_book": l2_book,
         "l2_deltas": l2_deltas,
+        "l2_deltas_chunked": l2_deltas_chunked,
+        "two_venue_book": two_venue_book,
         "l2_depth": l2_depth,
         "l2_summary": l2_summary,
         "book_record": book_record,
@@ -307,8 +367,13 @@ def _registry() -> dict[str, Query]:
         "l3_book": l3_book,
         "l3_deltas": l3_deltas,
         "l3_levels": l3_levels,
+        "l3_deltas_chunked": l3_deltas_chunked,
+        "unknown_makers": unknown_makers,
+        "rejects_all": rejects_all,
         "trades_with_order_type": trades_with_order_type,
         "seq_verdicts": seq_verdicts,
+        "seq_verdicts_chunked": seq_verdicts_chunked,
+        "mixed_gated": mixed_gated,
         "seq_gaps": seq_gaps,
         "seq_counts": seq_counts,
         "l3_gated_book": l3_gated_book,

@@ -13,10 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 CHUNK_ROWS_CONF = "marketstream.scan.chunkRows"
 DEFAULT_CHUNK_ROWS = 1 << 20
 
-# Largest dimension table (products, symbols) we broadcast; beyond it a shuffle join.
-BROADCAST_ROWS_CONF = "marketstream.broadcast.maxRows"
-DEFAULT_BROADCAST_ROWS = 100_000
-
 
 def build_session(cpus: int | str = "*", app: str = "marketstream",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -74,8 +70,7 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint) and go on
-    from there: later plans stay small, and a lost executor does not replay the lineage.
-    The partitioning of ``df`` is kept, so a following join on it does not reshuffle."""
+    from there: later plans stay small, and a lost executor does not replay the lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

@@ -101,6 +101,39 @@ def routing_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(b, fields)
 
 
+def reject_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that no handler can use, by i%10: a snapshot with a short level, a bad and a
+    short change, a bad ticker, a bad trade, a bad order change, an order without an id, a
+    match on an unknown maker, broken JSON, and (9) a change with an empty price, which is
+    ignored."""
+    b = base(spark, sf_dir)
+    i = F.col("i")
+    m = i % 10
+    at = lambda *ks: m.isin(*ks)
+    types = ["snapshot", "l2update", "l2update", "ticker", "match", "change", "open", "match",
+             "open", "change"]
+    typ = F.element_at(F.array(*map(F.lit, types)), (m + 1).cast("int"))
+    one, oid = F.lit("1"), F.concat(F.lit("o"), _s(i))
+    fields = {
+        "type": typ, "product_id": symbol_of("user_id"), "sequence": i, "time": iso_time("ts"),
+        "bids": F.when(at(0), F.array(F.array(_s("k"), one))),
+        "asks": F.when(at(0), F.array(F.array(F.lit("5")))),
+        "changes": F.when(at(1), F.array(F.array(F.lit("buy"), F.lit("abc"), one)))
+        .when(at(2), F.array(F.array(F.lit("buy")))),
+        "best_bid": F.when(at(3), F.lit("x")), "best_ask": F.when(at(3), one),
+        "side": F.lit("buy"),
+        "price": F.when(at(9), F.lit("")).when(~at(0, 1, 2), one),
+        "size": F.when(at(4), F.lit("bad")).when(at(7), one),
+        "trade_id": F.when(at(4, 7), i),
+        "maker_order_id": F.when(at(4, 7), F.concat(F.lit("m"), _s(i))),
+        "order_id": F.when(at(5, 9), oid),
+        "new_size": F.when(at(5), F.lit("zz")).when(at(9), one),
+        "remaining_size": F.when(at(6), one),
+    }
+    return _raw(b, fields).withColumn("value", F.when(F.col("arrival") % 10 == 8, "{broken")
+                                      .otherwise(F.col("value")))
+
+
 # ---------------------------------------------------------------- level 2
 def l2_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``l2update`` (one change) per event, and a five-level ``snapshot`` at every

@@ -72,12 +72,11 @@ def dedupe_trades(decoded: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def start_trades_stream(decoded: DataFrame, table_path: str, checkpoint: str,
-                        processing_time: str | None = "1 minute", available_now: bool = False,
-                        files_per_batch: int | None = None):
+                        processing_time: str | None = "1 minute", available_now: bool = False):
     """ST1/S4/S15: append-mode micro-batches into the trades table through an
     idempotent ``foreachBatch``; the checkpoint is the restart point."""
     w = (decoded.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: append_batch(df, bid, table_path, files_per_batch)))
+         .foreachBatch(lambda df, bid: append_batch(df, bid, table_path)))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:

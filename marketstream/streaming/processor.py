@@ -1,7 +1,7 @@
 """ST2-ST9: the live per-symbol book as one stateful operator.
 
-``groupBy("symbol").transformWithStateInPandas(BookProcessor(...))`` keeps, per symbol,
-the sequence gate, the level-2 book, the level-3 orders and the remembered order types
+``groupBy("exchange", "symbol").transformWithStateInPandas(BookProcessor(...))`` keeps, per venue
+and symbol, the sequence gate, the level-2 book, the level-3 orders and the remembered order types
 in the state store (RocksDB), and emits the same rows the batch operators compute:
 gate verdicts, L2 deltas, L3 deltas, trades with their order type, quarantined rows.
 
@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 
 OUTPUT = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("arrival", T.LongType()),
-    T.StructField("sub", T.LongType()), T.StructField("symbol", T.StringType()),
+    T.StructField("sub", T.LongType()),
+    T.StructField("exchange", T.StringType()), T.StructField("symbol", T.StringType()),
     T.StructField("epoch", T.LongType()), T.StructField("verdict", T.StringType()),
     T.StructField("sequence", T.LongType()), T.StructField("snap", T.BooleanType()),
     T.StructField("side", T.StringType()), T.StructField("price", T.StringType()),
@@ -37,9 +38,12 @@ OUTPUT = T.StructType([
 _COLS = [f.name for f in OUTPUT.fields]
 
 # columns the processor reads (see ``book_stream``)
-INPUT_COLUMNS = ["arrival", "symbol", "route", "type", "sequence", "ts", "side", "price",
+INPUT_COLUMNS = ["arrival", "exchange", "symbol", "route", "type", "sequence", "ts", "side", "price",
                  "size", "remaining_size", "new_size", "order_id", "order_type",
                  "maker_order_id", "taker_order_id", "trade_id", "bids", "asks", "changes"]
+# nullable integers: they come as text, for pandas would make floats of them
+INTEGERS = ["sequence", "ts", "trade_id"]
+
 
 def _arr_of(*fields: str) -> T.ArrayType:
     return T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
@@ -76,6 +80,11 @@ def _arr(x) -> list:
     return [] if x is None else list(x)
 
 
+def _at(x, k: int):
+    """Entry ``k`` of a price level or order, None where it is too short or null."""
+    return x[k] if x is not None and len(x) > k else None
+
+
 def _none(x):
     if x is None:
         return None
@@ -119,7 +128,6 @@ class BookProcessor(StatefulProcessor):
     # ------------------------------------------------------------------ driver
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values("arrival", kind="stable")
-        symbol = key[0]
         m = self.state.get() if self.state.exists() else None
         self.epoch, self.last, self.lost, self.l2_epoch = (
             (int(m[0]), None if m[1] is None else int(m[1]), bool(m[2]), int(m[3]))
@@ -128,18 +136,21 @@ class BookProcessor(StatefulProcessor):
         self.l3 = _Table(m[5] if m is not None else None, 1)
         self.types = _Table(m[6] if m is not None else None, 1)
         self.out: list[tuple] = []
-        self.symbol = symbol
+        self.exchange, self.symbol = key
         for r in pdf.to_dict("records"):
-            self._apply({k: v if k in ("bids", "asks", "changes") else _none(v)
-                         for k, v in r.items()})
+            r = {k: v if k in ("bids", "asks", "changes") else _none(v) for k, v in r.items()}
+            for k in INTEGERS:
+                r[k] = None if r.get(k) is None else int(r[k])
+            self._apply(r)
         self.state.update((self.epoch, self.last, self.lost, self.l2_epoch,
                            self.l2.rows(), self.l3.rows(), self.types.rows()))
         if self.out:
-            yield pd.DataFrame(self.out, columns=_COLS)
+            yield pd.DataFrame(self.out, columns=_COLS, dtype=object)    # exact integers
 
     def _emit(self, kind, r, sub=0, **kw):
         row = dict.fromkeys(_COLS)
-        row.update(kind=kind, arrival=int(r["arrival"]), sub=sub, symbol=self.symbol,
+        row.update(kind=kind, arrival=int(r["arrival"]), sub=sub,
+                   exchange=self.exchange, symbol=self.symbol,
                    epoch=self.epoch, ts=None if r.get("ts") is None else int(r["ts"]))
         row.update(kw)
         self.out.append(tuple(row[c] for c in _COLS))
@@ -176,6 +187,9 @@ class BookProcessor(StatefulProcessor):
             self._l2(r)
         elif route == "l3" and self.keep_l3:
             self._l3(r)
+        elif route == "l3":
+            if r.get("type") == "done" and r.get("order_id") is not None:
+                self.types.pop((r["order_id"],))     # forgotten also without L3 upkeep
         elif route == "received":
             if r.get("order_id") is not None:
                 self.types.put((r["order_id"],), (r.get("order_type"),))
@@ -190,16 +204,16 @@ class BookProcessor(StatefulProcessor):
             levels = [("bid", x) for x in _arr(r.get("bids"))] + \
                      [("ask", x) for x in _arr(r.get("asks"))]
             for side, lv in levels:
-                p, a = _dec(lv[0]), _dec(lv[1])
+                p, a = _dec(_at(lv, 0)), _dec(_at(lv, 1))
                 if p is None or a is None:
                     self._emit("reject", r, verdict="bad_number")
                     continue
                 self.l2.put((side, _txt(p)), (_txt(a),))
             return
         for pos, ch in enumerate(_arr(r.get("changes"))):
-            side = "bid" if ch[0] == "buy" else "ask"
-            p, a = _dec(ch[1]), _dec(ch[2])
-            if p is None or a is None:
+            side = "bid" if _at(ch, 0) == "buy" else "ask"
+            p, a = _dec(_at(ch, 1)), _dec(_at(ch, 2))
+            if p is None or a is None or _at(ch, 0) is None:
                 self._emit("reject", r, sub=pos, verdict="bad_number")
                 continue
             if self.l2_epoch == 0:
@@ -222,12 +236,14 @@ class BookProcessor(StatefulProcessor):
         entries = [("bid", x) for x in _arr(r.get("bids"))] + \
                   [("ask", x) for x in _arr(r.get("asks"))]
         for i, (side, e) in enumerate(entries):
-            p, s = _dec(e[0]), _dec(e[1])
-            if p is None or s is None or len(e) < 3 or e[2] is None:
+            p, s, oid = _dec(_at(e, 0)), _dec(_at(e, 1)), _at(e, 2)
+            if p is None or s is None or oid is None:
+                self._emit("reject", r, sub=i + 1, verdict="no_order_id" if p is not None
+                           and s is not None else "bad_number")
                 continue
-            self.l3.put((e[2],), (side, _txt(p), _txt(s), "1"))
+            self.l3.put((oid,), (side, _txt(p), _txt(s), "1"))
             self._emit("l3delta", r, sub=i + 1, side=side, price=_txt(p), size=_txt(s),
-                       order_id=e[2], sequence=r.get("sequence"), verdict="open")
+                       order_id=oid, sequence=r.get("sequence"), verdict="open")
 
     def _tracked(self, oid):
         """The order's (side, price, size) if it is on the book and still tracked."""
@@ -245,8 +261,12 @@ class BookProcessor(StatefulProcessor):
             if r.get("price") is None:          # untrack only; the book entry stays
                 self.l3.put((oid,), cur[:3] + ("0",))
                 return
+            p = _dec(r["price"])
+            if p is None:                       # not applied, as in batch
+                self._emit("reject", r, verdict="bad_number", order_id=oid)
+                return
             self.l3.pop((oid,))
-            self._emit("l3delta", r, side=side, price=_txt(_dec(r["price"])), size="0",
+            self._emit("l3delta", r, side=side, price=_txt(p), size="0",
                        order_id=oid, sequence=r.get("sequence"), verdict="done")
             return
         if t == "open":
@@ -287,6 +307,9 @@ class BookProcessor(StatefulProcessor):
                     self.l3.put((maker,), (side, _txt(p), _txt(left), "1"))
                     self._emit("l3delta", r, side=side, price=_txt(p), size=_txt(left),
                                order_id=maker, sequence=r.get("sequence"), verdict="match")
+        if _dec(r.get("price")) is None or _dec(r.get("size")) is None:
+            self._emit("reject", r, verdict="bad_number", order_id=taker)
+            return
         typ = self.types.get((taker,)) if taker is not None else None
         self._emit("trade", r, side="sell" if r.get("side") == "buy" else "buy",
                    price=r.get("price"), size=r.get("size"),

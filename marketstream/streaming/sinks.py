@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketstream.functions import exchange as venue
 from marketstream.schemas import TRADES_TABLE_COLUMNS, TRADES_TABLE_DDL
 
 TRADE_TOPIC = "trade"        # default topics of the trade and book sinks
@@ -40,22 +41,25 @@ def trade_records(trades: DataFrame, none_to: str | None = None) -> DataFrame:
 
 
 def book_records(book: DataFrame, last: DataFrame | None = None, depth: int | None = None) -> DataFrame:
-    """An L2 book (symbol, side, price, amount) -> one record per symbol with
+    """An L2 book (exchange, symbol, side, price, amount) -> one record per book with
     ``bid`` best-first (price descending) and ``ask`` ascending, each an array of
     {price, size}, optionally capped at ``depth`` levels.  ``last`` may give
-    (symbol, ts, receipt_ts) of the book's last change.  One record holds one symbol's
+    (exchange, symbol, ts, receipt_ts) of the book's last change.  One record holds one symbol's
     book -- bounded by its price levels, not by the number of messages."""
     entry = F.struct(F.col("price"), F.col("amount").alias("size"))
-    sides = book.groupBy("symbol").agg(
+    if "exchange" not in book.columns:      # the book of one venue
+        book = book.withColumn("exchange", venue())
+    if last is not None and "exchange" not in last.columns:
+        last = last.withColumn("exchange", venue())
+    sides = book.groupBy("exchange", "symbol").agg(
         F.sort_array(F.collect_list(F.when(F.col("side") == "bid", entry)), asc=False).alias("bid"),
         F.sort_array(F.collect_list(F.when(F.col("side") == "ask", entry)), asc=True).alias("ask"))
     if depth is not None:
-        sides = sides.select("symbol", F.slice("bid", 1, depth).alias("bid"),
+        sides = sides.select("exchange", "symbol", F.slice("bid", 1, depth).alias("bid"),
                              F.slice("ask", 1, depth).alias("ask"))
-    out = sides.withColumn("exchange", F.lit("COINBASE"))
     if last is not None:
-        out = out.join(last, "symbol", "left")
-    return out
+        sides = sides.join(last, ["exchange", "symbol"], "left")
+    return sides
 
 
 def book_record_json(records: DataFrame) -> DataFrame:
@@ -115,13 +119,12 @@ def create_trades_table(spark: SparkSession, name: str, location: str | None = N
                   + (f" LOCATION '{location}'" if location else ""))
 
 
-def append_batch(df: DataFrame, batch_id: int, path: str, files_per_batch: int | None = None):
+def append_batch(df: DataFrame, batch_id: int, path: str):
     """S4 + ST10: write one micro-batch into ``path/batch_id=N``, replacing what a
     failed earlier attempt of the same batch left -- a replay adds nothing.  Rows are
-    range-partitioned and sorted by (symbol, ts), the clustering of the table."""
-    out = df.select(*TRADES_TABLE_COLUMNS)
-    if files_per_batch:
-        out = out.repartitionByRange(files_per_batch, "symbol", "ts")
+    range-partitioned (in as many parts as the session's shuffle and AQE choose) and
+    sorted by (symbol, ts), the clustering of the table."""
+    out = df.select(*TRADES_TABLE_COLUMNS).repartitionByRange("symbol", "ts")
     (out.sortWithinPartitions("symbol", "ts")
      .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
 
