@@ -338,6 +338,9 @@ def replaced(docs: DataFrame, key: bytes, text_col: str = "text",
 def op9_pii(spark, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms, and how many values of each kind were replaced."""
     out = pseudonymised(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long")
-              .alias(f"n_{k}") for k in KINDS]
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{k}") for k in KINDS]
     return out.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), *counts)

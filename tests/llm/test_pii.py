@@ -6,7 +6,8 @@ import re
 from hypothesis import given
 from hypothesis import strategies as st
 
-from marketstream.llm.pii import Feistel, Pseudonyms, luhn_digit, pseudonymised, replaced
+from marketstream.llm.pii import (DEMO_KEY, KINDS, Feistel, Pseudonyms, luhn_digit, op9_pii,
+                                  pseudonymised, replaced)
 
 KEY = b"a key"
 NAMES = Pseudonyms(KEY)
@@ -63,6 +64,20 @@ def test_what_is_not_personal_stays():
         assert NAMES.replace(text) == (text, [])
 
 
+def test_query_against_plain_loops(spark, documents):
+    from conftest import SF
+
+    names = Pseudonyms(DEMO_KEY)
+    old = {r.doc_id: r.text for r in documents.collect()}
+    rows = op9_pii(spark, SF).collect()
+    assert len(rows) == len(old)
+    for r in rows:
+        text, found = names.replace(old[r.doc_id])
+        assert r.text == text and r.n_found == len(found)
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(f[0] == k for f in found) for k in KINDS]
+    assert sum(r.n_found for r in rows) > 0
+
+
 def test_odd_rows_and_none(odd, none):
     rows = pseudonymised(odd, KEY).collect()
     assert sorted((r.doc_id or -1, r.text or "") for r in rows) == sorted(
