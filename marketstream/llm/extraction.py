@@ -239,7 +239,10 @@ def deduce(pages: DataFrame) -> DataFrame:
     hosts = (tokens.where("kind = 'page'")
              .select("host", F.col("pages").alias("of"), F.col("mass").alias("whole"))
              .where(F.col("of") >= LEAST_PAGES))
-    wide = tokens.where("kind <> 'page'").join(hosts, "host").where("2 * pages >= of")
+    # half of LEAST_PAGES pages or more, before anything is dealt by host: most tokens are
+    # texts of a single page
+    several = tokens.where((F.col("kind") != "page") & (2 * F.col("pages") >= LEAST_PAGES))
+    wide = several.join(hosts, "host").where("2 * pages >= of")
     # at least half of the pages: at most twice as many tokens per host as a page has
     classes = (wide.groupBy("host", "v1", "v2")
                .agg(F.count(F.lit(1)).alias("size"),
