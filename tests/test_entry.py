@@ -39,7 +39,9 @@ def con():
 
 @pytest.mark.parametrize("name", ["tickers", "route_counts", "trades_normalised", "l2_book",
                                   "l2_deltas", "book_record", "l3_book", "seq_verdicts",
-                                  "trades_with_order_type", "l3_gated_book"])
+                                  "trades_with_order_type", "l3_gated_book", "l2_deltas_chunked",
+                                  "two_venue_book", "l3_deltas_chunked", "unknown_makers",
+                                  "rejects_all", "seq_verdicts_chunked", "mixed_gated"])
 def test_query_equals_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows, scols = df.collect(), df.columns
