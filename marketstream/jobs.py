@@ -15,11 +15,14 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketstream.operators.normalize import bad_numbers
 from marketstream.operators.normalize import trades as normalise_trades
 from marketstream.operators.parse import invalid_messages, parse_messages
 from marketstream.schemas import RAW_FEED
-from marketstream.streaming.consumer import decode_trades, dedupe_trades, read_topic, start_trades_stream
-from marketstream.streaming.sinks import BOOK_TOPIC, TRADE_TOPIC, fan_out, kafka_options, trade_records
+from marketstream.streaming.consumer import (decode_trades, dedupe_trades, read_topic,
+                                             start_trades_stream, start_trades_with_rejects)
+from marketstream.streaming.sinks import (BOOK_TOPIC, TRADE_TOPIC, fan_out, kafka_options,
+                                          trade_records, write_records)
 
 
 def raw_stream(spark: SparkSession, a) -> DataFrame:
@@ -44,30 +47,40 @@ def _start(writer, a):
 
 
 def trades_to_table(spark: SparkSession, a):
-    """Trade topic -> 9-column trades table (idempotent per micro-batch)."""
+    """Trade topic -> 9-column trades table and, beside it, a quarantine of the records that
+    are no trade (both idempotent per micro-batch).  Landed topics are text, or
+    (``--format parquet``) what ``venue_to_topics`` writes.  With ``--dedupe`` the decoded
+    trades alone are streamed, without the quarantine."""
     opts = kafka_options(a.bootstrap, a.user, a.password) if a.source == "kafka" else {}
-    fmt = "kafka" if a.source == "kafka" else "text"
-    decoded = decode_trades(read_topic(spark, opts, topic=a.topic or TRADE_TOPIC, fmt=fmt,
-                                       path=a.input, max_per_trigger=a.max_per_trigger,
-                                       max_files=a.max_files))
-    if a.dedupe:
-        decoded = dedupe_trades(decoded, a.dedupe_delay)
+    fmt = "kafka" if a.source == "kafka" else a.format
+    records = read_topic(spark, opts, topic=a.topic or TRADE_TOPIC, fmt=fmt, path=a.input,
+                         max_per_trigger=a.max_per_trigger, max_files=a.max_files)
+    if not a.dedupe:
+        return start_trades_with_rejects(records, a.table_path, f"{a.table_path}-quarantine",
+                                         a.checkpoint, a.trigger, a.available_now)
+    decoded = dedupe_trades(decode_trades(records), a.dedupe_delay)
     return start_trades_stream(decoded, a.table_path, a.checkpoint,
                                processing_time=a.trigger, available_now=a.available_now)
 
 
 def venue_to_topics(spark: SparkSession, a):
-    """Raw venue messages -> trade records + quarantine, written by one foreachBatch
-    that computes each micro-batch once (S6, S8, S14)."""
+    """Raw venue messages -> trade topic (Kafka, or files) + quarantine of unusable messages
+    and unparsable numbers, written by one foreachBatch that computes each micro-batch
+    once (S6, S8, S14)."""
     parsed = parse_messages(raw_stream(spark, a))
 
     def sink(batch: DataFrame, batch_id: int):
         def trades(df, bid):
             recs = trade_records(normalise_trades(df))
-            recs.write.mode("overwrite").parquet(f"{a.out}/{TRADE_TOPIC}/batch_id={bid}")
+            if a.source == "kafka":            # at least once: a replayed batch is sent again
+                write_records(recs, a.sink_topic, options=kafka_options(a.bootstrap, a.user,
+                                                                        a.password))
+            else:
+                recs.write.mode("overwrite").parquet(f"{a.out}/{TRADE_TOPIC}/batch_id={bid}")
 
         def quarantine(df, bid):
-            invalid_messages(df).write.mode("overwrite").parquet(f"{a.out}/quarantine/batch_id={bid}")
+            (invalid_messages(df).unionByName(bad_numbers(df))
+             .write.mode("overwrite").parquet(f"{a.out}/quarantine/batch_id={bid}"))
 
         fan_out(batch, batch_id, [trades, quarantine])
 
@@ -98,6 +111,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--bootstrap"), p.add_argument("--user"), p.add_argument("--password")
     p.add_argument("--topic", default=None)
+    p.add_argument("--sink-topic", default=TRADE_TOPIC)
+    p.add_argument("--format", choices=["text", "parquet"], default="text",
+                   help="of a landed trade topic")
     p.add_argument("--max-per-trigger", type=int, default=10_000)
     p.add_argument("--max-files", type=int, default=1)
     p.add_argument("--trigger", default="1 minute")

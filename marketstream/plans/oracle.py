@@ -410,6 +410,7 @@ def all_sql() -> dict[str, str]:
         "trades_table": TRADES_TABLE,
         "trades_stream": TRADES_TABLE,
         "trade_record": TRADE_RECORD,
+        "pipeline_trades": TRADES_TABLE,
         "tickers": TICKERS,
         "route_counts": ROUTE_COUNTS,
         "invalid_messages": INVALID_MESSAGES,

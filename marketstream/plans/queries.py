@@ -54,6 +54,23 @@ def trades_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_trades_table(spark, table, name=name)
 
 
+def pipeline_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Venue messages -> trade topic -> trades table, by the two jobs one after the other
+    over landed files; read back as the consumer's SQL does."""
+    from marketstream import jobs
+
+    work = fresh_dir(spark, "pipeline-trades")
+    at = {p: os.path.join(work, p) for p in ("venue", "topics", "table", "ck1", "ck2")}
+    feeds.trades_feed(spark, sf_dir).write.mode("overwrite").parquet(at["venue"])
+    drain = ["--available-now", "--max-files", "1000"]
+    jobs.main(["venue_to_topics", "--input", at["venue"], "--out", at["topics"],
+               "--checkpoint", at["ck1"], *drain], spark=spark)
+    jobs.main(["trades_to_table", "--input", os.path.join(at["topics"], "trade"), "--format",
+               "parquet", "--table-path", at["table"], "--checkpoint", at["ck2"], *drain],
+              spark=spark)
+    return read_trades_table(spark, at["table"])
+
+
 # ---------------------------------------------------------------- routing
 def _routed(spark, sf_dir):
     return parse_messages(feeds.routing_feed(spark, sf_dir))
@@ -348,6 +365,7 @@ def _registry() -> dict[str, Query]:
         "trades_table": trades_table,
         "trades_stream": trades_stream,
         "trade_record": trade_record,
+        "pipeline_trades": pipeline_trades,
         "tickers": tickers,
         "route_counts": route_counts,
         "invalid_messages": invalid_messages,

@@ -12,7 +12,7 @@ from marketstream.schemas import TRADE_RECORD, TRADES_TABLE_COLUMNS
 
 _WITH_CORRUPT = T.StructType(TRADE_RECORD.fields + [T.StructField("_corrupt", T.StringType())])
 from marketstream.operators.parse import parse_once
-from marketstream.streaming.sinks import append_batch
+from marketstream.streaming.sinks import append_batch, fan_out
 
 
 def read_topic(spark: SparkSession, options: dict[str, str], topic: str = "trade",
@@ -27,6 +27,8 @@ def read_topic(spark: SparkSession, options: dict[str, str], topic: str = "trade
                 .option("maxOffsetsPerTrigger", max_per_trigger).load()
                 .select(F.col("value").cast("string").alias("value")))       # F8
     r = spark.readStream.format(fmt).options(**options)
+    if fmt == "parquet":                       # a topic that the venue job wrote as files
+        r = r.schema("key string, value string")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path).select(F.col("value").cast("string").alias("value"))
@@ -59,6 +61,26 @@ def bad_trade_records(records: DataFrame) -> DataFrame:
         .select("value", F.lit("malformed").alias("reason"))
 
 
+def start_trades_with_rejects(records: DataFrame, table_path: str, quarantine_path: str,
+                              checkpoint: str, processing_time: str | None = "1 minute",
+                              available_now: bool = False):
+    """As ``start_trades_stream``, from the undecoded records: each micro-batch is read once
+    and goes to the table, and what is no trade goes to the quarantine, both idempotent."""
+    def write(batch: DataFrame, batch_id: int):
+        fan_out(batch, batch_id, [
+            lambda df, n: append_batch(decode_trades(df), n, table_path),
+            lambda df, n: (bad_trade_records(df).write.mode("overwrite")
+                           .parquet(f"{quarantine_path}/batch_id={n}"))])
+
+    w = (records.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(write))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def dedupe_trades(decoded: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """ST10 (optional, off by default): drop a trade delivered twice -- same exchange,
     symbol and trade id -- within ``delay`` of event time.  State is bounded by the
