@@ -40,7 +40,7 @@ _LOOKS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}"
               r"(?![A-Za-z0-9])"),
     ("secret", r"(?<![A-Za-z0-9_])(?:[A-Za-z0-9]{1,32}[_-])?"
-               r"(?:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)"
+               r"(?i:token|password|passwd|pwd|secret|api[_-]?key|access[_-]?key)"
                r"(?:[\"'][ ]?)?[ ]?[=:][ ]?[\"']?(?P<value>[A-Za-z0-9+/_.-]{6,}[A-Za-z0-9+/_-])"),
     ("secret", r"(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
                r"|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
