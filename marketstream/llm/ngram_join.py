@@ -34,7 +34,7 @@ LEAST_FRAGMENTS = 32
 SEGMENTS = 8                   # fragments that a comparison is summed over
 SLICE_BYTES = 6_000_000        # text hashed in one go inside a task
 BROADCAST_CLASSES = 300_000    # classes whose ids are broadcast to fetch their texts
-STARS = 4                      # rounds of stars at most before pairs are compared
+STARS = 2                      # rounds of stars at most before pairs are compared
 FEW = 4                        # pairs per token row that are compared without another star
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
