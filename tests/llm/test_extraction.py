@@ -3,7 +3,7 @@ from __future__ import annotations
 import html
 import re
 
-from conftest import SF
+from .conftest import SF
 
 from marketstream.llm.extraction import deduce, extracted, main_text, parse
 

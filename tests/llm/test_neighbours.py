@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
-from conftest import SF
+from .conftest import SF
 from pyspark.sql import functions as F
 
 from marketstream.llm import neighbours as N

@@ -65,7 +65,7 @@ def test_what_is_not_personal_stays():
 
 
 def test_query_against_plain_loops(spark, documents):
-    from conftest import SF
+    from .conftest import SF
 
     names = Pseudonyms(DEMO_KEY)
     old = {r.doc_id: r.text for r in documents.collect()}

@@ -1,9 +1,9 @@
 from __future__ import annotations
 
 import corpus_pipeline as C
-from conftest import SF
-from test_ngram_join import brute
-from test_packing import places
+from .conftest import SF
+from .test_ngram_join import brute
+from .test_packing import places
 
 from marketstream.llm.common import written
 from marketstream.llm.langid import fit as fit_languages

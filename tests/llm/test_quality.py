@@ -3,7 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from conftest import SF
+from .conftest import SF
 
 from marketstream.llm import quality as Q
 from marketstream.llm import rules as R
