@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.llm.common import arrow_map, table, texts, written
@@ -363,8 +363,8 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     label = _connected(_ordered(rows, hopeful))
     named = classes.join(label, "cid", "left").select(
         "fp1", "fp2", "rep", F.coalesce("label", "cid").alias("label"))
-    least = Window.partitionBy("label")
-    named = named.withColumn("component_id", F.min("rep").over(least))
+    least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    named = named.join(least, "label")
     # classes are fewer than rows; a class with very many copies is split by AQE
     return (sets.join(named, (sets["fp1"] == named["fp1"]) & (sets["fp2"] == named["fp2"])
                       & real, "left")
