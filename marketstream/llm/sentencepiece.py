@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, int_lists, texts
 
 BLANK = "▁"
-WORDS_KEPT = 120_000    # encoded words that a worker remembers, in each of two generations
+WORDS_KEPT = 240_000    # encoded words that a worker remembers, in each of two generations
 PAIRS_KEPT = 400_000    # pair checks that a worker remembers
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*")
 
