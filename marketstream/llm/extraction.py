@@ -8,9 +8,11 @@ several tokens and cover at least half of the host's pages are valid.  Nested by
 they are the host's template: its fixed texts, and the slots between its elements, of which
 the deepest one that carries most of the running text is the article's.
 
-A page's text is then what stands in its article slot (its own ``article`` or ``main``
-element if it has one, else the deduced slot, else the body), without template texts and
-without the parts that markup names as something else (navigation, forms, adverts ...).
+A page's text is then what stands in its deduced slot, without template texts, wherever they
+stand, and without the parts that markup names as something else (navigation, forms, adverts
+...).  ``article`` and ``main`` elements are evidence: inside one the slot narrows only to an
+element with nearly all of its text, and a wider slot narrows to a page's article.  Pages
+without a deduced slot are read from such an element, else from the body.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from marketstream.session import cut
 
 LEAST_PAGES = 4           # a host with fewer pages has no template
 SLOT_SHARE = 0.6          # of the running text, in the article's slot
+INNER_SHARE = 0.9         # of the text in article elements, in a slot inside one
 CLASS_TOKENS = 3          # tokens that a valid class holds at least
 BROADCAST_HOSTS = 20_000  # templates beyond this many hosts are joined by shuffle
 SALTS = 32                # for the pages of one host in that join
@@ -54,6 +57,7 @@ _READERS = frozenset("comment comments reply replies".split())
 # These are the article's own inside it.
 _OUTSIDE = frozenset(["header"])
 _ARTICLE = frozenset(["article", "main"])
+_HEADINGS = frozenset(["h1", "h2"])
 
 _TOKEN = re.compile(r"""
     <!--(?:.*?-->|.*\Z) | <!\[CDATA\[.*?(?:\]\]>|\Z) | <[!?][^>]*(?:>|\Z)
@@ -89,6 +93,9 @@ def _described(name: str, attrs: str) -> tuple[str, bool, bool]:
 
 
 class _Open:
+    """An open element; ``article`` is the number of the outermost article or main element
+    that it is in, or 0."""
+
     __slots__ = ("name", "path", "depth", "other", "article")
 
     def __init__(self, name, path, depth, other, article):
@@ -96,16 +103,18 @@ class _Open:
         self.other, self.article = other, article
 
 
-def parse(page: str) -> tuple[list[tuple[str, list[int], bool, bool]], dict[int, list[int]]]:
-    """A page's blocks in order -- (text, path of open elements from the root, inside an
-    article element, part of something else) -- and per path its depth, occurrences
-    and whether it can be a slot.
+def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict[int, list[int]]]:
+    """A page's blocks in order -- (text, path of open elements from the root, number of the
+    outermost article element it is in or 0, part of something else, a heading) -- and per
+    path its depth, occurrences, whether it can be a slot and whether it is inside an article
+    element.
 
     Any text is accepted: unknown or unclosed elements, stray ends and cut tags."""
     import xxhash
 
     blocks, elements, known = [], {}, {}
-    stack = [_Open("", 0, 0, False, False)]
+    stack = [_Open("", 0, 0, False, 0)]
+    articles = 0
     parts: list[str] = []
 
     def flush():
@@ -114,7 +123,8 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], bool, bool]], dict[int,
             parts.clear()
             if text:
                 top = stack[-1]
-                blocks.append((text, [o.path for o in stack[1:]], top.article, top.other))
+                blocks.append((text, [o.path for o in stack[1:]], top.article, top.other,
+                               top.name in _HEADINGS))
 
     pos = 0
     for m in _TOKEN.finditer(page):
@@ -151,12 +161,15 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], bool, bool]], dict[int,
         label, other, outside = got
         path = xxhash.xxh3_64_intdigest(label, seed=top.path) >> 1
         depth = top.depth + 1
-        article = top.article or name in _ARTICLE
+        article = top.article
+        if not article and name in _ARTICLE:
+            articles += 1
+            article = articles
         stack.append(_Open(name, path, depth, top.other or other or (outside and not article),
                            article))
         seen = elements.get(path)
         if seen is None:
-            elements[path] = [depth, 1, name not in _LEAF]
+            elements[path] = [depth, 1, name not in _LEAF, int(top.article > 0)]
         else:
             seen[1] += 1
     if pos < len(page):
@@ -172,7 +185,7 @@ def _text_token(path: list[int], text: str) -> int:
 
 
 _TOKENS = ("host string, kind string, token long, occ long, v1 long, v2 long, depth int, "
-           "mass long, pages long")
+           "mass long, inner long, pages long")
 
 
 def _page_tokens():
@@ -182,16 +195,17 @@ def _page_tokens():
     def step(b: pa.RecordBatch):
         sums: dict[tuple, list[int]] = {}
 
-        def add(host, kind, token, occ, h1, h2, depth, mass):
+        def add(host, kind, token, occ, h1, h2, depth, mass, inner):
             got = sums.get((host, kind, token))
             if got is None:
-                sums[host, kind, token] = [occ, occ * h1, occ * h2, depth, mass, 1]
+                sums[host, kind, token] = [occ, occ * h1, occ * h2, depth, mass, inner, 1]
             else:
                 got[0] += occ
                 got[1] += occ * h1
                 got[2] += occ * h2
                 got[4] += mass
-                got[5] += 1
+                got[5] += inner
+                got[6] += 1
 
         ids = b.column("id").to_pylist()
         for i, host, page in zip(ids, b.column("host").to_pylist(), texts(b, "html"), strict=True):
@@ -201,19 +215,21 @@ def _page_tokens():
             h1, h2 = h & 0x3FFFFFFF, h >> 34     # 30 bits each: sums stay far below 2**63
             blocks, elements = parse(page)
             mass: dict[int, int] = {}
-            total, fixed = 0, {}
-            for text, path, _, other in blocks:
+            total, inside, fixed = 0, 0, {}
+            for text, path, article, other, _ in blocks:
                 if not other:
                     total += len(text)
+                    inside += len(text) if article else 0
                     for p in dict.fromkeys(path):
                         mass[p] = mass.get(p, 0) + len(text)
                 t = _text_token(path, text)
                 fixed[t] = fixed.get(t, 0) + 1
-            add(host, "page", 0, 1, h1, h2, 0, total)
-            for p, (depth, occ, slot) in elements.items():
-                add(host, "element", p, occ, h1, h2, depth, mass.get(p, 0) if slot else 0)
+            # inner: the text in article elements, and per element inside one a number over 0
+            add(host, "page", 0, 1, h1, h2, 0, total, inside)
+            for p, (depth, occ, slot, inner) in elements.items():
+                add(host, "element", p, occ, h1, h2, depth, mass.get(p, 0) if slot else 0, inner)
             for t, occ in fixed.items():
-                add(host, "text", t, occ, h1, h2, 0, 0)
+                add(host, "text", t, occ, h1, h2, 0, 0, 0)
         if not sums:
             return None
         keys, vals = zip(*sums.items(), strict=True)
@@ -233,11 +249,12 @@ def deduce(pages: DataFrame) -> DataFrame:
     the article's slot, or null) and ``fixed`` (tokens of template texts)."""
     tokens = (arrow_map(pages, _page_tokens, _TOKENS)
               .groupBy("host", "kind", "token")
-              .agg(*[F.sum(c).alias(c) for c in ("occ", "v1", "v2", "mass", "pages")],
+              .agg(*[F.sum(c).alias(c) for c in ("occ", "v1", "v2", "mass", "inner", "pages")],
                    F.max("depth").alias("depth")))
     tokens = cut(tokens)
     hosts = (tokens.where("kind = 'page'")
-             .select("host", F.col("pages").alias("of"), F.col("mass").alias("whole"))
+             .select("host", F.col("pages").alias("of"), F.col("mass").alias("whole"),
+                     F.col("inner").alias("inside"))
              .where(F.col("of") >= LEAST_PAGES))
     # half of LEAST_PAGES pages or more, before anything is dealt by host: most tokens are
     # texts of a single page
@@ -250,7 +267,9 @@ def deduce(pages: DataFrame) -> DataFrame:
     valid = wide.join(classes.where((F.col("size") >= CLASS_TOKENS) & (F.col("elements") > 0)),
                       ["host", "v1", "v2"])
     once = (F.col("kind") == "element") & (F.col("occ") == F.col("pages"))
-    deep = F.when(once & (F.col("mass") >= SLOT_SHARE * F.col("whole")) & (F.col("whole") > 0),
+    nearly = (F.col("inner") == 0) | (F.col("mass") >= INNER_SHARE * F.col("inside"))
+    deep = F.when(once & nearly & (F.col("mass") >= SLOT_SHARE * F.col("whole"))
+                  & (F.col("whole") > 0),
                   F.struct("depth", "mass", "token"))
     return (valid.groupBy("host")
             .agg(F.max(deep)["token"].alias("slot"),
@@ -260,18 +279,25 @@ def deduce(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str, slot: int | None, fixed) -> str:
     """The article's blocks of one page, one per line."""
-    blocks, _ = parse(page)
-    own = any(article and not other for _, _, article, other in blocks)
-    slotted = not own and slot is not None and any(
-        slot in path and not other for _, path, _, other in blocks)
-    out = []
-    for text, path, article, other in blocks:
-        if other or (own and not article) or (slotted and slot not in path):
-            continue
-        if not article and fixed and _text_token(path, text) in fixed:
-            continue
-        out.append(text)
-    return "\n".join(out)
+    blocks = [x for x in parse(page)[0] if not x[3]]
+    inside = [x for x in blocks if slot in x[1]] if slot is not None else []
+    slotted = bool(inside)
+    inside = inside or blocks
+    articles = {x[2] for x in inside if x[2]}
+    # a deduced slot gives way to the page's only article, or to several with most of its text
+    marked = [x for x in inside if x[2]]
+    own = bool(marked) and (not slotted or len(articles) == 1 or
+                            sum(len(x[0]) for x in marked)
+                            >= SLOT_SHARE * sum(len(x[0]) for x in inside))
+    # a heading stands before the slot in the same article
+    kept = [x for x in blocks if (not slotted or slot in x[1] or (x[4] and x[2] in articles))
+            and (x[2] or not own)]
+    if fixed:
+        new = [x for x in kept if _text_token(x[1], x[0]) not in fixed]
+        # an article of which every text is on most pages of its host is a copied page
+        if new or not own:
+            kept = new
+    return "\n".join(x[0] for x in kept)
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

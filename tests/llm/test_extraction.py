@@ -56,6 +56,41 @@ def test_template_of_a_host(spark):
     assert extracted(df.where("false")).collect() == []
 
 
+def texts_of(spark, pages):
+    rows = [(k, f"https://h.example.org/{k}", p) for k, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return [r.text.split("\n") for r in extracted(df).orderBy("page_id").collect()]
+
+
+def test_template_inside_article_elements(spark):
+    """Fixed texts and the slot decide there too; no class tells anything."""
+    for name in ("article", "main"):
+        pages = [f"<html><body><{name}><h1>Head {k}</h1><div class=qa><p>Offer {k}</p>"
+                 "<p>All texts are ours</p></div><div class=qb>"
+                 f"<p>{'long text of the page ' * 30}{k}</p><p>Write to us now</p><p>Part {k}</p>"
+                 f"</div></{name}></body></html>" for k in range(9)]
+        assert texts_of(spark, pages) == [
+            [f"Head {k}", f"{'long text of the page ' * 30}{k}", f"Part {k}"] for k in range(9)]
+
+
+def test_article_elements_beside_the_slot(spark):
+    """Cards in article elements are not the text; two parts of an article both are."""
+    cards = [f"<body><div class=qa><article><p>Card {k}</p></article><article><p>Other {k}</p>"
+             f"</article></div><div class=qb><h1>Head {k}</h1><p>{'long text ' * 30}{k}</p></div>"
+             for k in range(6)]
+    assert texts_of(spark, cards) == [[f"Head {k}", f"{'long text ' * 30}{k}"] for k in range(6)]
+    parts = [f"<body><div class=qa><p>Teaser {k}</p></div><article><div class=qb><p>Start {k} "
+             f"{'of it ' * 9}</p></div><div class=qc><p>{'long text ' * 9}{k}</p></div></article>"
+             for k in range(6)]
+    assert texts_of(spark, parts) == [[f"Start {k} {'of it ' * 9}".strip(), f"{'long text ' * 9}{k}"]
+                                      for k in range(6)]
+
+
+def test_copies_of_one_page_keep_their_article(spark):
+    page = "<body><article><p>one</p><p>two</p></article><p>more</p></body>"
+    assert texts_of(spark, [page] * 6) == [["one", "two"]] * 6
+
+
 def test_pages_against_their_articles(spark):
     df = spark.read.parquet(f"{SF}/pages.parquet")
     pages = {r.page_id: r.html for r in df.collect()}
