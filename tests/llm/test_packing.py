@@ -8,7 +8,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from marketstream.llm.packing import best_fit, lower_bound, pack, packed_documents, tokenised
+from marketstream.llm.packing import (best_fit, encoder, lower_bound, pack, packed_documents,
+                                      tokenised)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -85,3 +86,18 @@ def test_pieces_equal_the_tokenizers_library(documents, odd, none):
     assert packed_documents(none).collect() == []
     kept = tokenised(odd, RANKS, public_tokenizers.PATTERN, keep_ids=True).collect()
     assert all(len(r.ids) == r.length for r in kept)
+
+
+def test_ids_of_special_strings_and_long_white_space(spark):
+    """As the tokenizers library has them with its own settings."""
+    name = public_tokenizers.path("byte_bpe_50k.json")
+    lib, encode = Tokenizer.from_file(name), encoder(RANKS, name, public_tokenizers.PATTERN)
+    end = "<|endoftext|>"
+    odd = ["", end, f"a {end} b  {end}{end}\n", f"  {end}  ", "<|endoftext|", f"{end}s'{end}s"]
+    runs = [c * n for c in (" ", "\n", "\u3000") for n in (99_999, 100_000, 1_100_000)]
+    for t in [*odd, *runs, f"a{runs[2]}b {end}", f"{runs[5]}\x1c{end}", "x" * 1_100_000]:
+        assert encode(t) == lib.encode(t, add_special_tokens=False).ids
+    df = spark.createDataFrame([(1, f"a{end}b"), (2, f"a{runs[2]}b")], "doc_id long, text string")
+    for r in tokenised(df, RANKS, public_tokenizers.PATTERN, keep_ids=True).where("piece = 0").collect():
+        if r.doc_id == 1:
+            assert r.ids == [64, 50256, 65, 0]
