@@ -33,8 +33,9 @@ _HEX = "0123456789abcdef"
 
 KINDS = ["email", "secret", "iban", "card", "phone", "ssn", "ip", "date"]
 
-# Only texts with one of these can hold a match of _ANY.
-_MAYBE = re.compile(r"[0-9@=]")
+# Only texts with one of these can hold a match of _ANY: an e-mail has its @, a named secret
+# its = or :, a key its prefix, and the other kinds have digits.
+_MAYBE = re.compile(r"[0-9@=:]|AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-")
 # What a value of each kind looks like, tried in this order where one starts.
 _LOOKS = [
     ("email", r"(?<![A-Za-z0-9._%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}"
@@ -46,8 +47,10 @@ _LOOKS = [
                r"|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
     ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?"
              r"(?![A-Za-z0-9])"),
-    ("date", r"(?<![\w./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
-             r"|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4})(?![\w/-])(?!\.[0-9])"),
+    # an ISO date may be followed by its time
+    ("date", r"(?<![\w./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?=[Tt][0-9]{2}(?::?[0-9]{2}|(?!\w)))"
+             r"|(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+             r"|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4})(?![\w/-])(?!\.[0-9]))"),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"),
     ("card", r"(?<![\w.+-])[0-9]{13,19}(?![\w-]|\.[0-9])"),
     ("card", r"(?<![\w.+-])[0-9]{4}(?:[ -][0-9]{4}){3}(?![\w-]|\.[0-9])"),

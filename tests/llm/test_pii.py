@@ -64,6 +64,27 @@ def test_what_is_not_personal_stays():
         assert NAMES.replace(text) == (text, [])
 
 
+def test_secrets_of_letters_alone():
+    """In a text without a digit, with the pseudonym that they get beside one."""
+    keys = ["AKIA" + "ABCDEFGH" * 2, "ASIA" + "HGFEDCBA" * 2, "sk-" + "abcde" * 5,
+            "xoxb-abcdefghijkl", *(f"gh{c}_" + "abcdef" * 6 for c in "pousr")]
+    for secret in ["password: swordfish-hunter", "api_key : abcdefgh", *keys]:
+        for text in (f"the {secret} here", secret):
+            new, found = NAMES.replace(text)
+            assert [k for k, *_ in found] == ["secret"] and secret not in new, text
+            assert NAMES.replace(f"{text} 7")[0] == f"{new} 7"
+
+
+def test_dates_before_a_time():
+    day = NAMES.replace("1987-03-12")[0]
+    assert day != "1987-03-12"
+    for time in ("T10:15:00Z", "t10:15", "T1015", "T10", " 10:15", "T10:15:00.123+02:00"):
+        new, found = NAMES.replace(f"at 1987-03-12{time}.")
+        assert new == f"at {day}{time}." and [k for k, *_ in found] == ["date"], time
+    for text in ("1987-03-12Total", "1987-03-12T", "1987-02-30T10:15", "1987-03-12-T10:15"):
+        assert NAMES.replace(text) == (text, [])
+
+
 def test_query_against_plain_loops(spark, documents):
     from .conftest import SF
 
