@@ -8,8 +8,9 @@ gate verdicts, L2 deltas, L3 deltas, trades with their order type, quarantined r
 A micro-batch shuffle does not keep message order, so each key's rows are gathered,
 sorted by ``arrival`` and applied in order; every micro-batch is bounded by the source's
 admission limit (maxOffsetsPerTrigger / maxFilesPerTrigger).  A symbol's state is one
-value (gate position and its books), read once and written once per micro-batch, and
-bounded by the live book rather than by the messages seen.
+value (gate position and epochs) and three maps by price, order and order id: a micro-batch
+reads and writes only the entries that its messages touch, so its work does not grow with
+the book.
 
 Semantics are those of the batch operators (marketstream.operators.gate / l2 / l3); the
 two are tested equal.
@@ -45,20 +46,22 @@ INPUT_COLUMNS = ["arrival", "exchange", "symbol", "route", "type", "sequence", "
 INTEGERS = ["sequence", "ts", "trade_id"]
 
 
-def _arr_of(*fields: str) -> T.ArrayType:
-    return T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in fields]))
+def _text(*fields: str) -> T.StructType:
+    return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
 
-# One value per symbol: gate position, epochs and the three books as arrays.  Read once
-# and written once per micro-batch; its size is the symbol's live book (resting orders
-# and levels), not the number of messages seen.
-_STATE = T.StructType([
+SLICE = 4096      # rows of a micro-batch that are Python objects at a time
+
+# Per symbol: gate position and epochs as one value, and the books as maps (key, value).
+_GATE = T.StructType([
     T.StructField("epoch", T.LongType()), T.StructField("last", T.LongType()),
     T.StructField("lost", T.BooleanType()), T.StructField("l2_epoch", T.LongType()),
-    T.StructField("l2", _arr_of("side", "price", "amount")),
-    T.StructField("l3", _arr_of("order_id", "side", "price", "size", "tracked")),
-    T.StructField("types", _arr_of("order_id", "order_type")),
 ])
+_MAPS = {
+    "l2": (_text("side", "price"), _text("amount")),
+    "l3": (_text("order_id"), _text("side", "price", "size", "tracked")),
+    "types": (_text("order_id"), _text("order_type")),
+}
 
 
 def _dec(x) -> Decimal | None:
@@ -95,25 +98,42 @@ def _none(x):
 
 
 class _Table:
-    """One of the symbol's maps, held as a dict while a batch is applied."""
+    """One of the symbol's maps while a batch is applied: an entry is read when it is first
+    asked for, and those that changed are written at the end."""
 
-    def __init__(self, entries, nkey: int):
-        self.d = {tuple(e[:nkey]): tuple(e[nkey:]) for e in (entries or [])}
+    def __init__(self, state):
+        self.state = state
+        self.seen: dict[tuple, tuple | None] = {}
+        self.changed: set[tuple] = set()
+        self.cleared = False
 
     def get(self, key: tuple):
-        return self.d.get(key)
+        if key not in self.seen:
+            value = None if self.cleared else self.state.getValue(key)
+            self.seen[key] = None if value is None else tuple(value)
+        return self.seen[key]
 
     def put(self, key: tuple, value: tuple):
-        self.d[key] = value
+        self.seen[key] = value
+        self.changed.add(key)
 
     def pop(self, key: tuple):
-        self.d.pop(key, None)
+        self.seen[key] = None
+        self.changed.add(key)
 
     def clear(self):
-        self.d.clear()
+        self.seen.clear()
+        self.changed.clear()
+        self.cleared = True
 
-    def rows(self) -> list[tuple]:
-        return [k + v for k, v in self.d.items()]
+    def write(self) -> None:
+        if self.cleared:
+            self.state.clear()
+        for key in self.changed:
+            if (value := self.seen[key]) is not None:
+                self.state.updateValue(key, value)
+            elif not self.cleared:
+                self.state.removeKey(key)
 
 
 class BookProcessor(StatefulProcessor):
@@ -123,7 +143,8 @@ class BookProcessor(StatefulProcessor):
         self.gate, self.keep_l2, self.keep_l3 = gate, l2, l3
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("book", _STATE)
+        self.state = handle.getValueState("gate", _GATE)
+        self.maps = {k: handle.getMapState(k, *kinds) for k, kinds in _MAPS.items()}
 
     # ------------------------------------------------------------------ driver
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -132,20 +153,21 @@ class BookProcessor(StatefulProcessor):
         self.epoch, self.last, self.lost, self.l2_epoch = (
             (int(m[0]), None if m[1] is None else int(m[1]), bool(m[2]), int(m[3]))
             if m is not None else (0, None, False, 0))
-        self.l2 = _Table(m[4] if m is not None else None, 2)
-        self.l3 = _Table(m[5] if m is not None else None, 1)
-        self.types = _Table(m[6] if m is not None else None, 1)
+        self.l2, self.l3, self.types = (_Table(self.maps[k]) for k in ("l2", "l3", "types"))
         self.out: list[tuple] = []
         self.exchange, self.symbol = key
-        for r in pdf.to_dict("records"):
-            r = {k: v if k in ("bids", "asks", "changes") else _none(v) for k, v in r.items()}
-            for k in INTEGERS:
-                r[k] = None if r.get(k) is None else int(r[k])
-            self._apply(r)
-        self.state.update((self.epoch, self.last, self.lost, self.l2_epoch,
-                           self.l2.rows(), self.l3.rows(), self.types.rows()))
-        if self.out:
-            yield pd.DataFrame(self.out, columns=_COLS, dtype=object)    # exact integers
+        for at in range(0, len(pdf), SLICE):
+            for r in pdf.iloc[at:at + SLICE].to_dict("records"):
+                r = {k: v if k in ("bids", "asks", "changes") else _none(v) for k, v in r.items()}
+                for k in INTEGERS:
+                    r[k] = None if r.get(k) is None else int(r[k])
+                self._apply(r)
+            if self.out:
+                yield pd.DataFrame(self.out, columns=_COLS, dtype=object)    # exact integers
+                self.out = []
+        self.state.update((self.epoch, self.last, self.lost, self.l2_epoch))
+        for t in (self.l2, self.l3, self.types):
+            t.write()
 
     def _emit(self, kind, r, sub=0, **kw):
         row = dict.fromkeys(_COLS)
