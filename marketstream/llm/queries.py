@@ -12,10 +12,12 @@ from marketstream.llm.quality import op7_quality_classifier
 from marketstream.llm.rules import op8_quality_rules
 from marketstream.llm.sentencepiece import op3_sentencepiece
 from marketstream.llm.sharding import op1_sharding
+from marketstream.llm.topk import SQL as TOPK_SQL
+from marketstream.llm.topk import op11_exact_topk
 
 QUERIES = [op1_sharding, op2_html_extraction, op3_sentencepiece, op4_nearest_neighbours,
            op5_best_fit_packing, op6_ngram_join, op7_quality_classifier, op8_quality_rules, op9_pii,
-           op10_language_id]
+           op10_language_id, op11_exact_topk]
 
 
 def all_queries() -> dict:
@@ -23,4 +25,4 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {"op11_exact_topk": TOPK_SQL}
