@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from marketstream.llm.extraction import op2_html_extraction
+from marketstream.llm.filter_audit import SQL as AUDIT_SQL
+from marketstream.llm.filter_audit import op13_filter_audit
 from marketstream.llm.langid import op10_language_id
 from marketstream.llm.neighbours import op4_nearest_neighbours
 from marketstream.llm.ngram_join import op6_ngram_join
@@ -17,7 +19,7 @@ from marketstream.llm.topk import op11_exact_topk
 
 QUERIES = [op1_sharding, op2_html_extraction, op3_sentencepiece, op4_nearest_neighbours,
            op5_best_fit_packing, op6_ngram_join, op7_quality_classifier, op8_quality_rules, op9_pii,
-           op10_language_id, op11_exact_topk]
+           op10_language_id, op11_exact_topk, op13_filter_audit]
 
 
 def all_queries() -> dict:
@@ -25,4 +27,4 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op11_exact_topk": TOPK_SQL}
+    return {"op11_exact_topk": TOPK_SQL, "op13_filter_audit": AUDIT_SQL}
