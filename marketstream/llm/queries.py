@@ -16,10 +16,13 @@ from marketstream.llm.sentencepiece import op3_sentencepiece
 from marketstream.llm.sharding import op1_sharding
 from marketstream.llm.topk import SQL as TOPK_SQL
 from marketstream.llm.topk import op11_exact_topk
+from marketstream.llm.variants import SQL as VARIANTS_SQL
+from marketstream.llm.variants import op12_spelling_variants
 
 QUERIES = [op1_sharding, op2_html_extraction, op3_sentencepiece, op4_nearest_neighbours,
            op5_best_fit_packing, op6_ngram_join, op7_quality_classifier, op8_quality_rules, op9_pii,
-           op10_language_id, op11_exact_topk, op13_filter_audit]
+           op10_language_id, op11_exact_topk, op12_spelling_variants,
+           op13_filter_audit]
 
 
 def all_queries() -> dict:
@@ -27,4 +30,5 @@ def all_queries() -> dict:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op11_exact_topk": TOPK_SQL, "op13_filter_audit": AUDIT_SQL}
+    return {"op11_exact_topk": TOPK_SQL, "op12_spelling_variants": VARIANTS_SQL,
+            "op13_filter_audit": AUDIT_SQL}
