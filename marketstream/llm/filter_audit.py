@@ -1,12 +1,13 @@
 """Filter interaction audit over a sparse document-term matrix.
 
 The matrix is built in three steps.  One pass over the texts cuts the documents into shards of
-a bounded number of words; each shard numbers its own words and keeps compressed sparse rows
-(row ends, column numbers, counts) beside its word list.  The word lists of all shards give
-one dictionary with gapless numbers, and a join turns every shard's numbers into those of the
-dictionary.  Then the rows of the matrix answer the length filter (row sum) and the
-repetition filter (number of columns); the remaining flags come from columns of the text and
-from the smallest id of every text, and what is left is a count per part and set of flags.
+a bounded size; each shard numbers its own words and keeps compressed sparse rows (row ends,
+column numbers, counts) beside its word list.  The word lists of all shards, sorted by word,
+give one dictionary with gapless numbers; each partition sends a shard the numbers of the
+shard's words in packed form, and these take the place of the shard's own.  Then the rows of
+the matrix answer the length filter (row sum) and the repetition filter (number of columns);
+the remaining flags come from marks of the text and from the smallest id of every text, and
+what is left is a count per part and set of flags.
 
 Documents meet in small groups only: counts are aggregated per (text, part, id) before any
 text or id is looked up, so a text or an id with a third of all rows is no large group.
@@ -14,12 +15,13 @@ text or id is looked up, so a text or an id with a third of all rows is no large
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from hashlib import sha256
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,46 +29,48 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, table, written
 from marketstream.session import cut
 
-SHARD_WORDS = 1 << 20      # words after which a shard ends; a longer text ends its own
+SHARD_BYTES = 1 << 24      # bytes of text in a shard; a longer text is one of its own
+PIECE_ROWS = 1 << 20       # words of all shards that are numbered together
 FILTERS = "ABCDE"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+#: Columns that a pass over the texts can add: their schema, and texts -> columns.
+Marks = tuple[str, Callable[[pa.StringArray], list[pa.Array]]]
+
+
+# ---------------------------------------------------------------- cells
+def packed(ends: np.ndarray, cols: np.ndarray, counts: np.ndarray) -> bytes:
+    """The cells of a shard: two lengths, row ends and column numbers as 8-byte little-endian
+    integers, counts as 4-byte ones."""
+    sizes = np.array([len(ends), len(cols)])
+    return (np.concatenate([sizes, ends, cols]).astype("<i8").tobytes()
+            + counts.astype("<i4").tobytes())
+
+
+def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row ends, column numbers, counts) of a shard."""
+    n, m = np.frombuffer(cells, "<i8", 2).tolist()
+    numbers = np.frombuffer(cells, "<i8", n + m, 16)
+    return numbers[:n], numbers[n:], np.frombuffer(cells, "<i4", m, 16 + 8 * (n + m))
+
+
+def _pairs(codes: np.ndarray, ids: np.ndarray) -> bytes:
+    """A shard's own word numbers and those of the dictionary."""
+    return codes.astype("<i4").tobytes() + ids.astype("<i8").tobytes()
+
+
+def _of_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(data) // 12
+    return np.frombuffer(data, "<i4", n), np.frombuffer(data, "<i8", n, 4 * n)
 
 
 # ---------------------------------------------------------------- the matrix
-class _Rows:
-    """The compressed sparse rows of one shard while it is filled."""
-
-    def __init__(self):
-        self.code: dict[bytes, int] = defaultdict()     # numbers words as they come
-        self.code.default_factory = self.code.__len__
-        self.cols: list[np.ndarray] = []
-        self.counts: list[np.ndarray] = []
-        self.kept: list[pa.RecordBatch] = []
-        self.words = 0
-
-    def add(self, text: bytes, kept: pa.RecordBatch) -> None:
-        found = text.split()        # at space and \t to \r
-        ids = np.fromiter(map(self.code.__getitem__, found), np.int32, len(found))
-        cols, counts = np.unique(ids, return_counts=True)
-        self.cols.append(cols)
-        self.counts.append(counts.astype(np.int32))
-        self.kept.append(kept)
-        self.words += len(found)
-
-    def cells(self) -> list[pa.Array]:
-        kept = pa.Table.from_batches(self.kept).combine_chunks().to_batches()[0]
-        return [pa.StructArray.from_arrays(kept.columns, names=kept.schema.names),
-                pa.array(list(self.code), pa.binary()),
-                pa.array(np.cumsum([len(c) for c in self.cols], dtype=np.int64)),
-                pa.array(np.concatenate(self.cols)), pa.array(np.concatenate(self.counts))]
-
-
-def _row(schema: pa.Schema, shard: int, lists: list[pa.Array]) -> pa.RecordBatch:
-    """One row: the shard's number and its lists."""
-    cells = [pa.array([shard], pa.int64())] + [
-        pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for v in lists]
-    return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cells, schema, strict=True)],
-                                      schema=schema)
+def _joined(words: pa.StringArray) -> bytes | None:
+    """Words with a space between them; null for none."""
+    if not len(words):
+        return None
+    one = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(one, " ").cast(pa.binary())[0].as_py()
 
 
 def _arrow(schema: str) -> pa.Schema:
@@ -76,103 +80,161 @@ def _arrow(schema: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(schema))
 
 
-def _shards(docs: DataFrame, text_col: str, kept: list[str]) -> DataFrame:
-    """One row per shard: its number, ``rows`` (the kept columns of its documents), ``words``
-    (its own word list), ``ends``, ``cols`` and ``counts``."""
-    fields = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in kept)
-    schema = (f"shard long, rows array<struct<{fields}>>, words array<binary>, ends array<long>, "
-              "cols array<int>, counts array<int>")
+def _pieces(text: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most SHARD_BYTES (or one row)."""
+    start = size = 0
+    for j, n in enumerate(pc.binary_length(text).to_pylist()):
+        if size and size + n > SHARD_BYTES:
+            yield start, j
+            start, size = j, 0
+        size += n
+    if len(text) > start:
+        yield start, len(text)
+
+
+def _counted(text: pa.StringArray) -> tuple[bytes | None, bytes]:
+    """(the words with a space between them, cells) of some texts."""
+    words = pc.ascii_split_whitespace(text)        # at space and \t to \r
+    row = np.repeat(np.arange(len(text), dtype=np.int64), pc.list_value_length(words).to_numpy())
+    flat = words.flatten()
+    some = pc.not_equal(flat, "")                  # white space at the ends of a text
+    codes = flat.filter(some).dictionary_encode()
+    key = row[some.to_numpy(zero_copy_only=False)] << 32 | codes.indices.to_numpy().astype(np.int64)
+    cells, counts = np.unique(key, return_counts=True)
+    ends = np.searchsorted(cells >> 32, np.arange(len(text)), side="right")
+    return _joined(codes.dictionary), packed(ends, cells & 0xFFFFFFFF, counts)
+
+
+def _shards(docs: DataFrame, text_col: str, kept: list[str], marks: Marks | None) -> DataFrame:
+    """One row per shard: its number, ``rows`` (the kept columns and the marks of its
+    documents), ``words`` (its own words with a space between them) and ``cells``."""
+    fields = ", ".join([f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in kept]
+                       + ([marks[0]] if marks else []))
+    schema = f"shard long, rows array<struct<{fields}>>, words binary, cells binary"
     out = _arrow(schema)
+    kind = out.field("rows").type.value_type
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33      # told apart between tasks
-        shard = _Rows()
         for b in batches:
-            rest = b.select(kept)
-            for j, text in enumerate(b.column("text").to_pylist()):
-                shard.add(text or b"", rest.slice(j, 1))
-                if shard.words >= SHARD_WORDS or len(shard.kept) >= SHARD_WORDS:
-                    yield _row(out, number, shard.cells())
-                    number, shard = number + 1, _Rows()
-        if shard.kept:
-            yield _row(out, number, shard.cells())
-
-    return docs.select(*kept, F.col(text_col).cast("binary").alias("text")).mapInArrow(run, schema)
-
-
-def numbered(words: DataFrame) -> DataFrame:
-    """(word, word_id) of the distinct words, numbered from 0 without gaps: the place in its
-    partition of the checkpointed words, after the sizes of the partitions before it.  The
-    driver sees one size per partition."""
-    rows = cut(words.distinct()).withColumn("_m", F.monotonically_increasing_id())
-    part = F.shiftrightunsigned("_m", 33).cast("int")
-    place = F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = {r["p"]: r["n"] for r in rows.groupBy(part.alias("p"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts = [0]
-    for p in range(max(sizes, default=0)):
-        starts.append(starts[-1] + sizes.get(p, 0))
-    start = F.get(F.lit(starts).cast("array<long>"), part)
-    return rows.select("word", (start + place).alias("word_id"))
+            texts = b.column("text")
+            for start, end in _pieces(texts):
+                text = texts.slice(start, end - start)
+                columns = [b.column(c).slice(start, end - start) for c in kept]
+                columns += marks[1](text) if marks else []
+                rows = pa.StructArray.from_arrays(
+                    [c.cast(f.type) for c, f in zip(columns, kind, strict=True)], fields=list(kind))
+                words, cells = _counted(text)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)
+                     .cast(out.field("rows").type),
+                     pa.array([words], pa.binary()), pa.array([cells], pa.binary())], schema=out)
+                number += 1
+
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    return docs.select(*kept, text).mapInArrow(run, schema)
+
+
+def _numbered(uses: DataFrame) -> DataFrame:
+    """Two kinds of rows from (shard, code, word), each with its partition ``part``: pieces of
+    the dictionary (``first``: the partition's words before, ``n``, ``words``), and for each
+    shard the numbers of its words in the partition (``shard``, ``pairs``)."""
+    schema = "part int, first long, n long, words binary, shard long, pairs binary"
+    out = _arrow(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, seen = None, 0
+        held: list[pa.RecordBatch] = []
+
+        def piece() -> pa.RecordBatch:
+            nonlocal last, seen
+            t = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            word = t["word"].chunk(0)
+            new = np.ones(len(word), bool)
+            new[1:] = pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+            new[0] = word[0].as_py() != last
+            ids = seen - 1 + np.cumsum(new)
+            fresh = word.filter(pa.array(new))
+            rows = [(part, seen, len(fresh), _joined(fresh), None, None)] if len(fresh) else []
+            shard, code = t["shard"].to_numpy(), t["code"].to_numpy()
+            order = np.argsort(shard, kind="stable")
+            cuts = np.flatnonzero(np.diff(shard[order])) + 1
+            for at in np.split(order, cuts):
+                rows.append((part, None, None, None, int(shard[at[0]]), _pairs(code[at], ids[at])))
+            last, seen = word[-1].as_py(), seen + len(fresh)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)],
+                schema=out)
 
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+            if sum(h.num_rows for h in held) >= PIECE_ROWS:
+                yield piece()
+        if held:
+            yield piece()
+
+    return uses.repartition("word").sortWithinPartitions("word").mapInArrow(run, schema)
 
-def document_term_matrix(docs: DataFrame, text_col: str,
-                         kept: list[str]) -> tuple[DataFrame, DataFrame]:
+
+def document_term_matrix(docs: DataFrame, text_col: str, kept: list[str],
+                         marks: Marks | None = None) -> tuple[DataFrame, DataFrame]:
     """(matrix, dictionary) of all texts.
 
     ``matrix`` has a row per shard: its number, ``rows`` (the ``kept`` columns of its
-    documents), ``ends`` (where each document's cells end), ``cols`` (word ids, ascending
-    within a document) and ``counts``.  ``dictionary`` is (word binary, word_id).  Words are
-    maximal runs without white space (space and \\t to \\r); a null text has none.  Every row
-    of ``docs`` is a row of the matrix; an empty table gives empty ones.  No kept column may
-    be called ``text``.
-
-    A shard's words come to it as rows sorted before its cells, so a task holds one shard."""
-    shards = written(_shards(docs, text_col, kept))
-    uses = shards.select("shard", F.posexplode("words").alias("code", "word"))
-    dictionary = written(numbered(uses.select("word")))
-    kind = shards.schema["rows"].dataType.simpleString()
+    documents, and what ``marks`` makes of their texts) and ``cells``: packed row ends, word
+    ids (ascending within a document) and counts.  ``dictionary`` is (word, word_id), gapless
+    from 0.  Words are maximal runs without white space (space and \\t to \\r); a null text
+    has none.  Every row of ``docs`` is a row of the matrix; an empty table gives empty ones.
+    No kept column may be called ``text``.
+
+    The driver sees one size per partition; a task holds one shard, or PIECE_ROWS words."""
+    shards = written(_shards(docs, text_col, kept, marks))
+    uses = shards.select("shard", F.posexplode(F.split(F.col("words").cast("string"), " "))
+                         .alias("code", "word"))
+    numbers = written(_numbered(uses))
+    sizes = {r["part"]: r["n"] for r in numbers.where(F.col("n").isNotNull()).groupBy("part")
+             .agg(F.sum("n").alias("n")).collect()}
+    starts = [0]
+    for p in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(p, 0))
+    offset = F.get(F.lit(starts).cast("array<long>"), F.col("part"))
+    dictionary = (numbers.where(F.col("n").isNotNull())
+                  .select((offset + F.col("first")).alias("first"),
+                          F.posexplode(F.split(F.col("words").cast("string"), " ")).alias("at", "word"))
+                  .select("word", (F.col("first") + F.col("at")).alias("word_id")))
+
     none = F.lit(None)
-    cells = shards.select("shard", none.cast("int").alias("code"), none.cast("long").alias("word_id"),
-                          F.struct("rows", "ends", "cols", "counts").alias("cells"))
-    ids = uses.join(dictionary, "word").select(
-        "shard", "code", "word_id", none.cast(cells.schema["cells"].dataType).alias("cells"))
-    dealt = (ids.union(cells).repartition("shard")
-             .sortWithinPartitions("shard", F.col("code").asc_nulls_last()))
-    schema = f"shard long, rows {kind}, ends array<long>, cols array<long>, counts array<int>"
+    dealt = (numbers.where(F.col("shard").isNotNull()).select("shard", "part", F.col("pairs").alias("data"))
+             .union(shards.select("shard", none.cast("int"), "cells"))
+             .repartition("shard").sortWithinPartitions("shard", F.col("part").asc_nulls_last()))
+    schema = "shard long, cells binary"
     out = _arrow(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to: list[np.ndarray] = []
+        to: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            last = 0
-            code, cells = b.column("code"), b.column("cells")
-            for at in np.flatnonzero(code.is_null().to_numpy(zero_copy_only=False)).tolist():
-                to.append(_ids(b, last, at))
-                last = at + 1
-                one = dict(zip((f.name for f in cells.type), cells.slice(at, 1).flatten(),
-                               strict=True))
-                col = np.concatenate(to)[_numbers(one["cols"], 0)]
-                end = _numbers(one["ends"], 0)
-                row = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
-                order = np.lexsort((col, row))
-                count = _numbers(one["counts"], 0)[order]
-                yield _row(out, b.column("shard")[at].as_py(),
-                           [one["rows"].flatten(), pa.array(end), pa.array(col[order]),
-                            pa.array(count)])
+            for shard, part, data in zip(*(b.column(j).to_pylist() for j in range(3)), strict=True):
+                if part is not None:            # a shard's numbers come before its cells
+                    codes, ids = _of_pairs(data)
+                    to.append((codes, ids + starts[part]))
+                    continue
+                end, col, count = unpacked(data)
+                number = np.zeros(sum(len(c) for c, _ in to), np.int64)
+                for codes, ids in to:
+                    number[codes] = ids
                 to = []
-            to.append(_ids(b, last, b.num_rows))
-
-    return dealt.mapInArrow(run, schema), dictionary
-
-
-def _ids(b: pa.RecordBatch, start: int, end: int) -> np.ndarray:
-    return b.column("word_id").slice(start, end - start).to_numpy(zero_copy_only=False).astype(np.int64)
-
+                row = np.repeat(np.arange(len(end)), np.diff(end, prepend=0))
+                order = np.lexsort((number[col], row))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int64()),
+                     pa.array([packed(end, number[col][order], count[order])], pa.binary())], schema=out)
 
-def _numbers(lists: pa.ListArray, j: int) -> np.ndarray:
-    """The j-th list as numpy integers."""
-    return lists[j].values.to_numpy(zero_copy_only=False).astype(np.int64)
+    matrix = dealt.mapInArrow(run, schema).join(shards.select("shard", "rows"), "shard")
+    return matrix, dictionary
 
 
 def word_counts(matrix: DataFrame) -> DataFrame:
@@ -184,10 +246,9 @@ def word_counts(matrix: DataFrame) -> DataFrame:
         def step(b: pa.RecordBatch):
             sums, sizes = [], []
             for j in range(b.num_rows):
-                end = _numbers(b.column("ends"), j)
-                col, count = _numbers(b.column("cols"), j), _numbers(b.column("counts"), j)
+                end, col, count = unpacked(b.column("cells")[j].as_py())
                 start = np.concatenate([[0], end[:-1]])
-                total = np.concatenate([[0], np.cumsum(count)])
+                total = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
                 # columns ascend within a row: one that equals the one before is no new word
                 new = np.ones(len(col), np.int64)
                 new[1:] = col[1:] != col[:-1]
@@ -199,35 +260,40 @@ def word_counts(matrix: DataFrame) -> DataFrame:
 
         return step
 
-    rows = arrow_map(matrix.select("rows", "ends", "cols", "counts"), make,
+    rows = arrow_map(matrix.select("rows", "cells"), make,
                      f"rows {kind.simpleString()}, n_words array<long>, n_distinct array<long>")
     return (rows.select(F.explode(F.arrays_zip("rows", "n_words", "n_distinct")).alias("d"))
             .select("d.rows.*", "d.n_words", "d.n_distinct"))
 
 
 # ---------------------------------------------------------------- flags and counts
+def _flags(text: pa.StringArray) -> list[pa.Array]:
+    """A digest of each text, whether more than 2 % of it are capitals, and whether it holds
+    one of ``#$%&*|``."""
+    raw = [t.encode() for t in text.to_pylist()]
+    capitals = [len(r) - len(r.translate(None, _UPPER)) for r in raw]
+    many = [100 * c > 2 * n for c, n in zip(capitals, pc.utf8_length(text).to_pylist(), strict=True)]
+    return [pa.array([sha256(r).digest() for r in raw], pa.binary()), pa.array(many),
+            pc.match_substring_regex(text, "[#$%&*|]")]
+
+
 def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(part, mask, n, good, toxic): documents per part and set of failed filters; bit j of
     ``mask`` is the j-th filter of FILTERS, ``good`` and ``toxic`` count labelled ones."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
-                       text.alias("text"))
-    size = F.length("text")
-    capitals = size - F.length(F.translate("text", _UPPER, ""))
-    rows = rows.select("doc_id", "part", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"),
-                       (F.lit(100) * capitals.cast("long") > 2 * size.cast("long")).alias("c"),
-                       F.col("text").rlike(r"[#$%&*|]").alias("d"),
                        F.col("text").alias("body"))
-    matrix, _ = document_term_matrix(rows, "body", ["doc_id", "part", "digest", "c", "d"])
+    matrix, _ = document_term_matrix(rows, "body", ["doc_id", "part"],
+                                     ("digest: binary, c: boolean, d: boolean", _flags))
     counted = word_counts(matrix)
     flags = [F.col("n_words") < 200, 100 * F.col("n_distinct") < 50 * F.col("n_words"),
              F.col("c"), F.col("d")]
     mask = sum((f.cast("int") * (1 << j) for j, f in enumerate(flags)), F.lit(0))
 
-    # copies with one id and part become one row before anything is looked up by id
-    same = (counted.select("doc_id", "part", "digest", mask.alias("mask"))
-            .groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")))
+    # copies with one id and part become one row before anything is looked up by id; written,
+    # as two branches read it
+    same = cut(counted.select("doc_id", "part", "digest", mask.alias("mask"))
+               .groupBy("doc_id", "part", "digest", "mask").agg(F.count(F.lit(1)).alias("n")))
     told = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic")
             .where(F.col("doc_id").isNotNull()).groupBy("doc_id")
             .agg(F.max((F.col("quality") == 1).cast("int")).alias("good"),

@@ -61,7 +61,8 @@ def found(df):
 
 
 def test_registered_query_against_brute_force_and_sql(spark, documents, monkeypatch):
-    monkeypatch.setattr(A, "SHARD_WORDS", 5000)          # many shards
+    monkeypatch.setattr(A, "SHARD_BYTES", 30_000)        # many shards
+    monkeypatch.setattr(A, "PIECE_ROWS", 500)
     docs = [(r.doc_id, r.text, r.source) for r in documents.collect()]
     labels = [tuple(r) for r in spark.read.parquet(f"{SF}/labels.parquet")
               .select("doc_id", "quality", "toxic").collect()]
@@ -74,16 +75,17 @@ def test_registered_query_against_brute_force_and_sql(spark, documents, monkeypa
 
 
 def test_matrix_has_every_word_of_every_text(spark, documents, monkeypatch):
-    monkeypatch.setattr(A, "SHARD_WORDS", 3000)
+    monkeypatch.setattr(A, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(A, "PIECE_ROWS", 300)
     matrix, dictionary = A.document_term_matrix(documents, "text", ["doc_id"])
-    word = {r.word_id: bytes(r.word).decode() for r in dictionary.collect()}
+    word = {r.word_id: r.word for r in dictionary.collect()}
     assert sorted(word) == list(range(len(word))) and len(set(word.values())) == len(word)
     got = {}
     for r in matrix.collect():
-        start = 0
-        for d, end in zip(r.rows, r.ends, strict=True):
-            assert r.cols[start:end] == sorted(set(r.cols[start:end]))
-            got[d.doc_id] = {word[c]: n for c, n in zip(r.cols[start:end], r.counts[start:end],
+        start, (ends, cols, counts) = 0, map(list, A.unpacked(r.cells))
+        for d, end in zip(r.rows, ends, strict=True):
+            assert cols[start:end] == sorted(set(cols[start:end]))
+            got[d.doc_id] = {word[c]: n for c, n in zip(cols[start:end], counts[start:end],
                                                         strict=True)}
             start = end
     want = {r.doc_id: dict(Counter(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")))
@@ -92,7 +94,7 @@ def test_matrix_has_every_word_of_every_text(spark, documents, monkeypatch):
 
 
 def test_odd_rows_and_hot_texts(spark, odd, none, monkeypatch):
-    monkeypatch.setattr(A, "SHARD_WORDS", 400)
+    monkeypatch.setattr(A, "SHARD_BYTES", 2000)
     rows = [r[:2] + (r[3],) for r in ODD]
     more = [(50, "hot " * 300, "s"), (50, "hot " * 300, "t"), (50, "other " * 250, "s"),
             (None, "hot " * 300, "s"), (40, "A\x0bb c d\x0ce " * 201, "t"), (-3, "", None)]
