@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, table, written
 from marketstream.session import cut
 
-SHARD_BYTES = 1 << 24      # bytes of text in a shard; a longer text is one of its own
-PIECE_ROWS = 1 << 20       # words of all shards that are numbered together
+SHARD_BYTES = 1 << 22      # bytes of text in a shard; a longer text is one of its own
+PIECE_ROWS = 1 << 19       # words of all shards that are numbered together
 FILTERS = "ABCDE"
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -40,18 +40,19 @@ Marks = tuple[str, Callable[[pa.StringArray], list[pa.Array]]]
 
 # ---------------------------------------------------------------- cells
 def packed(ends: np.ndarray, cols: np.ndarray, counts: np.ndarray) -> bytes:
-    """The cells of a shard: two lengths, row ends and column numbers as 8-byte little-endian
-    integers, counts as 4-byte ones."""
-    sizes = np.array([len(ends), len(cols)])
-    return (np.concatenate([sizes, ends, cols]).astype("<i8").tobytes()
-            + counts.astype("<i4").tobytes())
+    """The cells of a shard as little-endian integers: two lengths and the bytes of a column
+    number, 8 bytes each, then row ends (8 bytes), column numbers (4 or 8) and counts (4)."""
+    width = 4 if not len(cols) or cols.max() < 1 << 31 else 8
+    head = np.concatenate([[len(ends), len(cols), width], ends]).astype("<i8")
+    return head.tobytes() + cols.astype(f"<i{width}").tobytes() + counts.astype("<i4").tobytes()
 
 
 def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row ends, column numbers, counts) of a shard."""
-    n, m = np.frombuffer(cells, "<i8", 2).tolist()
-    numbers = np.frombuffer(cells, "<i8", n + m, 16)
-    return numbers[:n], numbers[n:], np.frombuffer(cells, "<i4", m, 16 + 8 * (n + m))
+    n, m, width = np.frombuffer(cells, "<i8", 3).tolist()
+    at = 24 + 8 * n
+    return (np.frombuffer(cells, "<i8", n, 24), np.frombuffer(cells, f"<i{width}", m, at),
+            np.frombuffer(cells, "<i4", m, at + width * m))
 
 
 def _pairs(codes: np.ndarray, ids: np.ndarray) -> bytes:
@@ -217,7 +218,9 @@ def document_term_matrix(docs: DataFrame, text_col: str, kept: list[str],
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to: list[tuple[np.ndarray, np.ndarray]] = []
         for b in batches:
-            for shard, part, data in zip(*(b.column(j).to_pylist() for j in range(3)), strict=True):
+            for j, (shard, part) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
+                                                  strict=True)):
+                data = b.column(2)[j].as_py()
                 if part is not None:            # a shard's numbers come before its cells
                     codes, ids = _of_pairs(data)
                     to.append((codes, ids + starts[part]))
