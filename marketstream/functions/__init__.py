@@ -17,6 +17,13 @@ def dec(c: Column | str) -> Column:
     return col(c).try_cast(DEC)
 
 
+def number_text(c: Column | str) -> Column:
+    """a decimal as the text of a JSON number or key: plain digits without trailing zeros,
+    at least one after the point."""
+    plain = F.regexp_replace(col(c).cast(DEC).cast("string"), "0+$", "")
+    return F.regexp_replace(plain, r"\.$", ".0")
+
+
 def parse_time(c: Column | str) -> Column:
     """ISO-8601 (``...Z``) to TIMESTAMP; null when absent or unparsable."""
     return F.try_to_timestamp(col(c))

@@ -3,7 +3,11 @@ until stopped (ST11) -- or drains what is there with ``--available-now``.
 
     python -m marketstream.jobs trades_to_table --source kafka --bootstrap B --table-path P --checkpoint C
     python -m marketstream.jobs venue_to_topics --source files --input RAW --out OUT --checkpoint C
-    python -m marketstream.jobs books_to_table  --source files --input RAW --out OUT --checkpoint C --gate
+    python -m marketstream.jobs books_to_table  --source landed --input RAW --out OUT --checkpoint C --gate
+
+``landed`` is a feed that ``streaming.source.land`` wrote: micro-batches of ``--max-per-trigger``
+rows in arrival order.  ``files`` are plain Parquet files, in no order (enough where messages do
+not depend on each other).
 
 Paths must be on shared storage; the checkpoint is the restart point (S15).
 """
@@ -23,27 +27,33 @@ from marketstream.streaming.consumer import (decode_trades, dedupe_trades, read_
                                              start_trades_stream, start_trades_with_rejects)
 from marketstream.streaming.sinks import (BOOK_TOPIC, TRADE_TOPIC, fan_out, kafka_options,
                                           trade_records, write_records)
+from marketstream.streaming.live import LiveBooks, drain
+from marketstream.streaming.source import read_landed
 
 
 def raw_stream(spark: SparkSession, a) -> DataFrame:
     """The raw venue topic as (arrival, receipt_time, value).  Kafka: arrival orders
     messages within a partition (offset), receipt time is the broker timestamp; landed
-    files already carry both columns."""
+    feeds and files already carry both columns."""
     if a.source == "kafka":
         r = (spark.readStream.format("kafka").options(**kafka_options(a.bootstrap, a.user, a.password))
              .option("subscribe", a.topic).option("startingOffsets", "earliest")
              .option("maxOffsetsPerTrigger", a.max_per_trigger).load())
         return r.select(F.col("offset").alias("arrival"), F.col("timestamp").alias("receipt_time"),
                         F.col("value").cast("string").alias("value"))
+    if a.source == "landed":
+        return read_landed(spark, a.input, f"{a.checkpoint}-progress", a.max_per_trigger)
     return (spark.readStream.schema(RAW_FEED).option("maxFilesPerTrigger", a.max_files)
             .parquet(a.input))
 
 
 def _start(writer, a):
     writer = writer.option("checkpointLocation", a.checkpoint)
-    writer = writer.trigger(availableNow=True) if a.available_now else \
-        writer.trigger(processingTime=a.trigger)
-    return writer.start()
+    if not a.available_now:
+        return writer.trigger(processingTime=a.trigger).start()
+    if a.source == "landed":               # drained by main()
+        return writer.trigger(processingTime="0 seconds").start()
+    return writer.trigger(availableNow=True).start()
 
 
 def trades_to_table(spark: SparkSession, a):
@@ -88,15 +98,10 @@ def venue_to_topics(spark: SparkSession, a):
 
 
 def books_to_table(spark: SparkSession, a):
-    """Raw venue messages -> live per-symbol state -> verdicts / deltas / typed trades."""
-    from marketstream.streaming.live import book_stream
-
-    out = book_stream(raw_stream(spark, a), gate=a.gate, l2=True, l3=True)
-
-    def write(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{a.out}/{BOOK_TOPIC}/batch_id={batch_id}")
-
-    return _start(out.writeStream.foreachBatch(write), a)
+    """Raw venue messages -> live books -> verdicts, deltas, typed trades and rejects under
+    ``OUT/orderbooks``, the books' state under ``OUT/state``."""
+    sink = LiveBooks(f"{a.out}/{BOOK_TOPIC}", f"{a.out}/state", gate=a.gate)
+    return _start(raw_stream(spark, a).writeStream.foreachBatch(sink), a)
 
 
 JOBS = {"trades_to_table": trades_to_table, "venue_to_topics": venue_to_topics,
@@ -106,7 +111,7 @@ JOBS = {"trades_to_table": trades_to_table, "venue_to_topics": venue_to_topics,
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="marketstream.jobs")
     p.add_argument("job", choices=sorted(JOBS))
-    p.add_argument("--source", choices=["kafka", "files"], default="files")
+    p.add_argument("--source", choices=["kafka", "files", "landed"], default="files")
     p.add_argument("--input"), p.add_argument("--out"), p.add_argument("--table-path")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--bootstrap"), p.add_argument("--user"), p.add_argument("--password")
@@ -134,7 +139,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
             b = b.config(k, v)
         spark = b.getOrCreate()
     q = JOBS[a.job](spark, a)
-    q.awaitTermination()          # ST11: runs until stopped (or drained with --available-now)
+    if a.available_now and a.source == "landed":
+        drain(q)
+    else:
+        q.awaitTermination()      # ST11: runs until stopped (or drained with --available-now)
     return q
 
 

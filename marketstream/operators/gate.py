@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.operators.scan import Running, running
+from marketstream.operators.scan import Running, plain
 
 VERDICTS = ["ok", "stale", "gap", "unsynced", "snapshot"]
 
@@ -37,19 +37,20 @@ def _gated():
                       F.lit(False))
 
 
-def sequence_gate(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+def sequence_gate(parsed: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
     """Adds epoch, last, verdict to the gated rows; keeps every input column but the raw
-    text, which goes through no shuffle.  Each venue's symbol has a gate of its own."""
+    text, which goes through no shuffle.  Each venue's symbol has a gate of its own.
+    ``scan`` may go on from an earlier state of the scans ``gate`` and ``gate_lost``."""
     g = gated_rows(parsed)
     snap = F.col("snap")
     seq = F.col("sequence")
-    g = running(g, ["exchange", "symbol"], ["arrival"], [
+    g = scan("gate", g, ["exchange", "symbol"], ["arrival"], [
         Running("epoch", snap.cast("long"), "sum"),
         Running("last", seq, "max", reset=snap, exclusive=True),
     ], chunk_rows, keep_chunk=True)
     gap = ~snap & (seq > F.col("last") + 1)
     lost_here = gap | (snap & (F.coalesce(seq, F.lit(0)) == 0))
-    g = running(g.withColumn("gap", gap), ["exchange", "symbol"], ["arrival"], [
+    g = scan("gate_lost", g.withColumn("gap", gap), ["exchange", "symbol"], ["arrival"], [
         Running("lost", lost_here.cast("int"), "max", reset=snap, exclusive=True),
     ], chunk_rows)
     verdict = (F.when(snap, "snapshot")

@@ -20,23 +20,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketstream.functions import dec, l2_side, to_ns, event_ts_ns
-from marketstream.operators.scan import Running, running
+from marketstream.operators.scan import Running, plain
 
 BOOK = ["exchange", "symbol"]     # one book per venue and symbol
 
 
-def l2_messages(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
-    """Level-2 messages with their book's epoch (an empty snapshot still counts)."""
+def l2_messages(parsed: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
+    """Level-2 messages with their book's epoch (an empty snapshot still counts).  ``scan``
+    may go on from an earlier state of the scan ``l2_epoch``."""
     msgs = (parsed.where((F.col("route") == "l2") & F.col("symbol").isNotNull())
             .select("arrival", *BOOK, "type", "time", "receipt_time", "bids", "asks", "changes"))
     snap = F.col("type") == "snapshot"
-    return running(msgs.withColumn("snap", snap), BOOK, ["arrival"],
-                   [Running("epoch", snap.cast("long"), "sum")], chunk_rows)
+    return scan("l2_epoch", msgs.withColumn("snap", snap), BOOK, ["arrival"],
+                [Running("epoch", snap.cast("long"), "sum")], chunk_rows)
 
 
-def l2_level_rows(msgs: DataFrame) -> DataFrame:
+def l2_level_rows(msgs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per level change: (arrival, pos, exchange, symbol, epoch, snap, side, price, amount,
-    ts, receipt_ts, bad).  Snapshot positions run over the bids, then the asks."""
+    ts, receipt_ts, bad) and the message columns of ``keep``.  Snapshot positions run over the
+    bids, then the asks."""
     lvl = "struct<side:string,price:string,amount:string>"
     bids = F.transform(F.coalesce("bids", F.array()), lambda x: F.struct(
         F.lit("bid").alias("side"), F.get(x, 0).alias("price"), F.get(x, 1).alias("amount")))
@@ -46,7 +48,7 @@ def l2_level_rows(msgs: DataFrame) -> DataFrame:
         l2_side(F.get(x, 0)).alias("side"), F.get(x, 1).alias("price"), F.get(x, 2).alias("amount")))
     levels = F.when(F.col("snap"), F.concat(bids.cast(f"array<{lvl}>"), asks.cast(f"array<{lvl}>"))) \
         .otherwise(changes.cast(f"array<{lvl}>"))
-    rows = msgs.select("arrival", *BOOK, "epoch", "snap", "time", "receipt_time",
+    rows = msgs.select("arrival", *BOOK, "epoch", "snap", "time", "receipt_time", *keep,
                        F.posexplode(levels).alias("pos", "lv"))
     price, amount = dec("lv.price"), dec("lv.amount")
     return rows.select(
@@ -55,7 +57,7 @@ def l2_level_rows(msgs: DataFrame) -> DataFrame:
         F.when(~F.col("snap"), event_ts_ns("time", "receipt_time")).alias("ts"),
         to_ns("receipt_time").alias("receipt_ts"),
         # also entries that are too short or null
-        (F.col("lv.side").isNull() | price.isNull() | amount.isNull()).alias("bad"))
+        (F.col("lv.side").isNull() | price.isNull() | amount.isNull()).alias("bad"), *keep)
 
 
 def l2_kept(levels: DataFrame) -> DataFrame:
@@ -69,17 +71,18 @@ def l2_rejects(levels: DataFrame) -> DataFrame:
     reason = (F.when(F.col("bad"), "bad_number")
               .when(F.col("epoch") == 0, "update_before_snapshot"))
     return (levels.withColumn("reason", reason).where(F.col("reason").isNotNull())
-            .select("arrival", "pos", "symbol", "reason"))
+            .select("arrival", "pos", *BOOK, "reason"))
 
 
-def l2_deltas(kept: DataFrame, chunk_rows: int | None = None) -> DataFrame:
+def l2_deltas(kept: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
     """The changed levels of every update: (arrival, pos, symbol, side, price,
     amount, ts); amount 0 is a removal.  ``was`` is a lag over the level, computed with
-    the chunked scan so a hot price level is never one task."""
+    the chunked scan (``l2_levels``) so a hot price level is never one task.  Its state is
+    the level's last row: epoch, whether it left the level on the book, and the amount."""
     present = F.col("snap") | (F.col("amount") > 0)
-    w = running(kept, [*BOOK, "side", "price"], ["arrival", "pos"], [
-        Running("_prev", F.struct(F.col("epoch").alias("e"), present.alias("p")), "last",
-                exclusive=True)], chunk_rows)
+    w = scan("l2_levels", kept, [*BOOK, "side", "price"], ["arrival", "pos"], [
+        Running("_prev", F.struct(F.col("epoch").alias("e"), present.alias("p"),
+                                  F.col("amount").alias("a")), "last", exclusive=True)], chunk_rows)
     was = F.coalesce((F.col("_prev.e") == F.col("epoch")) & F.col("_prev.p"), F.lit(False))
     return (w.where(~F.col("snap") & ((F.col("amount") > 0) | was))
             .select("arrival", "pos", *BOOK, "side", "price", "amount", "ts"))

@@ -29,18 +29,19 @@ from pyspark.sql import functions as F
 
 from marketstream.functions import book_side, dec, event_ts_ns, to_ns
 from marketstream.operators.normalize import trades
-from marketstream.operators.scan import Running, running
+from marketstream.operators.scan import Running, plain, running
 
 BOOK = ["exchange", "symbol"]     # one book per venue and symbol
 
 
-def with_epoch(parsed: DataFrame, chunk_rows: int | None = None) -> DataFrame:
-    """Per-book epoch = running count of L3 snapshots (no gate: all messages kept)."""
+def with_epoch(parsed: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
+    """Per-book epoch = running count of L3 snapshots (no gate: all messages kept).  ``scan``
+    may go on from an earlier state of the scan ``l3_epoch``."""
     rel = parsed.where(F.col("route").isin("l3", "trade", "received", "l3snapshot")
                        & F.col("symbol").isNotNull()).drop("value")
     snap = F.col("route") == "l3snapshot"
-    return running(rel, BOOK, ["arrival"], [Running("epoch", snap.cast("long"), "sum")],
-                   chunk_rows)
+    return scan("l3_epoch", rel, BOOK, ["arrival"],
+                [Running("epoch", snap.cast("long"), "sum")], chunk_rows)
 
 
 def l3_rows(msgs: DataFrame) -> DataFrame:
@@ -90,20 +91,21 @@ def l3_rows(msgs: DataFrame) -> DataFrame:
     return one.unionByName(snap_rows)
 
 
-def l3_states(rows: DataFrame, chunk_rows: int | None = None) -> DataFrame:
-    """Adds life, rem, fin, dead, live, new_size to every book-relevant row."""
+def l3_states(rows: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
+    """Adds life, rem, fin, dead, live, new_size to every book-relevant row.  ``scan`` may go
+    on from an earlier state of the scans ``l3_orders`` and ``l3_dead``."""
     rows = rows.where(~F.col("bad") & F.col("order_id").isNotNull())
     k = F.col("kind")
     is_open, is_change = k == "open", k == "change"
     signed = (F.when(is_open | is_change, F.col("size")).when(k == "match", -F.col("size"))
               .otherwise(F.lit(0).cast("decimal(38,18)")))
     keys, order = [*BOOK, "epoch", "order_id"], ["arrival", "sub"]
-    s = running(rows, keys, order, [
+    s = scan("l3_orders", rows, keys, order, [
         Running("life", is_open.cast("long"), "sum"),
         Running("rem", signed, "sum", reset=is_open | is_change),
     ], chunk_rows, keep_chunk=True)
     fin = k.isin("done", "kill") | ((k == "match") & (F.col("rem") <= 0))
-    s = running(s.withColumn("fin", fin), keys, order, [
+    s = scan("l3_dead", s.withColumn("fin", fin), keys, order, [
         Running("dead", F.col("fin").cast("int"), "max", reset=is_open, exclusive=True)],
                 chunk_rows)
     live = ((F.col("life") > 0) & (F.coalesce(F.col("dead"), F.lit(0)) == 0)
@@ -152,21 +154,22 @@ def l3_level_maps(book: DataFrame) -> DataFrame:
 def unknown_makers(states: DataFrame) -> DataFrame:
     """Matches whose maker is not on the book (the venue handler raised here)."""
     return (states.where((F.col("kind") == "match") & ~F.col("live"))
-            .select("arrival", "symbol", "order_id", F.lit("unknown_maker").alias("reason")))
+            .select("arrival", *BOOK, "order_id", F.lit("unknown_maker").alias("reason")))
 
 
 def l3_rejects(rows: DataFrame, states: DataFrame) -> DataFrame:
-    """P15/D6 quarantine of the L3 book: (arrival, sub, symbol, reason) of rows with an
+    """P15/D6 quarantine of the L3 book: (arrival, sub, exchange, symbol, reason) of rows with an
     unparsable price or size, without an order id, or on a maker that is not on the book."""
     reason = (F.when(F.col("bad"), "bad_number")
               .when(F.col("order_id").isNull(), "no_order_id"))
     bad = (rows.withColumn("reason", reason).where(F.col("reason").isNotNull())
-           .select("arrival", "sub", "symbol", "reason"))
+           .select("arrival", "sub", *BOOK, "reason"))
     return bad.unionByName(unknown_makers(states).select("arrival", F.lit(0).alias("sub"),
-                                                         "symbol", "reason"))
+                                                         *BOOK, "reason"))
 
 
-def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFrame:
+def trades_with_order_type(msgs: DataFrame, states: DataFrame | None,
+                           chunk_rows: int | None = None, scan=plain) -> DataFrame:
     """J1 (A.4): each trade with the type its taker order was ``received`` with, if that
     order is still remembered (not done, not fully filled as a maker).
 
@@ -195,8 +198,8 @@ def trades_with_order_type(msgs: DataFrame, states: DataFrame | None) -> DataFra
         ev = ev.unionByName(p)
     ev = ev.withColumn("trade", F.lit(None).cast(q.schema["trade"].dataType))
     allrows = ev.unionByName(q).where(F.col("oid").isNotNull() & F.col("symbol").isNotNull())
-    r = running(allrows, keys, ["arrival", "sub"],
-                [Running("ref", F.col("ev"), "last", exclusive=True)])
+    r = scan("types", allrows, keys, ["arrival", "sub"],
+             [Running("ref", F.col("ev"), "last", exclusive=True)], chunk_rows)
     typed = (r.where(F.col("sub") == 1)
              .select("trade.*", F.when(F.col("ref.k") == "set", F.col("ref.t")).alias("order_type")))
     # trades without a taker id cannot be looked up; they carry no type

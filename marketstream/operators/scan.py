@@ -25,6 +25,11 @@ Supported aggregates are the monoids the book logic needs: ``sum``, ``max`` and
 column starts a new segment at that row (segmented scan), which expresses windows such
 as ``partition by (key, epoch)`` where ``epoch`` counts resets, without partitioning on
 the derived column.
+
+The state that a scan leaves behind is a row per key, of the same kind as a chunk's summary.
+Given to the next scan over later rows (``carry``), it enters the summary table as the chunk
+before all others; so a feed may be scanned piece by piece with the same results, which is
+what the live path does (streaming/live.py).
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ from pyspark.sql import functions as F
 from marketstream.session import CHUNK_ROWS_CONF, DEFAULT_CHUNK_ROWS, conf_int, cut
 
 _OPS = ("sum", "max", "last")
+_BEFORE = -(1 << 63)         # the chunk number of what came before the rows
 
 
 @dataclass(frozen=True)
@@ -71,7 +77,21 @@ def _combine(op: str, carry: Column, local: Column) -> Column:
 
 def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Running],
             chunk_rows: int | None = None, keep_chunk: bool = False) -> DataFrame:
-    """Add one column per spec: the running aggregate over ``keys`` in ``order``.
+    """Add one column per spec: the running aggregate over ``keys`` in ``order``."""
+    return scanned(df, keys, order, specs, chunk_rows, keep_chunk)[0]
+
+
+def plain(name: str, *args, **kwargs) -> DataFrame:
+    """``running`` for operators that name their scans: from the first row on, leaving no
+    state.  The live path passes a scan that goes on from the state of that name."""
+    return running(*args, **kwargs)
+
+
+def scanned(df: DataFrame, keys: list[str], order: list[str], specs: list[Running],
+            chunk_rows: int | None = None, keep_chunk: bool = False,
+            carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, state): ``running`` after earlier rows, whose state is ``carry``, and the state
+    after these: the keys of this scan's rows with one column per spec.
 
     ``order[0]`` must be an integral column (arrival / offset); rows with equal
     ``order`` values inside one key must be told apart by the remaining order columns.
@@ -116,13 +136,22 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
                .agg(F.max_by(F.struct(*payload), F.struct(*order)).alias("_p"))
                .select(*keys, ck, "_p.*"))
 
+    if carry is not None:       # earlier rows, as the chunk before all others
+        prior = carry.join(summary.select(*keys).distinct(), keys, "left_semi").select(
+            *keys, F.lit(_BEFORE).alias(ck),
+            *[F.col(s.name).alias(f"t{i}") for i, s in enumerate(specs)],
+            *[F.lit(0).cast("long").alias(f"s{i}") for i, s in enumerate(specs) if s.reset is not None])
+        summary = prior.unionByName(summary)
+
     # 3. state carried into each chunk, from the chunks before it
     per_key = Window.partitionBy(*keys).orderBy(ck)
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
+    upto_chunk = per_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carries = summary
     for i, s in enumerate(specs):
         if s.reset is None:
             carries = carries.withColumn(f"c{i}", _agg(s.op, F.col(f"t{i}")).over(before))
+            carries = carries.withColumn(f"e{i}", _agg(s.op, F.col(f"t{i}")).over(upto_chunk))
         else:
             grp = F.sum(F.when(F.col(f"s{i}") > 0, 1).otherwise(0)).over(
                 per_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -132,6 +161,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
             carries = carries.withColumn(f"e{i}", after)
             carries = carries.withColumn(f"c{i}", F.lag(f"e{i}").over(per_key))
+    ends = F.struct(*[F.col(f"e{i}").alias(s.name) for i, s in enumerate(specs)])
+    state = carries.groupBy(*keys).agg(F.max_by(ends, ck).alias("_e")).select(*keys, "_e.*")
     carries = carries.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                              F.col(ck).alias("_k_ck"),
                              *[F.col(f"c{i}").alias(f"_c{i}") for i in range(len(specs))])
@@ -154,4 +185,4 @@ def running(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
             carry = F.when(F.col(f"_s{i}") == 0, carry)
         j = j.withColumn(s.name, _combine(s.op, carry, local))
         temp += [f"_v{i}", f"_t{i}", f"_a{i}", f"_s{i}", f"_c{i}"]
-    return j.drop(*[t for t in temp if t in j.columns])
+    return j.drop(*[t for t in temp if t in j.columns]), state

@@ -172,6 +172,45 @@ SELECT {sym('s.sym')} AS key,
                            receipt_ts := l.receipt_ts, bid := s.bid, ask := s.ask))::VARCHAR AS value
 FROM sides s JOIN lastmsg l ON l.sym = s.sym"""
 
+# the book as of every message: levels whose lifetime covers it, best ten a side
+BOOK_RECORDS_EACH = f"""WITH {L2_MSG},
+heads AS (
+  SELECT i, sym, ts, rcv, epoch FROM (
+    SELECT i, user_id % 4 AS sym, CASE WHEN i % 250 = 0 THEN rcv_ns ELSE ts_ns END AS ts,
+           rcv_ns AS rcv, sum(CASE WHEN i % 250 = 0 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY user_id % 4 ORDER BY i ROWS UNBOUNDED PRECEDING) AS epoch
+    FROM base) h WHERE epoch > 0),
+lives AS (
+  SELECT *, lead(i) OVER (PARTITION BY sym, epoch, side, price ORDER BY i, pos) AS stop FROM kept),
+held AS (
+  SELECT h.i, l.side, l.price, l.amt, row_number() OVER (
+           PARTITION BY h.i, l.side ORDER BY CASE WHEN l.side = 0 THEN -l.price ELSE l.price END) AS r
+  FROM heads h JOIN lives l ON l.sym = h.sym AND l.epoch = h.epoch AND l.i <= h.i
+       AND (l.stop IS NULL OR l.stop > h.i)
+  WHERE l.snap = 1 OR l.amt > 0),
+texts AS (
+  SELECT i, string_agg('"' || price || '.0":' || amt || '.0', ',' ORDER BY r) FILTER (WHERE side = 0) AS bid,
+            string_agg('"' || price || '.0":' || amt || '.0', ',' ORDER BY r) FILTER (WHERE side = 1) AS ask
+  FROM held WHERE r <= 10 GROUP BY i)
+SELECT h.i AS arrival, {sym('h.sym')} AS key,
+       '{{"exchange":"COINBASE","symbol":"' || {sym('h.sym')} || '","ts":' || h.ts || ',"receipt_ts":'
+       || h.rcv || ',"bid":{{' || coalesce(t.bid, '') || '}},"ask":{{' || coalesce(t.ask, '') || '}}}}' AS value
+FROM heads h LEFT JOIN texts t ON t.i = h.i"""
+
+# one change a message: its delta, or none where it changes nothing
+L2_MESSAGE_DELTAS = f"""WITH {L2_MSG},
+heads AS (
+  SELECT *, sum(CASE WHEN i % 250 = 0 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id % 4 ORDER BY i ROWS UNBOUNDED PRECEDING) AS epoch
+  FROM base),
+changed AS (SELECT i, side, '[[' || price || '.0,' || amt || '.0]]' AS c FROM w
+            WHERE snap = 0 AND (amt > 0 OR was))
+SELECT h.i AS arrival, {sym('user_id % 4')} AS symbol,
+       CASE WHEN h.i % 250 = 0 THEN rcv_ns ELSE ts_ns END AS ts,
+       CASE WHEN h.i % 250 <> 0 THEN '{{"bid":' || CASE WHEN c.side = 0 THEN c.c ELSE '[]' END
+         || ',"ask":' || CASE WHEN c.side = 1 THEN c.c ELSE '[]' END || '}}' END AS delta
+FROM heads h LEFT JOIN changed c ON c.i = h.i WHERE epoch > 0"""
+
 TWO_VENUE_BOOK = f"""WITH {L2_MSG}
 SELECT v.exchange, {sym('sym')} AS symbol, CASE WHEN side = 0 THEN 'bid' ELSE 'ask' END AS side,
        CAST(price AS DECIMAL(38,18)) AS price, CAST(amt AS DECIMAL(38,18)) AS amount
@@ -425,6 +464,9 @@ def all_sql() -> dict[str, str]:
         "l2_depth": L2_DEPTH,
         "l2_summary": L2_SUMMARY,
         "book_record": BOOK_RECORD,
+        "book_records_each": BOOK_RECORDS_EACH,
+        "book_records_each_chunked": BOOK_RECORDS_EACH,
+        "l2_message_deltas": L2_MESSAGE_DELTAS,
         "l2_rejects": L2_REJECTS,
         "l2_stream": L2_DELTAS,
         "l3_feed_types": L3_FEED_TYPES,
@@ -445,5 +487,8 @@ def all_sql() -> dict[str, str]:
         "l3_gated_book": L3_GATED_BOOK,
         "l3_gated_deltas": L3_GATED_DELTAS,
         "l3_gated_stream": L3_GATED_DELTAS,
+        "rejects_stream": REJECTS_ALL,
+        "l2_book_from_state": L2_BOOK,
+        "l3_book_from_state": L3_GATED_BOOK,
         "trades_gated_order_type": TRADES_GATED_ORDER_TYPE,
     }

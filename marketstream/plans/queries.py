@@ -167,7 +167,7 @@ def l2_summary(spark, sf_dir):
 def l2_rejects(spark, sf_dir):
     """D6/P15 quarantine: level-2 changes that cannot be applied (before the symbol's
     first snapshot, or unparsable numbers)."""
-    return _l2(spark, sf_dir)["rejects"]
+    return _l2(spark, sf_dir)["rejects"].select("arrival", "pos", "symbol", "reason")
 
 
 def book_record(spark, sf_dir):
@@ -177,6 +177,31 @@ def book_record(spark, sf_dir):
     return book_record_json(book_records(l2["book"], L2.last_change(l2["messages"])))
 
 
+def _records_each(spark, sf_dir, chunk_rows=None, depth=10):
+    from marketstream.operators import living_book as B
+
+    msgs = B.book_messages(parse_messages(feeds.l2_feed(spark, sf_dir)), chunk_rows)
+    return B.records_json(B.records_each(msgs, depth, chunk_rows))
+
+
+def book_records_each(spark, sf_dir):
+    """The book topic's record after every level-2 message, ten levels a side."""
+    return _records_each(spark, sf_dir)
+
+
+def book_records_each_chunked(spark, sf_dir):
+    """``book_records_each`` over chunks of SMALL_CHUNK changes (same rows)."""
+    return _records_each(spark, sf_dir, SMALL_CHUNK)
+
+
+def l2_message_deltas(spark, sf_dir):
+    """The delta of every level-2 message, both sides, empty ones included."""
+    from marketstream.operators import living_book as B
+
+    return B.deltas_json(B.message_deltas(B.book_messages(
+        parse_messages(feeds.l2_feed(spark, sf_dir)))))
+
+
 # ---------------------------------------------------------------- level 3
 def _l3_msgs(spark, sf_dir):
     return L3.with_epoch(parse_messages(feeds.l3_feed(spark, sf_dir)))
@@ -214,7 +239,7 @@ def l3_deltas_chunked(spark, sf_dir):
 
 def unknown_makers(spark, sf_dir):
     """Matches on makers that are not on the book."""
-    return L3.unknown_makers(_l3(spark, sf_dir)["states"])
+    return L3.unknown_makers(_l3(spark, sf_dir)["states"]).drop("exchange")
 
 
 def rejects_all(spark, sf_dir):
@@ -305,44 +330,68 @@ def trades_gated_order_type(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- live (streaming) forms
+#: Rows of a micro-batch in the ``*_stream`` queries.
+LIVE_ROWS = 1 << 13
+
+
 def _live(spark, feed, gate, l2, l3, name):
     from marketstream.streaming.live import replay
-    return replay(spark, feed, gate=gate, l2=l2, l3=l3, name=name)
+    return replay(spark, feed, gate, l2, l3, name, LIVE_ROWS)
 
 
 def l2_stream(spark, sf_dir):
-    """The L2 deltas from the live processor over the landed L2 feed (must equal
-    ``l2_deltas``)."""
-    o = _live(spark, feeds.l2_feed(spark, sf_dir), False, True, False, "l2-stream")
+    """The L2 deltas of the live books over the landed L2 feed (must equal ``l2_deltas``)."""
+    o, _, _ = _live(spark, feeds.l2_feed(spark, sf_dir), False, True, False, "l2-stream")
     return o.where(F.col("kind") == "l2delta").select(
-        "arrival", "symbol", "side", F.col("price").cast("decimal(38,18)").alias("price"),
-        F.col("size").cast("decimal(38,18)").alias("amount"), "ts")
+        "arrival", "symbol", "side", "price", F.col("size").alias("amount"), "ts")
 
 
 def l3_stream(spark, sf_dir):
-    """The L3 deltas from the live processor over the landed L3 feed (= ``l3_deltas``)."""
-    o = _live(spark, feeds.l3_feed(spark, sf_dir), False, False, True, "l3-stream")
+    """The L3 deltas of the live books over the landed L3 feed (= ``l3_deltas``)."""
+    o, _, _ = _live(spark, feeds.l3_feed(spark, sf_dir), False, False, True, "l3-stream")
     return o.where(F.col("kind") == "l3delta").select(
-        "arrival", "symbol", "side", F.col("price").cast("decimal(38,18)").alias("price"),
-        "order_id", F.col("size").cast("decimal(38,18)").alias("size"), "sequence", "ts")
+        "arrival", "symbol", "side", "price", "order_id", "size", "sequence", "ts")
 
 
 def seq_stream(spark, sf_dir):
-    """Gate verdicts from the live processor over the gapped feed (= ``seq_verdicts``)."""
-    o = _live(spark, feeds.gapped_feed(spark, sf_dir), True, False, True, "seq-stream")
+    """Gate verdicts of the live books over the gapped feed (= ``seq_verdicts``)."""
+    o, _, _ = _live(spark, feeds.gapped_feed(spark, sf_dir), True, False, False, "seq-stream")
     return o.where(F.col("kind") == "verdict").select(
         F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol", "sequence",
         F.col("snap").cast("long").alias("snap"), "epoch", "verdict")
 
 
 def l3_gated_stream(spark, sf_dir):
-    """Gated L3 deltas from the live processor over the gapped feed with order-carrying
+    """Gated L3 deltas of the live books over the gapped feed with order-carrying
     snapshots (= ``l3_gated_deltas``)."""
-    o = _live(spark, feeds.gapped_feed(spark, sf_dir, True), True, False, True, "l3-gated")
+    o, _, _ = _live(spark, feeds.gapped_feed(spark, sf_dir, True), True, False, True, "l3-gated")
     return o.where((F.col("kind") == "l3delta") & (F.col("sub") == 0)).select(
         F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol", "side",
-        F.col("price").cast("decimal(38,18)").alias("price"), "order_id",
-        F.col("size").cast("decimal(38,18)").alias("size"), "sequence", "epoch")
+        "price", "order_id", "size", "sequence", "epoch")
+
+
+def rejects_stream(spark, sf_dir):
+    """P15 live: every kind of unusable message, counted by source and reason
+    (= ``rejects_all``)."""
+    o, _, _ = _live(spark, feeds.reject_feed(spark, sf_dir), False, True, True, "rejects-stream")
+    return (o.where(F.col("kind") == "reject").groupBy("source", "reason")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def l2_book_from_state(spark, sf_dir):
+    """ST6/S15: the final L2 book read from the live state (= ``l2_book``)."""
+    from marketstream.streaming.state import l2_book as book
+
+    _, state, n = _live(spark, feeds.l2_feed(spark, sf_dir), False, True, False, "l2-state")
+    return book(spark, state, n).drop("exchange")
+
+
+def l3_book_from_state(spark, sf_dir):
+    """ST6/S15: the final gated L3 book read from the live state (= ``l3_gated_book``)."""
+    from marketstream.streaming.state import l3_book as book
+
+    _, state, n = _live(spark, feeds.gapped_feed(spark, sf_dir, True), True, False, True, "l3-state")
+    return book(spark, state, n).drop("exchange")
 
 
 def _in_utc(q: Query) -> Query:
@@ -380,6 +429,9 @@ def _registry() -> dict[str, Query]:
         "l2_depth": l2_depth,
         "l2_summary": l2_summary,
         "book_record": book_record,
+        "book_records_each": book_records_each,
+        "book_records_each_chunked": book_records_each_chunked,
+        "l2_message_deltas": l2_message_deltas,
         "l2_rejects": l2_rejects,
         "l3_feed_types": l3_feed_types,
         "l3_book": l3_book,
@@ -401,4 +453,7 @@ def _registry() -> dict[str, Query]:
         "l3_stream": l3_stream,
         "seq_stream": seq_stream,
         "l3_gated_stream": l3_gated_stream,
+        "rejects_stream": rejects_stream,
+        "l2_book_from_state": l2_book_from_state,
+        "l3_book_from_state": l3_book_from_state,
     }

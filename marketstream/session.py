@@ -41,7 +41,9 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # keyed state for the live book processor
+        # checkpoints of scans go once nothing refers to them (a live job makes them for ever)
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # keyed state of the de-duplicating trade stream
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
@@ -80,6 +82,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this engine wrote and no longer reads, wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default

@@ -10,12 +10,13 @@ from conftest import SF_SMALL
 from marketstream import jobs
 from marketstream.session import fresh_dir
 from marketstream.sources import feeds
-from marketstream.streaming import live
+from marketstream.streaming import source
 
 
 def test_venue_to_topics_fans_out(spark):
     work = fresh_dir(spark, "job-venue")
-    landing = live.land_feed(feeds.routing_feed(spark, SF_SMALL), os.path.join(work, "in"), 3)
+    landing = os.path.join(work, "in")
+    feeds.routing_feed(spark, SF_SMALL).repartition(3).write.parquet(landing)
     jobs.main(["venue_to_topics", "--input", landing, "--out", os.path.join(work, "out"),
                "--checkpoint", os.path.join(work, "ck"), "--available-now", "--max-files", "2"],
               spark=spark)
@@ -37,9 +38,10 @@ def test_trades_and_books_jobs(spark):
                "--dedupe-delay", "40 days"], spark=spark)
     assert spark.read.parquet(os.path.join(work, "t")).count() == 1000
 
-    landing = live.land_feed(feeds.l3_feed(spark, SF_SMALL), os.path.join(work, "l3"), 2)
-    jobs.main(["books_to_table", "--input", landing, "--out", os.path.join(work, "books"),
-               "--checkpoint", os.path.join(work, "ck2"), "--available-now"], spark=spark)
+    landing = source.land(feeds.l3_feed(spark, SF_SMALL), os.path.join(work, "l3"))
+    jobs.main(["books_to_table", "--source", "landed", "--input", landing, "--out",
+               os.path.join(work, "books"), "--checkpoint", os.path.join(work, "ck2"),
+               "--max-per-trigger", "600", "--available-now"], spark=spark)
     out = spark.read.parquet(os.path.join(work, "books", "orderbooks"))
     assert out.where(F.col("kind") == "trade").count() == \
         feeds.l3_rows(spark, SF_SMALL).where(F.col("typ") == "match").count()

@@ -3,54 +3,145 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
+import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from marketstream.operators import gate as G
+from marketstream.operators import l2 as L2
 from marketstream.operators import l3 as L3
-from marketstream.operators.parse import parse_messages
+from marketstream.operators.normalize import bad_numbers
+from marketstream.operators.parse import invalid_messages, parse_messages
 from marketstream.session import fresh_dir
 from marketstream.sources import feeds
-from marketstream.streaming import live
+from marketstream.streaming import live, source, state
 from marketstream.streaming.sinks import append_batch
 
 
-def test_stream_equals_batch_with_restart(spark):
-    """Run the gapped feed through the live processor in two runs of the same query
-    (the second resumes from the checkpoint with more files landed) and compare every
-    verdict, L3 delta and typed trade with the batch operators."""
-    raw = feeds.gapped_feed(spark, SF_SMALL)
+def _sorted(df):
+    return sorted(map(str, df.collect()))
+
+
+def _expected(raw, gate, chunk_rows=None):
+    """The batch operators' rows, as the live job writes them."""
+    p = parse_messages(raw)
+    out = {}
+    if gate:
+        v = G.sequence_gate(p, chunk_rows)
+        out["verdict"] = v.select("arrival", "symbol", "epoch", "sequence", "snap", "verdict")
+        msgs = G.accepted(v)
+    else:
+        msgs = L3.with_epoch(p, chunk_rows)
+    l2 = L2.build_l2(p, chunk_rows)
+    rows = L3.l3_rows(msgs)
+    st = L3.l3_states(rows, chunk_rows)
+    out["l2delta"] = l2["deltas"].select("arrival", "symbol", "side", "price", "amount", "ts")
+    out["l3delta"] = L3.l3_deltas(st).select("arrival", "sub", "symbol", "epoch", "side", "price",
+                                             "order_id", "size", "sequence", "ts")
+    out["trade"] = L3.trades_with_order_type(msgs, st).select("arrival", "trade_id", "side", "price",
+                                                              "order_type", "ts")
+    rej = [invalid_messages(p).select("arrival", F.lit("message").alias("source"), "reason"),
+           bad_numbers(p).select("arrival", F.lit("number").alias("source"), "reason"),
+           l2["rejects"].select("arrival", F.lit("l2").alias("source"), "reason"),
+           L3.l3_rejects(rows, st).select("arrival", F.lit("l3").alias("source"), "reason")]
+    out["reject"] = reduce(DataFrame.unionByName, rej)
+    return out, l2["book"], L3.l3_book(st, msgs.select("exchange", "symbol", "epoch"))
+
+
+def _equal(out, want):
+    for kind, rows in want.items():
+        got = out.where(F.col("kind") == kind).withColumn("amount", F.col("size"))
+        assert _sorted(got.select(*rows.columns)) == _sorted(rows), kind
+
+
+def test_live_equals_batch_with_a_restart_in_mid_file(spark):
+    """The gapped feed, in batches that end inside files and chunks of 50 arrivals; stopped,
+    more rows landed, and started again: every verdict, delta, trade and both books."""
+    raw = feeds.gapped_feed(spark, SF_SMALL, True).unionByName(
+        feeds.l2_feed(spark, SF_SMALL).withColumn("arrival", F.col("arrival") * 16 + 13))
     work = fresh_dir(spark, "restart")
     landing = os.path.join(work, "landing")
-    first = raw.where(F.col("arrival") < 8000)
-    live.land_feed(first, landing, slices=3)
-    stream = live.book_stream(live.read_landed(spark, landing), gate=True, l2=False, l3=True)
-    live.run_to_table(stream, work)
-    live.land_feed(raw.where(F.col("arrival") >= 8000), landing + "-2", slices=2)
-    for f in sorted(spark.read.parquet(landing + "-2-staged").inputFiles()):
-        spark.read.parquet(f).write.mode("append").parquet(landing)
-    stream = live.book_stream(live.read_landed(spark, landing), gate=True, l2=False, l3=True)
-    out = spark.read.parquet(live.run_to_table(stream, work))
-
-    v = G.sequence_gate(parse_messages(raw))
-    exp_v = sorted((r.arrival, r.symbol, r.verdict) for r in v.collect())
-    got_v = sorted((r.arrival, r.symbol, r.verdict)
-                   for r in out.where(F.col("kind") == "verdict").collect())
-    assert got_v == exp_v
-
-    acc = G.accepted(v)
-    st = L3.l3_states(L3.l3_rows(acc))
-    exp_d = sorted((r.arrival, r.order_id, str(r.size.normalize()))
-                   for r in L3.l3_deltas(st).where(F.col("sub") == 0).collect())
-    got_d = sorted((r.arrival, r.order_id, r.size)
-                   for r in out.where((F.col("kind") == "l3delta") & (F.col("sub") == 0)).collect())
-    assert [(a, o) for a, o, _ in got_d] == [(a, o) for a, o, _ in exp_d]
-    assert all(float(a[2]) == float(b[2]) for a, b in zip(got_d, exp_d))
-
-    exp_t = sorted((r.trade_id, r.order_type) for r in L3.trades_with_order_type(acc, st).collect())
-    got_t = sorted((r.trade_id, r.order_type) for r in out.where(F.col("kind") == "trade").collect())
-    assert got_t == exp_t
+    source.land(raw.where(F.col("arrival") < 6000), landing, file_rows=170)
+    n = live.run_landed(spark, landing, work, True, max_rows=300, chunk_rows=50)
+    rows = raw.where(F.col("arrival") < 6000).count()
+    assert n == -(-rows // 300) and rows % 300
+    source.land(raw.where(F.col("arrival") >= 6000), landing, file_rows=170)
+    assert len(source.manifests(landing)) > 5
+    n = live.run_landed(spark, landing, work, True, max_rows=700, chunk_rows=50)
+    out = spark.read.parquet(os.path.join(work, "out"))
+    want, l2, l3 = _expected(raw, True)
+    _equal(out, want)
+    cols = ["exchange", "symbol", "side", "price", "amount"]
+    state_dir = os.path.join(work, "state")
+    assert _sorted(state.l2_book(spark, state_dir, n).select(cols)) == _sorted(l2.select(cols))
+    assert _sorted(state.l3_book(spark, state_dir, n)) == _sorted(l3) and l3.count()
+    pos = {r.symbol: r.last for r in state.gate_position(spark, state_dir, n).collect()}
+    assert pos == {r.symbol: r.m for r in G.sequence_gate(parse_messages(raw)).where(
+        F.col("verdict").isin("ok", "snapshot", "gap", "unsynced", "stale"))
+        .groupBy("symbol").agg(F.max_by(F.greatest("sequence", "last"), "arrival").alias("m")).collect()}
+
+
+def test_live_rejects_equal_batch_and_batches_replay(spark):
+    """Messages that no handler can use; then the last micro-batch is run again."""
+    raw = feeds.reject_feed(spark, SF_SMALL)
+    out, state_dir, n = live.replay(spark, raw, False, name="rejects", max_rows=250, chunk_rows=64)
+    want, _, _ = _expected(raw, False)
+    _equal(out, want)
+    before = _sorted(out)
+    folder = state_dir.rsplit("/", 1)[0]
+    sink = live.LiveBooks(folder + "/out", state_dir, False)
+    first = raw.orderBy("arrival").limit(250 * (n - 1))
+    sink(raw.join(first, "arrival", "left_anti").select("arrival", "receipt_time", "value"), n - 1)
+    again = spark.read.parquet(folder + "/out").select(*live.OUTPUT)
+    assert _sorted(again) == before
+
+
+def test_state_keeps_what_lives(spark, monkeypatch):
+    """Every second batch writes the whole state; what is closed or of an earlier epoch goes,
+    and the results stay."""
+    monkeypatch.setattr(state, "EVERY", 2)
+    raw = feeds.gapped_feed(spark, SF_SMALL, True)
+    out, path, n = live.replay(spark, raw, True, False, True, max_rows=150)
+    want, _, l3 = _expected(raw, True)
+    _equal(out, {k: v for k, v in want.items() if not k.startswith("l2")})
+    assert _sorted(state.l3_book(spark, path, n)) == _sorted(l3)
+    kept = sorted(int(f) for f in os.listdir(path.replace("file:", "")) if f.isdigit())
+    assert kept[-1] == n - 1 and kept[0] >= n - 6
+    last = (n - 1) // 2 * 2
+    orders = spark.read.parquet(f"{path}/{last}").where("scan = 'l3_orders'")
+    assert orders.select("exchange", "symbol", "epoch").distinct().count() <= 4
+    assert orders.count() < want["l3delta"].select("order_id").distinct().count()
+
+
+def test_source_batches_end_at_the_limit(spark):
+    work = fresh_dir(spark, "limits")
+    raw = feeds.l3_feed(spark, SF_SMALL)
+    path = source.land(raw, os.path.join(work, "landing"), file_rows=130)
+    r = source.FeedReader(path, 256, 100, os.path.join(work, "progress"))
+    at, seen = r.initialOffset(), []
+    while (end := r.latestOffset()) != at:
+        assert end == r.latestOffset()                # the same until the batch is planned
+        parts = r.partitions(at, end)
+        assert sum(p.end - p.start for p in parts) == end["row"] - at["row"] <= 256
+        assert all(p.end - p.start <= 100 for p in parts)
+        rows = [a for p in parts for b in r.read(p) for a in b.column("arrival").to_pylist()]
+        again = [a for p in r.partitions(at, end) for b in r.read(p)
+                 for a in b.column("arrival").to_pylist()]
+        assert rows == again == sorted(rows)
+        seen += rows
+        at = end
+        r = source.FeedReader(path, 256, 100, os.path.join(work, "progress"))   # a restart
+    assert seen == sorted(x.arrival for x in raw.collect())
+    b = next(iter(r.read(r.partitions({"row": 0}, {"row": 1})[0])))
+    want = raw.orderBy("arrival").first()
+    assert b.column("value")[0].as_py() == want.value
+    assert b.column("receipt_time")[0].as_py().replace(tzinfo=None) == want.receipt_time
+    lost = source.FeedReader(path, 256, 100, os.path.join(work, "lost"))
+    with pytest.raises(RuntimeError, match="lost"):
+        lost.partitions({"row": 512}, lost.latestOffset())
 
 
 def test_append_batch_is_idempotent(spark):
@@ -109,58 +200,3 @@ def test_kafka_options_and_table_ddl(spark):
     cols = [c.name for c in spark.catalog.listColumns("ddl_trades")]
     assert cols[:9] == ["exchange", "symbol", "side", "price", "ts", "receipt_ts", "size",
                         "trade_id", "epoch"]
-
-
-def test_landed_files_are_bounded_and_in_order(spark):
-    """However few slices are asked for; the output does not depend on the bound."""
-    raw = feeds.l3_feed(spark, SF_SMALL).where(F.col("arrival") < 3000)
-    path = os.path.join(fresh_dir(spark, "bounded"), "landing")
-    live.land_feed(raw, path, slices=1, rows=700)
-    files = {}
-    for r in (spark.read.parquet(path).select("arrival", "_metadata.file_path",
-                                              "_metadata.file_modification_time").collect()):
-        files.setdefault((r.file_modification_time, r.file_path), []).append(r.arrival)
-    landed = [files[k] for k in sorted(files)]
-    assert max(map(len, landed)) <= 700
-    assert [a for f in landed for a in sorted(f)] == sorted(r.arrival for r in raw.collect())
-    one, many = (sorted(map(str, live.replay(spark, raw, False, False, True, 1, rows=n).collect()))
-                 for n in (1 << 14, 700))
-    assert one == many and one
-
-
-def test_only_touched_entries_are_read_and_written():
-    from marketstream.streaming.processor import _Table
-
-    class State(dict):
-        def __init__(self, *a):
-            super().__init__(*a)
-            self.calls = []
-
-        def getValue(self, key):
-            self.calls.append(("read", key))
-            return self.get(key)
-
-        def updateValue(self, key, value):
-            self.calls.append(("write", key))
-            self[key] = value
-
-        def removeKey(self, key):
-            self.calls.append(("drop", key))
-            self.pop(key, None)
-
-    state = State({(str(k),): (str(k),) for k in range(1000)})
-    t = _Table(state)
-    assert t.get(("5",)) == ("5",) and t.get(("5",)) == ("5",) and t.get(("x",)) is None
-    t.put(("6",), ("new",))
-    t.pop(("7",))
-    assert t.get(("6",)) == ("new",) and t.get(("7",)) is None and state[("7",)] == ("7",)
-    t.write()
-    assert sorted(state.calls) == [("drop", ("7",)), ("read", ("5",)), ("read", ("x",)),
-                                   ("write", ("6",))]
-    t = _Table(state)
-    t.put(("1",), ("lost",))
-    t.clear()
-    t.put(("y",), ("z",))
-    assert t.get(("1",)) is None
-    t.write()
-    assert state == {("y",): ("z",)}
