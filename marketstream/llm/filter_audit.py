@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, table, written
 from marketstream.session import cut
 
-SHARD_BYTES = 1 << 22      # bytes of text in a shard; a longer text is one of its own
+SHARD_BYTES = 1 << 23      # bytes of text in a shard; a longer text is one of its own
 PIECE_ROWS = 1 << 19       # words of all shards that are numbered together
 FILTERS = "ABCDE"
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -56,13 +56,14 @@ def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(codes: np.ndarray, ids: np.ndarray) -> bytes:
-    """A shard's own word numbers and those of the dictionary."""
-    return codes.astype("<i4").tobytes() + ids.astype("<i8").tobytes()
+    """The number of a piece's first word, then a shard's own word numbers and what they add."""
+    return ids[:1].astype("<i8").tobytes() + np.concatenate([codes, ids - ids[0]]).astype("<i4").tobytes()
 
 
 def _of_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(data) // 12
-    return np.frombuffer(data, "<i4", n), np.frombuffer(data, "<i8", n, 4 * n)
+    n = (len(data) - 8) // 8
+    return np.frombuffer(data, "<i4", n, 8), np.frombuffer(data, "<i4", n, 8 + 4 * n) + \
+        np.frombuffer(data, "<i8", 1)
 
 
 # ---------------------------------------------------------------- the matrix
@@ -182,13 +183,13 @@ def _numbered(uses: DataFrame) -> DataFrame:
 
 
 def document_term_matrix(docs: DataFrame, text_col: str, kept: list[str],
-                         marks: Marks | None = None) -> tuple[DataFrame, DataFrame]:
-    """(matrix, dictionary) of all texts.
+                         marks: Marks | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(matrix, documents, dictionary) of all texts.
 
-    ``matrix`` has a row per shard: its number, ``rows`` (the ``kept`` columns of its
-    documents, and what ``marks`` makes of their texts) and ``cells``: packed row ends, word
-    ids (ascending within a document) and counts.  ``dictionary`` is (word, word_id), gapless
-    from 0.  Words are maximal runs without white space (space and \\t to \\r); a null text
+    ``matrix`` has a row per shard: its number and ``cells``, packed row ends, word ids
+    (ascending within a document) and counts.  ``documents`` is (shard, ``rows``): the ``kept``
+    columns of the shard's documents in the order of its rows, and what ``marks`` makes of
+    their texts.  ``dictionary`` is (word, word_id), gapless from 0.  Words are maximal runs without white space (space and \\t to \\r); a null text
     has none.  Every row of ``docs`` is a row of the matrix; an empty table gives empty ones.
     No kept column may be called ``text``.
 
@@ -236,14 +237,12 @@ def document_term_matrix(docs: DataFrame, text_col: str, kept: list[str],
                     [pa.array([shard], pa.int64()),
                      pa.array([packed(end, number[col][order], count[order])], pa.binary())], schema=out)
 
-    matrix = dealt.mapInArrow(run, schema).join(shards.select("shard", "rows"), "shard")
-    return matrix, dictionary
+    return dealt.mapInArrow(run, schema), shards.select("shard", "rows"), dictionary
 
 
-def word_counts(matrix: DataFrame) -> DataFrame:
-    """The kept columns of every document with ``n_words`` (its row sum) and ``n_distinct``
-    (its number of columns)."""
-    kind = matrix.schema["rows"].dataType
+def word_counts(matrix: DataFrame, documents: DataFrame) -> DataFrame:
+    """The columns of every document with ``n_words`` (its row sum) and ``n_distinct`` (its
+    number of columns)."""
 
     def make():
         def step(b: pa.RecordBatch):
@@ -259,13 +258,13 @@ def word_counts(matrix: DataFrame) -> DataFrame:
                 seen = np.concatenate([[0], np.cumsum(new)])
                 sums.append(total[end] - total[start])
                 sizes.append(seen[end] - seen[start])
-            return b.column("rows"), pa.array(sums), pa.array(sizes)
+            return b.column("shard"), pa.array(sums), pa.array(sizes)
 
         return step
 
-    rows = arrow_map(matrix.select("rows", "cells"), make,
-                     f"rows {kind.simpleString()}, n_words array<long>, n_distinct array<long>")
-    return (rows.select(F.explode(F.arrays_zip("rows", "n_words", "n_distinct")).alias("d"))
+    counts = arrow_map(matrix, make, "shard long, n_words array<long>, n_distinct array<long>")
+    return (documents.join(counts, "shard")
+            .select(F.explode(F.arrays_zip("rows", "n_words", "n_distinct")).alias("d"))
             .select("d.rows.*", "d.n_words", "d.n_distinct"))
 
 
@@ -286,9 +285,9 @@ def failures(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
                        F.col("text").alias("body"))
-    matrix, _ = document_term_matrix(rows, "body", ["doc_id", "part"],
-                                     ("digest: binary, c: boolean, d: boolean", _flags))
-    counted = word_counts(matrix)
+    matrix, documents, _ = document_term_matrix(
+        rows, "body", ["doc_id", "part"], ("digest: binary, c: boolean, d: boolean", _flags))
+    counted = word_counts(matrix, documents)
     flags = [F.col("n_words") < 200, 100 * F.col("n_distinct") < 50 * F.col("n_words"),
              F.col("c"), F.col("d")]
     mask = sum((f.cast("int") * (1 << j) for j, f in enumerate(flags)), F.lit(0))

@@ -77,7 +77,8 @@ def test_registered_query_against_brute_force_and_sql(spark, documents, monkeypa
 def test_matrix_has_every_word_of_every_text(spark, documents, monkeypatch):
     monkeypatch.setattr(A, "SHARD_BYTES", 20_000)
     monkeypatch.setattr(A, "PIECE_ROWS", 300)
-    matrix, dictionary = A.document_term_matrix(documents, "text", ["doc_id"])
+    matrix, rows, dictionary = A.document_term_matrix(documents, "text", ["doc_id"])
+    matrix = matrix.join(rows, "shard")
     word = {r.word_id: r.word for r in dictionary.collect()}
     assert sorted(word) == list(range(len(word))) and len(set(word.values())) == len(word)
     got = {}
