@@ -66,17 +66,14 @@ def arrow_rows(df: DataFrame, make) -> DataFrame:
 
 def int_lists(lists: list) -> pa.ListArray:
     """Many lists of small non-negative ints as one Arrow list column."""
-    import array
     from itertools import chain
 
-    flat = array.array("i", chain.from_iterable(lists))
-    ends = array.array("i", [0])
-    n = 0
-    for x in lists:
-        n += len(x)
-        ends.append(n)
-    return pa.ListArray.from_arrays(pa.array(memoryview(ends), pa.int32()),
-                                    pa.array(memoryview(flat), pa.int32()))
+    import numpy as np
+
+    ends = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum(np.fromiter(map(len, lists), np.int32, len(lists)), out=ends[1:])
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ merging the two pieces' characters again, best score first, leftmost on ties, mu
 back the same two pieces.  So the encoder walks the text once: at each position it takes
 the longest piece that an Aho-Corasick automaton found there, goes to the next shorter
 one while the pair with the piece before is incompatible, and steps back when none is
-left, marking the position in a bitfield so that no path tries it again.
+left, marking the position in a bitfield so that no path tries it again.  Where the longest
+pieces alone are compatible, the first path through is the encoding; the automaton gives it in
+one pass.
 
 The piece list never has a blank mark after another character (checked when the model is
 read), so no merge crosses the start of a word and words can be encoded one by one; each
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,6 +32,24 @@ PAIRS_KEPT = 400_000    # pair checks that a worker remembers
 _CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*")
 
 
+class _Words(dict):
+    """Encoded words by their text without the first blank mark: encodes what it misses, and
+    keeps two generations of a bounded number of words."""
+
+    def __init__(self, chunk):
+        super().__init__()
+        self.chunk, self.before = chunk, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.before.get(word) or self.chunk(BLANK + word)
+        if len(word) < 64:
+            if len(self) >= WORDS_KEPT:
+                self.before = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class MergePieces:
     """The pieces of one BPE model: encode and decode whole texts."""
 
@@ -68,8 +89,7 @@ class MergePieces:
                      else bytes([self.byte_of[i]]).decode("utf-8", "surrogateescape")
                      if i in self.byte_of else "" for i in range(n)]
         self.pairs: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
+        self.words = _Words(self.chunk)
 
     # ------------------------------------------------------------ merging again
     def merged(self, text: str) -> list[str]:
@@ -101,6 +121,16 @@ class MergePieces:
         """The ids of a text of known characters only, by backtracking."""
         n = len(text)
         length, pairs, size = self.length, self.pairs, self.size
+        ids = [i for _, i in self.automaton.iter_long(text)]
+        last = -1
+        for i in ids:                              # the path of longest pieces
+            if last >= 0:
+                ok = pairs.get(last * size + i)
+                if not (ok or (ok is None and self.compatible(last, i))):
+                    break
+            last = i
+        else:
+            return ids
         at: list[list[int]] = [[] for _ in range(n)]
         for end, i in self.automaton.iter(text):
             at[end - length[i] + 1].append(i)      # shorter ones come first
@@ -145,29 +175,23 @@ class MergePieces:
             ids += self._known(text[pos:])
         return tuple(ids)
 
-    def _remember(self, word: str) -> tuple[int, ...]:
-        ids = self.before.get(word) or self.chunk(word)
-        if len(word) <= 64:
-            if len(self.words) >= WORDS_KEPT:      # keeps the last generation too
-                self.before, self.words = self.words, {}
-            self.words[word] = ids
-        return ids
-
     def encode(self, text: str) -> list[int]:
         """The ids of a whole text, without begin or end ids."""
-        ids: list[int] = []
-        if text:
-            known, remember = self.words.get, self._remember
-            for w in _CHUNK.findall((BLANK + text).replace(" ", BLANK)):
-                ids += known(w) or remember(w)
-        return ids
+        if not text:
+            return []
+        if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            # a word has all the blank marks before it
+            words = (w[1:] for w in _CHUNK.findall((BLANK + text).replace(" ", BLANK)))
+        else:
+            words = text.split(" ")
+        return list(chain.from_iterable(map(self.words.__getitem__, words)))
 
     # ------------------------------------------------------------ decoding
     def decode(self, ids) -> str:
         """Pieces as text: runs of bytes read as UTF-8, blank marks as spaces, without the
         one blank that encoding puts first."""
         text = self.text
-        out = "".join([text[i] for i in ids])
+        out = "".join(map(text.__getitem__, ids))
         try:
             out.encode()
         except UnicodeEncodeError:                 # holds escaped bytes
