@@ -6,9 +6,15 @@ the exact code length of a word under the frozen statistics depends on the word
 document's code length is the sum over all its words; the language with the shortest one
 wins, and the score is its share of the likelihoods at equal priors.
 
-The trees are counted as Spark sums over n-grams of bytes; the frozen tables (one row per
-context and symbol, with the blended log-probability of every language) are small, and
-their size is checked before they go to the executors.
+The trees are counted as Spark sums over n-grams of bytes, from a sample of each language that
+is bounded in documents and bytes.  The frozen tables (one row per context and symbol, with the
+blended log-probability of every language) are made for a group of languages at a time: a group
+holds as many languages as its tables fit in ``TABLE_BYTES``, and the texts pass by one group
+after another.  So the order of the contexts is the same however many languages there are, and
+what goes to the executors at once is bounded.
+
+A language also has a range: how many bits a byte its own texts take.  A text far above the
+range of the language that codes it shortest is in none of the languages (``told``).
 """
 
 from __future__ import annotations
@@ -17,16 +23,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.llm.common import arrow_map, arrow_rows, fold, table, texts
+from marketstream.llm.common import arrow_map, arrow_rows, fold, table, texts, written
 
 ORDER = 4
 SAMPLE_DOCS = 1000        # training documents per language, about (chosen by a hash)
-MAX_ENTRIES = 3_000_000   # rows of the frozen tables at most; longer contexts go first
+SAMPLE_BYTES = 8_000_000  # training text per language, about
+TABLE_BYTES = 160_000_000 # frozen tables that go to the executors at once, about
+RANGE_DOCS = 1000         # other documents per language, about, that its range is taken from
 WORDS_KEPT = 200_000      # words whose code lengths a task remembers
 SLICE_CHARS = 2_000_000   # text scored in one go inside a task
+LEAST_SPREAD = 0.5        # bits a byte that a spread counts as at least
+CHANCE_BITS = 12.0        # bits a byte that chance adds to a text, by the root of its bytes
 END = 0x20                # stands before and after every word
 
 
@@ -120,27 +130,51 @@ class Trees:
         starts = np.concatenate([[0], ends[:-1] + 1])
         return np.add.reduceat(out, starts, axis=0)
 
-    @property
-    def entries(self) -> int:
-        return sum(map(len, self.keys))
 
+@dataclass
+class Languages:
+    """The frozen trees, for groups of languages in the order of their names, and the range of
+    each language: the median of its texts' bits a byte, and the spread above it."""
+
+    groups: list[Trees]
+    ranges: dict[str, tuple[float, float]]
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees | None:
+
+def _sampled(docs: DataFrame, sample_docs: int, seed: int) -> tuple[DataFrame, list[str]]:
+    """About ``sample_docs`` documents and SAMPLE_BYTES of text per language, chosen by a hash
+    of the id, and all languages by name."""
+    named = docs.where(F.col("lang").isNotNull())
+    sizes = {r["lang"]: (r["n"], r["b"] or 0) for r in named.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    langs = sorted(sizes)
+    if not langs:
+        return named, []
+    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(
+        min(1.0, sample_docs / sizes[k][0], SAMPLE_BYTES / max(1, sizes[k][1]))))])
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), F.lit(1 << 20)) / (1 << 20)
+    return named.where(draw < rate[F.col("lang")]), langs
+
+
+def _grouped(langs: list[str], entries: dict[str, int]) -> list[list[str]]:
+    """Languages by name, cut where the tables of a group would outgrow TABLE_BYTES; a row of
+    the tables has a key and a number for every language."""
+    out: list[list[str]] = [[]]
+    for lang in langs:
+        more = [*out[-1], lang]
+        if out[-1] and sum(entries.get(k, 0) for k in more) * (8 + 4 * len(more)) > TABLE_BYTES:
+            out.append([lang])
+        else:
+            out[-1] = more
+    return out
+
+
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Languages | None:
     """Context trees from the rows of ``docs`` (id, lang, text) that have a language; about
     ``sample_docs`` whole documents per language, chosen by a hash of the id.  None if no
     row has a language."""
-    named = docs.where(F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy("lang").collect()}
-    if not counts:
+    chosen, langs = _sampled(docs, sample_docs, 10)
+    if not langs:
         return None
-    langs = list(counts)
-    rate = F.create_map(*[x for n in langs for x in
-                          (F.lit(n), F.lit(min(1.0, sample_docs / counts[n])))])
-    number = F.create_map(*[x for k, n in enumerate(langs) for x in (F.lit(n), F.lit(k))])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(10)), F.lit(1 << 20)) / (1 << 20)
-    chosen = (named.where(draw < rate[F.col("lang")])
-              .select(number[F.col("lang")].alias("lang"), "text"))
 
     def make():
         def step(b: pa.RecordBatch):
@@ -156,22 +190,34 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees | None:
                 for k in range(ORDER + 1):
                     at = np.flatnonzero(before >= max(k, 1))
                     key, n = np.unique(ctx[k][at] << 8 | raw[at], return_counts=True)
-                    out.append((np.full(len(key), lang), np.full(len(key), k), key, n))
+                    out.append(([lang] * len(key), np.full(len(key), k), key, n))
             if not out:
                 return None
-            return [np.concatenate(x) for x in zip(*out, strict=True)]
+            return [[x for col in out for x in col[0]],
+                    *(np.concatenate(x) for x in list(zip(*out, strict=True))[1:])]
 
         return step
 
-    grams = (arrow_map(chosen, make, "lang int, k int, gram long, n long")
-             .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
-    sizes = {r["k"]: r["c"] for r in grams.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
-    top = ORDER
-    while top and sum(c for k, c in sizes.items() if k <= top) > MAX_ENTRIES:
-        top -= 1
-    t = grams.where(F.col("k") <= top).toPandas()
-    return Trees.freeze(langs, t["k"].to_numpy(), t["gram"].to_numpy(), t["lang"].to_numpy(),
-                        t["n"].to_numpy())
+    grams = written(arrow_map(chosen.select("lang", "text"), make, "lang string, k int, gram long, n long")
+                    .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
+    entries = {r["lang"]: r["c"] for r in grams.groupBy("lang")
+               .agg(F.count(F.lit(1)).alias("c")).collect()}
+    groups = []
+    for names in _grouped(langs, entries):
+        # bounded by TABLE_BYTES, or by the sample of one language
+        t = grams.where(F.col("lang").isin(names)).toPandas()
+        number = t["lang"].map({k: j for j, k in enumerate(names)}).to_numpy(np.int64)
+        groups.append(Trees.freeze(names, t["k"].to_numpy(), t["gram"].to_numpy(), number,
+                                   t["n"].to_numpy()))
+    out = Languages(groups, {})
+    # other documents than those that the trees were counted on, where there are any
+    other, _ = _sampled(docs, RANGE_DOCS, 11)
+    bits = _coded(other.select("id", "text", "lang"), out).where(
+        (F.col("best") == F.col("lang")) & (F.col("size") > 0))
+    bits = bits.withColumn("x", -F.col("top") / F.col("size") / float(np.log(2)))
+    out.ranges = {r["lang"]: (r["q"][0], r["q"][1] - r["q"][0]) for r in bits.groupBy("lang").agg(
+        F.percentile("x", F.array(F.lit(0.5), F.lit(0.95))).alias("q")).collect()}
+    return out
 
 
 def _letters(text: str) -> bool:
@@ -217,63 +263,90 @@ class Scorer:
         return out
 
 
-def predict(docs: DataFrame, trees: Trees | None, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: the id, ``lang_pred`` and ``score``.
+def _coded(docs: DataFrame, languages: Languages, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``best`` (the language that codes the text shortest; null without a
+    letter), ``top`` (its log-likelihood), ``every`` (the logarithm of all likelihoods' sum) and
+    ``size`` (the bytes of its words).  One pass per group of languages."""
+    start = "best string, top double, every double, size long"
+    columns = docs.columns
+    out = docs.select("*", *[F.lit(None).cast(f.split()[1]).alias(f.split()[0])
+                             for f in start.split(", ")])
+    for trees in languages.groups:
+        if trees is not languages.groups[0]:
+            out = written(out)
+        out = _one_group(out, docs.sparkSession.sparkContext.broadcast(trees), text_col, columns)
+    return out
 
-    A text that is null or has no letter gives ``und`` with score 0, as do all texts when
-    there are no trees (nothing to learn from).  Ties go to the first language by name.
-    Repeated rows repeat, null ids stay null, other columns are left aside."""
-    spark = docs.sparkSession
-    if trees is not None and trees.entries > MAX_ENTRIES:
-        raise ValueError("the frozen statistics are too large to broadcast")
-    shared = spark.sparkContext.broadcast(trees)
 
+def _one_group(docs: DataFrame, shared, text_col: str, columns: list[str]) -> DataFrame:
     def make():
-        known = shared.value
-        scorer = Scorer(known) if known is not None else None
+        trees = shared.value
+        scorer = Scorer(trees)
 
         def step(b: pa.RecordBatch):
-            rows = texts(b, "text")
-            if scorer is None:
-                return b.column("id"), ["und"] * len(rows), [0.0] * len(rows)
+            rows = texts(b, text_col)
             ll = scorer.loglik(rows)
-            best = ll.argmax(axis=1)
-            share = 1.0 / np.exp(np.maximum(ll - ll.max(axis=1, keepdims=True), -700)).sum(axis=1)
-            has = [_letters(t) for t in rows]
-            return (b.column("id"),
-                    [known.langs[k] if h else "und" for k, h in zip(best, has, strict=True)],
-                    np.where(has, share, 0.0))
+            has = np.fromiter(map(_letters, rows), bool, len(rows))
+            at = ll.argmax(axis=1)
+            here = ll[np.arange(len(rows)), at]
+            before = b.column("top").to_pylist()
+            top = np.array([-np.inf if x is None else x for x in before])
+            every = np.array([-np.inf if x is None else x for x in b.column("every").to_pylist()])
+            best = [(trees.langs[k] if h > t else old) if ok else None for k, h, t, old, ok in
+                    zip(at, here, top, b.column("best").to_pylist(), has, strict=True)]
+            every = np.logaddexp(every, np.logaddexp.reduce(ll, axis=1))
+            size = [len("".join(t.lower().split()).encode()) for t in rows]
+            new = {"best": pa.array(best, pa.string()), "top": pa.array(np.maximum(top, here)),
+                   "every": pa.array(every), "size": pa.array(size, pa.int64())}
+            cols = [new.get(n, b.column(k)) if k >= len(columns) else b.column(k)
+                    for k, n in enumerate(b.schema.names)]
+            return pa.RecordBatch.from_arrays(cols, schema=b.schema)
 
         return step
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = arrow_map(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, "
-                                "lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+    return arrow_rows(docs, make)
 
 
-def told(docs: DataFrame, trees: Trees | None, least: float,
-         text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is told: with a letter, and with at
-    least ``least`` of the likelihoods for one language.  All rows without trees."""
-    if trees is None:
-        return docs
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+def _share() -> Column:
+    return F.when(F.col("best").isNotNull(), F.exp(F.col("top") - F.col("every"))).otherwise(F.lit(0.0))
 
-    def make():
-        scorer = Scorer(shared.value)
 
-        def step(b: pa.RecordBatch):
-            rows = texts(b, text_col)
-            ll = scorer.loglik(rows)
-            share = 1.0 / np.exp(np.maximum(ll - ll.max(axis=1, keepdims=True), -700)).sum(axis=1)
-            has = np.fromiter(map(_letters, rows), bool, len(rows))
-            return b.filter(pa.array(has & (share >= least)))
+def predict(docs: DataFrame, languages: Languages | None, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: the id, ``lang_pred`` and ``score``.
 
-        return step
+    A text that is null or has no letter gives ``und`` with score 0, as do all texts when
+    there are no trees (nothing to learn from).  Ties go to the first language by name.
+    Repeated rows repeat, null ids stay null, other columns are left aside."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if languages is None:
+        return rows.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"),
+                           F.lit(0.0).alias("score"))
+    return _coded(rows, languages).select(
+        F.col("id").alias(id_col), F.coalesce("best", F.lit("und")).alias("lang_pred"),
+        _share().alias("score"))
 
-    return arrow_rows(docs, make)
+
+def told(docs: DataFrame, languages: Languages | None, least: float, spreads: float | None = None,
+         text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told: with a letter, at least
+    ``least`` of the likelihoods for one language, and (with ``spreads``) not more bits a byte
+    than that language's median and so many of its spreads.  A text of few bytes is given the
+    bits that chance adds to it.  All rows without trees."""
+    if languages is None:
+        return docs
+    columns = docs.columns
+    # set apart, as a column may be called like one of ours
+    rows = docs.select(F.struct(*columns).alias("row"), F.col(text_col).cast("string").alias("text"))
+    coded = _coded(rows, languages)
+    kept = F.col("best").isNotNull() & (_share() >= least)
+    if spreads is not None and languages.ranges:
+        limit = F.create_map(*[x for k, (m, d) in languages.ranges.items()
+                               for x in (F.lit(k), F.lit(m + spreads * max(d, LEAST_SPREAD)))])
+        bits = -F.col("top") / F.col("size") / float(np.log(2))
+        chance = CHANCE_BITS / F.sqrt(F.col("size"))
+        kept = kept & F.coalesce(bits <= limit[F.col("best")] + chance, F.lit(True))
+    return coded.where(kept).select("row.*")
 
 
 def learn_rows(docs: DataFrame) -> DataFrame:

@@ -74,18 +74,18 @@ def _print(u: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(rows: DataFrame) -> DataFrame:
-    """(id, n, fp1, fp2) of every row: size and fingerprint of its set."""
+    """(id, mark, n, fp1, fp2) of every row (id, mark, text): size and fingerprint of its set."""
 
     def make():
         def step(b: pa.RecordBatch):
             got = [shingles(t) for t in texts(b, "text")]
             prints = [_print(u) for u in got]
-            return (b.column("id"), [len(u) for u in got], [p[0] for p in prints],
-                    [p[1] for p in prints])
+            return (b.column("id"), b.column("mark"), [len(u) for u in got],
+                    [p[0] for p in prints], [p[1] for p in prints])
 
         return step
 
-    return arrow_map(rows, make, "id long, n long, fp1 long, fp2 long")
+    return arrow_map(rows, make, "id long, mark binary, n long, fp1 long, fp2 long")
 
 
 # ---------------------------------------------------------------- shared n-grams
@@ -344,16 +344,10 @@ def _connected(ordered: DataFrame) -> DataFrame:
     return components(nodes, old.unionByName(new))
 
 
-def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: the id, ``n_shingles``, ``class_id`` (the smallest id with the
-    same set) and ``component_id`` (the smallest id reachable by links, its own included).
-
-    A null, empty or blank text has the empty set, which links with nothing.  A null id
-    has no component and takes no part.  Repeated rows have one class; an id with several
-    texts has a row for each, each in the component of its text.  Other columns are left
-    aside; an empty table gives no rows."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"),
-                       F.col(text_col).cast("string").alias("text"))
+def _placed(rows: DataFrame) -> DataFrame:
+    """(id, mark, n, rep, label, component_id) of every row (id, mark, text): the smallest id
+    with the row's set, the component's label and its smallest id.  The last three are null
+    for rows without an id or without words."""
     sets = written(_sets(rows))
     real = F.col("id").isNotNull() & (F.col("n") > 0)
     classes = cut(sets.where(real).groupBy("fp1", "fp2")
@@ -368,9 +362,46 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     # classes are fewer than rows; a class with very many copies is split by AQE
     return (sets.join(named, (sets["fp1"] == named["fp1"]) & (sets["fp2"] == named["fp2"])
                       & real, "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id")).alias("class_id"),
-                    F.coalesce("component_id", "id").alias("component_id")))
+            .select("id", "mark", "n", "rep", "label", "component_id"))
+
+
+def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: the id, ``n_shingles``, ``class_id`` (the smallest id with the
+    same set) and ``component_id`` (the smallest id reachable by links, its own included).
+
+    A null, empty or blank text has the empty set, which links with nothing.  A null id
+    has no component and takes no part.  Repeated rows have one class; an id with several
+    texts has a row for each, each in the component of its text.  Other columns are left
+    aside; an empty table gives no rows."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.lit(None).cast("binary").alias("mark"),
+                       F.col(text_col).cast("string").alias("text"))
+    return _placed(rows).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("id")).alias("class_id"),
+        F.coalesce("component_id", "id").alias("component_id"))
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every group of near duplicates: of the rows that links join,
+    the one with the smallest id (of several texts under it, the one of the smallest digest).
+
+    Rows are told apart by all their columns, so an id with several texts keeps each text that
+    nothing links; equal rows count as one.  A row without words is a group with the rows of
+    its id without words; rows without an id all stay.  An empty table gives no rows."""
+    cols = docs.columns
+    named = docs.where(F.col(id_col).isNotNull())
+    # every column with its nulls, so equal marks are equal rows
+    mark = F.unhex(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
+    rows = named.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"),
+                        F.col(text_col).cast("string").alias("text"))
+    empty = F.when(F.col("label").isNull(), F.col("id"))
+    keep = (_placed(rows).groupBy("label", empty.alias("_own"))
+            .agg(F.min(F.struct("id", "mark")).alias("k"))
+            .select(F.col("k.mark").alias("_mark")))
+    # equal rows meet as one row of every task before they are shuffled
+    once = named.withColumn("_mark", mark).dropDuplicates(["_mark"])
+    return (once.join(keep, "_mark").select(*cols)
+            .unionByName(docs.where(F.col(id_col).isNull())))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

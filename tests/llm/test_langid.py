@@ -37,7 +37,7 @@ def test_code_lengths_against_plain_loops(spark):
             (None, "ignored"), ("fr", None), ("xx", "")]
     df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)],
                                "id long, lang string, text string").repartition(3)
-    trees = L.fit(df, sample_docs=100)
+    trees, = L.fit(df, sample_docs=100).groups
     count = slow_trees([(a, b or "") for a, b in rows if a])
     count = {k: dict(v) for k, v in count.items()}
     words = ["the", "chat", "zzz", "thé", "t", "hatchet", "漢字"]
@@ -75,9 +75,42 @@ def test_odd_rows_and_nothing_to_learn(spark, odd, none):
 def test_word_memory_is_bounded(spark, monkeypatch):
     df = spark.createDataFrame([(1, "en", "ab ba abba"), (2, "fr", "xy yx xyxy")],
                                "id long, lang string, text string")
-    trees = L.fit(df)
+    trees, = L.fit(df).groups
     docs = [" ".join(f"w{i}{j}" for j in range(40)) for i in range(30)]
     whole = L.Scorer(trees).loglik(docs)
     monkeypatch.setattr(L, "WORDS_KEPT", 100)
     monkeypatch.setattr(L, "SLICE_CHARS", 300)
     assert np.allclose(L.Scorer(trees).loglik(docs), whole)
+
+
+STRANGE = {
+    -1: "Это совершенно обычный русский текст о погоде и природе, без всякого смысла. " * 3,
+    -2: "これは日本語の文章です。天気についての普通の文です。" * 4,
+    -3: "xkcd zzrt bvnm qwrtp lkjh gfds mnbv cxzq wrtp krs mpf tlvk bdgr zzx qpw nmk jhg " * 4,
+}
+
+
+def test_junk_and_unlearnt_languages_are_rejected_and_documents_kept(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    known = L.fit(L.learn_rows(docs))
+    strange = spark.createDataFrame([(k, t, None, "s", len(t)) for k, t in STRANGE.items()], docs.schema)
+    kept = {r.doc_id for r in L.told(docs.unionByName(strange), known, 0.5, 10.0).collect()}
+    assert kept.isdisjoint(STRANGE)
+    # told by likelihoods alone, the junk would stay
+    assert len({r.doc_id for r in L.told(strange, known, 0.5).collect()}) >= 1
+    alone = {r.doc_id for r in L.told(docs, known, 0.5).collect()}
+    assert kept == alone and len(alone) > 900
+
+
+def test_groups_of_languages_give_what_one_group_gives(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").limit(300)
+    one = L.fit(L.learn_rows(docs), sample_docs=50)
+    monkeypatch.setattr(L, "TABLE_BYTES", 1)
+    many = L.fit(L.learn_rows(docs), sample_docs=50)
+    assert len(one.groups) == 1 < len(many.groups) == len(one.groups[0].langs)
+    assert all(len(t.keys) == L.ORDER + 1 for t in many.groups)
+    a = {r.doc_id: r for r in L.predict(docs, one).collect()}
+    b = {r.doc_id: r for r in L.predict(docs, many).collect()}
+    assert a.keys() == b.keys()
+    assert all(a[k].lang_pred == b[k].lang_pred and abs(a[k].score - b[k].score) < 1e-6 for k in a)
+    assert L._grouped(list("abcd"), dict.fromkeys("abcd", 1)) == [["a"], ["b"], ["c"], ["d"]]
