@@ -183,6 +183,7 @@ def scanned(df: DataFrame, keys: list[str], order: list[str], specs: list[Runnin
         carry = F.col(f"_c{i}")
         if s.reset is not None:
             carry = F.when(F.col(f"_s{i}") == 0, carry)
-        j = j.withColumn(s.name, _combine(s.op, carry, local))
+        # a sum of decimals would lose a place of its scale
+        j = j.withColumn(s.name, _combine(s.op, carry, local).cast(d.schema[f"_t{i}"].dataType))
         temp += [f"_v{i}", f"_t{i}", f"_a{i}", f"_s{i}", f"_c{i}"]
     return j.drop(*[t for t in temp if t in j.columns]), state

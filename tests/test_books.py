@@ -203,7 +203,7 @@ def test_book_as_of_points(spark):
 def test_done_without_price_untracks_but_keeps_entry(spark):
     """The order leaves the order map, not the book: later match / change / priced
     done on it are ignored (the match is quarantined) until it is opened again."""
-    from marketstream.streaming import live
+    from marketstream.streaming import live, state
 
     def m(**kw):
         return dict(kw, product_id="BTC-USD")
@@ -225,10 +225,13 @@ def test_done_without_price_untracks_but_keeps_entry(spark):
     assert sorted((r.arrival, r.symbol, r.order_id, r.price, r.size)
                   for r in out["deltas"].collect()) == sorted(model.l3_deltas)
     assert [r.arrival for r in L3.unknown_makers(out["states"]).collect()] == [3]
-    # the live processor agrees
+    # the live books agree, in batches of three messages
     raw = raw_df(spark, [json.dumps(x) for x in msgs])
-    o = live.replay(spark, raw, gate=False, l2=False, l3=True, slices=2, name="kill")
-    got = sorted((r.arrival, r.symbol, r.order_id, Decimal(r.price), Decimal(r.size))
+    o, state_dir, n = live.replay(spark, raw, False, False, True, name="kill", max_rows=3)
+    got = sorted((r.arrival, r.symbol, r.order_id, r.price, r.size)
                  for r in o.where(F.col("kind") == "l3delta").collect())
-    assert got == sorted(model.l3_deltas)
-    assert [r.arrival for r in o.where(F.col("verdict") == "unknown_maker").collect()] == [3]
+    assert got == sorted(model.l3_deltas) and n == 3
+    assert [r.arrival for r in o.where(F.col("reason") == "unknown_maker").collect()] == [3]
+    kept = sorted((r.symbol, r.order_id, r.side, r.price, r.size)
+                  for r in state.l3_book(spark, state_dir, n).collect())
+    assert kept == book

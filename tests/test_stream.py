@@ -65,12 +65,12 @@ def test_live_equals_batch_with_a_restart_in_mid_file(spark):
     work = fresh_dir(spark, "restart")
     landing = os.path.join(work, "landing")
     source.land(raw.where(F.col("arrival") < 6000), landing, file_rows=170)
-    n = live.run_landed(spark, landing, work, True, max_rows=300, chunk_rows=50)
+    n = live.run_landed(spark, landing, work, True, max_rows=500, chunk_rows=50)
     rows = raw.where(F.col("arrival") < 6000).count()
-    assert n == -(-rows // 300) and rows % 300
+    assert n == -(-rows // 500) and rows % 500
     source.land(raw.where(F.col("arrival") >= 6000), landing, file_rows=170)
     assert len(source.manifests(landing)) > 5
-    n = live.run_landed(spark, landing, work, True, max_rows=700, chunk_rows=50)
+    n = live.run_landed(spark, landing, work, True, max_rows=800, chunk_rows=50)
     out = spark.read.parquet(os.path.join(work, "out"))
     want, l2, l3 = _expected(raw, True)
     _equal(out, want)
@@ -87,13 +87,13 @@ def test_live_equals_batch_with_a_restart_in_mid_file(spark):
 def test_live_rejects_equal_batch_and_batches_replay(spark):
     """Messages that no handler can use; then the last micro-batch is run again."""
     raw = feeds.reject_feed(spark, SF_SMALL)
-    out, state_dir, n = live.replay(spark, raw, False, name="rejects", max_rows=250, chunk_rows=64)
+    out, state_dir, n = live.replay(spark, raw, False, name="rejects", max_rows=400, chunk_rows=64)
     want, _, _ = _expected(raw, False)
     _equal(out, want)
     before = _sorted(out)
     folder = state_dir.rsplit("/", 1)[0]
     sink = live.LiveBooks(folder + "/out", state_dir, False)
-    first = raw.orderBy("arrival").limit(250 * (n - 1))
+    first = raw.orderBy("arrival").limit(400 * (n - 1))
     sink(raw.join(first, "arrival", "left_anti").select("arrival", "receipt_time", "value"), n - 1)
     again = spark.read.parquet(folder + "/out").select(*live.OUTPUT)
     assert _sorted(again) == before
@@ -104,7 +104,7 @@ def test_state_keeps_what_lives(spark, monkeypatch):
     and the results stay."""
     monkeypatch.setattr(state, "EVERY", 2)
     raw = feeds.gapped_feed(spark, SF_SMALL, True)
-    out, path, n = live.replay(spark, raw, True, False, True, max_rows=150)
+    out, path, n = live.replay(spark, raw, True, False, True, max_rows=200)
     want, _, l3 = _expected(raw, True)
     _equal(out, {k: v for k, v in want.items() if not k.startswith("l2")})
     assert _sorted(state.l3_book(spark, path, n)) == _sorted(l3)
