@@ -32,14 +32,15 @@ from marketstream.streaming.source import read_landed
 
 
 def raw_stream(spark: SparkSession, a) -> DataFrame:
-    """The raw venue topic as (arrival, receipt_time, value).  Kafka: arrival orders
-    messages within a partition (offset), receipt time is the broker timestamp; landed
-    feeds and files already carry both columns."""
+    """The raw venue topic as (arrival, receipt_time, value).  Kafka: (partition, offset,
+    receipt_time, value), receipt time being the broker timestamp, and the offset as arrival,
+    which orders one partition; landed feeds and files already carry their columns."""
     if a.source == "kafka":
         r = (spark.readStream.format("kafka").options(**kafka_options(a.bootstrap, a.user, a.password))
              .option("subscribe", a.topic).option("startingOffsets", "earliest")
              .option("maxOffsetsPerTrigger", a.max_per_trigger).load())
-        return r.select(F.col("offset").alias("arrival"), F.col("timestamp").alias("receipt_time"),
+        return r.select("partition", "offset", F.col("offset").alias("arrival"),
+                        F.col("timestamp").alias("receipt_time"),
                         F.col("value").cast("string").alias("value"))
     if a.source == "landed":
         return read_landed(spark, a.input, f"{a.checkpoint}-progress", a.max_per_trigger)
@@ -99,8 +100,10 @@ def venue_to_topics(spark: SparkSession, a):
 
 def books_to_table(spark: SparkSession, a):
     """Raw venue messages -> live books -> verdicts, deltas, typed trades and rejects under
-    ``OUT/orderbooks``, the books' state under ``OUT/state``."""
-    sink = LiveBooks(f"{a.out}/{BOOK_TOPIC}", f"{a.out}/state", gate=a.gate)
+    ``OUT/orderbooks``, the books' state under ``OUT/state``.  Kafka messages of several
+    partitions (``--partitions``) are brought into one order first."""
+    sink = LiveBooks(f"{a.out}/{BOOK_TOPIC}", f"{a.out}/state", gate=a.gate,
+                     partitions=a.partitions if a.source == "kafka" else None)
     return _start(raw_stream(spark, a).writeStream.foreachBatch(sink), a)
 
 
@@ -120,6 +123,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", choices=["text", "parquet"], default="text",
                    help="of a landed trade topic")
     p.add_argument("--max-per-trigger", type=int, default=10_000)
+    p.add_argument("--partitions", type=int, default=1, help="of the Kafka topic")
     p.add_argument("--max-files", type=int, default=1)
     p.add_argument("--trigger", default="1 minute")
     p.add_argument("--available-now", action="store_true")

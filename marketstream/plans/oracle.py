@@ -473,6 +473,7 @@ def all_sql() -> dict[str, str]:
         "l3_book": L3_BOOK,
         "l3_deltas": L3_DELTAS,
         "l3_deltas_chunked": L3_DELTAS,
+        "partitioned_deltas": L3_DELTAS,
         "unknown_makers": UNKNOWN_MAKERS,
         "rejects_all": REJECTS_ALL,
         "l3_levels": L3_LEVELS,

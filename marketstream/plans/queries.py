@@ -237,6 +237,20 @@ def l3_deltas_chunked(spark, sf_dir):
         "arrival", "symbol", "side", "price", "order_id", "size", "sequence", "ts")
 
 
+def partitioned_deltas(spark, sf_dir):
+    """The L3 feed dealt over five topic partitions with equal offsets, brought into one
+    order again (= ``l3_deltas``)."""
+    from marketstream.sources.partitioned import numbered
+
+    raw = feeds.l3_feed(spark, sf_dir)
+    dealt = raw.select((F.col("arrival") % 5).cast("int").alias("partition"),
+                       F.floor(F.col("arrival") / 5).cast("long").alias("offset"),
+                       "receipt_time", "value")
+    msgs = L3.with_epoch(parse_messages(numbered(dealt)))
+    return L3.build_l3(msgs)["deltas"].select("arrival", "symbol", "side", "price", "order_id",
+                                              "size", "sequence", "ts")
+
+
 def unknown_makers(spark, sf_dir):
     """Matches on makers that are not on the book."""
     return L3.unknown_makers(_l3(spark, sf_dir)["states"]).drop("exchange")
@@ -438,6 +452,7 @@ def _registry() -> dict[str, Query]:
         "l3_deltas": l3_deltas,
         "l3_levels": l3_levels,
         "l3_deltas_chunked": l3_deltas_chunked,
+        "partitioned_deltas": partitioned_deltas,
         "unknown_makers": unknown_makers,
         "rejects_all": rejects_all,
         "trades_with_order_type": trades_with_order_type,
