@@ -33,12 +33,17 @@ from marketstream.operators.scan import Running, plain, running
 
 BOOK = ["exchange", "symbol"]     # one book per venue and symbol
 
+#: What level 3, the gate and trades read of a message; scans carry nothing else.
+FIELDS = ["arrival", "receipt_time", *BOOK, "route", "type", "sequence", "time", "order_id",
+          "order_type", "maker_order_id", "taker_order_id", "trade_id", "side", "price", "size",
+          "remaining_size", "new_size", "bids", "asks"]
+
 
 def with_epoch(parsed: DataFrame, chunk_rows: int | None = None, scan=plain) -> DataFrame:
     """Per-book epoch = running count of L3 snapshots (no gate: all messages kept).  ``scan``
     may go on from an earlier state of the scan ``l3_epoch``."""
     rel = parsed.where(F.col("route").isin("l3", "trade", "received", "l3snapshot")
-                       & F.col("symbol").isNotNull()).drop("value")
+                       & F.col("symbol").isNotNull()).select(*FIELDS)
     snap = F.col("route") == "l3snapshot"
     return scan("l3_epoch", rel, BOOK, ["arrival"],
                 [Running("epoch", snap.cast("long"), "sum")], chunk_rows)
@@ -144,11 +149,24 @@ def l3_levels(book: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("orders"), F.sum("size").alias("size")))
 
 
+MAP_PARTS = 16
+
+
 def l3_level_maps(book: DataFrame) -> DataFrame:
-    """A2 in the venue's shape: price -> {order_id: size} per (symbol, side, price).
-    One map per price level (bounded by the orders resting at one price)."""
-    return (book.groupBy(*BOOK, "side", "price")
-            .agg(F.map_from_entries(F.collect_list(F.struct("order_id", "size"))).alias("orders")))
+    """A2 in the venue's shape, price -> {order_id: size}, in two levels: a price level's orders
+    are parted by the last character of their id, so a level with very many orders is the work
+    of several tasks and no map holds it whole.  (exchange, symbol, side, price, part, orders,
+    level_orders, level_size): each part's map, and the totals of its level, which are sums of
+    the parts' totals."""
+    level = [*BOOK, "side", "price"]
+    part = F.pmod(F.ascii(F.right("order_id", F.lit(1))), F.lit(MAP_PARTS)).cast("int")
+    parts = (book.groupBy(*level, part.alias("part"))
+             .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("order_id", "size"))))
+                  .alias("orders")))
+    sums = (book.groupBy(*level, part.alias("part"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("s"))
+            .groupBy(*level).agg(F.sum("n").alias("level_orders"), F.sum("s").alias("level_size")))
+    return parts.join(sums, level)
 
 
 def unknown_makers(states: DataFrame) -> DataFrame:

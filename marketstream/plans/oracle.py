@@ -45,6 +45,17 @@ SELECT {sym('user_id % 4')} AS key,
                size := CAST(sz AS DOUBLE), trade_id := CAST(i AS VARCHAR)))::VARCHAR AS value
 FROM base"""
 
+TRADE_RECORD_FILLED = TRADE_RECORD.replace(
+    "trade_id := CAST(i AS VARCHAR)", "trade_id := CASE WHEN i % 7 <> 0 THEN CAST(i AS VARCHAR) ELSE 'none' END")
+
+TRADES_NEWEST = f"""SELECT * FROM (
+  SELECT CAST(row_number() OVER (ORDER BY ts DESC, trade_id DESC) AS INTEGER) AS place, symbol, ts, trade_id
+  FROM ({TRADES_TABLE}) t) r
+WHERE place <= 100"""
+
+TRADES_CLUSTERED = f"""SELECT * FROM ({TRADES_TABLE}) t
+WHERE symbol = 'BTC-USD' AND ts >= 1704672000000000000 AND ts < 1705276800000000000"""
+
 # routing feed: click->ticker, purchase->match, signup->activate, view->bogus, error->no type
 TICKERS = f"""WITH {BASE}
 SELECT 'COINBASE' AS exchange, {sym('user_id % 4')} AS symbol,
@@ -301,6 +312,17 @@ SELECT {sym('sym')} AS symbol, {_SIDE3} AS side, CAST(price AS DECIMAL(38,18)) A
        CAST(count(*) AS BIGINT) AS orders, CAST(sum(new_size) AS DECIMAL(38,18)) AS size
 FROM l3book GROUP BY sym, side, price"""
 
+L3_LEVEL_MAPS = f"""WITH {L3_BASE},
+parts AS (
+  SELECT sym, side, price, ascii(right(CAST(oid AS VARCHAR), 1)) % 16 AS part,
+         '{{' || string_agg('"' || oid || '":' || CAST(new_size AS DOUBLE), ',' ORDER BY CAST(oid AS VARCHAR)) || '}}' AS orders
+  FROM l3book GROUP BY ALL),
+totals AS (SELECT sym, side, price, count(*) AS n, sum(new_size) AS s FROM l3book GROUP BY ALL)
+SELECT {sym('p.sym')} AS symbol, CASE WHEN p.side = 0 THEN 'bid' ELSE 'ask' END AS side,
+       CAST(p.price AS DECIMAL(38,18)) AS price, CAST(p.part AS INTEGER) AS part, p.orders,
+       CAST(t.n AS BIGINT) AS level_orders, CAST(t.s AS DECIMAL(38,18)) AS level_size
+FROM parts p JOIN totals t ON t.sym = p.sym AND t.side = p.side AND t.price = p.price"""
+
 L3_FEED_TYPES = f"""WITH {L3_FEED}
 SELECT typ AS kind, count(*) AS n FROM feed GROUP BY typ"""
 
@@ -322,6 +344,9 @@ SELECT CAST(f.i AS VARCHAR) AS trade_id, {sym('f.sym')} AS symbol,
 FROM feed f JOIN r ON r.kind = 'q' AND r.i = f.i
 WHERE f.typ = 'match'"""
 
+TRADES_WITHOUT_L3 = TRADES_WITH_ORDER_TYPE.replace(
+    "  UNION ALL SELECT oid, i, 0, 'del', NULL FROM live WHERE typ = 'match' AND fin\n", "")
+
 UNKNOWN_MAKERS = f"""WITH {L3_BASE}
 SELECT i AS arrival, {sym('sym')} AS symbol, CAST(oid AS VARCHAR) AS order_id,
        'unknown_maker' AS reason
@@ -450,6 +475,12 @@ def all_sql() -> dict[str, str]:
         "trades_stream": TRADES_TABLE,
         "trade_record": TRADE_RECORD,
         "pipeline_trades": TRADES_TABLE,
+        "trade_record_filled": TRADE_RECORD_FILLED,
+        "trades_newest": TRADES_NEWEST,
+        "topic_exactly_once": TRADE_RECORD,
+        "trades_clustered": TRADES_CLUSTERED,
+        "l3_level_maps": L3_LEVEL_MAPS,
+        "trades_without_l3": TRADES_WITHOUT_L3,
         "tickers": TICKERS,
         "route_counts": ROUTE_COUNTS,
         "invalid_messages": INVALID_MESSAGES,

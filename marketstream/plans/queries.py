@@ -71,6 +71,64 @@ def pipeline_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_trades_table(spark, at["table"])
 
 
+def trade_record_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trade records of a feed whose trades lack their id at every seventh row, with
+    missing text replaced."""
+    t = build_trades(parse_messages(feeds.trades_feed(spark, sf_dir)))
+    t = t.withColumn("trade_id", F.when(F.col("arrival") % 7 != 0, F.col("trade_id")))
+    return trade_records(t, none_to="none")
+
+
+def trades_newest(spark: SparkSession, sf_dir: str, n: int = 100) -> DataFrame:
+    """O1: the newest trades with their places, newest first."""
+    from pyspark.sql import Window
+
+    t = trades_table(spark, sf_dir)
+    w = Window.orderBy(F.desc("ts"), F.desc("trade_id"))
+    # a limit of the window, so each task keeps its newest n before they meet
+    return (t.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n)
+            .select("place", "symbol", "ts", "trade_id"))
+
+
+def topic_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST10: the trade topic written by a stream whose every batch runs twice (= the trade
+    records)."""
+    from marketstream.streaming import exactly_once
+
+    work = fresh_dir(spark, "once")
+    src, topic = os.path.join(work, "src"), os.path.join(work, "topic")
+    trade_record(spark, sf_dir).write.parquet(src)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        exactly_once.stage(batch, topic, batch_id)            # an attempt that died
+        exactly_once.write_once(batch, batch_id, topic)
+        exactly_once.write_once(batch, batch_id, topic)
+
+    q = (spark.readStream.schema("key string, value string").option("maxFilesPerTrigger", 4)
+         .parquet(src).writeStream.foreachBatch(twice)
+         .option("checkpointLocation", os.path.join(work, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return exactly_once.read(spark, topic)
+
+
+#: A week of the trades that ``trades_clustered`` asks for (ns).
+WEEK = (1_704_672_000_000_000_000, 1_705_276_800_000_000_000)
+
+
+def trades_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: one symbol and week of the clustered trades table, after four batches and a
+    compaction."""
+    from marketstream.session import cut
+    from marketstream.sources import clustered
+
+    path = os.path.join(fresh_dir(spark, "clustered"), "trades")
+    rows = cut(decode_trades(trade_record(spark, sf_dir)))
+    for k in range(4):
+        clustered.append(rows.where(F.pmod(F.col("trade_id").cast("long"), F.lit(4)) == k), path)
+    clustered.compact(spark, path)
+    return clustered.read(spark, path, rows.schema, "BTC-USD", *WEEK)
+
+
 # ---------------------------------------------------------------- routing
 def _routed(spark, sf_dir):
     return parse_messages(feeds.routing_feed(spark, sf_dir))
@@ -230,6 +288,13 @@ def l3_levels(spark, sf_dir):
     return _l3(spark, sf_dir)["levels"].drop("exchange")
 
 
+def l3_level_maps(spark, sf_dir):
+    """A2: price -> {order_id: size}, in parts, with the totals of each level."""
+    m = L3.l3_level_maps(_l3(spark, sf_dir)["book"])
+    return m.select("symbol", "side", "price", "part", F.to_json(F.transform_values(
+        "orders", lambda k, v: v.cast("double"))).alias("orders"), "level_orders", "level_size")
+
+
 def l3_deltas_chunked(spark, sf_dir):
     """``l3_deltas`` over chunks of SMALL_CHUNK arrivals (same rows)."""
     msgs = L3.with_epoch(parse_messages(feeds.l3_feed(spark, sf_dir)), SMALL_CHUNK)
@@ -277,9 +342,19 @@ def trades_with_order_type(spark, sf_dir):
         "trade_id", "symbol", "side", "amount", "price", "ts", "order_type")
 
 
+def trades_without_l3(spark, sf_dir):
+    """Typed trades without level-3 upkeep: full fills do not forget an order's type."""
+    return L3.trades_with_order_type(_l3_msgs(spark, sf_dir), None).select(
+        "trade_id", "symbol", "side", "amount", "price", "ts", "order_type")
+
+
 # ---------------------------------------------------------------- gate
+#: What the verdicts alone need of a message.
+_GATE = ["arrival", "exchange", "symbol", "route", "sequence", "value"]
+
+
 def _verdicts(spark, sf_dir):
-    return G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir)))
+    return G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir)).select(*_GATE))
 
 
 def seq_verdicts(spark, sf_dir):
@@ -299,7 +374,7 @@ def seq_counts(spark, sf_dir):
 
 def seq_verdicts_chunked(spark, sf_dir):
     """``seq_verdicts`` over chunks of SMALL_CHUNK arrivals (same rows)."""
-    v = G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir)), SMALL_CHUNK)
+    v = G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir)).select(*_GATE), SMALL_CHUNK)
     return v.select(F.floor(F.col("arrival") / 8).cast("long").alias("arrival"), "symbol",
                     "sequence", F.col("snap").cast("long").alias("snap"), "epoch", "verdict")
 
@@ -316,7 +391,8 @@ def mixed_gated(spark, sf_dir):
 def _gated_l3(spark, sf_dir):
     """L3 behind the gate: the gapped feed with order-carrying snapshots; only ok
     messages and the snapshots reach the book, each snapshot starting a new epoch."""
-    acc = G.accepted(G.sequence_gate(parse_messages(feeds.gapped_feed(spark, sf_dir, True))))
+    parsed = parse_messages(feeds.gapped_feed(spark, sf_dir, True)).select(*L3.FIELDS, "value")
+    acc = G.accepted(G.sequence_gate(parsed))
     states = L3.l3_states(L3.l3_rows(acc))
     return states, acc
 
@@ -429,6 +505,10 @@ def _registry() -> dict[str, Query]:
         "trades_stream": trades_stream,
         "trade_record": trade_record,
         "pipeline_trades": pipeline_trades,
+        "trade_record_filled": trade_record_filled,
+        "trades_newest": trades_newest,
+        "topic_exactly_once": topic_exactly_once,
+        "trades_clustered": trades_clustered,
         "tickers": tickers,
         "route_counts": route_counts,
         "invalid_messages": invalid_messages,
@@ -452,6 +532,8 @@ def _registry() -> dict[str, Query]:
         "l3_deltas": l3_deltas,
         "l3_levels": l3_levels,
         "l3_deltas_chunked": l3_deltas_chunked,
+        "l3_level_maps": l3_level_maps,
+        "trades_without_l3": trades_without_l3,
         "partitioned_deltas": partitioned_deltas,
         "unknown_makers": unknown_makers,
         "rejects_all": rejects_all,

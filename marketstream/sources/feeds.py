@@ -243,7 +243,7 @@ def gapped_feed(spark: SparkSession, sf_dir: str, with_orders: bool = False) ->
     points = snapshot_points(rows).withColumn("arrival", F.col("i") * 16 + F.col("sym"))
     empty = F.array().cast("array<array<string>>")
     if with_orders:
-        points = points.join(_snapshot_orders(spark, sf_dir, points), "arrival", "left")
+        points = points.join(_snapshot_orders(rows, points), "arrival", "left")
         bids, asks = F.coalesce("bids", empty), F.coalesce("asks", empty)
     else:
         bids = asks = empty
@@ -254,13 +254,13 @@ def gapped_feed(spark: SparkSession, sf_dir: str, with_orders: bool = False) ->
     return first.unionByName(again).unionByName(snaps)
 
 
-def _snapshot_orders(spark: SparkSession, sf_dir: str, points: DataFrame) -> DataFrame:
-    """(arrival, bids, asks) of each snapshot point from the ungapped L3 book.  One
+def _snapshot_orders(rows: DataFrame, points: DataFrame) -> DataFrame:
+    """(arrival, bids, asks) of each snapshot point from the ungapped L3 book of ``rows``.  One
     snapshot is one record holding one symbol's book, as the venue's REST reply does."""
     from marketstream.operators import l3 as L3
     from marketstream.operators.parse import parse_messages
 
-    states = L3.l3_states(L3.l3_rows(L3.with_epoch(parse_messages(l3_feed(spark, sf_dir)))))
+    states = L3.l3_states(L3.l3_rows(L3.with_epoch(parse_messages(_raw(rows, l3_fields())))))
     pts = points.select(symbol_of("sym").alias("symbol"), F.col("arrival").alias("point"), "seq")
     held = L3.book_as_of(states, pts)
     entry = F.array(F.col("price").cast("string"), F.col("size").cast("string"), F.col("order_id"))
