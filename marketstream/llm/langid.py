@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.llm.common import arrow_map, arrow_rows, fold, table, texts, written
+from marketstream.llm.common import arrow_map, fold, table, texts, written
 
 ORDER = 4
 SAMPLE_DOCS = 1000        # training documents per language, about (chosen by a hash)
@@ -212,7 +212,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Languages | None:
     out = Languages(groups, {})
     # other documents than those that the trees were counted on, where there are any
     other, _ = _sampled(docs, RANGE_DOCS, 11)
-    bits = _coded(other.select("id", "text", "lang"), out).where(
+    bits = _coded(other.select("lang", "text"), out, "text", ["lang"]).where(
         (F.col("best") == F.col("lang")) & (F.col("size") > 0))
     bits = bits.withColumn("x", -F.col("top") / F.col("size") / float(np.log(2)))
     out.ranges = {r["lang"]: (r["q"][0], r["q"][1] - r["q"][0]) for r in bits.groupBy("lang").agg(
@@ -263,48 +263,52 @@ class Scorer:
         return out
 
 
-def _coded(docs: DataFrame, languages: Languages, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``best`` (the language that codes the text shortest; null without a
-    letter), ``top`` (its log-likelihood), ``every`` (the logarithm of all likelihoods' sum) and
-    ``size`` (the bytes of its words).  One pass per group of languages."""
-    start = "best string, top double, every double, size long"
-    columns = docs.columns
-    out = docs.select("*", *[F.lit(None).cast(f.split()[1]).alias(f.split()[0])
-                             for f in start.split(", ")])
+_CODED = "best string, top double, every double, size long"
+
+
+def _coded(docs: DataFrame, languages: Languages, text_col: str, back: list[str]) -> DataFrame:
+    """The columns ``back`` of every row with ``best`` (the language that codes the text
+    shortest; null without a letter), ``top`` (its log-likelihood), ``every`` (the logarithm of
+    all likelihoods' sum) and ``size`` (the bytes of its words).  One pass per group of
+    languages; the text goes on to the next one only."""
+    out = docs.select(*dict.fromkeys([*back, text_col]))
+    first, last = languages.groups[0], languages.groups[-1]
     for trees in languages.groups:
-        if trees is not languages.groups[0]:
+        if trees is not first:
             out = written(out)
-        out = _one_group(out, docs.sparkSession.sparkContext.broadcast(trees), text_col, columns)
+        keep = back if trees is last else list(dict.fromkeys([*back, text_col]))
+        out = _one_group(out, docs.sparkSession.sparkContext.broadcast(trees), text_col, keep,
+                         trees is first)
     return out
 
 
-def _one_group(docs: DataFrame, shared, text_col: str, columns: list[str]) -> DataFrame:
+def _one_group(docs: DataFrame, shared, text_col: str, keep: list[str], first: bool) -> DataFrame:
     def make():
         trees = shared.value
         scorer = Scorer(trees)
 
+        def before(b: pa.RecordBatch, name: str) -> np.ndarray:
+            if first:
+                return np.full(b.num_rows, -np.inf)
+            return np.array([-np.inf if x is None else x for x in b.column(name).to_pylist()])
+
         def step(b: pa.RecordBatch):
             rows = texts(b, text_col)
             ll = scorer.loglik(rows)
             has = np.fromiter(map(_letters, rows), bool, len(rows))
             at = ll.argmax(axis=1)
-            here = ll[np.arange(len(rows)), at]
-            before = b.column("top").to_pylist()
-            top = np.array([-np.inf if x is None else x for x in before])
-            every = np.array([-np.inf if x is None else x for x in b.column("every").to_pylist()])
-            best = [(trees.langs[k] if h > t else old) if ok else None for k, h, t, old, ok in
-                    zip(at, here, top, b.column("best").to_pylist(), has, strict=True)]
-            every = np.logaddexp(every, np.logaddexp.reduce(ll, axis=1))
+            here, top = ll[np.arange(len(rows)), at], before(b, "top")
+            old = [None] * len(rows) if first else b.column("best").to_pylist()
+            best = [(trees.langs[k] if h > t else o) if ok else None
+                    for k, h, t, o, ok in zip(at, here, top, old, has, strict=True)]
+            every = np.logaddexp(before(b, "every"), np.logaddexp.reduce(ll, axis=1))
             size = [len("".join(t.lower().split()).encode()) for t in rows]
-            new = {"best": pa.array(best, pa.string()), "top": pa.array(np.maximum(top, here)),
-                   "every": pa.array(every), "size": pa.array(size, pa.int64())}
-            cols = [new.get(n, b.column(k)) if k >= len(columns) else b.column(k)
-                    for k, n in enumerate(b.schema.names)]
-            return pa.RecordBatch.from_arrays(cols, schema=b.schema)
+            return [*(b.column(c) for c in keep), best, np.maximum(top, here), every, size]
 
         return step
 
-    return arrow_rows(docs, make)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return arrow_map(docs, make, f"{kinds}, {_CODED}")
 
 
 def _share() -> Column:
@@ -322,7 +326,7 @@ def predict(docs: DataFrame, languages: Languages | None, id_col: str = "doc_id"
     if languages is None:
         return rows.select(F.col("id").alias(id_col), F.lit("und").alias("lang_pred"),
                            F.lit(0.0).alias("score"))
-    return _coded(rows, languages).select(
+    return _coded(rows, languages, "text", ["id"]).select(
         F.col("id").alias(id_col), F.coalesce("best", F.lit("und")).alias("lang_pred"),
         _share().alias("score"))
 
@@ -335,10 +339,9 @@ def told(docs: DataFrame, languages: Languages | None, least: float, spreads: fl
     bits that chance adds to it.  All rows without trees."""
     if languages is None:
         return docs
-    columns = docs.columns
-    # set apart, as a column may be called like one of ours
-    rows = docs.select(F.struct(*columns).alias("row"), F.col(text_col).cast("string").alias("text"))
-    coded = _coded(rows, languages)
+    # by place, as a column may be called like one of ours
+    places = [f"_{k}" for k in range(len(docs.columns))]
+    coded = _coded(docs.toDF(*places), languages, places[docs.columns.index(text_col)], places)
     kept = F.col("best").isNotNull() & (_share() >= least)
     if spreads is not None and languages.ranges:
         limit = F.create_map(*[x for k, (m, d) in languages.ranges.items()
@@ -346,7 +349,7 @@ def told(docs: DataFrame, languages: Languages | None, least: float, spreads: fl
         bits = -F.col("top") / F.col("size") / float(np.log(2))
         chance = CHANCE_BITS / F.sqrt(F.col("size"))
         kept = kept & F.coalesce(bits <= limit[F.col("best")] + chance, F.lit(True))
-    return coded.where(kept).select("row.*")
+    return coded.where(kept).select(*places).toDF(*docs.columns)
 
 
 def learn_rows(docs: DataFrame) -> DataFrame:
