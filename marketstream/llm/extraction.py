@@ -1,6 +1,7 @@
 """Main text of web pages by template deduction over the pages of a host.
 
-Tokens of a page are its elements (by path) and its text blocks (by path and text).  The
+Tokens of a page are its elements (by path, with the place among siblings of one name) and its
+text blocks (by path without places, and text).  The
 occurrence vector of a token over a host's pages is kept as a pair of sums over hashed
 page ids, so vectors are built by ordinary distributed sums, however many pages a host
 has.  Tokens of one host with equal vectors form an equivalence class; classes that hold
@@ -8,6 +9,9 @@ several tokens and cover at least half of the host's pages are valid.  Nested by
 they are the host's template: its fixed texts, and the slots between its elements, of which
 the deepest one that carries most of the running text is the article's.
 
+The pages of all hosts together are deduced in the same way (under the empty host); what
+they share, if anything, serves hosts of too few pages and pages without a host.
+
 A page's text is then what stands in its deduced slot, without template texts, wherever they
 stand, and without the parts that markup names as something else (navigation, forms, adverts
 ...).  ``article`` and ``main`` elements are evidence: inside one the slot narrows only to an
@@ -42,7 +46,7 @@ _SAME_CLOSES = frozenset("li dt dd tr td th option p".split())
 # Elements that hold text rather than blocks; a slot is none of these.
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre td th caption figcaption summary legend".split())
 # What is not the article, by element, by role and by words of class or id.
-_OTHER = frozenset("""head nav footer aside form script style noscript template button select
+_OTHER = frozenset("""head title nav footer aside form script style noscript template button select
     textarea svg iframe object canvas menu dialog audio video map""".split())
 _ROLES = frozenset("""navigation banner contentinfo complementary search form alert
     alertdialog dialog menu menubar""".split())
@@ -52,6 +56,12 @@ _WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense ba
     discussion notice notices cookie cookies consent gdpr newsletter subscribe subscription signup
     popup modal overlay share sharing social related recommended widget login search toolbar
     pagination pager alert""".split())
+# Words that may stand beside them in one name (ad-box, comment-list); any other word beside
+# them makes a name of its own (share-price, notice-period).
+_BESIDE = frozenset("""area bar block body bottom box btn button buttons center col column container
+    content desktop div first form google group head header holder icon id inline inner inside item
+    items js large last left lg link links list main md mobile outer outside page panel placeholder
+    region right row section slot sm small space text the title top unit wrap wrapper xl xs zone""".split())
 # Words that tell readers' articles from the page's own.
 _READERS = frozenset("comment comments reply replies".split())
 # These are the article's own inside it.
@@ -65,47 +75,54 @@ _TOKEN = re.compile(r"""
   | <(?P<end>/?)(?P<name>[a-z][^\s/>]*)
       (?P<attrs>(?:[^"'>]|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)
 """, re.X | re.S | re.I)
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
-                    re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PARTS = re.compile(r"[a-z]+")
 
 
+def _named(parts: list[str], words: frozenset) -> bool:
+    """Whether a name is one of ``words``, alone or with words that may stand beside them."""
+    return not words.isdisjoint(parts) and all(p in words or p in _BESIDE or p in _WORDS for p in parts)
+
+
 def _described(name: str, attrs: str) -> tuple[str, bool, bool]:
     """An element's name in paths, whether it is no part of an article, and whether that
     holds only outside one."""
     other, outside, label = name in _OTHER, name in _OUTSIDE, name
     if attrs:
-        for k, v in _NAMED.findall(attrs):
-            v = v.strip("\"'").lower()
-            if k.lower() == "role":
+        for k, v in _ATTRIBUTE.findall(attrs):
+            k, v = k.lower(), v.strip("\"'").lower()
+            if k == "role":
                 other |= v in _ROLES
-            elif k.lower() == "hidden":
+            elif k == "hidden":
                 other = True
-            else:
-                parts = _PARTS.findall(v)
-                label += "." + "".join(parts)
-                if name in _ARTICLE:
-                    other |= not _READERS.isdisjoint(parts)
-                elif name not in ("body", "html"):
-                    other |= not _WORDS.isdisjoint(parts)
-                    outside |= not _OUTSIDE.isdisjoint(parts)
+            elif k in ("class", "id"):
+                label += "." + "".join(_PARTS.findall(v))
+                for parts in map(_PARTS.findall, v.split()):
+                    if name in _ARTICLE:
+                        other |= not _READERS.isdisjoint(parts)
+                    elif name not in ("body", "html"):
+                        other |= _named(parts, _WORDS)
+                        outside |= _named(parts, _OUTSIDE)
     return label, other, outside
 
 
 class _Open:
-    """An open element; ``article`` is the number of the outermost article or main element
-    that it is in, or 0."""
+    """An open element; ``path`` has the places among siblings, ``plain`` has not; ``article``
+    is the number of the outermost article or main element that it is in, or 0; ``inside``
+    counts its elements by name."""
 
-    __slots__ = ("name", "path", "depth", "other", "article")
+    __slots__ = ("name", "path", "plain", "depth", "other", "article", "inside")
 
-    def __init__(self, name, path, depth, other, article):
-        self.name, self.path, self.depth = name, path, depth
+    def __init__(self, name, path, plain, depth, other, article):
+        self.name, self.path, self.plain, self.depth = name, path, plain, depth
         self.other, self.article = other, article
+        self.inside = {}
 
 
-def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict[int, list[int]]]:
+def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool, int]], dict[int, list[int]]]:
     """A page's blocks in order -- (text, path of open elements from the root, number of the
-    outermost article element it is in or 0, part of something else, a heading) -- and per
+    outermost article element it is in or 0, part of something else, a heading, token of the
+    text) -- and per
     path its depth, occurrences, whether it can be a slot and whether it is inside an article
     element.
 
@@ -113,9 +130,11 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict
     import xxhash
 
     blocks, elements, known = [], {}, {}
-    stack = [_Open("", 0, 0, False, 0)]
+    stack = [_Open("", 0, 0, 0, False, 0)]
     articles = 0
     parts: list[str] = []
+    muted: list[str] = []       # open inline elements that are no part of an article
+    level = 0                   # open elements around the first of them
 
     def flush():
         if parts:
@@ -124,11 +143,11 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict
             if text:
                 top = stack[-1]
                 blocks.append((text, [o.path for o in stack[1:]], top.article, top.other,
-                               top.name in _HEADINGS))
+                               top.name in _HEADINGS, _text_token(top.plain, text)))
 
     pos = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > pos:
+        if m.start() > pos and not muted:
             parts.append(page[pos:m.start()])
         pos = m.end()
         name = m["name"]
@@ -145,11 +164,21 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict
                 if stack[k].name == name:
                     del stack[k:]
                     break
+            if muted and name == muted[-1]:
+                muted.pop()
+            if len(stack) < level:
+                muted.clear()       # never closed
             continue
         if name in _VOID:
             continue
-        if name in _INLINE:
-            continue            # inline elements part no blocks and name no slots
+        if name in _INLINE:         # inline elements part no blocks and name no slots
+            if muted:
+                muted += [name] if name == muted[-1] else []
+            elif m["attrs"]:
+                _, other, outside = _described(name, m["attrs"])
+                if other or (outside and not stack[-1].article):
+                    muted, level = [name], len(stack)
+            continue
         if name in _SAME_CLOSES or stack[-1].name == "p":
             top = stack[-1].name
             if top == name or top == "p":
@@ -159,29 +188,32 @@ def parse(page: str) -> tuple[list[tuple[str, list[int], int, bool, bool]], dict
         if got is None:
             got = known[name, attrs] = _described(name, attrs)
         label, other, outside = got
-        path = xxhash.xxh3_64_intdigest(label, seed=top.path) >> 1
+        nth = top.inside[label] = top.inside.get(label, 0) + 1
+        plain = xxhash.xxh3_64_intdigest(label, seed=top.plain) >> 1
+        path = xxhash.xxh3_64_intdigest(f"{label} {nth}" if name not in _LEAF else label,
+                                        seed=top.path) >> 1
         depth = top.depth + 1
         article = top.article
         if not article and name in _ARTICLE:
             articles += 1
             article = articles
-        stack.append(_Open(name, path, depth, top.other or other or (outside and not article),
+        stack.append(_Open(name, path, plain, depth, top.other or other or (outside and not article),
                            article))
         seen = elements.get(path)
         if seen is None:
             elements[path] = [depth, 1, name not in _LEAF, int(top.article > 0)]
         else:
             seen[1] += 1
-    if pos < len(page):
+    if pos < len(page) and not muted:
         parts.append(page[pos:])
     flush()
     return blocks, elements
 
 
-def _text_token(path: list[int], text: str) -> int:
+def _text_token(path: int, text: str) -> int:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(text, seed=path[-1] if path else 0) >> 1
+    return xxhash.xxh3_64_intdigest(text, seed=path) >> 1
 
 
 _TOKENS = ("host string, kind string, token long, occ long, v1 long, v2 long, depth int, "
@@ -195,7 +227,12 @@ def _page_tokens():
     def step(b: pa.RecordBatch):
         sums: dict[tuple, list[int]] = {}
 
-        def add(host, kind, token, occ, h1, h2, depth, mass, inner):
+        def add(host, *what):
+            add_to(host, *what)
+            if host:
+                add_to("", *what)
+
+        def add_to(host, kind, token, occ, h1, h2, depth, mass, inner):
             got = sums.get((host, kind, token))
             if got is None:
                 sums[host, kind, token] = [occ, occ * h1, occ * h2, depth, mass, inner, 1]
@@ -209,20 +246,17 @@ def _page_tokens():
 
         ids = b.column("id").to_pylist()
         for i, host, page in zip(ids, b.column("host").to_pylist(), texts(b, "html"), strict=True):
-            if not host:
-                continue
             h = xxhash.xxh3_64_intdigest(str(i))
             h1, h2 = h & 0x3FFFFFFF, h >> 34     # 30 bits each: sums stay far below 2**63
             blocks, elements = parse(page)
             mass: dict[int, int] = {}
             total, inside, fixed = 0, 0, {}
-            for text, path, article, other, _ in blocks:
+            for text, path, article, other, _, t in blocks:
                 if not other:
                     total += len(text)
                     inside += len(text) if article else 0
                     for p in dict.fromkeys(path):
                         mass[p] = mass.get(p, 0) + len(text)
-                t = _text_token(path, text)
                 fixed[t] = fixed.get(t, 0) + 1
             # inner: the text in article elements, and per element inside one a number over 0
             add(host, "page", 0, 1, h1, h2, 0, total, inside)
@@ -245,8 +279,9 @@ def _host(url):
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """Templates from ``pages`` (id, host, html): one row per host with ``slot`` (the path of
-    the article's slot, or null) and ``fixed`` (tokens of template texts)."""
+    """Templates from ``pages`` (id, host, html): one row per host, and one of all pages under
+    the empty host, with ``slot`` (the path of the article's slot, or null) and ``fixed``
+    (tokens of template texts)."""
     tokens = (arrow_map(pages, _page_tokens, _TOKENS)
               .groupBy("host", "kind", "token")
               .agg(*[F.sum(c).alias(c) for c in ("occ", "v1", "v2", "mass", "inner", "pages")],
@@ -293,7 +328,7 @@ def main_text(page: str, slot: int | None, fixed) -> str:
     kept = [x for x in blocks if (not slotted or slot in x[1] or (x[4] and x[2] in articles))
             and (x[2] or not own)]
     if fixed:
-        new = [x for x in kept if _text_token(x[1], x[0]) not in fixed]
+        new = [x for x in kept if x[5] not in fixed]
         # an article of which every text is on most pages of its host is a copied page
         if new or not own:
             kept = new
@@ -305,14 +340,17 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Per row of ``pages``: id, url and ``text`` (empty if there is none, also for a null
     or empty page).
 
-    Pages without a host (null or malformed url) have no template and are read by their
-    markup alone.  Repeated rows repeat, other columns are left aside, and an empty table
+    Pages without a host (null or malformed url) and those of a host without a template are
+    read by the template of all pages, if there is one, else by their markup alone.  Repeated rows repeat, other columns are left aside, and an empty table
     gives no rows.  Pages of one host never meet in a task: vectors are sums, and the
     template goes to the pages by broadcast, or by a salted join if there are many hosts."""
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"),
                         _host(F.col(url_col).cast("string")).alias("host"))
     templates = cut(deduce(rows.select("id", "host", "html")))
+    # at most twice as many tokens as a page has
+    shared = templates.where("host = ''").first()
+    templates = templates.where("host <> ''")
     if templates.count() <= BROADCAST_HOSTS:
         joined = rows.join(F.broadcast(templates), "host", "left")
     else:
@@ -320,11 +358,16 @@ def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         joined = (rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
                   .join(salted, ["host", "salt"], "left"))
 
+    common = None if shared is None else (shared["slot"], list(shared["fixed"]))
+
     def make():
         def step(b: pa.RecordBatch):
-            fixed = [set(x) if x else None for x in b.column("fixed").to_pylist()]
-            text = [main_text(p, s, f) for p, s, f in
-                    zip(texts(b, "html"), b.column("slot").to_pylist(), fixed, strict=True)]
+            text = []
+            for page, slot, fixed in zip(texts(b, "html"), b.column("slot").to_pylist(),
+                                         b.column("fixed").to_pylist(), strict=True):
+                if fixed is None and common is not None:
+                    slot, fixed = common
+                text.append(main_text(page, slot, set(fixed) if fixed else None))
             return b.column("id"), b.column("url"), text
 
         return step

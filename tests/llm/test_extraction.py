@@ -50,7 +50,9 @@ def test_template_of_a_host(spark):
     for k in range(9):
         assert got[k, f"https://h.example.org/{k}"] == (
             f"Head {k}\n{('long text of the page ' * 9 + str(k))}")
-    assert got[20, "https://single.example.org/"].startswith("Welcome all\nOffer 20\nHead 20")
+    # what all pages share serves hosts of too few pages, and pages without a host
+    for url, k in (("https://single.example.org/", 20), (None, 21)):
+        assert got[k, url] == f"Head {k}\n{('long text of the page ' * 9 + str(k))}"
     assert got[22, "no url"] == "" and got[None, "https://h.example.org/x"] == ""
     assert extracted(df).count() == len(rows)
     assert extracted(df.where("false")).collect() == []
@@ -105,6 +107,84 @@ def test_vectors_are_sums(spark):
     rows = [(k, "h", "<body><p>fixed</p><div><p>own words " + str(k) + "</p></div></body>")
             for k in range(8)]
     df = spark.createDataFrame(rows, "id long, host string, html string").repartition(5)
-    t = deduce(df).collect()
+    t = deduce(df).where("host = 'h'").collect()
     blocks, _ = parse(rows[0][2])
     assert len(t) == 1 and t[0].slot == blocks[1][1][1] and len(t[0].fixed) == 1
+
+
+def test_attributes_names_and_inline_elements():
+    for inner, want in [
+            ('<p title="a hidden gem">text</p>', "text"), ("<p hidden-label=x>text</p>", "text"),
+            ('<p data-x=\'role="form" hidden\'>text</p>', "text"), ("<p hidden>text</p>", ""),
+            ('<p class="share-price">5 up</p>', "5 up"), ('<div id="related-work">w</div>', "w"),
+            ('<p class="notice-period">n</p>', "n"), ('<p id="menu-of-the-day">soup</p>', "soup"),
+            ('<p class="alert-level">red</p>', "red"), ('<div class="lead ad-box">Buy</div>', ""),
+            ('<div class="comment-list">me</div>', ""), ('<div id=cookie-notice>c</div>', ""),
+            ('<p>one <span class="ad">BUY NOW</span> two <span hidden>x <span>y</span> z</span>three',
+             "one two three"), ('<p>a <span hidden>b</p><p>c</p>', "a\nc"),
+            ('<p>a <a class="share" href=x>tell</a>b</p>', "a b")]:
+        page = f"<title>T</title><body><article><h1>H</h1>{inner}</article></body>"
+        assert main_text(page, None, None) == ("H\n" + want).strip(), inner
+
+
+def test_pages_without_article_elements_and_names(spark):
+    """The whole table again with ``article`` renamed and classes, ids and roles gone: what is
+    left is the template, which must still find every article and leave the adverts out."""
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    want = {r.page_id: r.text for r in extracted(df).collect()}
+    bare = df.selectExpr("page_id", "url", """regexp_replace(regexp_replace(html,
+        '<(/?)article', '<$1div'), ' (class|id|role)="[^"]*"', '') AS html""")
+    got = {r.page_id: r.text for r in extracted(bare).collect()}
+    alone = {r.page_id: r.text for r in extracted(bare.selectExpr("page_id", "null AS url", "html"))
+             .collect()}
+    assert got == want == alone
+    pages = {r.page_id: r.html for r in bare.collect()}
+    markup = [main_text(pages[k], None, None) == want[k] for k in want]
+    assert sum(markup) < 0.05 * len(want)                     # markup alone cannot
+
+
+def test_templates_against_plain_loops(spark):
+    """Vectors, classes, slot and fixed texts of every host, token by token."""
+    from marketstream.llm import extraction as X
+
+    df = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = df.select("page_id", "html", X._host(df.url).alias("host")).collect()
+    hosts = {}
+    for r in rows:
+        parsed = (r.page_id, *parse(r.html or ""))
+        for host in {r.host, ""}:
+            hosts.setdefault(host, []).append(parsed)
+    want = {}
+    for host, pages in hosts.items():
+        if len(pages) < X.LEAST_PAGES:
+            continue
+        vector, depth, mass, slots, whole, inside, inner = {}, {}, {}, set(), 0, 0, set()
+        for i, blocks, elements in pages:
+            for p, (d, occ, slot, within) in elements.items():
+                vector.setdefault(("e", p), {})[i] = occ
+                depth[p] = d
+                slots |= {p} if slot else set()
+                inner |= {p} if within else set()
+            for text, path, article, other, _, t in blocks:
+                v = vector.setdefault(("t", t), {})
+                v[i] = v.get(i, 0) + 1
+                if not other:
+                    whole += len(text)
+                    inside += len(text) if article else 0
+                    for p in set(path):
+                        mass[p] = mass.get(p, 0) + len(text)
+        classes = {}
+        for token, v in vector.items():
+            if 2 * len(v) >= len(pages):
+                classes.setdefault(tuple(sorted(v.items())), []).append(token)
+        valid = [t for c in classes.values() if len(c) >= X.CLASS_TOKENS and any(k == "e" for k, _ in c)
+                 for t in c]
+        best = [(depth[p], mass.get(p, 0) if p in slots else 0, p) for k, p in valid if k == "e"
+                and sum(vector[k, p].values()) == len(vector[k, p]) and whole
+                and (mass.get(p, 0) if p in slots else 0) >= X.SLOT_SHARE * whole
+                and (p not in inner or mass.get(p, 0) >= X.INNER_SHARE * inside)]
+        want[host] = (max(best)[2] if best else None, sorted(t for k, t in valid if k == "t"))
+    pages = df.select(df.page_id.alias("id"), X._host(df.url).alias("host"), "html")
+    got = {r.host: (r.slot, sorted(r.fixed)) for r in deduce(pages).collect()}
+    assert got == {h: v for h, v in want.items() if h in got}
+    assert all(h in got for h, (slot, fixed) in want.items() if slot or fixed)
