@@ -227,6 +227,11 @@ SELECT v.exchange, {sym('sym')} AS symbol, CASE WHEN side = 0 THEN 'bid' ELSE 'a
        CAST(price AS DECIMAL(38,18)) AS price, CAST(amt AS DECIMAL(38,18)) AS amount
 FROM book CROSS JOIN (VALUES ('COINBASE'), ('BITSTAMP')) v(exchange)"""
 
+TWO_VENUES_APART = (
+    f"SELECT 'COINBASE' AS exchange, a.* FROM ({L2_BOOK}) a UNION ALL "
+    "SELECT 'BITSTAMP' AS exchange, b.* FROM ("
+    + L2_BOOK.replace("FROM events)", "FROM events WHERE event_id % 2 = 0)") + ") b")
+
 # per event: a short and a bad snapshot level, bad and short changes, a bad ticker, a bad
 # trade, a bad order change, an order without an id, a match on an unknown maker, no JSON
 REJECTS_ALL = """SELECT source, reason, count(*) AS n FROM events e JOIN (VALUES
@@ -352,6 +357,10 @@ SELECT i AS arrival, {sym('sym')} AS symbol, CAST(oid AS VARCHAR) AS order_id,
        'unknown_maker' AS reason
 FROM d3 WHERE typ = 'match' AND NOT (life > 0 AND dead = 0)"""
 
+UNKNOWN_MAKERS_LOSSY = UNKNOWN_MAKERS.replace(
+    "FROM feed WHERE typ IN ('open', 'match', 'change', 'done'))",
+    "FROM feed WHERE typ IN ('open', 'match', 'change', 'done') AND NOT (typ = 'open' AND oid % 13 = 0))")
+
 # ---------------------------------------------------------------- gate
 GATE_ARR = f"""{L3_FEED},
 cnt AS (
@@ -492,6 +501,7 @@ def all_sql() -> dict[str, str]:
         "l2_deltas": L2_DELTAS,
         "l2_deltas_chunked": L2_DELTAS,
         "two_venue_book": TWO_VENUE_BOOK,
+        "two_venues_apart": TWO_VENUES_APART,
         "l2_depth": L2_DEPTH,
         "l2_summary": L2_SUMMARY,
         "book_record": BOOK_RECORD,
@@ -506,6 +516,7 @@ def all_sql() -> dict[str, str]:
         "l3_deltas_chunked": L3_DELTAS,
         "partitioned_deltas": L3_DELTAS,
         "unknown_makers": UNKNOWN_MAKERS,
+        "unknown_makers_lossy": UNKNOWN_MAKERS_LOSSY,
         "rejects_all": REJECTS_ALL,
         "l3_levels": L3_LEVELS,
         "l3_stream": L3_DELTAS,
@@ -519,6 +530,7 @@ def all_sql() -> dict[str, str]:
         "l3_gated_book": L3_GATED_BOOK,
         "l3_gated_deltas": L3_GATED_DELTAS,
         "l3_gated_stream": L3_GATED_DELTAS,
+        "l3_book_landed_snapshots": L3_GATED_BOOK,
         "rejects_stream": REJECTS_ALL,
         "l2_book_from_state": L2_BOOK,
         "l3_book_from_state": L3_GATED_BOOK,

@@ -208,6 +208,15 @@ def two_venue_book(spark, sf_dir):
     return L2.build_l2(both)["book"]
 
 
+def two_venues_apart(spark, sf_dir):
+    """Two venues with the same symbols and different feeds: the second sends every other
+    message of the first."""
+    raw = feeds.l2_feed(spark, sf_dir)
+    both = parse_messages(raw).unionByName(
+        parse_messages(raw.where("arrival % 2 = 0"), exchange="BITSTAMP"))
+    return L2.build_l2(both)["book"]
+
+
 def l2_deltas(spark, sf_dir):
     return _l2(spark, sf_dir)["deltas"].select("arrival", "symbol", "side", "price", "amount", "ts")
 
@@ -321,6 +330,14 @@ def unknown_makers(spark, sf_dir):
     return L3.unknown_makers(_l3(spark, sf_dir)["states"]).drop("exchange")
 
 
+def unknown_makers_lossy(spark, sf_dir):
+    """The same over a feed that lost the opens of every thirteenth order."""
+    p = parse_messages(feeds.l3_feed(spark, sf_dir))
+    lost = (F.col("type") == "open") & (F.col("order_id").cast("long") % 13 == 0)
+    states = L3.build_l3(L3.with_epoch(p.where(~lost)))["states"]
+    return L3.unknown_makers(states).drop("exchange")
+
+
 def rejects_all(spark, sf_dir):
     """Every kind of unusable message in one feed, counted by source and reason;
     none of them stops the query."""
@@ -402,6 +419,20 @@ def l3_gated_book(spark, sf_dir):
     return L3.l3_book(states, acc.select("exchange", "symbol", "epoch")).drop("exchange")
 
 
+def l3_book_landed_snapshots(spark, sf_dir):
+    """The gated book where messages and snapshots are two sources: each snapshot landed
+    twice, at no particular place, and merged by its sequence (= ``l3_gated_book``)."""
+    from marketstream.sources.snapshots import merged
+
+    parsed = parse_messages(feeds.gapped_feed(spark, sf_dir, True))
+    snap = F.col("route") == "l3snapshot"
+    snaps = parsed.where(snap)
+    feed = merged(parsed.where(~snap), snaps.unionByName(snaps).withColumn("arrival", F.lit(0).cast("long")))
+    acc = G.accepted(G.sequence_gate(feed.withColumn("value", F.lit(None).cast("string"))))
+    states = L3.l3_states(L3.l3_rows(acc))
+    return L3.l3_book(states, acc.select("exchange", "symbol", "epoch")).drop("exchange")
+
+
 def l3_gated_deltas(spark, sf_dir):
     """Deltas of the gated book, snapshot entries excluded."""
     states, _ = _gated_l3(spark, sf_dir)
@@ -520,6 +551,7 @@ def _registry() -> dict[str, Query]:
         "l2_deltas": l2_deltas,
         "l2_deltas_chunked": l2_deltas_chunked,
         "two_venue_book": two_venue_book,
+        "two_venues_apart": two_venues_apart,
         "l2_depth": l2_depth,
         "l2_summary": l2_summary,
         "book_record": book_record,
@@ -536,6 +568,7 @@ def _registry() -> dict[str, Query]:
         "trades_without_l3": trades_without_l3,
         "partitioned_deltas": partitioned_deltas,
         "unknown_makers": unknown_makers,
+        "unknown_makers_lossy": unknown_makers_lossy,
         "rejects_all": rejects_all,
         "trades_with_order_type": trades_with_order_type,
         "seq_verdicts": seq_verdicts,
@@ -545,6 +578,7 @@ def _registry() -> dict[str, Query]:
         "seq_counts": seq_counts,
         "l3_gated_book": l3_gated_book,
         "l3_gated_deltas": l3_gated_deltas,
+        "l3_book_landed_snapshots": l3_book_landed_snapshots,
         "trades_gated_order_type": trades_gated_order_type,
         "l2_stream": l2_stream,
         "l3_stream": l3_stream,
