@@ -27,8 +27,8 @@ VECTOR_BLOCK = 16_384
 CENTRE_ROWS = 20_000      # rows that the centre is fitted on, about (chosen by a hash)
 BOUND = 3.0               # error bound in standard deviations of the estimate
 SEED = 4
-_CODE = "vec_id long, vec array<float>, code binary, length float, fit float"
-_FOUND = "query_id long, vec_id long, score double"
+_CODE = "vec_id long, vec array<double>, code binary, length float, fit float"
+_FOUND = "uid long, query_id long, vec_id long, score double"
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -70,13 +70,15 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def _search_blocks(centre: np.ndarray, turn: np.ndarray, k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("uid", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()),
+                        ("score", pa.float64())])
 
     def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
         if queries.num_rows and vectors.num_rows:
-            q = _rows(queries["vec"], np.float64)
-            qid = queries["vec_id"].to_numpy()
+            q = _rows(queries["query"], np.float64)
+            qid, quid = queries["query_id"].to_numpy(), queries["quid"].to_numpy()
+            uids = vectors["uid"].to_numpy()
             x = _rows(vectors["vec"], np.float64)
             ids = vectors["vec_id"].to_numpy()
             bits = np.frombuffer(b"".join(vectors["code"].to_pylist()), np.uint8)
@@ -85,14 +87,15 @@ def _search_blocks(centre: np.ndarray, turn: np.ndarray, k: int):
             for a in range(0, len(q), 128):
                 est, err = estimate(bits, length, fit, q[a:a + 128], centre, turn)
                 for j in range(len(est)):
-                    own = ids == qid[a + j]
+                    own = uids == quid[a + j]
                     low = np.where(own, -np.inf, est[j] - err[j])
                     floor = (np.partition(low, -k)[-k] if len(low) > k else -np.inf)
                     near = np.flatnonzero((est[j] + err[j] >= floor) & ~own)
                     score = (x[near] * q[a + j]).sum(axis=1)
                     top = _best(ids[near], score, k)
-                    out.append((np.full(len(top), qid[a + j]), ids[near][top], score[top]))
-        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
+                    out.append((np.full(len(top), quid[a + j]), np.full(len(top), qid[a + j]),
+                                ids[near][top], score[top]))
+        cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], [], []]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema,
                                                                          strict=True)],
                                     schema=schema)
@@ -105,7 +108,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id",
     """(vec_id, vec) of the rows that take part, and their dimension: not those whose id or
     vector is null, that hold a null or non-finite component, that are zero, or whose
     dimension is not the most frequent one (the larger on ties)."""
-    vec = F.col(vec_col).cast("array<float>")
+    vec = F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec"))
 
     def finite(c):
@@ -124,9 +127,9 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id",
     """The ``k`` nearest rows of each query by inner product in double precision:
     query_id, rank (from 1), vec_id, score; ties go to the smaller id.
 
-    ``queries`` is a condition on ``vec_id`` that picks the query rows.  A query's own id
-    is no candidate; if a query's id is repeated, its smallest vector is searched once.
-    Repeated candidates count one by one.  Fewer than k candidates give fewer rows; an
+    ``queries`` is a condition on ``vec_id`` that picks the query rows.  Every other row is a
+    candidate, also one of the same id or vector; a repeated query id is searched for once for
+    each of its rows (its ranks come as often).  Repeated candidates count one by one.  Fewer than k candidates give fewer rows; an
     empty table none.  Other columns are left aside."""
     spark = vectors.sparkSession
     rows, dim = usable(vectors, id_col, vec_col)
@@ -147,23 +150,24 @@ def nearest(vectors: DataFrame, queries, k: int = 20, id_col: str = "vec_id",
 
         return step
 
-    index = cut(arrow_map(rows, make, _CODE))
-    asked = (index.where(queries).groupBy("vec_id").agg(F.min("vec").alias("vec")))
+    # row numbers are taken from a checkpoint: they stay when a task runs again
+    index = cut(arrow_map(rows, make, _CODE)).withColumn("uid", F.monotonically_increasing_id())
+    asked = index.where(queries).select(F.col("uid").alias("quid"), F.col("vec_id").alias("query_id"),
+                                        F.col("vec").alias("query"))
     m = asked.count()
     q_blocks, v_blocks = max(1, math.ceil(m / QUERY_BLOCK)), max(1, math.ceil(n / VECTOR_BLOCK))
 
     def blocks(count: int):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    left = (asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
-            .withColumn("vb", blocks(v_blocks)))
     # dealt by row number, so a repeated id cannot fill a block
-    right = (index.withColumn("uid", F.monotonically_increasing_id())
-             .withColumn("vb", F.pmod(F.xxhash64("uid"), F.lit(v_blocks)).cast("int"))
-             .drop("uid").withColumn("qb", blocks(q_blocks)))
+    left = (asked.withColumn("qb", F.pmod(F.xxhash64("quid"), F.lit(q_blocks)).cast("int"))
+            .withColumn("vb", blocks(v_blocks)))
+    right = (index.withColumn("vb", F.pmod(F.xxhash64("uid"), F.lit(v_blocks)).cast("int"))
+             .withColumn("qb", blocks(q_blocks)))
     found = (left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb"))
              .applyInArrow(_search_blocks(centre, turn, k), _FOUND))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    order = Window.partitionBy("uid").orderBy(F.desc("score"), F.asc("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int"), "vec_id", "score"))
 

@@ -64,3 +64,20 @@ def test_ties_odd_vectors_and_none(spark):
     assert N.nearest(df.where("vec_id > 60"), F.lit(True)).count() == 0
     few = found(N.nearest(df.where("vec_id < 3"), F.col("vec_id") % 20 == 0))
     assert [i for i, _ in few[0]] == [1, 2]
+
+
+def test_repeated_ids_and_double_components(spark):
+    """Rows with a query's id are candidates but its own; scores are those of the doubles."""
+    rnd = np.random.default_rng(9)
+    rows = [(int(i), rnd.normal(size=6).tolist()) for i in [0, 0, 20, 20, 20, *range(1, 19)]]
+    rows.append((40, [1 / 3, 1e-9, 2 / 7, 0.1, 1e9, 1e-9]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in N.nearest(df, F.col("vec_id") % 20 == 0, k=30).collect())
+    want = []
+    for a, (qid, q) in enumerate(rows):
+        if qid % 20 == 0:
+            near = sorted((-float((np.array(v) * np.array(q)).sum()), i)
+                          for b, (i, v) in enumerate(rows) if a != b)
+            want += [(qid, k + 1, i, -s) for k, (s, i) in enumerate(near)]
+    assert len(got) == len(want) and [g[:3] for g in got] == [w[:3] for w in sorted(want)]
+    assert all(g[3] == w[3] for g, w in zip(got, sorted(want), strict=True))
