@@ -56,13 +56,16 @@ def unpacked(cells: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pairs(codes: np.ndarray, ids: np.ndarray) -> bytes:
-    """The number of a piece's first word, then a shard's own word numbers and what they add."""
-    return ids[:1].astype("<i8").tobytes() + np.concatenate([codes, ids - ids[0]]).astype("<i4").tobytes()
+    """The number of a piece's first word, then a shard's own word numbers and the steps from
+    each of the dictionary's to the next, which ascend."""
+    return ids[:1].astype("<i8").tobytes() + np.concatenate(
+        [codes, np.diff(ids, prepend=ids[0])]).astype("<i4").tobytes()
 
 
 def _of_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = (len(data) - 8) // 8
-    return np.frombuffer(data, "<i4", n, 8), np.frombuffer(data, "<i4", n, 8 + 4 * n) + \
+    steps = np.frombuffer(data, "<i4", n, 8 + 4 * n)
+    return np.frombuffer(data, "<i4", n, 8), np.cumsum(steps, dtype=np.int64) + \
         np.frombuffer(data, "<i8", 1)
 
 
