@@ -294,6 +294,9 @@ def deduce(pages: DataFrame) -> DataFrame:
     # half of LEAST_PAGES pages or more, before anything is dealt by host: most tokens are
     # texts of a single page
     several = tokens.where((F.col("kind") != "page") & (2 * F.col("pages") >= LEAST_PAGES))
+    # of all pages together only what half of them have: the empty host is no large group
+    whole = tokens.where("host = '' AND kind = 'page'").first()
+    several = several.where((F.col("host") != "") | (2 * F.col("pages") >= (whole["pages"] if whole else 0)))
     wide = several.join(hosts, "host").where("2 * pages >= of")
     # at least half of the pages: at most twice as many tokens per host as a page has
     classes = (wide.groupBy("host", "v1", "v2")
