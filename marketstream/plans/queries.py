@@ -452,7 +452,7 @@ def trades_gated_order_type(spark, sf_dir):
 
 # ---------------------------------------------------------------- live (streaming) forms
 #: Rows of a micro-batch in the ``*_stream`` queries.
-LIVE_ROWS = 1 << 13
+LIVE_ROWS = 1 << 15
 
 
 def _live(spark, feed, gate, l2, l3, name):
