@@ -6,8 +6,9 @@ the exact code length of a word under the frozen statistics depends on the word
 document's code length is the sum over all its words; the language with the shortest one
 wins, and the score is its share of the likelihoods at equal priors.
 
-The trees are counted as Spark sums over n-grams of bytes, from a sample of each language that
-is bounded in documents and bytes.  The frozen tables (one row per context and symbol, with the
+The trees are counted as Spark sums over n-grams of bytes, from all texts that have a language:
+first their words are counted, then the n-grams of each distinct word, by the word's count.  The
+frozen tables (one row per context and symbol, with the
 blended log-probability of every language) are made for a group of languages at a time: a group
 holds as many languages as its tables fit in ``TABLE_BYTES``, and the texts pass by one group
 after another.  So the order of the contexts is the same however many languages there are, and
@@ -19,6 +20,7 @@ range of the language that codes it shortest is in none of the languages (``told
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,10 +31,8 @@ from pyspark.sql import functions as F
 from marketstream.llm.common import arrow_map, fold, table, texts, written
 
 ORDER = 4
-SAMPLE_DOCS = 1000        # training documents per language, about (chosen by a hash)
-SAMPLE_BYTES = 8_000_000  # training text per language, about
 TABLE_BYTES = 160_000_000 # frozen tables that go to the executors at once, about
-RANGE_DOCS = 1000         # other documents per language, about, that its range is taken from
+RANGE_DIGITS = 3          # of the bits a byte that ranges are taken from
 WORDS_KEPT = 200_000      # words whose code lengths a task remembers
 SLICE_CHARS = 2_000_000   # text scored in one go inside a task
 LEAST_SPREAD = 0.5        # bits a byte that a spread counts as at least
@@ -140,21 +140,37 @@ class Languages:
     ranges: dict[str, tuple[float, float]]
 
 
-def _sampled(docs: DataFrame, sample_docs: int, seed: int) -> tuple[DataFrame, list[str]]:
-    """About ``sample_docs`` documents and SAMPLE_BYTES of text per language, chosen by a hash
-    of the id, and all languages by name."""
+def _sampled(docs: DataFrame, sample_docs: int | None) -> tuple[DataFrame, list[str]]:
+    """The rows of ``docs`` that have a language, and all languages by name.  Where the caller
+    asks for ``sample_docs``, about so many documents per language, chosen by a hash of the id."""
     named = docs.where(F.col("lang").isNotNull())
-    sizes = {r["lang"]: (r["n"], r["b"] or 0) for r in named.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).collect()}
+    sizes = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
-    if not langs:
-        return named, []
-    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(
-        min(1.0, sample_docs / sizes[k][0], SAMPLE_BYTES / max(1, sizes[k][1]))))])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(seed)), F.lit(1 << 20)) / (1 << 20)
+    if not langs or sample_docs is None:
+        return named, langs
+    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, sample_docs / sizes[k])))])
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(10)), F.lit(1 << 20)) / (1 << 20)
     return named.where(draw < rate[F.col("lang")]), langs
 
 
+def _word_counts(chosen: DataFrame) -> DataFrame:
+    """(lang, word, n): how often each lower-cased word comes in the texts of each language."""
+    def make():
+        def step(b: pa.RecordBatch):
+            counts: dict[str, Counter] = {}
+            for lang, text in zip(b.column("lang").to_pylist(), texts(b, "text"), strict=True):
+                counts.setdefault(lang, Counter()).update(text.lower().split())
+            return [[x for lang, c in counts.items() for x in [lang] * len(c)],
+                    [w for c in counts.values() for w in c],
+                    [n for c in counts.values() for n in c.values()]]
+
+        return step
+
+    return (arrow_map(chosen.select("lang", "text"), make, "lang string, word string, n long")
+            .groupBy("lang", "word").agg(F.sum("n").alias("n")))
+
+
 def _grouped(langs: list[str], entries: dict[str, int]) -> list[list[str]]:
     """Languages by name, cut where the tables of a group would outgrow TABLE_BYTES; a row of
     the tables has a key and a number for every language."""
@@ -168,55 +184,58 @@ def _grouped(langs: list[str], entries: dict[str, int]) -> list[list[str]]:
     return out
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Languages | None:
-    """Context trees from the rows of ``docs`` (id, lang, text) that have a language; about
-    ``sample_docs`` whole documents per language, chosen by a hash of the id.  None if no
-    row has a language."""
-    chosen, langs = _sampled(docs, sample_docs, 10)
+def fit(docs: DataFrame, sample_docs: int | None = None) -> Languages | None:
+    """Context trees and ranges from all rows of ``docs`` (id, lang, text) that have a language;
+    with ``sample_docs`` from about so many whole documents per language, chosen by a hash of
+    the id.  None if no row has a language."""
+    chosen, langs = _sampled(docs, sample_docs)
     if not langs:
         return None
 
     def make():
         def step(b: pa.RecordBatch):
             rows = {}
-            for lang, text in zip(b.column("lang").to_pylist(), texts(b, "text"), strict=True):
-                rows.setdefault(lang, []).extend(text.lower().split())
+            for lang, word, n in zip(*(b.column(c).to_pylist() for c in ("lang", "word", "n")),
+                                     strict=True):
+                words, counts = rows.setdefault(lang, ([], []))
+                words.append(word)
+                counts.append(n)
             out = []
-            for lang, words in rows.items():
-                if not words:
-                    continue
+            for lang, (words, counts) in rows.items():
                 raw, ends = _symbols(words)
                 before, ctx = _contexts(raw, ends)
+                times = np.repeat(counts, np.diff(np.concatenate([[-1], ends])))
                 for k in range(ORDER + 1):
                     at = np.flatnonzero(before >= max(k, 1))
-                    key, n = np.unique(ctx[k][at] << 8 | raw[at], return_counts=True)
+                    key, of = np.unique(ctx[k][at] << 8 | raw[at], return_inverse=True)
+                    n = np.zeros(len(key), np.int64)
+                    np.add.at(n, of, times[at])
                     out.append(([lang] * len(key), np.full(len(key), k), key, n))
-            if not out:
-                return None
             return [[x for col in out for x in col[0]],
                     *(np.concatenate(x) for x in list(zip(*out, strict=True))[1:])]
 
         return step
 
-    grams = written(arrow_map(chosen.select("lang", "text"), make, "lang string, k int, gram long, n long")
+    grams = written(arrow_map(_word_counts(chosen), make, "lang string, k int, gram long, n long")
                     .groupBy("lang", "k", "gram").agg(F.sum("n").alias("n")))
     entries = {r["lang"]: r["c"] for r in grams.groupBy("lang")
                .agg(F.count(F.lit(1)).alias("c")).collect()}
     groups = []
     for names in _grouped(langs, entries):
-        # bounded by TABLE_BYTES, or by the sample of one language
-        t = grams.where(F.col("lang").isin(names)).toPandas()
-        number = t["lang"].map({k: j for j, k in enumerate(names)}).to_numpy(np.int64)
-        groups.append(Trees.freeze(names, t["k"].to_numpy(), t["gram"].to_numpy(), number,
-                                   t["n"].to_numpy()))
+        # bounded by TABLE_BYTES, or by the distinct n-grams of one language
+        number = F.create_map(*[x for j, k in enumerate(names) for x in (F.lit(k), F.lit(j))])
+        t = (grams.where(F.col("lang").isin(names))
+             .select("k", "gram", number[F.col("lang")].alias("lang"), "n").toArrow())
+        groups.append(Trees.freeze(names, *(t.column(c).to_numpy() for c in ("k", "gram", "lang", "n"))))
+        del t
     out = Languages(groups, {})
-    # other documents than those that the trees were counted on, where there are any
-    other, _ = _sampled(docs, RANGE_DOCS, 11)
-    bits = _coded(other.select("lang", "text"), out, "text", ["lang"]).where(
+    bits = _coded(chosen.select("lang", "text"), out, "text", ["lang"]).where(
         (F.col("best") == F.col("lang")) & (F.col("size") > 0))
-    bits = bits.withColumn("x", -F.col("top") / F.col("size") / float(np.log(2)))
+    # rounded, so that what a percentile keeps of a language is bounded
+    bits = bits.groupBy("lang", F.round(-F.col("top") / F.col("size") / float(np.log(2)),
+                                        RANGE_DIGITS).alias("x")).agg(F.count(F.lit(1)).alias("n"))
     out.ranges = {r["lang"]: (r["q"][0], r["q"][1] - r["q"][0]) for r in bits.groupBy("lang").agg(
-        F.percentile("x", F.array(F.lit(0.5), F.lit(0.95))).alias("q")).collect()}
+        F.percentile("x", F.array(F.lit(0.5), F.lit(0.95)), F.col("n")).alias("q")).collect()}
     return out
 
 

@@ -114,3 +114,23 @@ def test_groups_of_languages_give_what_one_group_gives(spark, monkeypatch):
     assert a.keys() == b.keys()
     assert all(a[k].lang_pred == b[k].lang_pred and abs(a[k].score - b[k].score) < 1e-6 for k in a)
     assert L._grouped(list("abcd"), dict.fromkeys("abcd", 1)) == [["a"], ["b"], ["c"], ["d"]]
+
+
+def test_every_document_counts(spark):
+    """Counts and ranges come from all documents, also where a language has many."""
+    n = 3000
+    df = spark.createDataFrame([(k, "en", f"the word{k}") for k in range(n)] + [(n, "fr", "le mot"), (n + 1, None, "x")],
+                               "id long, lang string, text string").repartition(5)
+    trees, = (known := L.fit(df)).groups
+    en = trees.langs.index("en")
+    # every text has a word that begins with t, one with w: no escape and no other symbol
+    ctx = ord(" ")
+    at = np.searchsorted(trees.keys[1], [ctx << 8 | ord("t"), ctx << 8 | ord("w")])
+    assert np.allclose(trees.logp[1][at, en], np.log(n / (2 * n + 2)), atol=1e-6)
+    # a digit string that only one document holds is known
+    count = slow_trees([("en", f"the word{k}") for k in range(n)] + [("fr", "le mot")])
+    for w in ("word2999", "word1234"):
+        s = b" " + w.encode() + b" "
+        want = sum(slow_log(count, "en", s[max(0, i - L.ORDER):i], s[i]) for i in range(1, len(s)))
+        assert abs(trees.words([w])[0, en] - want) < 1e-3
+    assert set(known.ranges) == {"en", "fr"}
