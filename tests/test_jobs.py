@@ -45,3 +45,24 @@ def test_trades_and_books_jobs(spark):
     out = spark.read.parquet(os.path.join(work, "books", "orderbooks"))
     assert out.where(F.col("kind") == "trade").count() == \
         feeds.l3_rows(spark, SF_SMALL).where(F.col("typ") == "match").count()
+
+
+def test_what_a_task_of_the_trades_pipeline_reads_is_bounded(spark, monkeypatch):
+    """Venue files hold a bounded number of rows, and a batch of the venue job keeps the text of
+    rejected messages only."""
+    from marketstream.plans import queries
+
+    work = fresh_dir(spark, "job-bounded")
+    monkeypatch.setattr(queries, "fresh_dir", lambda *_: work)
+    monkeypatch.setattr(queries, "LANDED_ROWS", 60)
+    fan_out, seen = jobs.fan_out, []
+
+    def watched(batch, batch_id, sinks):
+        seen.append((batch.columns, batch.where("value is not null").count()))
+        fan_out(batch, batch_id, sinks)
+
+    monkeypatch.setattr(jobs, "fan_out", watched)
+    assert queries.pipeline_trades(spark, SF_SMALL).count() == 1000
+    rows = spark.read.parquet(os.path.join(work, "venue")).groupBy("_metadata.file_path").count()
+    assert rows.agg(F.max("count")).first()[0] <= 60
+    assert seen and all(n == 0 and "bids" not in c for c, n in seen)
