@@ -235,3 +235,26 @@ def test_done_without_price_untracks_but_keeps_entry(spark):
     kept = sorted((r.symbol, r.order_id, r.side, r.price, r.size)
                   for r in state.l3_book(spark, state_dir, n).collect())
     assert kept == book
+
+
+def test_the_final_book_reads_the_latest_epoch_only(spark, monkeypatch):
+    """The gated book scans the orders of each book's latest epoch, and equals the book of all."""
+    from marketstream.plans import queries
+
+    def snap(seq, oid):
+        return {"type": "l3snapshot", "product_id": "BTC-USD", "sequence": seq,
+                "bids": [["10", "1", oid]], "asks": []}
+
+    def opened(seq, oid):
+        return {"type": "open", "product_id": "BTC-USD", "sequence": seq, "order_id": oid,
+                "side": "sell", "price": "11", "remaining_size": "2"}
+
+    msgs = [snap(1, "a"), opened(2, "b"), snap(5, "c"), opened(6, "d")]
+    acc = G.accepted(G.sequence_gate(parse_messages(raw_df(spark, [json.dumps(m) for m in msgs]))))
+    want = L3.l3_book(L3.l3_states(L3.l3_rows(acc)), acc.select(*L3.BOOK, "epoch")).drop("exchange")
+    l3_states, seen = L3.l3_states, []
+    monkeypatch.setattr(L3, "l3_states", lambda rows, *a, **b: seen.append(rows) or l3_states(rows, *a, **b))
+    got = queries._final_book(acc)
+    assert {r.order_id for r in got.collect()} == {"c", "d"}
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.epoch for r in seen[0].select("epoch").collect()} == {2}
