@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketstream.llm.common import table, written
+from marketstream.llm.common import bounded_batches, table, written
 from marketstream.llm.langid import fit as fit_languages
 from marketstream.llm.langid import learn_rows, told
 from marketstream.llm.ngram_join import first_of_groups
@@ -32,6 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier scores at least its threshold; it learns from the
     labelled rows of ``docs`` outside the held-out fold.  Null and empty texts have a score
     like any other; rows with a null id learn nothing and are scored."""
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     return passed(docs, fit(docs, table(spark, sf_dir, "labels")))
 
@@ -41,6 +42,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     for one language, and not coded at far more bits a byte than that language's own texts
     (junk, languages that were never learnt).  Null, empty and blank texts go, as do texts
     without a letter.  Without anything to learn from, every row stays."""
+    bounded_batches(spark)
     docs = docs.select(*COLUMNS)
     return told(docs, fit_languages(learn_rows(docs)), LEAST_SHARE, SPREADS)
 
@@ -49,16 +51,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group of near duplicates: the one with the smallest id.  An id with
     several texts keeps each text that nothing links; equal rows count as one; rows without an
     id are in no group."""
+    bounded_batches(spark)
     return first_of_groups(docs.select(*COLUMNS))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, with pseudonyms in its text and ``n_chars`` of the new text."""
+    bounded_batches(spark)
     return replaced(docs.select(*COLUMNS), DEMO_KEY)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every row and their places in the packed sequences."""
+    bounded_batches(spark)
     return packed_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32",
                                          "sequence_id", "offset")
 

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import corpus_pipeline as C
+import pyarrow as pa
 from .conftest import SF
 from .test_ngram_join import brute
 from .test_packing import places
 
-from marketstream.llm.common import written
+from marketstream.llm.common import _BATCH_CONF, BATCH_BYTES, written
 from marketstream.llm.langid import fit as fit_languages
 from marketstream.llm.langid import learn_rows, predict
 from marketstream.llm.pii import DEMO_KEY, Pseudonyms
@@ -76,3 +77,21 @@ def test_repeated_ids_lose_no_text_that_nothing_links(spark):
         mine = [x for x in got if (x[0], x[1] or "") in members]
         assert len(mine) == 1 and mine[0][0] == min(i for i, _ in members)
     assert sum(i is None for i, _ in kept) == 4
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    """The stages' session hands workers batches bounded in bytes, whatever the rows hold."""
+    own = spark.newSession()
+    docs = own.range(2000).selectExpr("id AS doc_id", "repeat('ab cd ', 2000) AS text",
+                                      "cast(null AS string) AS lang", "'s' AS source", "12000L AS n_chars").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    kept = C.language(own, docs, SF)
+    found = [r.n for r in kept.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 20 << 20 and max(found) < 2 * BATCH_BYTES
+    own.conf.set(_BATCH_CONF, "1000000")            # a bound of the session's own stays
+    C.language(own, docs, SF)
+    assert own.conf.get(_BATCH_CONF) == "1000000"
