@@ -258,3 +258,33 @@ def test_the_final_book_reads_the_latest_epoch_only(spark, monkeypatch):
     assert {r.order_id for r in got.collect()} == {"c", "d"}
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert {r.epoch for r in seen[0].select("epoch").collect()} == {2}
+
+
+def test_states_of_messages_need_only_the_snapshot_entries_that_they_name(spark):
+    """Snapshots of 200 orders of which messages name a few: the other entries take no part in
+    the scans, and the messages' states are those with all entries."""
+    from marketstream.schemas import L3_SNAPSHOT_TYPE
+
+    sym = "BTC-USD"
+
+    def snapshot(seq, first):
+        orders = [["10", str(k % 7 + 1), f"o{k}"] for k in range(first, first + 200)]
+        return {"type": L3_SNAPSHOT_TYPE, "product_id": sym, "sequence": seq,
+                "bids": orders[:120] + [["10", "9", "o3"], ["bad", "1", "o4"], ["10"]], "asks": orders[120:]}
+
+    def match(seq, oid, size):
+        return {"type": "match", "product_id": sym, "sequence": seq, "maker_order_id": oid, "trade_id": seq,
+                "taker_order_id": "t", "side": "buy", "price": "10", "size": size, "time": "2024-01-01T00:00:00Z"}
+
+    feed = [match(1, "o1", "1"), snapshot(2, 0), match(3, "o3", "2"), match(4, "o4", "99"), match(5, "o4", "1"),
+            {"type": "done", "product_id": sym, "sequence": 6, "order_id": "o150", "side": "sell", "price": "10",
+             "time": "2024-01-01T00:00:00Z"},
+            match(7, "gone", "1"), snapshot(8, 100), match(9, "o3", "1"), match(10, "o299", "1"), match(11, None, "1")]
+    msgs = L3.with_epoch(parse_messages(raw_df(spark, [json.dumps(m) for m in feed])), 4)
+    every, named = L3.l3_rows(msgs), L3.l3_named_rows(msgs)
+    assert sorted(r.order_id for r in named.where("sub > 0").collect()) == ["o150", "o299"] + ["o3"] * 3 + ["o4"] * 2
+    assert every.where("sub > 0").count() > 400
+
+    def states(rows):
+        return sorted(map(str, L3.l3_states(rows, 4).where("sub = 0").collect()))
+    assert states(named) == states(every) and len(states(named)) == 8
