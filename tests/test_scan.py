@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketstream.operators.scan import Running, running
+from marketstream.session import fresh_dir
 
 
 def brute(rows, op, reset, exclusive):
@@ -95,3 +96,23 @@ def test_hot_key_spreads_over_tasks(spark):
     tasks = out.select(F.pmod(F.hash("k", "_ck"), F.lit(8)).alias("t")).distinct().count()
     assert tasks > 4
     assert out.where(F.col("n") != F.col("o") + 1).count() == 0
+
+
+def test_a_large_carry_is_not_broadcast(spark, monkeypatch):
+    """Chunks with few rows of each key carry about as many rows as there are; Spark's estimate,
+    made from the input's files, would send them through the driver.  Few rows may be sent."""
+    from marketstream.operators import scan
+
+    rows = make_rows(3)
+    path = fresh_dir(spark, "carry")        # estimates are made from files
+    spark.createDataFrame(rows, "k string, o long, v long, r boolean").write.parquet(path)
+    df = spark.read.parquet(path)
+    exp = brute(rows, "sum", False, False)
+    for most, kind in ((10, "SortMergeJoin"), (10_000, "BroadcastHashJoin")):
+        monkeypatch.setattr(scan, "SMALL_CARRY", most, raising=False)
+        got = running(df, ["k"], ["o"], [Running("x", F.col("v"))], chunk_rows=5)
+        # of the join as planned from estimates
+        assert kind in got._jdf.queryExecution().sparkPlan().toString()
+        assert {r["o"]: r["x"] for r in got.collect()} == exp
+    none = running(df.where("o < 0"), ["k"], ["o"], [Running("x", F.col("v"))], chunk_rows=5)
+    assert none.collect() == []
