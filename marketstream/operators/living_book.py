@@ -19,10 +19,12 @@ hold at least as many changes as the book has levels.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,59 +115,114 @@ def _handed_over(kept: DataFrame, msgs: DataFrame, most: int, chunk_rows: int |
 
 
 class _Side:
-    """One side of a book: its prices in order and their sizes."""
+    """One side of a book, best first: its prices as whole numbers (bids below zero) and the
+    place of each level's row."""
 
     def __init__(self):
-        self.prices: list = []
-        self.sizes: dict = {}
+        self.prices: list[int] = []
+        self.at: list[int] = []
 
-    def put(self, price, size) -> None:
-        if price not in self.sizes:
-            insort(self.prices, price)
-        self.sizes[price] = size
+    def put(self, price: int, at: int) -> None:
+        i = bisect_left(self.prices, price)
+        if i < len(self.prices) and self.prices[i] == price:
+            self.at[i] = at
+        else:
+            self.prices.insert(i, price)
+            self.at.insert(i, at)
 
-    def drop(self, price) -> None:
-        if self.sizes.pop(price, None) is not None:
-            del self.prices[bisect_left(self.prices, price)]
+    def drop(self, price: int) -> None:
+        i = bisect_left(self.prices, price)
+        if i < len(self.prices) and self.prices[i] == price:
+            del self.prices[i], self.at[i]
 
-    def best(self, n: int | None, highest: bool) -> list[dict]:
-        p = self.prices
-        k = len(p) if n is None else min(n, len(p))
-        top = reversed(p[len(p) - k:]) if highest else p[:k]
-        return [{"price": x, "size": self.sizes[x]} for x in top]
+
+#: What a row of a chunk does to the book.
+_MARK, _SNAPSHOT, _PUT_BID, _PUT_ASK, _DROP_BID, _DROP_ASK = range(6)
+
+
+def _deeds(b: pa.RecordBatch) -> np.ndarray:
+    def flags(c) -> np.ndarray:
+        return pc.fill_null(c, False).to_numpy(zero_copy_only=False)
+
+    puts = (flags(pc.is_null(b.column("arrival"))) | flags(b.column("snap"))
+            | flags(pc.greater(b.column("amount"), pa.scalar(0, b.column("amount").type))))
+    out = np.where(puts, _PUT_BID, _DROP_BID) + flags(pc.equal(b.column("side"), "ask"))
+    out[flags(pc.is_null(b.column("side")))] = _SNAPSHOT
+    out[flags(pc.equal(b.column("pos"), _LAST))] = _MARK
+    return out
+
+
+def _begins(b: pa.RecordBatch, key: tuple | None) -> tuple[np.ndarray, tuple]:
+    """Which rows are the first of a chunk, after a batch that ended in ``key``; the last key."""
+    cols = [b.column(c) for c in (*BOOK, "chunk")]
+    out = np.zeros(b.num_rows, dtype=bool)
+    for c in cols:
+        out[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    out[0] = tuple(c[0].as_py() for c in cols) != key
+    return out, tuple(c[-1].as_py() for c in cols)
 
 
 def _each(depth: int | None):
-    """Sorted rows of chunks -> one record per message."""
+    """Sorted rows of chunks -> one record per message.  Levels are places of rows; their prices
+    and sizes are taken from the columns, many records at once."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     schema = to_arrow_schema(_parse_datatype_string(_RECORDS))
-    cols = [*BOOK, "chunk", "arrival", "pos", "side", "price", "amount", "snap", "ts", "receipt_ts"]
+    levels = schema.field("bid").type
+    head = [*BOOK, "arrival", "ts", "receipt_ts"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, key = {"bid": _Side(), "ask": _Side()}, None
+        bid, ask, key = _Side(), _Side(), None
+        none = pa.array([], levels.value_type.field("price").type)
+        held = (none, none)           # prices and sizes of the book's levels, bids first
         for b in batches:
-            out: list[dict] = []
-            for ex, sym, chunk, arrival, pos, side, price, amount, snap, ts, rcv in zip(
-                    *(b.column(c).to_pylist() for c in cols), strict=True):
-                if (ex, sym, chunk) != key:
-                    book, key = {"bid": _Side(), "ask": _Side()}, (ex, sym, chunk)
-                if pos == _LAST:
-                    out.append({"exchange": ex, "symbol": sym, "arrival": arrival, "ts": ts,
-                                "receipt_ts": rcv, "bid": book["bid"].best(depth, True),
-                                "ask": book["ask"].best(depth, False)})
-                elif side is None:                     # a snapshot begins
-                    book = {"bid": _Side(), "ask": _Side()}
-                elif arrival is None or snap or amount > 0:
-                    book[side].put(price, amount)
-                else:
-                    book[side].drop(price)
-                if len(out) >= 4096:
-                    yield pa.RecordBatch.from_pylist(out, schema=schema)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
+            if not b.num_rows:
+                continue
+            columns = [pa.concat_arrays([h, b.column(c)]) for h, c in zip(held, ("price", "amount"))]
+            bid.at = list(range(len(bid.at)))
+            ask.at = list(range(len(bid.at), len(bid.at) + len(ask.at)))
+            first = len(held[0])
+            raw = memoryview(columns[0].buffers()[1]).cast("B")[16 * (columns[0].offset + first):]
+            begins, key = _begins(b, key)
+            rows: list[int] = []
+            places: tuple[list, list] = ([], [])
+            ends: tuple[list, list] = ([0], [0])
+
+            def records() -> pa.RecordBatch:
+                parts = [b.column(c).take(pa.array(rows, pa.int32())) for c in head]
+                for at, end in zip(places, ends):
+                    at = pa.array(at, pa.int32())
+                    pairs = pa.StructArray.from_arrays([c.take(at) for c in columns],
+                                                       fields=list(levels.value_type))
+                    parts.append(pa.ListArray.from_arrays(pa.array(end, pa.int32()), pairs, type=levels))
+                return pa.RecordBatch.from_arrays(parts, schema=schema)
+
+            for i, (deed, begin) in enumerate(zip(_deeds(b).tolist(), begins.tolist())):
+                if begin or deed == _SNAPSHOT:
+                    bid, ask = _Side(), _Side()
+                if deed == _MARK:
+                    rows.append(i)
+                    for side, at, end in zip((bid, ask), places, ends):
+                        at += side.at[:depth]
+                        end.append(len(at))
+                    if len(rows) >= 4096:
+                        yield records()
+                        rows, places, ends = [], ([], []), ([0], [0])
+                elif deed != _SNAPSHOT:
+                    price = int.from_bytes(raw[16 * i:16 * i + 16], "little", signed=True)
+                    if deed == _PUT_BID:
+                        bid.put(-price, first + i)
+                    elif deed == _PUT_ASK:
+                        ask.put(price, first + i)
+                    elif deed == _DROP_BID:
+                        bid.drop(-price)
+                    else:
+                        ask.drop(price)
+            if rows:
+                yield records()
+            at = pa.array(bid.at + ask.at, pa.int32())
+            held = tuple(c.take(at) for c in columns)
 
     return run
 

@@ -111,3 +111,36 @@ def test_two_venues_and_the_record_text(spark):
     assert told[0]["ask"] == {"10000000.0": 1e-06} and told[0]["ts"] == told[0]["receipt_ts"]
     assert list(told[1]["ask"].items()) == [("0.000001", 3.0), ("10000000.0", 1e-06)]
     assert told[1]["bid"] == {"12.5": 2.0} and told[1]["ts"] == 1704067209 * 10 ** 9
+
+
+def test_levels_cross_arrow_batches_of_any_size(spark):
+    """The record builder alone: levels held from earlier batches, snapshots in mid-batch, equal
+    places in two chunks, 38-digit prices; the same records whatever the batches."""
+    import pyarrow as pa
+
+    big = Decimal("99999999999999999999.999999999999999999")
+    row = ("X", "S", 0, None, 0, "bid", Decimal(1), Decimal(7), False, None, None)
+    rows = [row]
+    for a, side, price, size, snap in [(0, "bid", 2, 3, False), (1, "ask", big, 4, False),
+                                       (2, "bid", 1, 0, False), (3, "ask", 5, 0, True),
+                                       (4, "bid", big, 1, False), (5, "bid", -2, 1, False)]:
+        if snap:
+            rows.append(("X", "S", 0, a, -1, None, None, None, True, None, 9))
+        rows.append(("X", "S", 0, a, 0, side, Decimal(price), Decimal(size), snap, None, None))
+        rows.append(("X", "S", 0, a, B._LAST, None, None, None, snap, a + 10, a + 20))
+    rows.append(("X", "S", 1, 6, B._LAST, None, None, None, False, 16, 26))
+    dec = pa.decimal128(38, 18)
+    schema = pa.schema([("exchange", pa.string()), ("symbol", pa.string()), ("chunk", pa.int64()),
+                        ("arrival", pa.int64()), ("pos", pa.int32()), ("side", pa.string()),
+                        ("price", dec), ("amount", dec), ("snap", pa.bool_()), ("ts", pa.int64()),
+                        ("receipt_ts", pa.int64())])
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    seen = []
+    for n in (1, 2, 3, 100):
+        seen.append([r for b in B._each(2)(iter(table.to_batches(max_chunksize=n))) for r in b.to_pylist()])
+    got = [([(x["price"], x["size"]) for x in r["bid"]], [(x["price"], x["size"]) for x in r["ask"]])
+           for r in seen[0]]
+    assert got == [([(2, 3), (1, 7)], []), ([(2, 3), (1, 7)], [(big, 4)]), ([(2, 3)], [(big, 4)]),
+                   ([], [(5, 0)]), ([(big, 1)], [(5, 0)]), ([(big, 1), (-2, 1)], [(5, 0)]), ([], [])]
+    assert all(s == seen[0] for s in seen)
+    assert [(r["arrival"], r["ts"], r["receipt_ts"]) for r in seen[0]] == [(a, a + 10, a + 20) for a in range(7)]
