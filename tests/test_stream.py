@@ -15,6 +15,7 @@ from marketstream.operators import l2 as L2
 from marketstream.operators import l3 as L3
 from marketstream.operators.normalize import bad_numbers
 from marketstream.operators.parse import invalid_messages, parse_messages
+from marketstream.operators.scan import Running
 from marketstream.session import fresh_dir
 from marketstream.sources import feeds
 from marketstream.streaming import live, source, state
@@ -116,6 +117,18 @@ def test_state_keeps_what_lives(spark, monkeypatch):
     assert orders.count() < want["l3delta"].select("order_id").distinct().count()
 
 
+def test_live_scans_work_out_their_carry_once(spark):
+    """Rows and state of a live scan both read what was carried into the chunks; neither works
+    it out again."""
+    df = spark.createDataFrame([(f"k{i % 3}", i, 1) for i in range(40)], "k string, o long, v long")
+    scans = state.Carried(spark, fresh_dir(spark, "once"), 0, 5)
+    rows = scans.scan("s", df, ["k"], ["o"], [Running("n", F.col("v"))])
+    for d in (rows, scans.after["s"]):
+        assert "Window" not in d._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.k, r.o): r.n for r in rows.collect()} == {(f"k{i % 3}", i): i // 3 + 1 for i in range(40)}
+    assert {r.k: r.n for r in scans.after["s"].collect()} == {"k0": 14, "k1": 13, "k2": 13}
+
+
 def test_source_batches_end_at_the_limit(spark):
     work = fresh_dir(spark, "limits")
     raw = feeds.l3_feed(spark, SF_SMALL)
