@@ -129,6 +129,54 @@ def test_live_scans_work_out_their_carry_once(spark):
     assert {r.k: r.n for r in scans.after["s"].collect()} == {"k0": 14, "k1": 13, "k2": 13}
 
 
+def test_snapshot_entries_pass_by_the_scans(spark, monkeypatch):
+    """A snapshot's orders go through a live scan where a message of their epoch names them; a
+    batch's state is one epoch's.  An order that no message named is known to later batches."""
+    import json
+
+    from conftest import raw_df
+    from marketstream.schemas import L3_SNAPSHOT_TYPE
+
+    def snap(seq, *bids):
+        return {"type": L3_SNAPSHOT_TYPE, "sequence": seq, "bids": list(bids), "asks": [["12", "1", "z"], ["x", "1", "y"]]}
+
+    def match(seq, maker, size):
+        return {"type": "match", "sequence": seq, "maker_order_id": maker, "taker_order_id": f"t{seq}",
+                "trade_id": seq, "side": "buy", "price": "10", "size": size}
+
+    def one(typ, seq, oid, **more):
+        return {"type": typ, "sequence": seq, "order_id": oid, "side": "buy", **more}
+
+    batches = [
+        [snap(1, ["10", "5", "a"], ["9", "2", "b"]), one("open", 2, "c", price="9", remaining_size="3"), match(3, "a", "1"),
+         snap(4, ["10", "4", "a"], ["8", "7", "b"], ["7", "6", "b"], ["9", "3", "c"], ["6", "2", "d"]),
+         one("received", 5, "t9", order_type="limit"), match(6, "a", "4"), one("done", 7, "d")],
+        [match(8, "b", "2"), match(9, "a", "1"), one("change", 10, "d", price="6", new_size="1"), match(11, "z", "1"),
+         one("open", 12, "d", price="5", remaining_size="4")],
+        [snap(13, ["9", "1", "b"]), match(14, "b", "1"), match(15, "c", "1")]]
+    texts = [[json.dumps({"product_id": "BTC-USD", **m}) for m in b] for b in batches]
+    raw = raw_df(spark, sum(texts, []))
+    seen, scan = {}, state.Carried.scan
+
+    def noted(self, name, df, *args, **kwargs):
+        if name == "l3_orders":
+            seen[self.batch_id] = sorted(r.order_id for r in df.where("kind = 'open' and sub > 0").collect())
+        return scan(self, name, df, *args, **kwargs)
+
+    monkeypatch.setattr(state.Carried, "scan", noted)
+    folder = fresh_dir(spark, "entries")
+    sink, at = live.LiveBooks(folder + "/out", folder + "/state", False), 0
+    for n, b in enumerate(texts):
+        sink(raw.where(F.col("arrival").between(at, at + len(b) - 1)), n)
+        at += len(b)
+    assert seen == {0: ["a", "a", "d"], 1: [], 2: ["b"]}
+    want, _, book = _expected(raw, False)
+    _equal(spark.read.parquet(folder + "/out"), want)
+    assert _sorted(state.l3_book(spark, folder + "/state", 3)) == _sorted(book)
+    kept = spark.read.parquet(folder + "/state/0").where("scan = 'l3_orders'")
+    assert {(r.epoch, r.order_id) for r in kept.collect()} == {(2, o) for o in "abcdz"}
+
+
 def test_source_batches_end_at_the_limit(spark):
     work = fresh_dir(spark, "limits")
     raw = feeds.l3_feed(spark, SF_SMALL)
