@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketstream.operators.l3 import BOOK, FIELDS
+from marketstream.operators.l3 import BOOK, FIELDS, LISTS
 from marketstream.operators.scan import Running, running
 
 #: Places between two arrivals: snapshots stand in the lower one.
@@ -28,10 +28,11 @@ def merged(messages: DataFrame, snapshots: DataFrame, chunk_rows: int | None = N
     Of snapshots with one sequence one stays; of several before the same message the one with
     the highest sequence.  A snapshot that no message goes beyond comes after all messages of
     its symbol.  Snapshots without a symbol or sequence are left out, as no message follows
-    them in order."""
-    msgs = messages.select(*FIELDS)
+    them in order.  Both may come without the lists of entries; see ``lists_of``."""
+    fields = [c for c in FIELDS if c not in LISTS or c in snapshots.columns]
+    msgs = messages.select(*fields)
     snaps = (snapshots.where(F.col("symbol").isNotNull() & F.col("sequence").isNotNull())
-             .select(*FIELDS).dropDuplicates([*BOOK, "sequence"]))
+             .select(*fields).dropDuplicates([*BOOK, "sequence"]))
     # from the highest sequence down; a snapshot before the messages of its own sequence
     rows = (msgs.where(F.col("symbol").isNotNull() & F.col("sequence").isNotNull())
             .select(*BOOK, "sequence", "arrival", F.lit(1).alias("_kind"))
@@ -48,5 +49,13 @@ def merged(messages: DataFrame, snapshots: DataFrame, chunk_rows: int | None = N
                                                 F.col("_end") * STEP + 1, F.lit(0)).alias("_at")))
     # one row per snapshot kept
     kept = (snaps.drop("arrival").join(at, [*BOOK, "sequence"])
-            .withColumn("arrival", F.col("_at").cast("long")).select(*FIELDS))
+            .withColumn("arrival", F.col("_at").cast("long")).select(*fields))
     return msgs.withColumn("arrival", F.col("arrival") * STEP).unionByName(kept)
+
+
+def lists_of(placed: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The lists of the snapshots ``placed`` by ``merged``, which they went through without, from
+    the landed ``snapshots``: (arrival, exchange, symbol, bids, asks)."""
+    key = [*BOOK, "sequence"]
+    return (snapshots.select(*key, *LISTS).join(placed.select("arrival", *key), key)
+            .dropDuplicates(["arrival", *key]))

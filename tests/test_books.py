@@ -288,3 +288,60 @@ def test_states_of_messages_need_only_the_snapshot_entries_that_they_name(spark)
     def states(rows):
         return sorted(map(str, L3.l3_states(rows, 4).where("sub = 0").collect()))
     assert states(named) == states(every) and len(states(named)) == 8
+
+
+def test_books_as_of_are_the_rows_of_book_as_of(spark, monkeypatch):
+    """One row per point, best first, ties by id, in runs of two points; a point may be a struct."""
+    monkeypatch.setattr(L3, "POINTS", 2)
+    msgs, seq = [], 0
+    for k in range(40):
+        seq += 1
+        msgs.append({"type": "open", "product_id": "X-Y" if k % 3 else "Z-Y", "order_id": f"o{k}", "sequence": seq,
+                     "side": "buy" if k % 2 else "sell", "price": str(k % 5 + 1), "remaining_size": str(k + 1)})
+        if k % 4 == 3:
+            seq += 1
+            msgs.append({"type": "done", "product_id": msgs[-3]["product_id"], "order_id": msgs[-3]["order_id"],
+                         "side": msgs[-3]["side"], "price": msgs[-3]["price"], "sequence": seq})
+    states = L3.l3_states(L3.l3_rows(L3.with_epoch(parse_messages(raw_df(spark, [json.dumps(m) for m in msgs])))))
+    pts = spark.createDataFrame([(s, p, q) for s in ("X-Y", "Z-Y", "N-N") for p, q in enumerate(range(0, 60, 7))],
+                                "symbol string, point long, seq long")
+    want = {}
+    for r in L3.book_as_of(states, pts).collect():
+        want.setdefault((r.symbol, r.point), {}).setdefault(r.side, []).append((r.price, r.order_id, r["size"]))
+    got = L3.books_as_of(states, pts.withColumn("point", F.struct("point", "seq")))
+    rows = got.select("symbol", "point.*", "bids", "asks").collect()
+    assert len(rows) == pts.count() and len(want) > 10
+    for r in rows:
+        for side, orders in (("bid", r.bids), ("ask", r.asks)):
+            w = sorted(want.get((r.symbol, r.point), {}).get(side, []), key=lambda x: x[:2], reverse=side == "bid")
+            assert [(Decimal(p), o, Decimal(s)) for p, s, o in orders or []] == w
+
+
+def test_lists_of_snapshots_pass_by_the_gate(spark, monkeypatch):
+    """The gate and its scans carry no snapshot list; the accepted snapshots read theirs later."""
+    from marketstream.plans import queries
+
+    gate, seen = G.sequence_gate, []
+    monkeypatch.setattr(G, "sequence_gate", lambda p, *a, **b: seen.append(p.columns) or gate(p, *a, **b))
+    raw = feeds.gapped_feed(spark, SF_MID, with_orders=True)
+    all_rows = L3.l3_rows(G.accepted(gate(parse_messages(raw))))
+    acc, lists = queries._accepted_l3(spark, SF_MID)
+    assert seen and not {"bids", "asks"} & set(seen[0])
+    got = L3.l3_rows(acc, lists)
+    assert got.columns == all_rows.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, all_rows.collect()))
+
+
+def test_unnamed_entries_are_dropped_where_they_are_read(spark):
+    """Of 3 000 snapshot entries only those whose bit a message set go to the join by order."""
+    orders = [["10", "1", f"o{k}"] for k in range(3000)]
+    feed = [{"type": "l3snapshot", "product_id": "BTC-USD", "sequence": 1, "bids": orders, "asks": []},
+            {"type": "done", "product_id": "BTC-USD", "sequence": 2, "order_id": "o7", "side": "buy", "price": "10"}]
+    msgs = L3.with_epoch(parse_messages(raw_df(spark, [json.dumps(m) for m in feed])))
+    bits = [0] * L3.NAMED_WORDS
+    b = spark.range(1).select(L3._named_bit(F.lit("o7"))).first()[0]
+    bits[b // 64] = (1 << b % 64) - (1 << 64 if b % 64 == 63 else 0)
+    sets = spark.createDataFrame([("COINBASE", "BTC-USD", 1, bits)], "exchange string, symbol string, epoch long, _bits array<long>")
+    left = {r.order_id for r in L3._entries(L3._listed(msgs, None, sets), "_bits").collect()}
+    assert "o7" in left and len(left) < 20
+    assert [r.order_id for r in L3.l3_named_rows(msgs).where("sub > 0").collect()] == ["o7"]

@@ -10,7 +10,7 @@ from conftest import raw_df
 from marketstream.operators import gate as G
 from marketstream.operators import l3 as L3
 from marketstream.operators.parse import parse_messages
-from marketstream.sources.snapshots import merged
+from marketstream.sources.snapshots import lists_of, merged
 
 
 def opened(sym, seq):
@@ -50,3 +50,16 @@ def test_placed_by_sequence(spark, chunk):
         (a, f"{a}10"), (a, f"{a}9"), (a, "late"), (b, "after")]
     assert merged(m, s.where("false"), chunk).count() == len(msgs)
     assert merged(m.where("false"), s, chunk).count() == 2
+
+
+def test_lists_are_read_after_the_merge(spark):
+    """Snapshots merged without their lists, each landed twice, find them by their sequence."""
+    a = "BTC-USD"
+    snaps = [snap(a, 8, "p", "q"), snap(a, 4, "r"), snap("ETH-USD", 8, "z")]
+    m = parse_messages(raw_df(spark, [json.dumps(opened(a, k)) for k in (5, 9)]))
+    s = parse_messages(raw_df(spark, [json.dumps(x) for x in snaps + snaps], start=100))
+    feed = merged(m, s.drop(*L3.LISTS))
+    assert "bids" not in feed.columns
+    got = lists_of(feed.where("route = 'l3snapshot' and sequence = 8"), s).collect()
+    whole = {(r.symbol, r.arrival): r.bids for r in merged(m, s).where("sequence = 8").collect()}
+    assert {(r.symbol, r.arrival): r.bids for r in got} == whole and len(got) == 2
