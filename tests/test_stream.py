@@ -261,3 +261,36 @@ def test_kafka_options_and_table_ddl(spark):
     cols = [c.name for c in spark.catalog.listColumns("ddl_trades")]
     assert cols[:9] == ["exchange", "symbol", "side", "price", "ts", "receipt_ts", "size",
                         "trade_id", "epoch"]
+
+
+def test_lists_of_snapshots_stay_out_of_the_live_gate(spark, monkeypatch):
+    """What the gate writes of a batch holds no snapshot list, the entries are deltas as before;
+    and the first copy that landing writes is gone."""
+    import json
+    import os
+
+    from conftest import raw_df
+    from marketstream.streaming import live, state
+
+    def snap(seq, *orders):
+        return {"type": "l3snapshot", "product_id": "BTC-USD", "sequence": seq,
+                "bids": [["10", "1", o] for o in orders], "asks": [["12", "3", "z"]]}
+
+    done = {"type": "done", "product_id": "BTC-USD", "sequence": 2, "order_id": "a", "side": "buy", "price": "10"}
+    msgs = [snap(1, "a", "b"), done, snap(5, "c"), done | {"sequence": 6, "order_id": "c"}]
+    scan, seen = state.Carried.scan, {}
+
+    def spy(self, name, df, *a, **b):
+        seen.setdefault(name, df.columns)
+        return scan(self, name, df, *a, **b)
+
+    monkeypatch.setattr(state.Carried, "scan", spy)
+    out, states, n = live.replay(spark, raw_df(spark, [json.dumps(m) for m in msgs]), True, False, True,
+                                 name="lists", max_rows=3)
+    assert n == 2 and not {"bids", "asks"} & set(seen["gate"])
+    got = sorted((r.arrival, r.sub, r.order_id, int(r["size"])) for r in out.where("kind = 'l3delta'").collect())
+    assert got == [(0, 1, "a", 1), (0, 2, "b", 1), (0, 3, "z", 3), (1, 0, "a", 0),
+                   (2, 1, "c", 1), (2, 2, "z", 3), (3, 0, "c", 0)]
+    assert [r.order_id for r in state.l3_book(spark, states, n).collect()] == ["z"]
+    assert not [f for f in os.listdir(os.path.join(os.path.dirname(states.removeprefix("file:")), "landing"))
+                if f.startswith("raw")]
